@@ -38,15 +38,16 @@ for _t in G.GOLD:
 # comparison view flattens the location structs and shows event_ts as
 # timestamp_ntz (UTC wall clock).
 
-_FLAT_REQUEST = [
-    "event_id", "event_type", "timestamp", "ride_id", "user_id", "ride_type", "status",
-    "pickup_zone_id", "pickup_zone_name",
-    F.col("pickup.latitude").alias("pickup_latitude"), F.col("pickup.longitude").alias("pickup_longitude"),
-    "dropoff_zone_id", F.col("dropoff.zone_name").alias("dropoff_zone_name"),
-    F.col("dropoff.latitude").alias("dropoff_latitude"), F.col("dropoff.longitude").alias("dropoff_longitude"),
-    "distance_km", "estimated_fare", "surge_multiplier", "payment_mode", "hour_of_day", "day_of_week",
-    F.col("event_ts").cast("timestamp_ntz").alias("event_ts"),
-]
+def _flat_request() -> list:
+    return [
+        "event_id", "event_type", "timestamp", "ride_id", "user_id", "ride_type", "status",
+        "pickup_zone_id", "pickup_zone_name",
+        F.col("pickup.latitude").alias("pickup_latitude"), F.col("pickup.longitude").alias("pickup_longitude"),
+        "dropoff_zone_id", F.col("dropoff.zone_name").alias("dropoff_zone_name"),
+        F.col("dropoff.latitude").alias("dropoff_latitude"), F.col("dropoff.longitude").alias("dropoff_longitude"),
+        "distance_km", "estimated_fare", "surge_multiplier", "payment_mode", "hour_of_day", "day_of_week",
+        F.col("event_ts").cast("timestamp_ntz").alias("event_ts"),
+    ]
 
 
 def decoded(spark: SparkSession, sf_dir: str, stream: str) -> DataFrame:
@@ -57,7 +58,7 @@ def decoded(spark: SparkSession, sf_dir: str, stream: str) -> DataFrame:
 
 def flat_view(df: DataFrame, stream: str) -> DataFrame:
     if stream == "ride_requests":
-        return df.select(*_FLAT_REQUEST)
+        return df.select(*_flat_request())
     return df.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
 
 
