@@ -17,7 +17,9 @@ from rideflux import schemas as S
 from rideflux.operators import gold as G
 from rideflux.plans import oracle as O
 from rideflux.plans.catalog import register
-from rideflux.plans.queries_gold import flat_view, silver
+from rideflux.operators.layout import accepted, compact, conform, read_table, rejected
+from rideflux.operators.layout import zorder_cluster as cluster
+from rideflux.plans.queries_gold import flat_view, gold, silver
 from rideflux.session import ensure_utc, run_dir
 from rideflux.sources import adapter
 from rideflux.sources.json_events import PARSERS
@@ -110,3 +112,46 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = run_gold_stream(spark, sf_dir, "ride_demand_by_zone")
     h = table_history(spark, base, "ride_demand_by_zone", limit=5)
     return ntz(h.drop("written_at"))
+
+
+# --- table layout jobs ---------------------------------------------------------
+
+def _conform_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conform(gold(spark, sf_dir, "ride_demand_by_zone"), S.GOLD_SCHEMAS["ride_demand_by_zone"])
+
+
+@register("conform_gold_accepted", O.with_ctes("demand") + (
+    "SELECT * FROM demand WHERE window_start IS NOT NULL AND zone_id IS NOT NULL"))
+def conform_gold_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ntz(accepted(_conform_demand(spark, sf_dir)))
+
+
+@register("conform_gold_rejected", O.with_ctes("demand") + """
+SELECT *, concat_ws(', ', CASE WHEN window_start IS NULL THEN 'null window_start' END,
+                          CASE WHEN zone_id IS NULL THEN 'null zone_id' END) AS reject_reason
+FROM demand WHERE window_start IS NULL OR zone_id IS NULL""")
+def conform_gold_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ntz(rejected(_conform_demand(spark, sf_dir)))
+
+
+@register("zorder_cluster", O.gold_select("surge_pricing_metrics"))
+def zorder_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Surge table rewritten on a Z-curve over (window_start, avg_surge),
+    partitioned by ride_type; the rows must come back unchanged."""
+    table = "surge_pricing_metrics"
+    spec = S.GOLD_SPECS[table]
+    path = f"{run_dir(spark, 'zorder')}/{table}"
+    cluster(gold(spark, sf_dir, table), list(spec.cluster_cols), path, partition_cols=spec.partition_cols)
+    return ntz(read_table(spark, path, table))
+
+
+@register("compact_gold", O.stream_gold_select("ride_demand_by_zone"))
+def compact_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The demand stream's per-batch files compacted into a new directory."""
+    table = "ride_demand_by_zone"
+    spec = S.GOLD_SPECS[table]
+    base = run_gold_stream(spark, sf_dir, table)
+    path = f"{base}/compacted/{table}"
+    compact(jobs.read_gold(spark, base, table), path, partition_cols=spec.partition_cols,
+            sort_cols=spec.cluster_cols)
+    return ntz(read_table(spark, path, table))
