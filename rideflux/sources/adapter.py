@@ -22,126 +22,124 @@ Rules (K = the integer ``k`` in ``props``; zones indexed 0..5 in id order):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rideflux import schemas as S
-from rideflux.functions.expressions import zone_boxes
+from rideflux.functions.expressions import ZONE_BOXES_SQL, sql_array
 
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 N_ZONES = len(S.ZONES)
 
+# The projections are SQL expression text: each select is parsed by the JVM in
+# one call, instead of one driver round-trip per literal and function.
+
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
-def _pick(values, idx: Column) -> Column:
-    """values[idx] for a small fixed list (idx 0-based)."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
-
-
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
+def _pick(values, idx: str) -> str:
+    """values[idx] for a small fixed list (idx 0-based SQL expression)."""
+    return f"element_at({sql_array(values)}, CAST({idx} AS INT) + 1)"
 
 
-def _zone(idx: Column) -> Column:
-    return F.element_at(zone_boxes(), (idx + 1).cast("int"))
+def _point(z: str, axis: str) -> str:
+    return f"{z}.{axis}_lo + ({z}.{axis}_hi - {z}.{axis}_lo) * _k / 99.0D"
 
 
-def _point(z: Column, k: Column, axis: str) -> Column:
-    lo, hi = z[f"{axis}_lo"], z[f"{axis}_hi"]
-    return lo + (hi - lo) * k / F.lit(99.0)
+def _location(z: str) -> str:
+    return (f"named_struct('zone_id', {z}.zone_id, 'zone_name', {z}.zone_name, "
+            f"'latitude', {_point(z, 'lat')}, 'longitude', {_point(z, 'lng')})")
 
 
-def _location(z: Column, k: Column) -> Column:
-    return F.struct(
-        z["zone_id"].alias("zone_id"), z["zone_name"].alias("zone_name"),
-        _point(z, k, "lat").alias("latitude"), _point(z, k, "lng").alias("longitude"),
-    )
+_BASE = [
+    "event_id AS _eid", "user_id AS _uid", "event_type AS _etype", "value AS _value",
+    "ts AS event_ts",
+    f"date_format(ts, \"{ISO_FORMAT}\") AS timestamp",
+    "CAST(get_json_object(props, '$.k') AS INT) AS _k",
+    f"element_at({ZONE_BOXES_SQL}, CAST(user_id % {N_ZONES} AS INT) + 1) AS _pz",
+    f"element_at({ZONE_BOXES_SQL}, CAST((user_id + 1) % {N_ZONES} AS INT) + 1) AS _dz",
+    "concat('RD-', CAST(event_id AS STRING)) AS ride_id",
+    "concat('USR-', CAST(user_id AS STRING)) AS user_id",
+    "concat('DRV-', CAST(user_id + 1000 AS STRING)) AS driver_id",
+    f"{_pick(S.RIDE_TYPES, f'event_id % {len(S.RIDE_TYPES)}')} AS ride_type",
+    f"{_pick(S.PAYMENT_MODES, f'event_id % {len(S.PAYMENT_MODES)}')} AS payment_mode",
+]
+# derived from _k, so computed in a second projection
+_BASE_K = [
+    "1.0D + _k / 50.0D AS surge_multiplier",
+    "2.0D + _k * 0.23D AS distance_km",
+]
 
 
 def _base(events: DataFrame) -> DataFrame:
     """Columns shared by the three streams, computed once per event."""
-    k = _k()
-    eid, uid = F.col("event_id"), F.col("user_id")
-    return events.select(
-        eid.alias("_eid"), uid.alias("_uid"), F.col("event_type").alias("_etype"), F.col("value").alias("_value"),
-        F.col("ts").alias("event_ts"),
-        F.date_format("ts", ISO_FORMAT).alias("timestamp"),
-        k.alias("_k"),
-        _zone(uid % N_ZONES).alias("_pz"),
-        _zone((uid + 1) % N_ZONES).alias("_dz"),
-        F.concat(F.lit("RD-"), eid.cast("string")).alias("ride_id"),
-        F.concat(F.lit("USR-"), uid.cast("string")).alias("user_id"),
-        F.concat(F.lit("DRV-"), (uid + 1000).cast("string")).alias("driver_id"),
-        _pick(S.RIDE_TYPES, eid % len(S.RIDE_TYPES)).alias("ride_type"),
-        _pick(S.PAYMENT_MODES, eid % len(S.PAYMENT_MODES)).alias("payment_mode"),
-        (F.lit(1.0) + k / F.lit(50.0)).alias("surge_multiplier"),
-        (F.lit(2.0) + k * F.lit(0.23)).alias("distance_km"),
-    )
+    b = events.selectExpr(*_BASE)
+    return b.selectExpr("*", *_BASE_K)
+
+
+_REQUEST = [
+    "concat('REQ-', CAST(_eid AS STRING)) AS event_id",
+    "'RIDE_REQUEST' AS event_type",
+    "timestamp", "ride_id", "user_id", "ride_type",
+    f"'{S.STATUS_REQUESTED}' AS status",
+    f"{_location('_pz')} AS pickup",
+    f"{_location('_dz')} AS dropoff",
+    "distance_km",
+    "_value AS estimated_fare",
+    "surge_multiplier", "payment_mode",
+    "CAST(hour(event_ts) AS DOUBLE) AS hour_of_day",
+    "date_format(event_ts, 'EEEE') AS day_of_week",
+    "event_ts",
+    "_pz.zone_id AS pickup_zone_id",
+    "_pz.zone_name AS pickup_zone_name",
+    "_dz.zone_id AS dropoff_zone_id",
+]
+
+_COMPLETED = [
+    "concat('CMP-', CAST(_eid AS STRING)) AS event_id",
+    "'RIDE_COMPLETED' AS event_type",
+    "timestamp", "ride_id", "user_id", "driver_id", "ride_type",
+    f"CASE WHEN _etype = 'error' THEN '{S.STATUS_CANCELLED}' ELSE '{S.STATUS_COMPLETED}' END AS status",
+    "_pz.zone_id AS pickup_zone_id",
+    "_dz.zone_id AS dropoff_zone_id",
+    "distance_km",
+    "distance_km * 4.0D AS duration_minutes",
+    "2.0D + _k % 14 AS wait_time_minutes",
+    "_value AS estimated_fare",
+    "_value AS actual_fare",
+    "surge_multiplier", "payment_mode",
+    "3.0D + (_eid % 21) / 10.0D AS driver_rating",
+    "3.0D + (_uid % 21) / 10.0D AS user_rating",
+    f"CASE WHEN _eid % 7 = 0 THEN {_pick(S.CANCELLATION_REASONS, f'_eid % {len(S.CANCELLATION_REASONS)}')} END"
+    " AS cancellation_reason",
+    "event_ts",
+]
+
+_PING = [
+    "concat('PNG-', CAST(_eid AS STRING)) AS event_id",
+    "'DRIVER_LOCATION' AS event_type",
+    "timestamp", "driver_id",
+    f"{_point('_pz', 'lat')} AS latitude",
+    f"{_point('_pz', 'lng')} AS longitude",
+    "_pz.zone_id AS zone_id", "_pz.zone_name AS zone_name",
+    "_eid % 2 = 0 AS is_available",
+    "_k * 0.6D AS current_speed_kmh",
+    "event_ts",
+]
 
 
 def ride_requests(events: DataFrame) -> DataFrame:
-    b = _base(events)
-    pickup = _location(F.col("_pz"), F.col("_k"))
-    dropoff = _location(F.col("_dz"), F.col("_k"))
-    return b.select(
-        F.concat(F.lit("REQ-"), F.col("_eid").cast("string")).alias("event_id"),
-        F.lit("RIDE_REQUEST").alias("event_type"),
-        "timestamp", "ride_id", "user_id", "ride_type",
-        F.lit(S.STATUS_REQUESTED).alias("status"),
-        pickup.alias("pickup"), dropoff.alias("dropoff"),
-        "distance_km",
-        F.col("_value").alias("estimated_fare"),
-        "surge_multiplier", "payment_mode",
-        F.hour("event_ts").cast("double").alias("hour_of_day"),
-        F.date_format("event_ts", "EEEE").alias("day_of_week"),
-        "event_ts",
-        F.col("_pz.zone_id").alias("pickup_zone_id"),
-        F.col("_pz.zone_name").alias("pickup_zone_name"),
-        F.col("_dz.zone_id").alias("dropoff_zone_id"),
-    )
+    return _base(events).selectExpr(*_REQUEST)
 
 
 def ride_completed(events: DataFrame) -> DataFrame:
-    b = _base(events.where(F.col("event_type") != "view"))
-    eid, k = F.col("_eid"), F.col("_k")
-    reason = F.when(eid % 7 == 0, _pick(S.CANCELLATION_REASONS, eid % len(S.CANCELLATION_REASONS)))
-    return b.select(
-        F.concat(F.lit("CMP-"), eid.cast("string")).alias("event_id"),
-        F.lit("RIDE_COMPLETED").alias("event_type"),
-        "timestamp", "ride_id", "user_id", "driver_id", "ride_type",
-        F.when(F.col("_etype") == "error", S.STATUS_CANCELLED).otherwise(S.STATUS_COMPLETED).alias("status"),
-        F.col("_pz.zone_id").alias("pickup_zone_id"),
-        F.col("_dz.zone_id").alias("dropoff_zone_id"),
-        "distance_km",
-        (F.col("distance_km") * F.lit(4.0)).alias("duration_minutes"),
-        (F.lit(2.0) + k % 14).alias("wait_time_minutes"),
-        F.col("_value").alias("estimated_fare"),
-        F.col("_value").alias("actual_fare"),
-        "surge_multiplier", "payment_mode",
-        (F.lit(3.0) + (eid % 21) / F.lit(10.0)).alias("driver_rating"),
-        (F.lit(3.0) + (F.col("_uid") % 21) / F.lit(10.0)).alias("user_rating"),
-        reason.alias("cancellation_reason"),
-        "event_ts",
-    )
+    return _base(events.where("event_type <> 'view'")).selectExpr(*_COMPLETED)
 
 
 def driver_locations(events: DataFrame) -> DataFrame:
-    b = _base(events)
-    z, k = F.col("_pz"), F.col("_k")
-    return b.select(
-        F.concat(F.lit("PNG-"), F.col("_eid").cast("string")).alias("event_id"),
-        F.lit("DRIVER_LOCATION").alias("event_type"),
-        "timestamp", "driver_id",
-        _point(z, k, "lat").alias("latitude"),
-        _point(z, k, "lng").alias("longitude"),
-        z["zone_id"].alias("zone_id"), z["zone_name"].alias("zone_name"),
-        (F.col("_eid") % 2 == 0).alias("is_available"),
-        (k * F.lit(0.6)).alias("current_speed_kmh"),
-        "event_ts",
-    )
+    return _base(events).selectExpr(*_PING)
 
 
 STREAMS = {

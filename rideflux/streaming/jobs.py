@@ -116,7 +116,7 @@ def run_available_now(queries: list[StreamingQuery]) -> None:
 
 
 def read_gold(spark: SparkSession, base: str, table: str) -> DataFrame:
-    return read_sink(spark, gold_path(base, table), S.GOLD_COLUMNS[table])
+    return read_sink(spark, gold_path(base, table), S.GOLD_SCHEMAS[table])
 
 
 def read_raw(spark: SparkSession, base: str, stream: str) -> DataFrame:

@@ -16,6 +16,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rideflux import schemas as S
@@ -80,11 +81,14 @@ def write_stream(
     return w.start()
 
 
-def read_sink(spark, path: str, columns: list[str] | None = None) -> DataFrame:
+def read_sink(spark, path: str, schema=None) -> DataFrame:
     """Read a sink table back in declared column order, without ``batch_id``.
 
-    Partition columns come back last on read; the select restores the order.
+    With a declared schema an empty table (no batch emitted rows yet) reads as
+    zero rows, and partition columns keep their declared place and type.
     """
-    df = spark.read.parquet(path)
-    cols = columns or [c for c in df.columns if c != "batch_id"]
-    return df.select(*cols)
+    if schema is None:
+        df = spark.read.parquet(path)
+        return df.select(*[c for c in df.columns if c != "batch_id"])
+    full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(full).parquet(path).select(*schema.fieldNames())
