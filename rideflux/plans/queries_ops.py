@@ -35,7 +35,8 @@ def ntz(df: DataFrame) -> DataFrame:
 
 def file_topic(spark: SparkSession, sf_dir: str, stream: str, base: str) -> str:
     path = f"{base}/topics/{stream}"
-    write_topic_files(adapter.to_bronze(silver(spark, sf_dir, stream), stream), path)
+    write_topic_files(adapter.to_bronze(silver(spark, sf_dir, stream), stream), path,
+                      partitions=spark.sparkContext.defaultParallelism)
     return path
 
 

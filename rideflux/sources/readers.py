@@ -58,6 +58,13 @@ def read_topic_batch(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("value string").text(path)
 
 
-def write_topic_files(bronze: DataFrame, path: str, mode: str = "append") -> None:
-    """Write ``value`` records as JSON-lines files (a file-backed topic)."""
-    bronze.select("value").write.mode(mode).text(path)
+def write_topic_files(bronze: DataFrame, path: str, mode: str = "append", partitions: int | None = None) -> None:
+    """Write ``value`` records as JSON-lines files (a file-backed topic).
+
+    ``partitions`` files are written, like the partitions of a topic; the
+    stream then reads them in parallel.
+    """
+    df = bronze.select("value")
+    if partitions:
+        df = df.repartition(partitions)
+    df.write.mode(mode).text(path)
