@@ -18,37 +18,44 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rideflux import schemas as S
-from rideflux.functions.expressions import money_sum
+
+# Aggregates and projections are SQL expression text: the JVM parses each in
+# one call, where the equivalent nest of Column functions costs a driver
+# round-trip per function (plan-building time, not execution time).
+
+MONEY_SUM = "CAST(sum(CAST({x} AS DECIMAL(18,2))) AS DOUBLE)"
 
 
 def _windowed(df: DataFrame, spec: S.GoldSpec, watermark: str | None) -> tuple[DataFrame, Column]:
     if df.isStreaming:
         df = df.withWatermark("event_ts", watermark or spec.watermark)
-    w = F.window("event_ts", spec.window, spec.slide) if spec.slide else F.window("event_ts", spec.window)
-    return df, w.alias("window")
+    slide = f", '{spec.slide}'" if spec.slide else ""
+    return df, F.expr(f"window(event_ts, '{spec.window}'{slide}) AS window")
+
+
+def _agg(df: DataFrame, w: Column, keys: list[str], measures: list[str], out: list[str]) -> DataFrame:
+    return df.groupBy(w, *keys).agg(*[F.expr(m) for m in measures]).selectExpr(*out)
 
 
 def ride_demand_by_zone(requests: DataFrame, watermark: str | None = None) -> DataFrame:
     """Requests per pickup zone per 5-minute tumbling window."""
     df, w = _windowed(requests, S.GOLD_SPECS["ride_demand_by_zone"], watermark)
-    return (
-        df.groupBy(w, "pickup_zone_id", "pickup_zone_name")
-        .agg(
-            F.count(F.lit(1)).alias("total_requests"),
-            F.avg("estimated_fare").alias("avg_estimated_fare"),
-            F.avg("surge_multiplier").alias("avg_surge"),
-            money_sum("distance_km").alias("total_distance_km"),
-        )
-        .select(
-            F.col("window.start").alias("window_start"),
-            F.col("window.end").alias("window_end"),
-            F.col("pickup_zone_id").alias("zone_id"),
-            F.col("pickup_zone_name").alias("zone_name"),
+    return _agg(
+        df, w, ["pickup_zone_id", "pickup_zone_name"],
+        [
+            "count(1) AS total_requests",
+            "avg(estimated_fare) AS _fare",
+            "avg(surge_multiplier) AS _surge",
+            f"{MONEY_SUM.format(x='distance_km')} AS _distance",
+        ],
+        [
+            "window.start AS window_start", "window.end AS window_end",
+            "pickup_zone_id AS zone_id", "pickup_zone_name AS zone_name",
             "total_requests",
-            F.round("avg_estimated_fare", 2).alias("avg_estimated_fare"),
-            F.round("avg_surge", 3).alias("avg_surge"),
-            F.round("total_distance_km", 2).alias("total_distance_km"),
-        )
+            "round(_fare, 2) AS avg_estimated_fare",
+            "round(_surge, 3) AS avg_surge",
+            "round(_distance, 2) AS total_distance_km",
+        ],
     )
 
 
@@ -59,25 +66,22 @@ def surge_pricing_metrics(requests: DataFrame, watermark: str | None = None) ->
     table is twice the ride count; ratios of two sums are unaffected.
     """
     df, w = _windowed(requests, S.GOLD_SPECS["surge_pricing_metrics"], watermark)
-    return (
-        df.groupBy(w, "ride_type")
-        .agg(
-            F.avg("surge_multiplier").alias("avg_surge"),
-            F.max("surge_multiplier").alias("max_surge"),
-            F.count_if(F.col("surge_multiplier") > F.lit(S.HIGH_SURGE_THRESHOLD)).alias("high_surge_count"),
-            F.count(F.lit(1)).alias("total_rides"),
-            F.avg("estimated_fare").alias("avg_fare"),
-        )
-        .select(
-            F.col("window.start").alias("window_start"),
-            F.col("window.end").alias("window_end"),
-            "ride_type",
-            F.round("avg_surge", 3).alias("avg_surge"),
-            F.round("max_surge", 3).alias("max_surge"),
-            "high_surge_count",
-            "total_rides",
-            F.round("avg_fare", 2).alias("avg_fare"),
-        )
+    return _agg(
+        df, w, ["ride_type"],
+        [
+            "avg(surge_multiplier) AS _surge",
+            "max(surge_multiplier) AS _max",
+            f"count_if(surge_multiplier > {S.HIGH_SURGE_THRESHOLD}D) AS high_surge_count",
+            "count(1) AS total_rides",
+            "avg(estimated_fare) AS _fare",
+        ],
+        [
+            "window.start AS window_start", "window.end AS window_end", "ride_type",
+            "round(_surge, 3) AS avg_surge",
+            "round(_max, 3) AS max_surge",
+            "high_surge_count", "total_rides",
+            "round(_fare, 2) AS avg_fare",
+        ],
     )
 
 
@@ -88,22 +92,21 @@ def location_density(pings: DataFrame, watermark: str | None = None) -> DataFram
     counts pings flagged available (pings, not distinct drivers).
     """
     df, w = _windowed(pings, S.GOLD_SPECS["location_density"], watermark)
-    return (
-        df.groupBy(w, "zone_id", "zone_name")
-        .agg(
-            F.count("driver_id").alias("driver_pings"),
-            F.count_if(F.col("is_available")).alias("available_drivers"),
-            F.avg("current_speed_kmh").alias("avg_speed_kmh"),
-            F.avg("latitude").alias("centroid_lat"),
-            F.avg("longitude").alias("centroid_lng"),
-        )
-        .select(
-            F.col("window.start").alias("window_start"),
-            "zone_id", "zone_name", "driver_pings", "available_drivers",
-            F.round("avg_speed_kmh", 1).alias("avg_speed_kmh"),
-            F.round("centroid_lat", 6).alias("centroid_lat"),
-            F.round("centroid_lng", 6).alias("centroid_lng"),
-        )
+    return _agg(
+        df, w, ["zone_id", "zone_name"],
+        [
+            "count(driver_id) AS driver_pings",
+            "count_if(is_available) AS available_drivers",
+            "avg(current_speed_kmh) AS _speed",
+            "avg(latitude) AS _lat",
+            "avg(longitude) AS _lng",
+        ],
+        [
+            "window.start AS window_start", "zone_id", "zone_name", "driver_pings", "available_drivers",
+            "round(_speed, 1) AS avg_speed_kmh",
+            "round(_lat, 6) AS centroid_lat",
+            "round(_lng, 6) AS centroid_lng",
+        ],
     )
 
 
@@ -113,48 +116,45 @@ def revenue_analytics(completed: DataFrame, watermark: str | None = None) -> Dat
     The COMPLETED filter runs before the watermark, so cancelled rides do not
     advance this table's event-time clock.
     """
-    only_done = completed.where(F.col("status") == S.STATUS_COMPLETED)
+    only_done = completed.where(f"status = '{S.STATUS_COMPLETED}'")
     df, w = _windowed(only_done, S.GOLD_SPECS["revenue_analytics"], watermark)
-    return (
-        df.groupBy(w, "pickup_zone_id", "ride_type", "payment_mode")
-        .agg(
-            F.count(F.lit(1)).alias("completed_rides"),
-            money_sum("actual_fare").alias("total_revenue"),
-            F.avg("actual_fare").alias("avg_fare"),
-            F.avg("driver_rating").alias("avg_driver_rating"),
-            F.avg("wait_time_minutes").alias("avg_wait_time"),
-            F.avg("duration_minutes").alias("avg_trip_duration"),
-        )
-        .select(
-            F.col("window.start").alias("window_start"),
-            F.col("window.end").alias("window_end"),
-            F.col("pickup_zone_id").alias("zone_id"),
-            "ride_type", "payment_mode", "completed_rides",
-            F.round("total_revenue", 2).alias("total_revenue"),
-            F.round("avg_fare", 2).alias("avg_fare"),
-            F.round("avg_driver_rating", 2).alias("avg_driver_rating"),
-            F.round("avg_wait_time", 2).alias("avg_wait_time"),
-            F.round("avg_trip_duration", 2).alias("avg_trip_duration"),
-        )
+    return _agg(
+        df, w, ["pickup_zone_id", "ride_type", "payment_mode"],
+        [
+            "count(1) AS completed_rides",
+            f"{MONEY_SUM.format(x='actual_fare')} AS _revenue",
+            "avg(actual_fare) AS _fare",
+            "avg(driver_rating) AS _rating",
+            "avg(wait_time_minutes) AS _wait",
+            "avg(duration_minutes) AS _duration",
+        ],
+        [
+            "window.start AS window_start", "window.end AS window_end",
+            "pickup_zone_id AS zone_id", "ride_type", "payment_mode", "completed_rides",
+            "round(_revenue, 2) AS total_revenue",
+            "round(_fare, 2) AS avg_fare",
+            "round(_rating, 2) AS avg_driver_rating",
+            "round(_wait, 2) AS avg_wait_time",
+            "round(_duration, 2) AS avg_trip_duration",
+        ],
     )
 
 
 def cancellation_analytics(completed: DataFrame, watermark: str | None = None) -> DataFrame:
     """Cancelled share of finished rides per pickup zone per 15 minutes."""
     df, w = _windowed(completed, S.GOLD_SPECS["cancellation_analytics"], watermark)
-    return (
-        df.groupBy(w, "pickup_zone_id")
-        .agg(
-            F.count(F.lit(1)).alias("total"),
-            F.count_if(F.col("status") == S.STATUS_CANCELLED).alias("cancelled"),
-            F.count_if(F.col("status") == S.STATUS_COMPLETED).alias("completed"),
-        )
-        .select(
-            F.col("window.start").alias("window_start"),
-            F.col("pickup_zone_id").alias("zone_id"),
+    return _agg(
+        df, w, ["pickup_zone_id"],
+        [
+            "count(1) AS total",
+            f"count_if(status = '{S.STATUS_CANCELLED}') AS cancelled",
+            f"count_if(status = '{S.STATUS_COMPLETED}') AS completed",
+        ],
+        [
+            "window.start AS window_start", "pickup_zone_id AS zone_id",
             "total", "cancelled", "completed",
-            F.round(F.col("cancelled") / F.col("total"), 4).alias("cancellation_rate"),
-        )
+            "round(cancelled / total, 4) AS cancellation_rate",
+        ],
     )
 
 
