@@ -7,10 +7,13 @@ compares one-to-one with its DuckDB SQL.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rideflux.session import ensure_utc
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, QueryFn] = {}
@@ -21,7 +24,15 @@ def register(name: str, oracle: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         if name in _QUERIES:
             raise ValueError(f"duplicate query {name}")
-        _QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # Event times are UTC wall clock; decoded instants are shown as
+            # timestamp_ntz through the session zone, so pin it to UTC.
+            ensure_utc(spark)
+            return fn(spark, sf_dir.rstrip("/"))
+
+        _QUERIES[name] = run
         if oracle is not None:
             _ORACLES[name] = oracle
         return fn
