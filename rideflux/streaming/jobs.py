@@ -92,16 +92,22 @@ def start_all(spark: SparkSession, base: str, *, topic_paths: dict[str, str] | N
     return queries
 
 
-def await_any(spark: SparkSession, queries: list[StreamingQuery]) -> None:
-    """Block until any query ends; stop the rest and re-raise its error."""
+def await_any(spark: SparkSession, queries: list[StreamingQuery], poll_secs: int = 5) -> None:
+    """Block until any of ``queries`` ends; stop the rest and re-raise its error.
+
+    Polls the session's termination signal and re-checks the given queries,
+    so terminations of unrelated queries, or ones recorded before the call,
+    neither end the wait early nor make it hang.
+    """
     try:
-        spark.streams.awaitAnyTermination()
+        while all(q.isActive for q in queries):
+            spark.streams.awaitAnyTermination(poll_secs)
+            spark.streams.resetTerminated()
     finally:
         failed = [q.exception() for q in queries if q.exception() is not None]
         for q in queries:
             if q.isActive:
                 q.stop()
-        spark.streams.resetTerminated()
     if failed:
         raise failed[0]
 
@@ -115,6 +121,26 @@ def run_available_now(queries: list[StreamingQuery]) -> None:
             raise q.exception()
 
 
+def watermark_report(query: StreamingQuery) -> list[dict]:
+    """Per recent micro-batch: input rows, the event-time watermark, and rows
+    the stateful operator dropped as late.
+
+    The dropped count is taken after partial aggregation (two late events of
+    one group count once): a health signal, not an exact event count.
+    """
+    out = []
+    for p in query.recentProgress:
+        ops = p.get("stateOperators") or []
+        out.append({
+            "batch_id": p["batchId"],
+            "input_rows": p.get("numInputRows", 0),
+            "watermark": (p.get("eventTime") or {}).get("watermark"),
+            "dropped_late": sum(o.get("numRowsDroppedByWatermark", 0) for o in ops),
+            "state_rows": sum(o.get("numRowsTotal", 0) for o in ops),
+        })
+    return out
+
+
 def read_gold(spark: SparkSession, base: str, table: str) -> DataFrame:
     return read_sink(spark, gold_path(base, table), S.GOLD_SCHEMAS[table])
 

@@ -31,9 +31,12 @@ def _files(topic, batches, start=1_700_000_000):
         write_json_lines(f"{topic}/part-{i:03d}.json", recs, mtime=start + 10 * i)
 
 
-def _run(spark, table, stream, topic, base, max_files=1):
+def _run(spark, table, stream, topic, base, max_files=1, report=None):
     parsed = PARSERS[stream](read_topic_stream(spark, stream, path=topic, max_per_trigger=max_files))
-    jobs.run_available_now([jobs.start_gold_query(parsed, table, base, available_now=True)])
+    q = jobs.start_gold_query(parsed, table, base, available_now=True)
+    jobs.run_available_now([q])
+    if report is not None:
+        report.extend(jobs.watermark_report(q))
     return jobs.read_gold(spark, base, table)
 
 
@@ -42,8 +45,11 @@ def test_late_rows_one_batch_lag(spark, tmp_dir):
     batches = [[_req("10:01"), _req("10:02")], [_req("10:08")], [_req("10:20")], [_req("10:12")],
                [_req("10:13")], [_req("10:03"), _req("10:04")]]
     _files(topic, batches)
-    out = _run(spark, "ride_demand_by_zone", "ride_requests", topic, base)
+    report = []
+    out = _run(spark, "ride_demand_by_zone", "ride_requests", topic, base, report=report)
     got = sorted((r.window_start.strftime("%H:%M"), r.total_requests) for r in out.collect())
+    assert sum(r["dropped_late"] for r in report) >= 2
+    assert [r["input_rows"] for r in report][:6] == [2, 1, 1, 1, 1, 2]
     # 10:12 arrives one batch after the watermark passed its window and is still
     # counted; 10:13 and 10:03/10:04 arrive later and are dropped.
     assert got == [("10:00", 2), ("10:05", 1), ("10:10", 1)]
@@ -111,3 +117,25 @@ def test_start_all_queries_and_history(spark, tmp_dir):
     assert hist.select("table_name").distinct().count() == 8
     assert hist.groupBy("table_name").count().where(F.col("count") > 3).count() == 0
     assert os.path.isdir(f"{base}/_checkpoints/ride_demand_by_zone")
+
+
+def test_await_any_returns_when_one_query_ends(spark, tmp_dir):
+    topic = f"{tmp_dir}/topic"
+    _files(topic, [[_req("10:01")], [_req("10:09")]])
+    parsed = PARSERS["ride_requests"](read_topic_stream(spark, "ride_requests", path=topic, max_per_trigger=1))
+    qs = [jobs.start_gold_query(parsed, "ride_demand_by_zone", f"{tmp_dir}/a", available_now=True),
+          jobs.start_raw_query(parsed, "ride_requests", f"{tmp_dir}/a", available_now=True)]
+    jobs.await_any(spark, qs)
+    for q in qs:
+        q.awaitTermination()
+    assert not any(q.isActive for q in qs)
+
+
+def test_pipeline_health_from_audit(spark, tmp_dir):
+    from rideflux.streaming.history import pipeline_health
+    topic, base = f"{tmp_dir}/topic", f"{tmp_dir}/out"
+    _files(topic, [[_req("10:01"), _req("10:02")], [_req("10:08")], [_req("10:20")]])
+    _run(spark, "ride_demand_by_zone", "ride_requests", topic, base)
+    h = pipeline_health(spark, base).collect()
+    assert len(h) == 1 and h[0].table_name == "ride_demand_by_zone"
+    assert h[0].writes >= 1 and h[0].rows_written == 2 and h[0].max_lag_sec > 0
