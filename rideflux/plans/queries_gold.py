@@ -10,6 +10,7 @@ from rideflux.plans import oracle as O
 from rideflux.plans.catalog import register
 from rideflux.sources import adapter
 from rideflux.sources.json_events import PARSERS
+from rideflux.sources.readers import spread
 
 
 def silver(spark: SparkSession, sf_dir: str, stream: str) -> DataFrame:
@@ -51,8 +52,9 @@ def _flat_request() -> list:
 
 
 def decoded(spark: SparkSession, sf_dir: str, stream: str) -> DataFrame:
-    """Silver → JSON text → decoder (batch), as the stream would see it."""
-    bronze = adapter.to_bronze(silver(spark, sf_dir, stream), stream)
+    """Silver → JSON text (spread like a partitioned topic) → decoder (batch)."""
+    bronze = spread(adapter.to_bronze(silver(spark, sf_dir, stream), stream),
+                    spark.sparkContext.defaultParallelism)
     return PARSERS[stream](bronze)
 
 
