@@ -1,7 +1,10 @@
 """Table layout jobs: create, conform, cluster (Z-order), compact.
 
 All of them read a table and write a *new* directory; none rewrites files
-in place (the streaming sink's batch partitions stay replayable).
+in place (the streaming sink's batch partitions stay replayable).  The
+target is derived data, so it is written in overwrite mode: a job re-run
+after a failure replaces whatever a failed attempt left there.  The target
+must therefore never be the source directory.
 """
 
 from __future__ import annotations
@@ -150,7 +153,7 @@ def zorder_cluster(df: DataFrame, cols: list[str], path: str, *, partition_cols=
     (
         parts.sortWithinPartitions(*keys)
         .drop("_z")
-        .write.mode("errorifexists")
+        .write.mode("overwrite")
         .partitionBy(*partition_cols)
         .parquet(path)
     )
@@ -169,4 +172,4 @@ def compact(df: DataFrame, path: str, *, partition_cols=(), sort_cols=()) -> Non
     out = df.hint("rebalance", *partition_cols) if partition_cols else df.hint("rebalance")
     if sort_cols:
         out = out.sortWithinPartitions(*sort_cols)
-    out.write.mode("errorifexists").partitionBy(*partition_cols).parquet(path)
+    out.write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
