@@ -153,7 +153,7 @@ def zorder_cluster(df: DataFrame, cols: list[str], path: str, *, partition_cols=
     (
         parts.sortWithinPartitions(*keys)
         .drop("_z")
-        .write.mode("overwrite")
+        .write.mode("overwrite").option("partitionOverwriteMode", "static")
         .partitionBy(*partition_cols)
         .parquet(path)
     )
@@ -172,4 +172,5 @@ def compact(df: DataFrame, path: str, *, partition_cols=(), sort_cols=()) -> Non
     out = df.hint("rebalance", *partition_cols) if partition_cols else df.hint("rebalance")
     if sort_cols:
         out = out.sortWithinPartitions(*sort_cols)
-    out.write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        *partition_cols).parquet(path)
