@@ -22,17 +22,27 @@ def _c(x: ColumnOrName) -> Column:
 
 # --- time ------------------------------------------------------------------
 
-_HAS_ZONE = r"(Z|[+-]\d\d(:?\d\d)?)$"
+# a zone designator after a time of day: ...HH:MM[:SS[.fff]] then Z or +hh[:mm]
+_HAS_ZONE = r"\d\d:\d\d(:\d\d(\.\d+)?)?\s*(Z|[+-]\d\d(:?\d\d)?)$"
+_DATE_ONLY = r"^\s*\d{4}-\d\d-\d\d\s*$"
+_NO_SECONDS = r"[T ]\d\d:\d\d$"
 
 
 def parse_event_time(s: ColumnOrName) -> Column:
     """ISO-8601 text → timestamp, null on bad input instead of an ANSI error.
 
     Producers send naive UTC strings; a missing zone is read as UTC so the
-    instant does not depend on the session time zone.
+    instant does not depend on the session time zone.  (Spark accepts a zone
+    only after the seconds, so date-only and minute-precision text are
+    completed first.)
     """
     s = _c(s)
-    with_zone = F.when(s.rlike(_HAS_ZONE), s).otherwise(F.concat(s, F.lit("Z")))
+    with_zone = (
+        F.when(s.rlike(_HAS_ZONE), s)
+        .when(s.rlike(_DATE_ONLY), F.concat(F.trim(s), F.lit("T00:00:00Z")))
+        .when(s.rlike(_NO_SECONDS), F.concat(s, F.lit(":00Z")))
+        .otherwise(F.concat(s, F.lit("Z")))
+    )
     return F.try_to_timestamp(with_zone)
 
 

@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 from rideflux import schemas as S
 from rideflux.functions.expressions import ZONE_BOXES_SQL, sql_array
 
-ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 N_ZONES = len(S.ZONES)
 
 # The projections are SQL expression text: each select is parsed by the JVM in
@@ -56,7 +55,7 @@ def _location(z: str) -> str:
 _BASE = [
     "event_id AS _eid", "user_id AS _uid", "event_type AS _etype", "value AS _value",
     "ts AS event_ts",
-    f"date_format(ts, \"{ISO_FORMAT}\") AS timestamp",
+    "date_format(ts, 'yyyy-MM-dd\\'T\\'HH:mm:ss.SSSSSS') AS timestamp",
     "CAST(get_json_object(props, '$.k') AS INT) AS _k",
     f"element_at({ZONE_BOXES_SQL}, CAST(user_id % {N_ZONES} AS INT) + 1) AS _pz",
     f"element_at({ZONE_BOXES_SQL}, CAST((user_id + 1) % {N_ZONES} AS INT) + 1) AS _dz",

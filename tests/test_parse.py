@@ -5,8 +5,10 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
+from rideflux.functions.expressions import parse_event_time
 from rideflux.sources.json_events import parse_driver_locations, parse_ride_completed, parse_ride_requests
 
 REQUEST = {
@@ -84,3 +86,21 @@ def test_completed_and_pings_decode(spark):
 def test_binary_value_column_like_kafka(spark):
     df = spark.createDataFrame([(bytearray(json.dumps(REQUEST).encode()),)], "value binary")
     assert parse_ride_requests(df).collect()[0].ride_id == "RD-ABC"
+
+
+@pytest.mark.parametrize("text, expected", [
+    ("2024-01-01T10:03:00.123456", dt.datetime(2024, 1, 1, 10, 3, 0, 123456)),
+    ("2024-01-01T10:03:00", dt.datetime(2024, 1, 1, 10, 3)),
+    ("2024-01-01T10:03", dt.datetime(2024, 1, 1, 10, 3)),
+    ("2024-01-05", dt.datetime(2024, 1, 5)),
+    ("2024-01-01T10:03:00Z", dt.datetime(2024, 1, 1, 10, 3)),
+    ("2024-01-01T15:33:00+05:30", dt.datetime(2024, 1, 1, 10, 3)),
+    ("2024-01-01 10:03:00-0500", dt.datetime(2024, 1, 1, 15, 3)),
+    ("x", None),
+    ("", None),
+    (None, None),
+])
+def test_event_time_forms(spark, text, expected):
+    df = spark.createDataFrame([(text,)], "s string")
+    got = df.select(parse_event_time("s").cast("timestamp_ntz")).collect()[0][0]
+    assert got == expected
