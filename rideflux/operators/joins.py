@@ -1,16 +1,17 @@
 """Joins: zone performance, request ↔ completion link, point → zone.
 
 Scale notes
-* ``zone_performance`` joins three per-zone aggregates; each side is already
-  hash-partitioned on ``zone_id`` by its own aggregate, so the full outer
-  joins add no exchange of their own and only see one row per zone.
+* ``zone_performance`` combines three per-zone inputs: a union and one
+  aggregate on ``zone_id`` gives the full outer join's rows with one shuffle
+  (partial aggregation first, so a hot zone is combined map-side).
 * ``ride_lifecycle`` deduplicates each side per ``ride_id`` with a
   min/max-of-struct aggregate (partial aggregation first, so a ride id
   repeated a million times collapses map-side), then joins on the unique key:
   both sides arrive hash-partitioned on ``ride_id`` and the join reuses it.
 * ``assign_zone`` uses the fixed zone table as a literal array: a projection,
   no join, no shuffle.  ``assign_zone_join`` takes a zone DataFrame instead;
-  it broadcasts it only after checking its row count.
+  it broadcasts it only after checking its row count, and above the limit
+  switches to an exact grid-cell equi-join.
 """
 
 from __future__ import annotations
@@ -19,37 +20,52 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rideflux import schemas as S
-from rideflux.functions.expressions import cancel_flag, money_sum, zone_of_point
+from rideflux.functions.expressions import cancel_flag, zone_of_point
 
 MAX_BROADCAST_ZONES = 100_000
 
 
-def _weighted(avg_col: str, weight: str, scale: int) -> F.Column:
-    """Σ(avg · weight) exactly in decimal, as double (numerator of a weighted mean)."""
-    return F.sum(F.col(avg_col).cast(f"decimal(18,{scale})") * F.col(weight)).cast("double")
-
-
 def zone_performance(demand: DataFrame, revenue: DataFrame, cancels: DataFrame) -> DataFrame:
     """One row per zone: requests, request-weighted fare and surge, revenue,
-    cancellation rate, and the dashboard's flags."""
-    d = demand.groupBy("zone_id").agg(
-        F.sum("total_requests").alias("requests"),
-        _weighted("avg_estimated_fare", "total_requests", 2).alias("_fare_w"),
-        _weighted("avg_surge", "total_requests", 3).alias("_surge_w"),
-    ).select(
-        "zone_id", "requests",
-        F.round(F.col("_fare_w") / F.col("requests"), 2).alias("avg_fare"),
-        F.round(F.col("_surge_w") / F.col("requests"), 3).alias("avg_surge"),
+    cancellation rate, and the dashboard's flags.
+
+    Same rows as a full outer join of three per-zone aggregates, planned as
+    the three gold inputs unioned (each padded with nulls for the others'
+    columns) and one ``groupBy(zone_id)``: one shuffle instead of three
+    aggregates and two joins.  Weighted sums are exact decimals.
+    """
+    d = demand.selectExpr(
+        "zone_id", "total_requests AS _req",
+        "CAST(avg_estimated_fare AS DECIMAL(18,2)) * total_requests AS _fare_w",
+        "CAST(avg_surge AS DECIMAL(18,3)) * total_requests AS _surge_w",
+        "CAST(NULL AS DECIMAL(18,2)) AS _rev", "CAST(NULL AS BIGINT) AS _cancelled", "CAST(NULL AS BIGINT) AS _total",
+    )
+    r = revenue.selectExpr(
+        "zone_id", "CAST(NULL AS BIGINT) AS _req", "CAST(NULL AS DECIMAL(38,2)) AS _fare_w",
+        "CAST(NULL AS DECIMAL(38,3)) AS _surge_w", "CAST(total_revenue AS DECIMAL(18,2)) AS _rev",
+        "CAST(NULL AS BIGINT) AS _cancelled", "CAST(NULL AS BIGINT) AS _total",
     )
-    r = revenue.groupBy("zone_id").agg(money_sum("total_revenue").alias("revenue"))
-    c = cancels.groupBy("zone_id").agg(
-        F.round(F.sum("cancelled") / F.sum("total"), 4).alias("cancel_rate"))
-    return (
-        d.join(r, "zone_id", "full")
-        .join(c, "zone_id", "full")
-        .withColumn("cancel_flag", cancel_flag("cancel_rate"))
-        .withColumn("high_surge", F.col("avg_surge") >= F.lit(S.SURGE_FLAG_THRESHOLD))
+    c = cancels.selectExpr(
+        "zone_id", "CAST(NULL AS BIGINT) AS _req", "CAST(NULL AS DECIMAL(38,2)) AS _fare_w",
+        "CAST(NULL AS DECIMAL(38,3)) AS _surge_w", "CAST(NULL AS DECIMAL(18,2)) AS _rev",
+        "total AS _total", "cancelled AS _cancelled",
     )
+    per_zone = d.unionByName(r).unionByName(c).groupBy("zone_id").agg(
+        F.expr("sum(_req) AS requests"),
+        F.expr("CAST(sum(_fare_w) AS DOUBLE) AS _fare_w"),
+        F.expr("CAST(sum(_surge_w) AS DOUBLE) AS _surge_w"),
+        F.expr("CAST(sum(_rev) AS DOUBLE) AS revenue"),
+        F.expr("sum(_cancelled) AS _cancelled"),
+        F.expr("sum(_total) AS _total"),
+    )
+    return per_zone.selectExpr(
+        "zone_id", "requests",
+        "round(_fare_w / requests, 2) AS avg_fare",
+        "round(_surge_w / requests, 3) AS avg_surge",
+        "revenue",
+        "round(_cancelled / _total, 4) AS cancel_rate",
+    ).withColumn("cancel_flag", cancel_flag("cancel_rate")).withColumn(
+        "high_surge", F.col("avg_surge") >= F.lit(S.SURGE_FLAG_THRESHOLD))
 
 
 def _first_per_ride(df: DataFrame, cols: list[str], latest: bool) -> DataFrame:
@@ -86,21 +102,36 @@ def assign_zone(points: DataFrame, lat: str = "latitude", lng: str = "longitude"
 
 
 def assign_zone_join(points: DataFrame, zones: DataFrame, key: str = "event_id", lat: str = "latitude",
-                     lng: str = "longitude", out: str = "assigned_zone_id") -> DataFrame:
+                     lng: str = "longitude", out: str = "assigned_zone_id", cell_deg: float = 0.01,
+                     max_broadcast: int = MAX_BROADCAST_ZONES) -> DataFrame:
     """Same result with a caller's zone table (zone_id, lat_lo, lat_hi, lng_lo, lng_hi).
 
-    The zone table is broadcast after its size is checked; the range join then
-    streams the points without a shuffle, and the smallest matching zone per
-    point is picked by an aggregate on ``key``.
+    Up to ``max_broadcast`` zones (row count checked first) the zone table is
+    broadcast and the range join streams the points without moving them.
+    Above that, an exact grid join: each box is listed under every grid cell
+    it touches, each point under its own cell, the two meet on an equi-join
+    of cell ids (AQE splits a hot cell), and the containment test removes
+    the false matches.  Either way the smallest matching zone per point is
+    picked by an aggregate on ``key``.
     """
-    n = zones.count()
-    if n > MAX_BROADCAST_ZONES:
-        raise ValueError(f"zone table has {n} rows; above {MAX_BROADCAST_ZONES} use a grid-cell equi-join")
-    z = F.broadcast(zones.select(
-        F.col("zone_id").alias("_zid"), "lat_lo", "lat_hi", "lng_lo", "lng_hi"))
-    cond = (F.col(lat).between(F.col("lat_lo"), F.col("lat_hi"))
-            & F.col(lng).between(F.col("lng_lo"), F.col("lng_hi")))
-    matched = points.join(z, cond, "left")
+    z = zones.select(F.col("zone_id").alias("_zid"), "lat_lo", "lat_hi", "lng_lo", "lng_hi")
+    inside = (F.col(lat).between(F.col("lat_lo"), F.col("lat_hi"))
+              & F.col(lng).between(F.col("lng_lo"), F.col("lng_hi")))
+    if zones.count() <= max_broadcast:
+        matched = points.join(F.broadcast(z), inside, "left")
+    else:
+        cell = F.lit(cell_deg)
+        z_cells = z.select(
+            "*",
+            F.explode(F.sequence(F.floor(F.col("lat_lo") / cell), F.floor(F.col("lat_hi") / cell))).alias("_cx"),
+        ).select(
+            "*",
+            F.explode(F.sequence(F.floor(F.col("lng_lo") / cell), F.floor(F.col("lng_hi") / cell))).alias("_cy"),
+        )
+        p_cells = points.withColumns({"_cx": F.floor(F.col(lat) / cell), "_cy": F.floor(F.col(lng) / cell)})
+        # a candidate box that does not contain the point becomes a null
+        # match (not a dropped row), so every point keeps at least one row
+        matched = p_cells.join(z_cells, ["_cx", "_cy"], "left").withColumn("_zid", F.when(inside, F.col("_zid")))
     other = [c for c in points.columns if c != key]
     return matched.groupBy(key).agg(
         *[F.first(c).alias(c) for c in other], F.min("_zid").alias(out)

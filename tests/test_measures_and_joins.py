@@ -63,14 +63,30 @@ def test_heatmap_bands(spark):
 
 
 def test_point_in_two_boxes_and_in_none(spark):
-    pts = spark.createDataFrame([("a", 26.89, 75.79), ("b", 0.0, 0.0), ("c", 26.83, 75.81), ("d", None, 75.8)],
+    pts = spark.createDataFrame([("a", 26.89, 75.79), ("b", 0.0, 0.0), ("c", 26.83, 75.81), ("d", None, 75.8),
+                                 ("e", 26.845, 75.79)],
                                 "event_id string, latitude double, longitude double")
     got = {r.event_id: r.assigned_zone_id for r in J.assign_zone(pts).collect()}
-    assert got == {"a": "Z001", "b": None, "c": "Z002", "d": None}
+    assert got == {"a": "Z001", "b": None, "c": "Z002", "d": None, "e": None}
     zones = spark.createDataFrame([(z.zone_id, z.lat_lo, z.lat_hi, z.lng_lo, z.lng_hi) for z in S.ZONES],
                                   "zone_id string, lat_lo double, lat_hi double, lng_lo double, lng_hi double")
     got2 = {r.event_id: r.assigned_zone_id for r in J.assign_zone_join(pts, zones).collect()}
     assert got2 == got
+    # above the broadcast limit: exact grid join gives the same answer
+    got3 = {r.event_id: r.assigned_zone_id
+            for r in J.assign_zone_join(pts, zones, max_broadcast=0, cell_deg=0.02).collect()}
+    assert got3 == got
+
+
+def test_grid_zone_join_matches_literal_zones_on_real_pings(spark):
+    from rideflux.plans.queries_gold import silver
+    from tests.conftest import SF_SMALL
+    pings = silver(spark, SF_SMALL, "driver_locations").select("event_id", "latitude", "longitude")
+    zones = spark.createDataFrame([(z.zone_id, z.lat_lo, z.lat_hi, z.lng_lo, z.lng_hi) for z in S.ZONES],
+                                  "zone_id string, lat_lo double, lat_hi double, lng_lo double, lng_hi double")
+    a = J.assign_zone(pings).select("event_id", "assigned_zone_id")
+    b = J.assign_zone_join(pings, zones, max_broadcast=0, cell_deg=0.013).select("event_id", "assigned_zone_id")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
 def test_ride_lifecycle_dedups_and_keeps_unmatched(spark):
