@@ -133,7 +133,8 @@ GOLD_SPECS: dict[str, GoldSpec] = {
 }
 
 # ---------------------------------------------------------------------------
-# Silver (decoded event) schemas
+# Silver (decoded event) schemas.  Fixed values as well: field names, types
+# and order are those of the JSON the producers send.
 # ---------------------------------------------------------------------------
 
 S, D, B, L, TS = T.StringType(), T.DoubleType(), T.BooleanType(), T.LongType(), T.TimestampType()
@@ -172,7 +173,8 @@ STREAM_SCHEMAS: dict[str, T.StructType] = {
 }
 
 # ---------------------------------------------------------------------------
-# Gold schemas (declared not-null = window start and group keys)
+# Gold schemas (declared not-null = window start and group keys).  Fixed
+# values: the output tables' column names, types and order.
 # ---------------------------------------------------------------------------
 
 
