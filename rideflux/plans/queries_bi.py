@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rideflux.plans import measures as M
 from rideflux.plans.catalog import register
 from rideflux.plans.oracle import AS_OF, MONEY, PCT, R, with_ctes
-from rideflux.plans.queries_gold import gold
+from rideflux.plans.queries_gold import gold, gold_days
 
 D = f"DATE '{AS_OF}'"
 DAY = "CAST(window_start AS DATE)"
@@ -20,13 +20,13 @@ def _g(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 @register("kpi_total_rides_today", with_ctes("demand") + (
     f"SELECT CAST(coalesce(sum(total_requests), 0) AS BIGINT) AS total_rides_today FROM demand WHERE {DAY} = {D}"))
 def kpi_total_rides_today(spark, sf_dir):
-    return M.total_rides_today(_g(spark, sf_dir, "ride_demand_by_zone"), AS_OF)
+    return M.total_rides_today(gold_days(spark, sf_dir, "ride_demand_by_zone", AS_OF, 1), AS_OF)
 
 
 @register("kpi_total_revenue_today", with_ctes("revenue") + (
     f"SELECT coalesce({MONEY('total_revenue')}, 0.0e0) AS total_revenue_today FROM revenue WHERE {DAY} = {D}"))
 def kpi_total_revenue_today(spark, sf_dir):
-    return M.total_revenue_today(_g(spark, sf_dir, "revenue_analytics"), AS_OF)
+    return M.total_revenue_today(gold_days(spark, sf_dir, "revenue_analytics", AS_OF, 1), AS_OF)
 
 
 @register("kpi_avg_surge", with_ctes("surge") + f"SELECT {R('avg(avg_surge)', 4)} AS avg_surge_multiplier FROM surge")
@@ -62,7 +62,7 @@ FROM (SELECT coalesce({MONEY(f'CASE WHEN {_THIS_W} THEN total_revenue END')}, 0.
              coalesce({MONEY(f'CASE WHEN {_LAST_W} THEN total_revenue END')}, 0.0e0) AS last_week_revenue
       FROM revenue WHERE ({_THIS_W}) OR ({_LAST_W}))""")
 def revenue_wow_change(spark, sf_dir):
-    return M.revenue_wow_change(_g(spark, sf_dir, "revenue_analytics"), AS_OF)
+    return M.revenue_wow_change(gold_days(spark, sf_dir, "revenue_analytics", AS_OF, 14), AS_OF)
 
 
 @register("peak_hour_demand", with_ctes("demand") + """

@@ -11,7 +11,7 @@ from rideflux.plans import dashboard as DB
 from rideflux.plans.catalog import register
 from rideflux.plans.oracle import AS_OF, MONEY, PCT, R, RATIO, with_ctes
 from rideflux.plans.queries_bi import HEATMAP_SQL, tier_sql
-from rideflux.plans.queries_gold import gold, silver
+from rideflux.plans.queries_gold import gold, gold_days, silver
 
 D = f"DATE '{AS_OF}'"
 DAY = "CAST(window_start AS DATE)"
@@ -36,7 +36,7 @@ FROM (SELECT CAST(coalesce(sum(CASE WHEN {DAY} = {D} THEN total_requests END), 0
              CAST(coalesce(sum(CASE WHEN {DAY} = {D} - 1 THEN total_requests END), 0) AS BIGINT) AS rides_yesterday
       FROM demand WHERE {DAY} = {D} OR {DAY} = {D} - 1)""")
 def rides_vs_yesterday(spark, sf_dir):
-    return DB.rides_vs_yesterday(gold(spark, sf_dir, "ride_demand_by_zone"), AS_OF)
+    return DB.rides_vs_yesterday(gold_days(spark, sf_dir, "ride_demand_by_zone", AS_OF, 2), AS_OF)
 
 
 @register("active_drivers", with_ctes("png") + f"""
@@ -61,7 +61,7 @@ SELECT {R('t', 4)} AS rate_this_week, {R('l', 4)} AS rate_last_week, {R('t - l',
 FROM (SELECT {_rate_sql(_THIS_W)} AS t, {_rate_sql(_LAST_W)} AS l FROM cancels
       WHERE ({_THIS_W}) OR ({_LAST_W}))""")
 def cancel_rate_vs_last_week(spark, sf_dir):
-    return DB.cancel_rate_vs_last_week(gold(spark, sf_dir, "cancellation_analytics"), AS_OF)
+    return DB.cancel_rate_vs_last_week(gold_days(spark, sf_dir, "cancellation_analytics", AS_OF, 14), AS_OF)
 
 
 @register("hourly_volume_surge", with_ctes("demand") + f"""
@@ -87,7 +87,7 @@ FROM revenue WHERE {DAY} = {D} GROUP BY 1"""
 
 @register("revenue_by_hour", with_ctes("revenue") + _REV_BY_HOUR)
 def revenue_by_hour(spark, sf_dir):
-    return DB.revenue_by_hour(gold(spark, sf_dir, "revenue_analytics"), AS_OF)
+    return DB.revenue_by_hour(gold_days(spark, sf_dir, "revenue_analytics", AS_OF, 1), AS_OF)
 
 
 @register("event_feed", with_ctes("req", "cmp", "png") + """
@@ -134,7 +134,7 @@ def avg_fare_per_ride(spark, sf_dir):
 @register("peak_revenue_hour", with_ctes("revenue") + f"""
 SELECT hour AS peak_hour, revenue AS peak_revenue FROM ({_REV_BY_HOUR}) ORDER BY revenue DESC, hour LIMIT 1""")
 def peak_revenue_hour(spark, sf_dir):
-    return DB.peak_revenue_hour(gold(spark, sf_dir, "revenue_analytics"), AS_OF)
+    return DB.peak_revenue_hour(gold_days(spark, sf_dir, "revenue_analytics", AS_OF, 1), AS_OF)
 
 
 @register("surge_revenue_share", with_ctes("cmp") + f"""
@@ -190,7 +190,7 @@ SELECT window_start, {R('avg(avg_wait_time)', 2)} AS avg_wait_time FROM revenue
 WHERE window_start >= CAST({D} + 1 AS TIMESTAMP) - INTERVAL '12 hours' AND window_start < CAST({D} + 1 AS TIMESTAMP)
 GROUP BY window_start""")
 def wait_last_12h(spark, sf_dir):
-    return DB.wait_last_12h(gold(spark, sf_dir, "revenue_analytics"), AS_OF)
+    return DB.wait_last_12h(gold_days(spark, sf_dir, "revenue_analytics", AS_OF, 1), AS_OF)
 
 
 @register("rating_histogram", with_ctes("cmp") + """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,16 @@ def gold(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return fn(silver(spark, sf_dir, stream))
 
 
+def gold_days(spark: SparkSession, sf_dir: str, table: str, last_day, days: int) -> DataFrame:
+    """Gold rows whose windows start in the ``days`` calendar days ending
+    ``last_day``, computed from only the events that can reach them."""
+    end = dt.date.fromisoformat(last_day) + dt.timedelta(days=1)
+    start = end - dt.timedelta(days=days)
+    fn, stream = G.GOLD[table]
+    events = G.events_for_windows(silver(spark, sf_dir, stream), table, start, end)
+    return fn(events)
+
+
 def _gold_query(table: str):
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         return gold(spark, sf_dir, table)
