@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from rideflux import schemas as S
 from rideflux.functions.expressions import expected_fare, heatmap_band, rule_surge, surge_tier
