@@ -191,8 +191,3 @@ def zone_of_point(lat: ColumnOrName, lng: ColumnOrName) -> Column:
         lambda z: la.between(z["lat_lo"], z["lat_hi"]) & ln.between(z["lng_lo"], z["lng_hi"]),
     )
     return F.array_min(F.transform(hits, lambda z: z["zone_id"]))
-
-
-def zone_name_of(zone_id: ColumnOrName) -> Column:
-    m = F.create_map(*[x for z in S.ZONES for x in (F.lit(z.zone_id), F.lit(z.zone_name))])
-    return F.try_element_at(m, _c(zone_id))
