@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from rideflux import schemas as S
+from rideflux.session import shared_dir
 
 REJECT_COL = "reject_reason"
 
@@ -140,13 +141,22 @@ def z_value(df: DataFrame, cols: list[str], bits: int = 8, rel_error: float = 0.
 
 
 def zorder_cluster(df: DataFrame, cols: list[str], path: str, *, partition_cols=(), n_files: int | None = None,
-                   bits: int = 8) -> None:
+                   bits: int = 8, materialize: bool = False) -> None:
     """Rewrite ``df`` into ``path`` clustered on a Z-curve over ``cols``.
 
     Range partitioning on (partition columns, z) gives each task one slice
     of the curve, and the sort inside it keeps row groups tight, so Parquet
     min/max statistics skip files for predicates on any of the columns.
+
+    The input is read three times (quantiles, range-bound sampling, the
+    write).  For a plain table scan that is cheap; for a derived input pass
+    ``materialize=True``: it is computed once into a reliable checkpoint in
+    the shared checkpoint folder, which also cuts the lineage a lost
+    executor would otherwise have to recompute.
     """
+    if materialize:
+        shared_dir(df.sparkSession)  # make sure a checkpoint folder is set
+        df = df.checkpoint(eager=True)
     zdf = z_value(df, list(cols), bits)
     keys = [*partition_cols, "_z"]
     parts = zdf.repartitionByRange(n_files, *keys) if n_files else zdf.repartitionByRange(*keys)

@@ -142,7 +142,8 @@ def zorder_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = "surge_pricing_metrics"
     spec = S.GOLD_SPECS[table]
     path = f"{run_dir(spark, 'zorder')}/{table}"
-    cluster(gold(spark, sf_dir, table), list(spec.cluster_cols), path, partition_cols=spec.partition_cols)
+    cluster(gold(spark, sf_dir, table), list(spec.cluster_cols), path, partition_cols=spec.partition_cols,
+            materialize=True)
     return ntz(read_table(spark, path, table))
 
 
