@@ -70,10 +70,10 @@ def zone_performance(demand: DataFrame, revenue: DataFrame, cancels: DataFrame)
 
 def _first_per_ride(df: DataFrame, cols: list[str], latest: bool) -> DataFrame:
     """One row per ride_id: earliest (or latest) by (event_ts, event_id)."""
-    pick = F.max if latest else F.min
-    packed = pick(F.struct("event_ts", "event_id", *cols)).alias("_r")
-    return df.groupBy("ride_id").agg(packed).select(
-        "ride_id", *[F.col(f"_r.{c}").alias(c) for c in ("event_ts", *cols)])
+    pick = "max" if latest else "min"
+    packed = ", ".join(["event_ts", "event_id", *cols])
+    return df.groupBy("ride_id").agg(F.expr(f"{pick}(struct({packed})) AS _r")).selectExpr(
+        "ride_id", *[f"_r.{c} AS {c}" for c in ("event_ts", *cols)])
 
 
 def ride_lifecycle(requests: DataFrame, completed: DataFrame) -> DataFrame:
@@ -83,15 +83,12 @@ def ride_lifecycle(requests: DataFrame, completed: DataFrame) -> DataFrame:
     latest completion of a ride are kept.
     """
     r = _first_per_ride(requests, ["pickup_zone_id", "ride_type", "status", "estimated_fare"], latest=False)
-    c = _first_per_ride(completed, ["status", "actual_fare"], latest=True)
-    c = c.select("ride_id", F.col("event_ts").alias("finished_at"), F.col("status").alias("_c_status"),
-                 "actual_fare")
-    return r.join(c, "ride_id", "left").select(
-        "ride_id", "pickup_zone_id", "ride_type",
-        F.col("event_ts").alias("requested_at"), "finished_at",
-        F.coalesce("_c_status", "status").alias("status"),
-        "estimated_fare", "actual_fare",
-        F.round(F.col("actual_fare") - F.col("estimated_fare"), 2).alias("fare_delta"),
+    c = _first_per_ride(completed, ["status", "actual_fare"], latest=True).selectExpr(
+        "ride_id", "event_ts AS finished_at", "status AS _c_status", "actual_fare")
+    return r.join(c, "ride_id", "left").selectExpr(
+        "ride_id", "pickup_zone_id", "ride_type", "event_ts AS requested_at", "finished_at",
+        "coalesce(_c_status, status) AS status", "estimated_fare", "actual_fare",
+        "round(actual_fare - estimated_fare, 2) AS fare_delta",
     )
 
 

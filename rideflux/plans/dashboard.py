@@ -98,14 +98,14 @@ def event_feed(requests: DataFrame, completed: DataFrame, pings: DataFrame, n: i
     its own best n, only those reach the final merge)."""
     k_request, k_done, k_cancel, k_ping = S.FEED_KINDS
     feed = (
-        requests.select("event_ts", "event_id", F.lit(k_request).alias("kind"),
-                        F.col("pickup_zone_id").alias("zone_id"), F.col("ride_id").alias("subject"))
-        .unionByName(completed.select(
+        requests.selectExpr("event_ts", "event_id", f"'{k_request}' AS kind", "pickup_zone_id AS zone_id",
+                            "ride_id AS subject")
+        .unionByName(completed.selectExpr(
             "event_ts", "event_id",
-            F.when(F.col("status") == S.STATUS_CANCELLED, k_cancel).otherwise(k_done).alias("kind"),
-            F.col("pickup_zone_id").alias("zone_id"), F.col("ride_id").alias("subject")))
-        .unionByName(pings.select("event_ts", "event_id", F.lit(k_ping).alias("kind"),
-                                  "zone_id", F.col("driver_id").alias("subject")))
+            f"CASE WHEN status = '{S.STATUS_CANCELLED}' THEN '{k_cancel}' ELSE '{k_done}' END AS kind",
+            "pickup_zone_id AS zone_id", "ride_id AS subject"))
+        .unionByName(pings.selectExpr("event_ts", "event_id", f"'{k_ping}' AS kind", "zone_id",
+                                      "driver_id AS subject"))
     )
     return feed.orderBy(F.col("event_ts").desc_nulls_last(), F.col("event_id")).limit(n)
 
@@ -220,23 +220,23 @@ def ops_stats(requests: DataFrame, completed: DataFrame, pings: DataFrame) -> Da
     The streams are projected to a common shape and unioned so that a single
     aggregate computes every figure.
     """
-    done = F.col("status") == S.STATUS_COMPLETED
+    done = f"status = '{S.STATUS_COMPLETED}'"
     events = (
-        requests.select("event_ts", F.col("distance_km"), F.lit(None).cast("double").alias("duration"),
-                        F.lit(None).cast("double").alias("rating"))
-        .unionByName(completed.select(
-            "event_ts", F.lit(None).cast("double").alias("distance_km"),
-            F.when(done, F.col("duration_minutes")).alias("duration"),
-            F.when(done, F.col("driver_rating")).alias("rating")))
-        .unionByName(pings.select("event_ts", *[F.lit(None).cast("double").alias(c)
-                                               for c in ("distance_km", "duration", "rating")]))
+        requests.selectExpr("event_ts", "distance_km", "CAST(NULL AS DOUBLE) AS duration",
+                            "CAST(NULL AS DOUBLE) AS rating")
+        .unionByName(completed.selectExpr(
+            "event_ts", "CAST(NULL AS DOUBLE) AS distance_km",
+            f"CASE WHEN {done} THEN duration_minutes END AS duration",
+            f"CASE WHEN {done} THEN driver_rating END AS rating"))
+        .unionByName(pings.selectExpr("event_ts", "CAST(NULL AS DOUBLE) AS distance_km",
+                                      "CAST(NULL AS DOUBLE) AS duration", "CAST(NULL AS DOUBLE) AS rating"))
     )
-    micros = F.unix_micros(F.col("event_ts").cast("timestamp"))
+    micros = "unix_micros(CAST(event_ts AS TIMESTAMP))"
     return events.agg(
-        F.round(F.avg("duration"), 2).alias("avg_trip_duration"),
-        F.round(F.avg("distance_km"), 2).alias("avg_distance_km"),
-        F.round(F.avg("rating"), 2).alias("avg_driver_rating"),
-        F.count(F.lit(1)).alias("events"),
-        F.round(ratio_or_zero(F.count("event_ts"), (F.max(micros) - F.min(micros)) / F.lit(1e6)), 4)
-        .alias("events_per_sec"),
+        F.expr("round(avg(duration), 2) AS avg_trip_duration"),
+        F.expr("round(avg(distance_km), 2) AS avg_distance_km"),
+        F.expr("round(avg(rating), 2) AS avg_driver_rating"),
+        F.expr("count(1) AS events"),
+        F.expr(f"round(coalesce(try_divide(count(event_ts), (max({micros}) - min({micros})) / 1e6), 0.0D), 4)"
+               " AS events_per_sec"),
     )
