@@ -9,8 +9,10 @@ must therefore never be the source directory.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -184,3 +186,42 @@ def compact(df: DataFrame, path: str, *, partition_cols=(), sort_cols=()) -> Non
         out = out.sortWithinPartitions(*sort_cols)
     out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
         *partition_cols).parquet(path)
+
+
+def compact_new_batches(spark: SparkSession, sink_path: str, out_path: str, table: str,
+                        after_batch: int = -1) -> int | None:
+    """Incremental compaction of a streaming sink table.
+
+    Reads only the sink's batches with ``batch_id > after_batch`` (partition
+    pruning on ``batch_id``), and writes them, rebalanced into few files, as
+    run ``run=<after_batch>`` of ``out_path`` (partitioned by run and the
+    table's own partition columns).  Dynamic partition overwrite makes a
+    retried run replace itself.  Returns the highest batch id compacted
+    (gathered with ``observe()`` during the write), or None when there was
+    nothing new; pass it as ``after_batch`` next time.  Readers of
+    ``out_path`` see a few files per run instead of a directory per batch.
+    """
+    schema = S.GOLD_SCHEMAS[table]
+    full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    new = spark.read.schema(full).parquet(sink_path).where(F.col("batch_id") > F.lit(after_batch))
+    if new.isEmpty():  # LIMIT 1 over the pruned batch partitions
+        return None
+    obs = Observation(f"compact_{table}_{after_batch}_{uuid.uuid4().hex[:8]}")  # names are per session
+    part = S.GOLD_SPECS[table].partition_cols
+    out = (
+        new.observe(obs, F.max("batch_id").alias("max_batch"))
+        .drop("batch_id")
+        .withColumn("run", F.lit(after_batch).cast("long"))
+        .hint("rebalance", *part)
+        .sortWithinPartitions(*S.GOLD_SPECS[table].cluster_cols)
+    )
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", *part).parquet(out_path)
+    top = obs.get.get("max_batch")
+    return int(top) if top is not None else None
+
+
+def read_compacted(spark: SparkSession, out_path: str, table: str) -> DataFrame:
+    """All runs of an incrementally compacted table, in declared column order."""
+    schema = S.GOLD_SCHEMAS[table]
+    full = T.StructType([*schema.fields, T.StructField("run", T.LongType())])
+    return spark.read.schema(full).parquet(out_path).select(*schema.fieldNames())

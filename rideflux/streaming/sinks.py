@@ -13,7 +13,9 @@ audit table (the table history).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,11 +43,17 @@ def batch_writer(path: str, table_name: str, partition_cols=(), audit_path: str
         has_ws = "window_start" in batch_df.columns
         if has_ws:
             metrics += [F.min("window_start").alias("min_ws"), F.max("window_start").alias("max_ws")]
-        obs = Observation(f"audit_{table_name}_{batch_id}")
+        # observation names must be unique in the session, a retried batch included
+        obs = Observation(f"audit_{table_name}_{batch_id}_{uuid.uuid4().hex[:8]}")
         _write_partitioned(out.observe(obs, *metrics), path, part)
         if audit_path is None:
             return
-        m = obs.get
+        try:
+            m = obs.get
+        except Py4JJavaError:
+            # an input optimised to an empty relation never runs the metrics
+            # node; the batch had no rows, and empty batches get no audit row
+            return
         if not m.get("num_rows"):
             return
         spark = batch_df.sparkSession
