@@ -20,7 +20,7 @@ from rideflux.plans.catalog import register
 from rideflux.operators.layout import accepted, compact, conform, read_table, rejected
 from rideflux.operators.layout import zorder_cluster as cluster
 from rideflux.plans.queries_gold import flat_view, gold, silver
-from rideflux.session import ensure_utc, run_dir
+from rideflux.session import ensure_utc, run_dir, shuffle_partitions
 from rideflux.sources import adapter
 from rideflux.sources.json_events import PARSERS
 from rideflux.sources.readers import read_topic_stream, write_topic_files
@@ -41,12 +41,18 @@ def file_topic(spark: SparkSession, sf_dir: str, stream: str, base: str) -> str:
 
 
 def run_gold_stream(spark: SparkSession, sf_dir: str, table: str) -> str:
+    """Run one gold query over a file topic to completion; returns its base folder.
+
+    State partitions = the cluster's default parallelism (set while the query
+    starts and runs; the session's own setting is restored afterwards).
+    """
     ensure_utc(spark)
     base = run_dir(spark, f"stream-{table}")
     stream = G.GOLD[table][1]
     topic = file_topic(spark, sf_dir, stream, base)
     parsed = PARSERS[stream](read_topic_stream(spark, stream, path=topic, max_per_trigger=None))
-    jobs.run_available_now([jobs.start_gold_query(parsed, table, base, available_now=True)])
+    with shuffle_partitions(spark, spark.sparkContext.defaultParallelism):
+        jobs.run_available_now([jobs.start_gold_query(parsed, table, base, available_now=True)])
     return base
 
 

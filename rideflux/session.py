@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -75,3 +76,24 @@ def shared_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, label: str) -> str:
     """Fresh sub-folder of the shared folder for one job run."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+@contextlib.contextmanager
+def shuffle_partitions(spark: SparkSession, n: int | None):
+    """Set ``spark.sql.shuffle.partitions`` for the duration of the block.
+
+    A stateful streaming query records this number in its checkpoint at
+    first start (it is the number of state-store partitions for the query's
+    lifetime), so streams are started inside this block and the block is left
+    only after they have started.  ``None`` leaves the setting alone.
+    """
+    if n is None:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)

@@ -80,8 +80,16 @@ def open_streams(spark: SparkSession, topic_paths: dict[str, str] | None = None,
 
 def start_all(spark: SparkSession, base: str, *, topic_paths: dict[str, str] | None = None,
               bootstrap_servers: str | None = None, max_per_trigger: int | None = 1000,
-              available_now: bool = False, tables=None, raw: bool = True) -> list[StreamingQuery]:
-    """Start every gold query and the raw sinks; returns the running queries."""
+              available_now: bool = False, tables=None, raw: bool = True,
+              state_partitions: int | None = None) -> list[StreamingQuery]:
+    """Start every gold query and the raw sinks; returns the running queries.
+
+    ``state_partitions`` sets ``spark.sql.shuffle.partitions`` on the session
+    before the queries start (each records it in its checkpoint at first
+    start; later runs keep the recorded value).
+    """
+    if state_partitions is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     streams = open_streams(spark, topic_paths, bootstrap_servers, max_per_trigger)
     queries = [
         start_gold_query(streams[GOLD[t][1]], t, base, available_now=available_now)
