@@ -89,6 +89,16 @@ def money_sum(x: ColumnOrName) -> Column:
     return F.sum(_c(x).cast("decimal(18,2)")).cast("double")
 
 
+def exact_avg(x: ColumnOrName) -> Column:
+    """Average of a fixed-decimal column from its exact decimal sum.
+
+    One division of two exactly known numbers: the result does not depend
+    on the order rows were summed in (see ``gold.EXACT_AVG``).
+    """
+    c = _c(x)
+    return F.try_divide(F.sum(c.cast("decimal(20,4)")).cast("double"), F.count(c))
+
+
 # --- labels ------------------------------------------------------------------
 
 def surge_tier(avg_surge: ColumnOrName) -> Column:

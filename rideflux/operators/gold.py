@@ -25,6 +25,17 @@ from rideflux import schemas as S
 
 MONEY_SUM = "CAST(sum(CAST({x} AS DECIMAL(18,2))) AS DOUBLE)"
 
+# Average of a fixed-decimal input (fares, surge, distances, minutes, ratings,
+# speeds: at most 2 decimals at the source) from its exact decimal sum: one
+# division of two exactly known numbers, so the result, and how it rounds at
+# a tie, does not depend on the order rows were summed in (partitioning,
+# micro-batching).  A double avg() could round 101.105 either way.
+EXACT_AVG = "try_divide(CAST(sum(CAST({x} AS DECIMAL(20,4))) AS DOUBLE), count({x}))"
+
+
+def _avg(x: str) -> str:
+    return EXACT_AVG.format(x=x)
+
 
 def _windowed(df: DataFrame, spec: S.GoldSpec, watermark: str | None) -> tuple[DataFrame, Column]:
     if df.isStreaming:
@@ -44,8 +55,8 @@ def ride_demand_by_zone(requests: DataFrame, watermark: str | None = None) -> Da
         df, w, ["pickup_zone_id", "pickup_zone_name"],
         [
             "count(1) AS total_requests",
-            "avg(estimated_fare) AS _fare",
-            "avg(surge_multiplier) AS _surge",
+            f"{_avg('estimated_fare')} AS _fare",
+            f"{_avg('surge_multiplier')} AS _surge",
             f"{MONEY_SUM.format(x='distance_km')} AS _distance",
         ],
         [
@@ -69,11 +80,11 @@ def surge_pricing_metrics(requests: DataFrame, watermark: str | None = None) ->
     return _agg(
         df, w, ["ride_type"],
         [
-            "avg(surge_multiplier) AS _surge",
+            f"{_avg('surge_multiplier')} AS _surge",
             "max(surge_multiplier) AS _max",
             f"count_if(surge_multiplier > {S.HIGH_SURGE_THRESHOLD}D) AS high_surge_count",
             "count(1) AS total_rides",
-            "avg(estimated_fare) AS _fare",
+            f"{_avg('estimated_fare')} AS _fare",
         ],
         [
             "window.start AS window_start", "window.end AS window_end", "ride_type",
@@ -97,7 +108,7 @@ def location_density(pings: DataFrame, watermark: str | None = None) -> DataFram
         [
             "count(driver_id) AS driver_pings",
             "count_if(is_available) AS available_drivers",
-            "avg(current_speed_kmh) AS _speed",
+            f"{_avg('current_speed_kmh')} AS _speed",
             "avg(latitude) AS _lat",
             "avg(longitude) AS _lng",
         ],
@@ -123,10 +134,10 @@ def revenue_analytics(completed: DataFrame, watermark: str | None = None) -> Dat
         [
             "count(1) AS completed_rides",
             f"{MONEY_SUM.format(x='actual_fare')} AS _revenue",
-            "avg(actual_fare) AS _fare",
-            "avg(driver_rating) AS _rating",
-            "avg(wait_time_minutes) AS _wait",
-            "avg(duration_minutes) AS _duration",
+            f"{_avg('actual_fare')} AS _fare",
+            f"{_avg('driver_rating')} AS _rating",
+            f"{_avg('wait_time_minutes')} AS _wait",
+            f"{_avg('duration_minutes')} AS _duration",
         ],
         [
             "window.start AS window_start", "window.end AS window_end",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rideflux import schemas as S
 from rideflux.functions.expressions import (
-    as_date, availability_band, day_end, heatmap_band, in_trailing_days, money_sum, on_day, pct, ratio_or_zero,
+    as_date, availability_band, day_end, exact_avg, heatmap_band, in_trailing_days, money_sum, on_day, pct, ratio_or_zero,
     surge_tier,
 )
 from rideflux.operators.joins import ride_lifecycle
@@ -81,7 +81,7 @@ def hourly_volume_surge(demand: DataFrame) -> DataFrame:
 
 
 def surge_by_ride_type(surge: DataFrame) -> DataFrame:
-    return surge.groupBy("ride_type").agg(F.avg("avg_surge").alias("_a")).select(
+    return surge.groupBy("ride_type").agg(exact_avg("avg_surge").alias("_a")).select(
         "ride_type", F.round("_a", 4).alias("avg_surge_multiplier"), surge_tier("_a").alias("surge_tier"))
 
 
@@ -192,7 +192,7 @@ def wait_last_12h(revenue: DataFrame, as_of) -> DataFrame:
     return (
         revenue.where((F.col("window_start") >= start) & (F.col("window_start") < end))
         .groupBy("window_start")
-        .agg(F.round(F.avg("avg_wait_time"), 2).alias("avg_wait_time"))
+        .agg(F.round(exact_avg("avg_wait_time"), 2).alias("avg_wait_time"))
     )
 
 
@@ -232,10 +232,14 @@ def ops_stats(requests: DataFrame, completed: DataFrame, pings: DataFrame) -> Da
                                       "CAST(NULL AS DOUBLE) AS duration", "CAST(NULL AS DOUBLE) AS rating"))
     )
     micros = "unix_micros(CAST(event_ts AS TIMESTAMP))"
+
+    def avg2(c: str) -> str:
+        return f"round(try_divide(CAST(sum(CAST({c} AS DECIMAL(20,4))) AS DOUBLE), count({c})), 2)"
+
     return events.agg(
-        F.expr("round(avg(duration), 2) AS avg_trip_duration"),
-        F.expr("round(avg(distance_km), 2) AS avg_distance_km"),
-        F.expr("round(avg(rating), 2) AS avg_driver_rating"),
+        F.expr(f"{avg2('duration')} AS avg_trip_duration"),
+        F.expr(f"{avg2('distance_km')} AS avg_distance_km"),
+        F.expr(f"{avg2('rating')} AS avg_driver_rating"),
         F.expr("count(1) AS events"),
         F.expr(f"round(coalesce(try_divide(count(event_ts), (max({micros}) - min({micros})) / 1e6), 0.0D), 4)"
                " AS events_per_sec"),

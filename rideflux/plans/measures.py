@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rideflux.functions.expressions import (
-    in_trailing_days, money_sum, on_day, pct, surge_tier as tier_of,
+    exact_avg, in_trailing_days, money_sum, on_day, pct, surge_tier as tier_of,
 )
 
 
@@ -31,11 +31,11 @@ def total_revenue_today(revenue: DataFrame, as_of) -> DataFrame:
 
 
 def avg_surge_multiplier(surge: DataFrame) -> DataFrame:
-    return surge.agg(F.round(F.avg("avg_surge"), 4).alias("avg_surge_multiplier"))
+    return surge.agg(F.round(exact_avg("avg_surge"), 4).alias("avg_surge_multiplier"))
 
 
 def avg_driver_rating(revenue: DataFrame) -> DataFrame:
-    return revenue.agg(F.round(F.avg("avg_driver_rating"), 4).alias("avg_driver_rating"))
+    return revenue.agg(F.round(exact_avg("avg_driver_rating"), 4).alias("avg_driver_rating"))
 
 
 def cancellation_rate_pct(cancels: DataFrame) -> DataFrame:
@@ -43,7 +43,7 @@ def cancellation_rate_pct(cancels: DataFrame) -> DataFrame:
 
 
 def avg_wait_time(revenue: DataFrame) -> DataFrame:
-    return revenue.agg(F.round(F.avg("avg_wait_time"), 4).alias("avg_wait_time"))
+    return revenue.agg(F.round(exact_avg("avg_wait_time"), 4).alias("avg_wait_time"))
 
 
 def revenue_wow_change(revenue: DataFrame, as_of) -> DataFrame:
@@ -99,7 +99,7 @@ def high_surge_pct(surge: DataFrame) -> DataFrame:
 def surge_tier(surge: DataFrame, *group_cols: str) -> DataFrame:
     """Average surge and its tier, overall or per ``group_cols``."""
     g = surge.groupBy(*group_cols) if group_cols else surge
-    return g.agg(F.avg("avg_surge").alias("_avg")).select(
+    return g.agg(exact_avg("avg_surge").alias("_avg")).select(
         *group_cols,
         F.round("_avg", 4).alias("avg_surge_multiplier"),
         tier_of(F.col("_avg")).alias("surge_tier"),
@@ -112,4 +112,4 @@ def driver_availability_pct(density: DataFrame) -> DataFrame:
 
 
 def avg_driver_speed(density: DataFrame) -> DataFrame:
-    return density.agg(F.round(F.avg("avg_speed_kmh"), 4).alias("avg_driver_speed"))
+    return density.agg(F.round(exact_avg("avg_speed_kmh"), 4).alias("avg_driver_speed"))

@@ -6,7 +6,8 @@ restate :mod:`rideflux.sources.adapter` in SQL; the gold CTEs restate
 
 * ``R(e, n)``: Spark rounds HALF_UP on the decimal text of a double; DuckDB
   does the same after ``double → varchar → decimal``.
-* Money sums run in ``decimal(18,2)`` in both engines.
+* Money sums run in ``decimal(18,2)`` in both engines; averages of
+  fixed-decimal inputs divide an exact decimal sum by the count (``AVGX``).
 * Double literals are written ``1.0e0``: a bare ``1.0`` is DECIMAL in DuckDB.
 """
 
@@ -21,6 +22,11 @@ def R(e: str, n: int) -> str:
     return f"CAST(round(CAST(CAST(({e}) AS VARCHAR) AS DECIMAL(38,18)), {n}) AS DOUBLE)"
 
 
+def AVGX(e: str) -> str:
+    """Average from the exact decimal sum (as ``gold.EXACT_AVG``)."""
+    return f"(CAST(sum(CAST(({e}) AS DECIMAL(20,4))) AS DOUBLE) / nullif(count({e}), 0))"
+
+
 def MONEY(e: str) -> str:
     return f"CAST(sum(CAST(({e}) AS DECIMAL(18,2))) AS DOUBLE)"
 
@@ -119,19 +125,19 @@ GOLD_SQL = {
   SELECT {_tb(5)} AS window_start, {_tb(5)} + {_iv(5)} AS window_end,
          pickup_zone_id AS zone_id, pickup_zone_name AS zone_name,
          count(*) AS total_requests,
-         {R('avg(estimated_fare)', 2)} AS avg_estimated_fare,
-         {R('avg(surge_multiplier)', 3)} AS avg_surge,
+         {R(AVGX('estimated_fare'), 2)} AS avg_estimated_fare,
+         {R(AVGX('surge_multiplier'), 3)} AS avg_surge,
          {MONEY('distance_km')} AS total_distance_km
   FROM req WHERE event_ts IS NOT NULL
   GROUP BY 1, 2, 3, 4
 )""",
     "surge_pricing_metrics": f"""surge AS (
   SELECT ws AS window_start, ws + {_iv(10)} AS window_end, ride_type,
-         {R('avg(surge_multiplier)', 3)} AS avg_surge,
+         {R(AVGX('surge_multiplier'), 3)} AS avg_surge,
          {R('max(surge_multiplier)', 3)} AS max_surge,
          count(*) FILTER (WHERE surge_multiplier > {S.HIGH_SURGE_THRESHOLD}e0) AS high_surge_count,
          count(*) AS total_rides,
-         {R('avg(estimated_fare)', 2)} AS avg_fare
+         {R(AVGX('estimated_fare'), 2)} AS avg_fare
   FROM (SELECT r.*, {_tb(5, 'r.event_ts')} - s.i * {_iv(5)} AS ws
         FROM req r, range(2) s(i) WHERE r.event_ts IS NOT NULL)
   GROUP BY 1, 2, 3
@@ -140,7 +146,7 @@ GOLD_SQL = {
   SELECT {_tb(5)} AS window_start, zone_id, zone_name,
          count(driver_id) AS driver_pings,
          count(*) FILTER (WHERE is_available) AS available_drivers,
-         {R('avg(current_speed_kmh)', 1)} AS avg_speed_kmh,
+         {R(AVGX('current_speed_kmh'), 1)} AS avg_speed_kmh,
          {R('avg(latitude)', 6)} AS centroid_lat,
          {R('avg(longitude)', 6)} AS centroid_lng
   FROM png WHERE event_ts IS NOT NULL
@@ -151,10 +157,10 @@ GOLD_SQL = {
          pickup_zone_id AS zone_id, ride_type, payment_mode,
          count(*) AS completed_rides,
          {MONEY('actual_fare')} AS total_revenue,
-         {R('avg(actual_fare)', 2)} AS avg_fare,
-         {R('avg(driver_rating)', 2)} AS avg_driver_rating,
-         {R('avg(wait_time_minutes)', 2)} AS avg_wait_time,
-         {R('avg(duration_minutes)', 2)} AS avg_trip_duration
+         {R(AVGX('actual_fare'), 2)} AS avg_fare,
+         {R(AVGX('driver_rating'), 2)} AS avg_driver_rating,
+         {R(AVGX('wait_time_minutes'), 2)} AS avg_wait_time,
+         {R(AVGX('duration_minutes'), 2)} AS avg_trip_duration
   FROM cmp WHERE status = 'COMPLETED' AND event_ts IS NOT NULL
   GROUP BY 1, 2, 3, 4, 5
 )""",

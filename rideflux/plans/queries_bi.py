@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rideflux.plans import measures as M
 from rideflux.plans.catalog import register
-from rideflux.plans.oracle import AS_OF, MONEY, PCT, R, with_ctes
+from rideflux.plans.oracle import AS_OF, AVGX, MONEY, PCT, R, with_ctes
 from rideflux.plans.queries_gold import gold, gold_days
 
 D = f"DATE '{AS_OF}'"
@@ -29,13 +29,13 @@ def kpi_total_revenue_today(spark, sf_dir):
     return M.total_revenue_today(gold_days(spark, sf_dir, "revenue_analytics", AS_OF, 1), AS_OF)
 
 
-@register("kpi_avg_surge", with_ctes("surge") + f"SELECT {R('avg(avg_surge)', 4)} AS avg_surge_multiplier FROM surge")
+@register("kpi_avg_surge", with_ctes("surge") + f"SELECT {R(AVGX('avg_surge'), 4)} AS avg_surge_multiplier FROM surge")
 def kpi_avg_surge(spark, sf_dir):
     return M.avg_surge_multiplier(_g(spark, sf_dir, "surge_pricing_metrics"))
 
 
 @register("kpi_avg_driver_rating", with_ctes("revenue") + (
-    f"SELECT {R('avg(avg_driver_rating)', 4)} AS avg_driver_rating FROM revenue"))
+    f"SELECT {R(AVGX('avg_driver_rating'), 4)} AS avg_driver_rating FROM revenue"))
 def kpi_avg_driver_rating(spark, sf_dir):
     return M.avg_driver_rating(_g(spark, sf_dir, "revenue_analytics"))
 
@@ -46,7 +46,7 @@ def kpi_cancellation_rate(spark, sf_dir):
     return M.cancellation_rate_pct(_g(spark, sf_dir, "cancellation_analytics"))
 
 
-@register("kpi_avg_wait_time", with_ctes("revenue") + f"SELECT {R('avg(avg_wait_time)', 4)} AS avg_wait_time FROM revenue")
+@register("kpi_avg_wait_time", with_ctes("revenue") + f"SELECT {R(AVGX('avg_wait_time'), 4)} AS avg_wait_time FROM revenue")
 def kpi_avg_wait_time(spark, sf_dir):
     return M.avg_wait_time(_g(spark, sf_dir, "revenue_analytics"))
 
@@ -101,7 +101,7 @@ def tier_sql(x: str) -> str:
 
 @register("surge_tier", with_ctes("surge") + f"""
 SELECT {R('a', 4)} AS avg_surge_multiplier, {tier_sql('a')} AS surge_tier
-FROM (SELECT avg(avg_surge) AS a FROM surge)""")
+FROM (SELECT {AVGX('avg_surge')} AS a FROM surge)""")
 def surge_tier(spark, sf_dir):
     return M.surge_tier(_g(spark, sf_dir, "surge_pricing_metrics"))
 
@@ -112,6 +112,6 @@ def driver_availability_pct(spark, sf_dir):
     return M.driver_availability_pct(_g(spark, sf_dir, "location_density"))
 
 
-@register("avg_driver_speed", with_ctes("density") + f"SELECT {R('avg(avg_speed_kmh)', 4)} AS avg_driver_speed FROM density")
+@register("avg_driver_speed", with_ctes("density") + f"SELECT {R(AVGX('avg_speed_kmh'), 4)} AS avg_driver_speed FROM density")
 def avg_driver_speed(spark, sf_dir):
     return M.avg_driver_speed(_g(spark, sf_dir, "location_density"))

@@ -9,7 +9,7 @@ from rideflux.functions.expressions import expected_fare, rule_surge
 from rideflux.operators import joins as J
 from rideflux.plans import dashboard as DB
 from rideflux.plans.catalog import register
-from rideflux.plans.oracle import AS_OF, MONEY, PCT, R, RATIO, with_ctes
+from rideflux.plans.oracle import AS_OF, AVGX, MONEY, PCT, R, RATIO, with_ctes
 from rideflux.plans.queries_bi import HEATMAP_SQL, tier_sql
 from rideflux.plans.queries_gold import gold, gold_days, silver
 
@@ -75,7 +75,7 @@ def hourly_volume_surge(spark, sf_dir):
 
 @register("surge_by_ride_type", with_ctes("surge") + f"""
 SELECT ride_type, {R('a', 4)} AS avg_surge_multiplier, {tier_sql('a')} AS surge_tier
-FROM (SELECT ride_type, avg(avg_surge) AS a FROM surge GROUP BY ride_type)""")
+FROM (SELECT ride_type, {AVGX('avg_surge')} AS a FROM surge GROUP BY ride_type)""")
 def surge_by_ride_type(spark, sf_dir):
     return DB.surge_by_ride_type(gold(spark, sf_dir, "surge_pricing_metrics"))
 
@@ -186,7 +186,7 @@ def cancel_rate_by_zone(spark, sf_dir):
 
 
 @register("wait_last_12h", with_ctes("revenue") + f"""
-SELECT window_start, {R('avg(avg_wait_time)', 2)} AS avg_wait_time FROM revenue
+SELECT window_start, {R(AVGX('avg_wait_time'), 2)} AS avg_wait_time FROM revenue
 WHERE window_start >= CAST({D} + 1 AS TIMESTAMP) - INTERVAL '12 hours' AND window_start < CAST({D} + 1 AS TIMESTAMP)
 GROUP BY window_start""")
 def wait_last_12h(spark, sf_dir):
@@ -221,8 +221,8 @@ def ride_status_breakdown(spark, sf_dir):
 
 
 @register("ops_stats", with_ctes("req", "cmp", "png") + f"""
-SELECT {R('avg(duration)', 2)} AS avg_trip_duration, {R('avg(distance_km)', 2)} AS avg_distance_km,
-       {R('avg(rating)', 2)} AS avg_driver_rating, count(*) AS events,
+SELECT {R(AVGX('duration'), 2)} AS avg_trip_duration, {R(AVGX('distance_km'), 2)} AS avg_distance_km,
+       {R(AVGX('rating'), 2)} AS avg_driver_rating, count(*) AS events,
        {R(RATIO('count(event_ts)', '(epoch_us(max(event_ts)) - epoch_us(min(event_ts))) / 1e6'), 4)} AS events_per_sec
 FROM (SELECT event_ts, distance_km, NULL::DOUBLE AS duration, NULL::DOUBLE AS rating FROM req
       UNION ALL
