@@ -95,15 +95,15 @@ def rejected(conformed: DataFrame) -> DataFrame:
 # --- Z-order clustering ---------------------------------------------------------------
 
 def _as_number(df: DataFrame, c: str) -> Column:
+    """Order-preserving numeric view of a temporal or numeric column."""
     t = df.schema[c].dataType
     if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
     if isinstance(t, T.DateType):
         return F.unix_date(F.col(c)).cast("double")
-    if isinstance(t, T.StringType):
-        # order-preserving numeric key from the first 7 bytes of the UTF-8 text
-        return F.conv(F.substring(F.rpad(F.hex(F.col(c)), 14, "0"), 1, 14), 16, 10).cast("double")
-    return F.col(c).cast("double")
+    if isinstance(t, (T.NumericType, T.BooleanType)):
+        return F.col(c).cast("double")
+    raise TypeError(f"Z-order needs numeric or temporal columns; {c} is {t.simpleString()}")
 
 
 def z_value(df: DataFrame, cols: list[str], bits: int = 8, rel_error: float = 0.001) -> DataFrame:

@@ -68,3 +68,10 @@ def test_compaction_keeps_rows_in_fewer_files(spark, tmp_dir):
     assert after < before
     assert _multiset(L.read_table(spark, dst, "ride_demand_by_zone")) == _multiset(
         L.read_table(spark, src, "ride_demand_by_zone"))
+
+
+def test_zorder_rejects_text_columns(spark):
+    import pytest
+    df = spark.createDataFrame([("a", 1.0)], "s string, x double")
+    with pytest.raises(TypeError):
+        L.z_value(df, ["s", "x"])
