@@ -97,3 +97,43 @@ def test_cancellations_match_brute_force(spark, rides):
         for r in G.cancellation_analytics(_frame(spark, rides)).collect()
     }
     assert got == expect
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(ride, min_size=2, max_size=30), st.lists(st.integers(1, 29), min_size=1, max_size=4))
+def test_stream_over_many_batches_equals_batch(spark, rides, cuts):
+    """Events in time order split over several files (one micro-batch each):
+    the stream emits exactly the batch table's windows that end at or before
+    the final watermark, with identical values."""
+    import json
+    import os
+    import tempfile
+
+    from pyspark.sql import functions as F
+
+    from rideflux.sources.json_events import parse_ride_requests
+    from rideflux.sources.readers import read_topic_stream
+    from rideflux.streaming import jobs
+
+    rides = sorted(rides)
+    bounds = sorted({c for c in cuts if c < len(rides)} | {0, len(rides)})
+    d = tempfile.mkdtemp(prefix="rideflux-prop-")
+    for i, (a, b) in enumerate(zip(bounds, bounds[1:])):
+        path = f"{d}/topic/part-{i:03d}.json"
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w") as f:
+            for j, (ms, z, t, c, s, _st) in enumerate(rides[a:b]):
+                ts = (T0 + dt.timedelta(milliseconds=ms)).isoformat()
+                f.write(json.dumps({"event_id": f"{a + j}", "timestamp": ts, "ride_type": t,
+                                    "pickup": {"zone_id": z, "zone_name": z + " name"},
+                                    "estimated_fare": c / 100.0, "surge_multiplier": s / 100.0,
+                                    "distance_km": 2.0}) + "\n")
+        os.utime(path, (1_700_000_000 + 10 * i, 1_700_000_000 + 10 * i))
+    parsed = parse_ride_requests(read_topic_stream(spark, "ride_requests", path=f"{d}/topic", max_per_trigger=1))
+    jobs.run_available_now([jobs.start_gold_query(parsed, "ride_demand_by_zone", f"{d}/out", available_now=True)])
+    got = jobs.read_gold(spark, f"{d}/out", "ride_demand_by_zone").withColumns(
+        {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+    last = T0 + dt.timedelta(milliseconds=rides[-1][0])
+    want = G.ride_demand_by_zone(_frame(spark, rides)).where(
+        F.col("window_end") <= F.lit(last - dt.timedelta(minutes=2)))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
