@@ -137,3 +137,43 @@ def test_stream_over_many_batches_equals_batch(spark, rides, cuts):
     want = G.ride_demand_by_zone(_frame(spark, rides)).where(
         F.col("window_end") <= F.lit(last - dt.timedelta(minutes=2)))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+delivery = st.tuples(
+    st.integers(0, 5),  # ride id
+    st.integers(0, 3600),  # seconds after T0
+    st.integers(0, 3),  # copy number (duplicate deliveries)
+    st.sampled_from(["COMPLETED", "CANCELLED"]),
+    st.integers(100, 9999),  # fare in cents
+)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(delivery, min_size=1, max_size=25), st.lists(delivery, max_size=25))
+def test_ride_lifecycle_matches_brute_force(spark, reqs, dones):
+    from rideflux.operators.joins import ride_lifecycle
+
+    def ts(sec):
+        return T0 + dt.timedelta(seconds=sec)
+
+    req_rows = [(f"r{r}", f"REQ-{r}-{sec}-{k}", ts(sec), "Z001", "Auto", "REQUESTED", c / 100.0)
+                for r, sec, k, _s, c in reqs]
+    cmp_rows = [(f"r{r}", f"CMP-{r}-{sec}-{k}", ts(sec), s, c / 100.0) for r, sec, k, s, c in dones]
+    req = spark.createDataFrame(req_rows, "ride_id string, event_id string, event_ts timestamp_ntz, "
+                                          "pickup_zone_id string, ride_type string, status string, estimated_fare double")
+    cmp = spark.createDataFrame(cmp_rows, "ride_id string, event_id string, event_ts timestamp_ntz, status string, "
+                                          "actual_fare double")
+    first_req = {}
+    for row in sorted(req_rows, key=lambda x: (x[2], x[1])):
+        first_req.setdefault(row[0], row)
+    last_cmp = {}
+    for row in sorted(cmp_rows, key=lambda x: (x[2], x[1])):
+        last_cmp[row[0]] = row
+    expect = {}
+    for rid, r in first_req.items():
+        c = last_cmp.get(rid)
+        expect[rid] = (r[2], c[2] if c else None, c[3] if c else "REQUESTED", r[6], c[4] if c else None,
+                       _half_up(c[4] - r[6], 2) if c else None)
+    got = {x.ride_id: (x.requested_at, x.finished_at, x.status, x.estimated_fare, x.actual_fare, x.fare_delta)
+           for x in ride_lifecycle(req, cmp).collect()}
+    assert got == expect
