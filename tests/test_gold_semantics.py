@@ -92,3 +92,20 @@ def test_event_range_restriction_is_exact_for_every_table(spark):
             F.col("window_start") >= F.lit("2024-01-29").cast("timestamp_ntz"))
         assert full.count() > 0
         assert full.exceptAll(part).count() == 0 and part.exceptAll(full).count() == 0, table
+
+
+def test_null_fares_are_skipped_and_all_null_gives_null(spark):
+    rows = [(T0, "Z001", "City Center", "Economy", 10.0, 1.2, 2.0),
+            (T0, "Z001", "City Center", "Economy", None, 1.4, 2.0),
+            (T0, "Z002", "Airport", "Economy", None, None, None)]
+    out = {r.zone_id: r for r in G.ride_demand_by_zone(_requests(spark, rows)).collect()}
+    assert (out["Z001"].total_requests, out["Z001"].avg_estimated_fare, out["Z001"].avg_surge) == (2, 10.0, 1.3)
+    assert out["Z002"].total_requests == 1
+    assert out["Z002"].avg_estimated_fare is None and out["Z002"].avg_surge is None
+    assert out["Z002"].total_distance_km is None
+
+
+def test_empty_input_gives_empty_tables(spark):
+    empty = _requests(spark, [])
+    assert G.ride_demand_by_zone(empty).count() == 0
+    assert G.surge_pricing_metrics(empty).count() == 0
