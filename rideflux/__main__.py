@@ -1,6 +1,6 @@
 """Command line: run the streaming application and the table jobs.
 
-    python -m rideflux stream   --base DIR (--bootstrap HOST:PORT | --topics DIR) [--available-now]
+    python -m rideflux stream   --base DIR (--bootstrap HOST:PORT | --topics DIR) [--available-now] [--fan-out]
     python -m rideflux setup    --base DIR            create the empty gold tables
     python -m rideflux optimize --base DIR [--table T] Z-order gold tables into DIR/optimized/
     python -m rideflux compact  --base DIR [--table T] incremental compaction of the sink
@@ -37,6 +37,8 @@ def _parser() -> argparse.ArgumentParser:
             s.add_argument("--max-per-trigger", type=int, default=1000)
             s.add_argument("--state-partitions", type=int, default=None)
             s.add_argument("--available-now", action="store_true", help="process what is there, then stop")
+            s.add_argument("--fan-out", action="store_true",
+                           help="read each topic once into a silver table; gold queries stream from it")
         if name in ("optimize", "compact"):
             s.add_argument("--table", choices=sorted(S.GOLD_SPECS), action="append")
         if name == "history":
@@ -52,7 +54,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
 
     if args.cmd == "stream":
         topics = {s: f"{args.topics.rstrip('/')}/{s}" for s in PARSERS} if args.topics else None
-        qs = jobs.start_all(
+        start = jobs.start_fan_out if args.fan_out else jobs.start_all
+        qs = start(
             spark, base, topic_paths=topics, bootstrap_servers=args.bootstrap,
             max_per_trigger=args.max_per_trigger, available_now=args.available_now,
             state_partitions=args.state_partitions,

@@ -15,6 +15,8 @@ set ``spark.sql.shuffle.partitions`` for the target scale before the first run.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -100,6 +102,55 @@ def start_all(spark: SparkSession, base: str, *, topic_paths: dict[str, str] | N
     return queries
 
 
+def silver_path(base: str, stream: str) -> str:
+    return f"{base}/silver/{stream}"
+
+
+def start_fan_out(spark: SparkSession, base: str, *, topic_paths: dict[str, str] | None = None,
+                  bootstrap_servers: str | None = None, max_per_trigger: int | None = 1000,
+                  available_now: bool = False, tables=None, state_partitions: int | None = None,
+                  trigger_secs: int = AGG_TRIGGER_SECS, start_timeout_secs: int = 600) -> list[StreamingQuery]:
+    """Read each topic once and fan out from a silver table.
+
+    One query per topic decodes the records and appends them with Spark's
+    file sink, which commits each micro-batch exactly once through its
+    ``_spark_metadata`` log; the gold queries stream from that table, and the
+    file source reads only files committed there.  The broker serves each
+    topic once instead of once per query, at the cost of one extra trigger of
+    latency.  With ``available_now`` the silver queries drain first, then
+    the gold queries run.
+    """
+    if state_partitions is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    streams = open_streams(spark, topic_paths, bootstrap_servers, max_per_trigger)
+    needed = sorted({GOLD[t][1] for t in (tables or GOLD)})
+    silver_qs = []
+    for stream in needed:
+        w = (
+            streams[stream].writeStream.format("parquet").outputMode("append")
+            .option("checkpointLocation", checkpoint_path(base, f"silver_{stream}"))
+            .option("path", silver_path(base, stream))
+        )
+        w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=f"{trigger_secs} seconds")
+        silver_qs.append(w.start())
+    if available_now:
+        run_available_now(silver_qs)
+    else:
+        # the gold sources need the silver folders to exist: wait for a first commit
+        deadline = time.time() + start_timeout_secs
+        while any(q.lastProgress is None for q in silver_qs) and time.time() < deadline:
+            time.sleep(1)
+    gold_qs = []
+    for t in tables or GOLD:
+        stream = GOLD[t][1]
+        src = spark.readStream.schema(streams[stream].schema)
+        if max_per_trigger:
+            src = src.option("maxFilesPerTrigger", max_per_trigger)
+        gold_qs.append(start_gold_query(src.parquet(silver_path(base, stream)), t, base,
+                                        available_now=available_now, trigger_secs=trigger_secs))
+    return silver_qs + gold_qs
+
+
 def await_any(spark: SparkSession, queries: list[StreamingQuery], poll_secs: int = 5) -> None:
     """Block until any of ``queries`` ends; stop the rest and re-raise its error.
 
