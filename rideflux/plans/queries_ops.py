@@ -28,6 +28,9 @@ from rideflux.streaming import jobs
 from rideflux.streaming.history import table_history
 
 
+GOLD_STATE_PARTITIONS = 64
+
+
 def ntz(df: DataFrame) -> DataFrame:
     """Timestamps as UTC wall-clock ``timestamp_ntz`` for comparison."""
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c, t in df.dtypes if t == "timestamp"})
@@ -43,15 +46,17 @@ def file_topic(spark: SparkSession, sf_dir: str, stream: str, base: str) -> str:
 def run_gold_stream(spark: SparkSession, sf_dir: str, table: str) -> str:
     """Run one gold query over a file topic to completion; returns its base folder.
 
-    State partitions = the cluster's default parallelism (set while the query
-    starts and runs; the session's own setting is restored afterwards).
+    State partitions: the cluster's default parallelism up to 64 (set while
+    the query starts and runs; the session's own setting is restored
+    afterwards).  Gold state is open windows x keys, a few thousand rows, so
+    more partitions would only add state stores and files per micro-batch.
     """
     ensure_utc(spark)
     base = run_dir(spark, f"stream-{table}")
     stream = G.GOLD[table][1]
     topic = file_topic(spark, sf_dir, stream, base)
     parsed = PARSERS[stream](read_topic_stream(spark, stream, path=topic, max_per_trigger=None))
-    with shuffle_partitions(spark, spark.sparkContext.defaultParallelism):
+    with shuffle_partitions(spark, min(spark.sparkContext.defaultParallelism, GOLD_STATE_PARTITIONS)):
         jobs.run_available_now([jobs.start_gold_query(parsed, table, base, available_now=True)])
     return base
 

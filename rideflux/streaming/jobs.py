@@ -53,7 +53,7 @@ def start_gold_query(silver: DataFrame, table: str, base: str, *, available_now:
         fn(silver), gold_path(base, table), checkpoint_path(base, table),
         table_name=table, partition_cols=S.GOLD_SPECS[table].partition_cols,
         audit_path=audit_path(base), trigger_secs=trigger_secs, available_now=available_now,
-        query_name=None,
+        query_name=None, one_file_per_value=True,
     )
 
 

@@ -33,12 +33,21 @@ def _write_partitioned(df: DataFrame, path: str, partition_cols) -> None:
     )
 
 
-def batch_writer(path: str, table_name: str, partition_cols=(), audit_path: str | None = None):
-    """foreachBatch function writing one micro-batch idempotently."""
+def batch_writer(path: str, table_name: str, partition_cols=(), audit_path: str | None = None,
+                 one_file_per_value: bool = False):
+    """foreachBatch function writing one micro-batch idempotently.
+
+    ``one_file_per_value`` redistributes the batch by the partition columns
+    first, so each partition value gets one file per batch instead of one
+    per state partition.  Meant for aggregated (small) batches such as the
+    gold tables; a raw sink carrying full event volume leaves it off.
+    """
     part = ("batch_id", *partition_cols)
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         out = batch_df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        if one_file_per_value and partition_cols:
+            out = out.repartition(*partition_cols)
         metrics = [F.count(F.lit(1)).alias("num_rows")]
         has_ws = "window_start" in batch_df.columns
         if has_ws:
@@ -76,12 +85,13 @@ def write_stream(
     trigger_secs: int = 30,
     available_now: bool = False,
     query_name: str | None = None,
+    one_file_per_value: bool = False,
 ) -> StreamingQuery:
     """Start an append-mode query into the batch-partitioned table at ``path``."""
     w = (
         df.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(batch_writer(path, table_name, partition_cols, audit_path))
+        .foreachBatch(batch_writer(path, table_name, partition_cols, audit_path, one_file_per_value))
     )
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=f"{trigger_secs} seconds")
     if query_name:
