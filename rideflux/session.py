@@ -33,7 +33,6 @@ def build_session(master: str | None = None, app_name: str = "rideflux",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
     if large_state:
         # Off-heap state with changelog checkpoints: for state far larger than
