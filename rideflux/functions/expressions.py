@@ -86,7 +86,7 @@ def money_sum(x: ColumnOrName) -> Column:
     A double sum depends on row order, so two engines (or two partitionings)
     could round a tie differently; a decimal sum cannot.
     """
-    return F.sum(_c(x).cast("decimal(18,2)")).cast("double")
+    return F.sum(_c(x).try_cast("decimal(18,2)")).cast("double")
 
 
 def exact_avg(x: ColumnOrName) -> Column:
@@ -95,8 +95,8 @@ def exact_avg(x: ColumnOrName) -> Column:
     One division of two exactly known numbers: the result does not depend
     on the order rows were summed in (see ``gold.EXACT_AVG``).
     """
-    c = _c(x)
-    return F.try_divide(F.sum(c.cast("decimal(20,4)")).cast("double"), F.count(c))
+    d = _c(x).try_cast("decimal(20,4)")  # NaN / out of range → null, skipped
+    return F.try_divide(F.sum(d).cast("double"), F.count(d))
 
 
 # --- labels ------------------------------------------------------------------

@@ -23,14 +23,16 @@ from rideflux import schemas as S
 # one call, where the equivalent nest of Column functions costs a driver
 # round-trip per function (plan-building time, not execution time).
 
-MONEY_SUM = "CAST(sum(CAST({x} AS DECIMAL(18,2))) AS DOUBLE)"
+# Input values are cast with TRY_CAST: NaN or a value too large for the
+# decimal becomes null and is skipped (an ANSI cast error would stop the query).
+MONEY_SUM = "CAST(sum(TRY_CAST({x} AS DECIMAL(18,2))) AS DOUBLE)"
 
 # Average of a fixed-decimal input (fares, surge, distances, minutes, ratings,
 # speeds: at most 2 decimals at the source) from its exact decimal sum: one
 # division of two exactly known numbers, so the result, and how it rounds at
 # a tie, does not depend on the order rows were summed in (partitioning,
 # micro-batching).  A double avg() could round 101.105 either way.
-EXACT_AVG = "try_divide(CAST(sum(CAST({x} AS DECIMAL(20,4))) AS DOUBLE), count({x}))"
+EXACT_AVG = "try_divide(CAST(sum(TRY_CAST({x} AS DECIMAL(20,4))) AS DOUBLE), count(TRY_CAST({x} AS DECIMAL(20,4))))"
 
 
 def _avg(x: str) -> str:

@@ -234,7 +234,8 @@ def ops_stats(requests: DataFrame, completed: DataFrame, pings: DataFrame) -> Da
     micros = "unix_micros(CAST(event_ts AS TIMESTAMP))"
 
     def avg2(c: str) -> str:
-        return f"round(try_divide(CAST(sum(CAST({c} AS DECIMAL(20,4))) AS DOUBLE), count({c})), 2)"
+        d = f"TRY_CAST({c} AS DECIMAL(20,4))"
+        return f"round(try_divide(CAST(sum({d}) AS DOUBLE), count({d})), 2)"
 
     return events.agg(
         F.expr(f"{avg2('duration')} AS avg_trip_duration"),

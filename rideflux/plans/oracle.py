@@ -24,11 +24,12 @@ def R(e: str, n: int) -> str:
 
 def AVGX(e: str) -> str:
     """Average from the exact decimal sum (as ``gold.EXACT_AVG``)."""
-    return f"(CAST(sum(CAST(({e}) AS DECIMAL(20,4))) AS DOUBLE) / nullif(count({e}), 0))"
+    d = f"TRY_CAST(({e}) AS DECIMAL(20,4))"
+    return f"(CAST(sum({d}) AS DOUBLE) / nullif(count({d}), 0))"
 
 
 def MONEY(e: str) -> str:
-    return f"CAST(sum(CAST(({e}) AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(sum(TRY_CAST(({e}) AS DECIMAL(18,2))) AS DOUBLE)"
 
 
 def PCT(num: str, den: str) -> str:

@@ -109,3 +109,11 @@ def test_empty_input_gives_empty_tables(spark):
     empty = _requests(spark, [])
     assert G.ride_demand_by_zone(empty).count() == 0
     assert G.surge_pricing_metrics(empty).count() == 0
+
+
+def test_nan_and_out_of_range_values_do_not_stop_the_query(spark):
+    rows = [(T0, "Z001", "City Center", "Economy", 10.0, 1.2, 2.0),
+            (T0, "Z001", "City Center", "Economy", float("nan"), 1.4, 1e30),
+            (T0, "Z001", "City Center", "Economy", 1e30, 1.6, 3.0)]
+    r = G.ride_demand_by_zone(_requests(spark, rows)).collect()[0]
+    assert (r.total_requests, r.avg_estimated_fare, r.avg_surge, r.total_distance_km) == (3, 10.0, 1.4, 5.0)
