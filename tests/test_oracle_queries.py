@@ -28,3 +28,16 @@ def test_entry_smoke(spark):
 @pytest.mark.parametrize("name", BATCH_KEYS)
 def test_query_matches_oracle(spark, name):
     assert_same(E.queries()[name](spark, SF_SMALL), E.oracle_sql()[name], SF_SMALL)
+
+
+def test_registry_loads_without_a_spark_session():
+    """The driver may ask for the SQL before any session exists."""
+    import subprocess
+    import sys
+
+    from tests.conftest import ROOT
+    code = ("import __spark_entry__ as E; o = E.oracle_sql(); q = E.queries(); "
+            "assert len(o) == len(q) > 0; print(len(q))")
+    out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert int(out.stdout.strip()) == len(E.queries())
