@@ -6,19 +6,34 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rideflux.llm import near_dup
+from rideflux.llm import decontam, line_dedup, near_dup, toxicity
 from rideflux.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, num=85, den=100)
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {
+        "op2_decontaminate": op2_decontaminate,
+        "op4_toxicity": op4_toxicity,
         "op5_near_duplicates": op5_near_duplicates,
+        "op9_line_dedup": op9_line_dedup,
     }
 
 

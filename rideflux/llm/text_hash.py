@@ -161,20 +161,23 @@ def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return buf, off[:-1], off[1:]
 
 
-def doc_shingles(col: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(row, shingle hashes in text order) for every row that has words.
-
-    Rows go in groups of about ``PIECE_BYTES`` of text.
-    """
+def group_shingles(col: pa.Array, n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(shingle hashes, row of each), in text order, for groups of rows of
+    together about ``PIECE_BYTES`` of text; a row is never split."""
     buf, starts, ends = text_buffer(col)
     for a, b in row_groups(starts, ends):
         w, o = word_hashes(buf, starts[a:b], ends[a:b])
         h, own = shingle_hashes(w, o, n)
-        if not len(h):
-            continue
+        if len(h):
+            yield h, own + a
+
+
+def doc_shingles(col: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, shingle hashes in text order) for every row that has words."""
+    for h, own in group_shingles(col, n):
         cut = np.flatnonzero(own[1:] != own[:-1]) + 1
         for seg, row in zip(np.split(h, cut), own[np.r_[0, cut]]):
-            yield a + int(row), seg
+            yield int(row), seg
 
 
 def row_groups(starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
