@@ -1,4 +1,9 @@
-"""Corpus cleaning pipeline: named stages over the ``documents`` table."""
+"""Corpus cleaning pipeline: named stages over the ``documents`` table.
+
+``run`` applies the stages in order; each result is written to the shared
+folder as Parquet and read again as the next stage's input.  All but the last
+stage return the columns of ``documents``; the last one returns token ids.
+"""
 
 from __future__ import annotations
 
@@ -7,24 +12,59 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rideflux.llm import near_dup
+from rideflux.llm import decontam, line_dedup, near_dup, sentencepiece_tok, toxicity
 from rideflux.llm.common import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Rows whose id is not among ``rejected.doc_id``; null ids stay."""
+    return docs.join(rejected.select("doc_id").distinct(), "doc_id", "left_anti")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity operator predicts toxic go."""
+    scored = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
+    return _without(docs, scored.where("predicted = 1")).select(*docs.columns)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later repeated runs of 50 words or more go; ``n_chars`` follows the text."""
+    runs = line_dedup.repeated_runs(docs.select("doc_id", F.col("text").cast("string").alias("text")), 50)
+    out = line_dedup.without_runs(docs, runs).select(*docs.columns)
+    if "n_chars" in docs.columns:
+        n = F.length("text").cast(dict(docs.dtypes)["n_chars"])
+        out = out.withColumn("n_chars", F.coalesce(n, F.col("n_chars")))
+    return out
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Five-word shingles, similarity 0.8: one document of each group stays."""
-    kept = near_dup.near_duplicates(docs, shingle=5, num=80, den=100).where("kept").select("doc_id")
-    return docs.join(kept.where("doc_id IS NOT NULL").distinct(), "doc_id", "left_semi").unionByName(
-        docs.where(F.col("doc_id").isNull()))
+    groups = near_dup.near_duplicates(docs, shingle=5, num=80, den=100)
+    return _without(docs, groups.where("NOT kept")).select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item (five-word shingles, 0.8) go."""
+    found = decontam.contained_items(docs, table(spark, sf_dir, "benchmark"))
+    return _without(docs, found).select(*docs.columns)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every remaining document, checked by decoding them."""
+    return sentencepiece_tok.encode(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", dedup_lines),
     ("near_dedup", near_dedup),
+    ("decontamination", decontaminate),
+    ("sentencepiece", tokenize),
 ]
 
-#: No single SQL statement expresses the stages; tests hold them to brute force.
+#: Learning, signatures and tokenisation are not SQL; tests hold the stages to brute force.
 ORACLE_SQL = None
 
 

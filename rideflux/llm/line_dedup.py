@@ -86,6 +86,36 @@ def repeated_runs(docs: DataFrame, min_words: int) -> DataFrame:
     return merged.groupBy("doc_id", "th").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("runs"))
 
 
+def without_runs(docs: DataFrame, runs: DataFrame, counts: bool = False) -> DataFrame:
+    """``docs`` (any columns, with ``doc_id`` and ``text``) less the lines in
+    ``runs``; with ``counts`` also ``n_lines`` (of the original text) and
+    ``n_removed``."""
+    names = docs.columns
+    th, lo_hi = (_free(names, n) for n in ("th", "runs"))
+    rid = _free(names, "run_id")
+    runs = runs.select(F.col("doc_id").alias(rid), F.col("th").alias(th + "_r"), F.col("runs").alias(lo_hi))
+    keyed = docs.withColumn(th, F.xxhash64(F.col("text").cast("string")))
+    joined = keyed.join(runs, keyed["doc_id"].eqNullSafe(runs[rid]) & (keyed[th] == runs[th + "_r"]), "left")
+    # The kept lines are the slices between runs; the text is split once.
+    kept = f"""element_at(transform(array(split(text, '\\n')), ls -> array_join(flatten(transform(
+        arrays_zip(concat(array(-1), {lo_hi}.hi), concat({lo_hi}.lo, array(size(ls)))),
+        x -> slice(ls, x.`0` + 2, greatest(0, x.`1` - x.`0` - 1)))), '\\n')), 1)"""
+    out = [
+        *[F.expr(f"IF({lo_hi} IS NULL, text, {kept})").alias("text") if n == "text" else joined[n] for n in names]]
+    if counts:
+        out += [F.expr("coalesce(size(split(text, '\\n')), 0)").cast("long").alias("n_lines"),
+                F.expr(f"coalesce(aggregate({lo_hi}, 0L, (a, x) -> a + x.hi - x.lo + 1), 0L)").alias("n_removed")]
+    return joined.select(*out)
+
+
+def _free(names: list[str], name: str) -> str:
+    """``name``, lengthened until no column of ``names`` is called that."""
+    taken = {n.lower() for n in names}
+    while name in taken or name + "_r" in taken:
+        name += "_"
+    return name
+
+
 def dedup_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with later repeated runs of ``min_words`` words or more deleted.
 
@@ -98,14 +128,4 @@ def dedup_lines(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", te
     are not read.
     """
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    runs = repeated_runs(base, min_words).withColumnRenamed("doc_id", "run_id").withColumnRenamed("th", "run_th")
-    base = base.withColumn("th", F.xxhash64("text"))
-    joined = base.join(runs, base.doc_id.eqNullSafe(runs.run_id) & (base.th == runs.run_th), "left")
-    # The kept lines are the slices between runs; the text is split once.
-    kept = """element_at(transform(array(split(text, '\\n')), ls -> array_join(flatten(transform(
-        arrays_zip(concat(array(-1), runs.hi), concat(runs.lo, array(size(ls)))),
-        x -> slice(ls, x.`0` + 2, greatest(0, x.`1` - x.`0` - 1)))), '\\n')), 1)"""
-    return joined.select(
-        "doc_id", F.expr(f"IF(runs IS NULL, text, {kept})").alias("text"),
-        F.expr("coalesce(size(split(text, '\\n')), 0)").cast("long").alias("n_lines"),
-        F.expr("coalesce(aggregate(runs, 0L, (a, x) -> a + x.hi - x.lo + 1), 0L)").alias("n_removed"))
+    return without_runs(base, repeated_runs(base, min_words), counts=True)

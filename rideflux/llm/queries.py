@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rideflux.llm import decontam, line_dedup, near_dup, toxicity
+from rideflux.llm import decontam, line_dedup, near_dup, sentencepiece_tok, toxicity
 from rideflux.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_tok.encode(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -31,6 +35,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, QueryFn]:
     return {
         "op2_decontaminate": op2_decontaminate,
+        "op3_sentencepiece": op3_sentencepiece,
         "op4_toxicity": op4_toxicity,
         "op5_near_duplicates": op5_near_duplicates,
         "op9_line_dedup": op9_line_dedup,
