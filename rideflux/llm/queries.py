@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rideflux.llm import decontam, line_dedup, near_dup, sentencepiece_tok, toxicity
+from rideflux.llm import ann, decontam, line_dedup, near_dup, sentencepiece_tok, toxicity
 from rideflux.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -34,6 +38,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, QueryFn]:
     return {
+        "op1_nearest_neighbours": op1_nearest_neighbours,
         "op2_decontaminate": op2_decontaminate,
         "op3_sentencepiece": op3_sentencepiece,
         "op4_toxicity": op4_toxicity,
