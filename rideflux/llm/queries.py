@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rideflux.llm import ann, decontam, line_dedup, near_dup, sentencepiece_tok, toxicity
+from rideflux.llm import ann, decontam, line_dedup, near_dup, secret_scan, sentencepiece_tok, toxicity
 from rideflux.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, num=85, den=100)
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ def queries() -> dict[str, QueryFn]:
         "op3_sentencepiece": op3_sentencepiece,
         "op4_toxicity": op4_toxicity,
         "op5_near_duplicates": op5_near_duplicates,
+        "op6_secrets": op6_secrets,
         "op9_line_dedup": op9_line_dedup,
     }
 
