@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rideflux.llm import ann, decontam, line_dedup, near_dup, secret_scan, sentencepiece_tok, toxicity
+from rideflux.llm import ann, decontam, line_dedup, near_dup, secret_scan, sentencepiece_tok, toxicity, warc
 from rideflux.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ def queries() -> dict[str, QueryFn]:
         "op4_toxicity": op4_toxicity,
         "op5_near_duplicates": op5_near_duplicates,
         "op6_secrets": op6_secrets,
+        "op8_warc": op8_warc,
         "op9_line_dedup": op9_line_dedup,
     }
 
