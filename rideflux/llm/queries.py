@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rideflux.llm import ann, decontam, line_dedup, near_dup, secret_scan, sentencepiece_tok, toxicity, warc
+from rideflux.llm import ann, decontam, html_extract, line_dedup, near_dup, secret_scan, sentencepiece_tok, toxicity, warc
 from rideflux.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {
         "op1_nearest_neighbours": op1_nearest_neighbours,
@@ -54,6 +58,7 @@ def queries() -> dict[str, QueryFn]:
         "op6_secrets": op6_secrets,
         "op8_warc": op8_warc,
         "op9_line_dedup": op9_line_dedup,
+        "op10_html_extract": op10_html_extract,
     }
 
 
