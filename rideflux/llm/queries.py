@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rideflux.llm import ann, decontam, html_extract, line_dedup, near_dup, secret_scan, sentencepiece_tok, toxicity, warc
+from rideflux.llm import ann, chat_quotes, decontam, html_extract, line_dedup, near_dup, secret_scan, sentencepiece_tok, toxicity, warc
 from rideflux.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op7_chat_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_quotes.threads(table(spark, sf_dir, "conversations"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
 
@@ -56,6 +60,7 @@ def queries() -> dict[str, QueryFn]:
         "op4_toxicity": op4_toxicity,
         "op5_near_duplicates": op5_near_duplicates,
         "op6_secrets": op6_secrets,
+        "op7_chat_threads": op7_chat_threads,
         "op8_warc": op8_warc,
         "op9_line_dedup": op9_line_dedup,
         "op10_html_extract": op10_html_extract,
