@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rideflux.llm import text_hash as th
-from rideflux.llm.common import ship, stored
+from rideflux.llm.common import ship, stored, with_broadcast
 from rideflux.llm.graph import components
 
 SLOTS = 128
@@ -38,6 +38,8 @@ BLOCK = 256
 #: ... and the set elements that it holds, about: long documents make smaller blocks.
 BLOCK_ELEMENTS = 1 << 20
 STAR = 64
+#: Most class ids that are broadcast (8 bytes each); beyond, ids are shuffled.
+MET_BROADCAST = 1_000_000
 #: Largest accepted chance that no band of a pair exactly at the threshold agrees.
 MISS = 1e-6
 #: Standard deviations below the mean at which a signature match count rules a pair out.
@@ -258,29 +260,32 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, num: int = 80, den: int =
     linked = sets.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = stored(linked.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), "nd-classes")
     reps = stored(
-        linked.join(classes.withColumnRenamed("rep", "doc_id"), ["d1", "d2", "doc_id"], "left_semi")
-        .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), "n_shingles", "sig"), "nd-reps")
+        linked.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        .select(F.col("doc_id").alias("rep"), "n_shingles", "sig"), "nd-reps")
 
     bands = reps.select("rep", "sig").mapInArrow(
         partial(_bands, rows=band_rows(share)), "key long, rep long")
     heads = bands.groupBy("key").agg(F.min("rep").alias("a"), F.count("*").alias("n")).where("n > 1")
     stars = stored(bands.join(heads, "key").where("rep <> a").select("a", F.col("rep").alias("b")).distinct(),
                    "nd-stars")
-    sig_a = reps.select(F.col("rep").alias("a"), F.col("sig").alias("sa"))
-    sig_b = reps.select(F.col("rep").alias("b"), F.col("sig").alias("sb"))
+    # Only classes that meet another one are looked at further; up to
+    # MET_BROADCAST of them are found by a scan without a shuffle of the texts.
+    met = stored(stars.select(F.col("b").alias("rep")).union(stars.select("a")).distinct(), "nd-met")
+    met = with_broadcast(met, MET_BROADCAST)
+    known = stored(reps.join(met, "rep", "left_semi"), "nd-known")
+    texts = stored(base.join(met.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi"), "nd-texts")
+    sig_a = known.select(F.col("rep").alias("a"), F.col("sig").alias("sa"))
+    sig_b = known.select(F.col("rep").alias("b"), F.col("sig").alias("sb"))
     least = min_matches(share)
     close = stars.join(sig_b, "b").join(sig_a, "a").select("a", "b", "sa", "sb").mapInArrow(
         partial(_alike, least=least), "a long, b long")
-    # Only texts of classes that meet another one are ever shipped.
-    met = stars.select(F.col("b").alias("doc_id")).union(stars.select("a")).distinct()
-    texts = base.join(met, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     links = stored(verify(stored(close, "nd-close"), texts, shingle, num, den), "nd-links")
     first = components(links)
 
     family = components(stars).withColumnRenamed("comp", "family")
     placed = (family.join(first, "node", "left").select(
         "family", F.col("node").alias("rep"), F.coalesce("comp", "node").alias("comp")))
-    sized = placed.join(reps.select("rep", "n_shingles"), "rep")
+    sized = placed.join(known.select("rep", "n_shingles"), "rep")
     open_families = (sized.groupBy("family")
                      .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                           F.sum(F.col("n_shingles") + BLOCK_ELEMENTS // BLOCK).alias("n"))
@@ -288,7 +293,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, num: int = 80, den: int =
     open_members = stored(placed.join(open_families, "family"), "nd-open")
     elements = (texts.join(open_members.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
                 .select("doc_id", "text").mapInArrow(partial(_set_bytes, shingle=shingle), "rep long, elements binary"))
-    split = (open_members.join(reps.select("rep", "sig"), "rep").join(elements, "rep")
+    split = (open_members.join(known.select("rep", "sig"), "rep").join(elements, "rep")
              .withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
              .select("family", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
