@@ -165,8 +165,10 @@ class Stream:
                 break
             block, tail = data[:cut], data[cut + len(sep):]
             if self.head is not None:
-                if data[cut:cut + len(sep)] == sep:  # else the length is wrong: skipped
+                if data[cut:cut + len(sep)] == sep:
                     yield self.head, block
+                else:  # the length is wrong: skipped up to the next separator
+                    tail = data[cut:]
                 self.head = None
             elif block.startswith(b"WARC/"):
                 self.head = headers(block)
