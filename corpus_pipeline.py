@@ -30,9 +30,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later repeated runs of 50 words or more go; ``n_chars`` follows the text."""
+    """Later repeated runs of 50 words or more go, and documents that have no
+    word left; ``n_chars`` follows the text."""
     runs = line_dedup.repeated_runs(docs.select("doc_id", F.col("text").cast("string").alias("text")), 50)
-    out = line_dedup.without_runs(docs, runs).select(*docs.columns)
+    out = line_dedup.without_runs(docs, runs, keep_emptied=False).select(*docs.columns)
     if "n_chars" in docs.columns:
         n = F.length("text").cast(dict(docs.dtypes)["n_chars"])
         out = out.withColumn("n_chars", F.coalesce(n, F.col("n_chars")))

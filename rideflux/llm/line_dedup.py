@@ -86,10 +86,10 @@ def repeated_runs(docs: DataFrame, min_words: int) -> DataFrame:
     return merged.groupBy("doc_id", "th").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("runs"))
 
 
-def without_runs(docs: DataFrame, runs: DataFrame, counts: bool = False) -> DataFrame:
+def without_runs(docs: DataFrame, runs: DataFrame, counts: bool = False, keep_emptied: bool = True) -> DataFrame:
     """``docs`` (any columns, with ``doc_id`` and ``text``) less the lines in
     ``runs``; with ``counts`` also ``n_lines`` (of the original text) and
-    ``n_removed``."""
+    ``n_removed``.  Rows that lost all their words go unless ``keep_emptied``."""
     names = docs.columns
     th, lo_hi = (_free(names, n) for n in ("th", "runs"))
     rid = _free(names, "run_id")
@@ -100,6 +100,8 @@ def without_runs(docs: DataFrame, runs: DataFrame, counts: bool = False) -> Data
     kept = f"""element_at(transform(array(split(text, '\\n')), ls -> array_join(flatten(transform(
         arrays_zip(concat(array(-1), {lo_hi}.hi), concat({lo_hi}.lo, array(size(ls)))),
         x -> slice(ls, x.`0` + 2, greatest(0, x.`1` - x.`0` - 1)))), '\\n')), 1)"""
+    if not keep_emptied:
+        joined = joined.where(F.expr(f"{lo_hi} IS NULL OR {kept} RLIKE '[^ \\\\t\\\\n\\\\x0B\\\\f\\\\r]'"))
     out = [
         *[F.expr(f"IF({lo_hi} IS NULL, text, {kept})").alias("text") if n == "text" else joined[n] for n in names]]
     if counts:
