@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rideflux.llm.common import ship, stored
+from rideflux.llm.common import ship, stored, with_broadcast
 
 TOKEN = re.compile(r"[^\W\d_]+")
 PREFIXES = (3, 4, 5, 6)
@@ -46,6 +46,8 @@ MIN_ODDS = 1.0
 #: that calibrate it (those with the smallest hashes of their text).
 MAX_FEATURES = 200_000
 MAX_CALIBRATION = 6_000
+#: Most labels that are broadcast (12 bytes each); beyond, texts are shuffled to them.
+MAX_BROADCAST = 2_000_000
 #: Longest text slice tokenised at once; a token never spans two slices.
 SLICE = 1 << 20
 
@@ -150,63 +152,85 @@ class Model:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, w[0] + w[1] * a + w[2] * b))))
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of each class that have a feature, combined per batch."""
+def _count(batches: Iterator[pa.RecordBatch], only: frozenset[str] | None, below: frozenset[str] | None) -> Iterator[pa.RecordBatch]:
+    """Documents of each class that have a feature, combined per batch: all
+    features, those in ``only``, or those of words with a prefix in ``below``."""
     for batch in batches:
         toxic: Counter[str] = Counter()
         clean: Counter[str] = Counter()
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            into = toxic if label else clean
-            into.update({f for w in set(tokens(text)) for f in features(w)})
+            words = set(tokens(text))
+            if below is None:
+                found = {f for w in words for f in features(w)}
+            else:
+                found = {f for w in words for f in _under(features(w), below)}
+            (toxic if label else clean).update(found if only is None else found & only)
         names = list(toxic.keys() | clean.keys())
         yield pa.RecordBatch.from_arrays(
             [pa.array(names, pa.string()), pa.array([toxic[k] for k in names], pa.int64()),
              pa.array([clean[k] for k in names], pa.int64())], ["feature", "y", "z"])
 
 
+def _under(chain: list[str], below: frozenset[str]) -> list[str]:
+    """The features behind the first one of the chain that is in ``below``."""
+    return next((chain[i + 1:] for i, f in enumerate(chain) if f in below), [])
+
+
+def _counted(train: DataFrame, only: frozenset[str] | None = None, below: frozenset[str] | None = None) -> DataFrame:
+    return (train.select("text", "label").mapInArrow(partial(_count, only=only, below=below), "feature string, y long, z long")
+            .groupBy("feature").agg(F.sum("y").alias("y"), F.sum("z").alias("z")))
+
+
+def _strongest(counted: DataFrame, by: F.Column) -> dict[str, tuple[int, int]]:
+    rows = counted.orderBy(by.desc(), "feature").limit(MAX_FEATURES).collect()
+    return {r.feature: (r.y, r.z) for r in rows}
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Model from ``docs (doc_id, text)`` and ``labels (doc_id, label)``.
 
-    Counts cover all labelled documents given; the driver receives at most
-    ``MAX_FEATURES`` features (the strongest ones, and below their prefixes
-    the ones that say otherwise) and ``MAX_CALIBRATION`` texts.  Without
-    labels of both classes the model scores every text alike.
+    Counts cover all labelled documents given, in three passes: features of
+    toxic documents, how many clean ones have those, and the features below
+    prefixes that raise scores, which may say otherwise.  The driver receives
+    at most ``MAX_FEATURES`` features a pass (those in most documents).
+    Without labels of both classes the model finds every text clean.
     """
-    marked = labels.where("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
-    train = stored(docs.where("text IS NOT NULL AND doc_id IS NOT NULL").join(marked, "doc_id")
-                   .select("text", F.col("label").cast("int").alias("label")), "tox-train")
+    marked = labels.where("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(
+        F.max("label").cast("int").alias("label"))
+    marked = with_broadcast(stored(marked, "tox-labels"), MAX_BROADCAST)
+    train = docs.where("text IS NOT NULL").join(marked, "doc_id").select("text", "label")
     n = {r.label: r.n for r in train.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(n) < 2:
-        return Model(base=0.5, weights=(0.0 if not n else (2.0 if 1 in n else -2.0), 0.0, 0.0))
+        return Model(base=0.5, weights=(-2.0, 0.0, 0.0))
     base = n[1] / (n[0] + n[1])
-    counted = (train.mapInArrow(_count, "feature string, y long, z long")
-               .groupBy("feature").agg(F.sum("y").alias("y"), F.sum("z").alias("z")).where(f"y + z >= {MIN_TOXIC}"))
-    counted = stored(counted, "tox-features")
-    share = (F.col("y") + PRIOR * base) / (F.col("y") + F.col("z") + PRIOR)
-    odds = F.log(share / (1 - share)) - math.log(base / (1 - base))
-    strong = (counted.where(f"y >= {MIN_TOXIC}").where(odds >= MIN_ODDS).orderBy(odds.desc(), F.col("y").desc(), "feature")
-              .limit(MAX_FEATURES // 2).select("feature", "y", "z"))
-    model = Model(base=base, counts={r.feature: (r.y, r.z) for r in strong.collect()})
-    stems = [f[:-1] for f in model.counts if f.endswith("*")]
-    if stems:  # what is below a strong prefix must be known, also where it is harmless
-        stem = docs.sparkSession.createDataFrame([(s, len(s)) for s in stems], "stem string, len int")
-        below = (counted.join(F.broadcast(stem), F.expr("startswith(feature, stem) AND feature <> concat(stem, '*')"))
-                 if len(stems) <= 64 else
-                 counted.select("feature", "y", "z", F.explode(F.array(*[F.lit(k) for k in PREFIXES])).alias("len"))
-                 .withColumn("stem", F.expr("substr(feature, 1, len)")).join(F.broadcast(stem), ["stem", "len"]))
-        more = (below.select("feature", "y", "z").distinct().orderBy((F.col("y") + F.col("z")).desc(), "feature")
-                .limit(MAX_FEATURES // 2))
-        model.counts.update({r.feature: (r.y, r.z) for r in more.collect()})
-
-    sample = train.withColumn("o", F.xxhash64("text"))
-    half = MAX_CALIBRATION // 2
-    rows = [r for k in (0, 1) for r in sample.where(F.col("label") == k).orderBy("o").limit(half)
-            .select(F.col("text"), "label").mapInArrow(partial(_spans, model=model), "label int, n long, best array<double>")
-            .collect()]
-    _calibrate(model, [(r.label, r.n, [(0, 0, s) for s in r.best]) for r in rows], n)
+    toxic = _strongest(_counted(train.where("label = 1")).where(f"y >= {MIN_TOXIC}"), F.col("y"))
+    clean = _strongest(_counted(train.where("label = 0"), only=frozenset(toxic)), F.col("z"))
+    model = Model(base=base)
+    for f, (y, _) in toxic.items():
+        z = clean.get(f, (0, 0))[1]
+        share = (y + PRIOR * base) / (y + z + PRIOR)
+        if math.log(share / (1 - share)) - math.log(base / (1 - base)) >= MIN_ODDS:
+            model.counts[f] = (y, z)
+    stems = frozenset(f for f in model.counts if f.endswith("*"))
+    if stems:
+        below = _counted(train, below=stems).where(f"y + z >= {MIN_TOXIC}")
+        model.counts.update(_strongest(below, F.col("y") + F.col("z")))
+    _calibrate(model, _calibration_rows(train, model), n)
     return model
 
 
+def _calibration_rows(train: DataFrame, model: Model) -> list[tuple[int, int, list]]:
+    """(label, tokens, segments) of the texts with the smallest hashes, half of
+    ``MAX_CALIBRATION`` from each class; only hashes are sorted."""
+    order = F.xxhash64("text")
+    cuts = [train.where(F.col("label") == k).select(order.alias("o")).orderBy("o").limit(MAX_CALIBRATION // 2)
+            .agg(F.max("o")).first()[0] for k in (0, 1)]
+    sample = train.where(order <= F.when(F.col("label") == 1, cuts[1]).otherwise(cuts[0]))
+    sample = sample.withColumn("o", order).dropDuplicates(["o", "label"])  # a text may be repeated many times
+    rows = sample.select("text", "label").mapInArrow(partial(_spans, model=model), "label int, n long, best array<double>").collect()
+    return [(r.label, r.n, [(0, 0, s) for s in r.best]) for r in sorted(rows)]
+
+
 def _spans(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for b in batches:
         labels = b.column(1).to_pylist()
@@ -289,7 +313,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Labels of null ids and null labels are ignored; of repeated labels for one
     id the larger counts.  Without usable labels of both classes all scores
-    are equal.  An empty ``docs`` gives no rows.
+    are equal and below one half.  An empty ``docs`` gives no rows.
     """
     ship(docs.sparkSession)
     seen = labels.select("doc_id", F.col("toxic").alias("label")).where(~held_out())
