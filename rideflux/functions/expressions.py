@@ -34,7 +34,9 @@ def parse_event_time(s: ColumnOrName) -> Column:
     Producers send naive UTC strings; a missing zone is read as UTC so the
     instant does not depend on the session time zone.  (Spark accepts a zone
     only after the seconds, so date-only and minute-precision text are
-    completed first.)
+    completed first.)  Every other form that Spark parses (shorter dates,
+    hours only, zone names) is read as Spark reads it, in the session zone,
+    which the library pins to UTC.
     """
     s = _c(s)
     with_zone = (
@@ -43,7 +45,7 @@ def parse_event_time(s: ColumnOrName) -> Column:
         .when(s.rlike(_NO_SECONDS), F.concat(s, F.lit(":00Z")))
         .otherwise(F.concat(s, F.lit("Z")))
     )
-    return F.try_to_timestamp(with_zone)
+    return F.coalesce(F.try_to_timestamp(with_zone), F.try_to_timestamp(s))
 
 
 def as_date(d: dt.date | str | Column) -> Column:
@@ -81,22 +83,27 @@ def pct(num: ColumnOrName, den: ColumnOrName) -> Column:
 
 
 def money_sum(x: ColumnOrName) -> Column:
-    """Exact sum of 2-decimal money values: decimal arithmetic, double out.
+    """Exact sum (see ``gold.EXACT_SUM``): decimal arithmetic, double out.
 
     A double sum depends on row order, so two engines (or two partitionings)
-    could round a tie differently; a decimal sum cannot.
+    could round a tie differently; a decimal sum cannot.  Values that no
+    decimal holds make it the plain double sum.
     """
-    return F.sum(_c(x).try_cast("decimal(18,2)")).cast("double")
+    v = _c(x).cast("double")
+    d = v.try_cast("decimal(28,10)")
+    return F.coalesce(F.when(F.count(d) == F.count(v), F.try_sum(d).cast("double")), F.sum(v))
 
 
 def exact_avg(x: ColumnOrName) -> Column:
-    """Average of a fixed-decimal column from its exact decimal sum.
+    """Average from the exact decimal sum (see ``gold.EXACT_AVG``).
 
     One division of two exactly known numbers: the result does not depend
-    on the order rows were summed in (see ``gold.EXACT_AVG``).
+    on the order rows were summed in.
     """
-    d = _c(x).try_cast("decimal(20,4)")  # NaN / out of range → null, skipped
-    return F.try_divide(F.sum(d).cast("double"), F.count(d))
+    v = _c(x).cast("double")
+    d = v.try_cast("decimal(28,10)")
+    return F.coalesce(
+        F.when(F.count(d) == F.count(v), F.try_divide(F.try_sum(d).cast("double"), F.count(v))), F.avg(v))
 
 
 # --- labels ------------------------------------------------------------------

@@ -23,16 +23,16 @@ from rideflux import schemas as S
 # one call, where the equivalent nest of Column functions costs a driver
 # round-trip per function (plan-building time, not execution time).
 
-# Input values are cast with TRY_CAST: NaN or a value too large for the
-# decimal becomes null and is skipped (an ANSI cast error would stop the query).
-MONEY_SUM = "CAST(sum(TRY_CAST({x} AS DECIMAL(18,2))) AS DOUBLE)"
-
-# Average of a fixed-decimal input (fares, surge, distances, minutes, ratings,
-# speeds: at most 2 decimals at the source) from its exact decimal sum: one
-# division of two exactly known numbers, so the result, and how it rounds at
-# a tie, does not depend on the order rows were summed in (partitioning,
-# micro-batching).  A double avg() could round 101.105 either way.
-EXACT_AVG = "try_divide(CAST(sum(TRY_CAST({x} AS DECIMAL(20,4))) AS DOUBLE), count(TRY_CAST({x} AS DECIMAL(20,4))))"
+# Sums and averages are taken from decimal(28,10) values: ten decimals hold
+# what the sources send, so nothing is rounded first, and an exact sum does not
+# depend on the order of rows (partitioning, micro-batching); a double sum
+# could round 101.105 either way.  Where a value of the group does not fit
+# (NaN, 1e18 or more), the group's plain double sum or average is taken: no
+# value is left out.
+_D = "TRY_CAST({x} AS DECIMAL(28,10))"
+_FITS = f"count({_D}) = count({{x}})"
+EXACT_SUM = f"coalesce(IF({_FITS}, CAST(try_sum({_D}) AS DOUBLE), NULL), sum({{x}}))"
+EXACT_AVG = f"coalesce(IF({_FITS}, try_divide(CAST(try_sum({_D}) AS DOUBLE), count({{x}})), NULL), avg({{x}}))"
 
 
 def _avg(x: str) -> str:
@@ -59,7 +59,7 @@ def ride_demand_by_zone(requests: DataFrame, watermark: str | None = None) -> Da
             "count(1) AS total_requests",
             f"{_avg('estimated_fare')} AS _fare",
             f"{_avg('surge_multiplier')} AS _surge",
-            f"{MONEY_SUM.format(x='distance_km')} AS _distance",
+            f"{EXACT_SUM.format(x='distance_km')} AS _distance",
         ],
         [
             "window.start AS window_start", "window.end AS window_end",
@@ -135,7 +135,7 @@ def revenue_analytics(completed: DataFrame, watermark: str | None = None) -> Dat
         df, w, ["pickup_zone_id", "ride_type", "payment_mode"],
         [
             "count(1) AS completed_rides",
-            f"{MONEY_SUM.format(x='actual_fare')} AS _revenue",
+            f"{EXACT_SUM.format(x='actual_fare')} AS _revenue",
             f"{_avg('actual_fare')} AS _fare",
             f"{_avg('driver_rating')} AS _rating",
             f"{_avg('wait_time_minutes')} AS _wait",

@@ -7,6 +7,8 @@ of the table the caller passes in.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from rideflux.functions.expressions import (
     as_date, availability_band, day_end, exact_avg, heatmap_band, in_trailing_days, money_sum, on_day, pct, ratio_or_zero,
     surge_tier,
 )
+from rideflux.operators.gold import EXACT_AVG
 from rideflux.operators.joins import ride_lifecycle
 from rideflux.plans.measures import demand_heatmap_score
 
@@ -76,8 +79,9 @@ def hourly_volume_surge(demand: DataFrame) -> DataFrame:
     """Rides and request-weighted surge per hour of day."""
     return demand.groupBy(F.hour("window_start").alias("hour")).agg(
         F.sum("total_requests").alias("rides"),
-        F.sum(F.col("avg_surge").cast("decimal(18,3)") * F.col("total_requests")).cast("double").alias("_w"),
-    ).select("hour", "rides", F.round(F.col("_w") / F.col("rides"), 3).alias("avg_surge"))
+        money_sum(F.col("avg_surge") * F.col("total_requests")).alias("_w"),
+        F.sum(F.when(F.col("avg_surge").isNotNull(), F.col("total_requests"))).alias("_n"),
+    ).select("hour", "rides", F.round(F.try_divide("_w", "_n"), 3).alias("avg_surge"))
 
 
 def surge_by_ride_type(surge: DataFrame) -> DataFrame:
@@ -160,7 +164,8 @@ def payment_mode_share(revenue: DataFrame) -> DataFrame:
 
 
 def revenue_hour_by_type(revenue: DataFrame) -> DataFrame:
-    """Hourly revenue with one column per ride type.
+    """Hourly revenue with one column per ride type, and ``Other`` for the rest
+    (unknown and null types).
 
     A pivot over the known types written as conditional sums: one aggregate
     (partial → exchange → final) instead of the two levels ``pivot`` plans.
@@ -168,7 +173,8 @@ def revenue_hour_by_type(revenue: DataFrame) -> DataFrame:
     return revenue.groupBy(F.hour("window_start").alias("hour")).agg(*[
         F.coalesce(money_sum(F.when(F.col("ride_type") == t, F.col("total_revenue"))), F.lit(0.0)).alias(t)
         for t in S.RIDE_TYPES
-    ])
+    ], F.coalesce(money_sum(F.when(~F.coalesce(F.col("ride_type").isin(*S.RIDE_TYPES), F.lit(False)),
+                                   F.col("total_revenue"))), F.lit(0.0)).alias("Other"))
 
 
 def revenue_by_zone(revenue: DataFrame) -> DataFrame:
@@ -182,12 +188,14 @@ def revenue_by_zone(revenue: DataFrame) -> DataFrame:
 def cancel_rate_by_zone(cancels: DataFrame) -> DataFrame:
     return cancels.groupBy("zone_id").agg(
         F.sum("total").alias("total"), F.sum("cancelled").alias("cancelled"),
-    ).withColumn("cancellation_rate", F.round(F.col("cancelled") / F.col("total"), 4))
+    ).withColumn("cancellation_rate", F.round(F.try_divide("cancelled", "total"), 4))
 
 
 def wait_last_12h(revenue: DataFrame, as_of) -> DataFrame:
-    """Mean of hourly average waits for the last 12 hours of ``as_of``."""
-    end = day_end(as_of)
+    """Mean of hourly average waits in the 12 hours up to ``as_of``: a point in
+    time (datetime), or a date for the end of that day."""
+    at = isinstance(as_of, dt.datetime)
+    end = F.lit(as_of).cast("timestamp_ntz") if at else day_end(as_of)
     start = end - F.expr("INTERVAL 12 HOURS")
     return (
         revenue.where((F.col("window_start") >= start) & (F.col("window_start") < end))
@@ -234,8 +242,7 @@ def ops_stats(requests: DataFrame, completed: DataFrame, pings: DataFrame) -> Da
     micros = "unix_micros(CAST(event_ts AS TIMESTAMP))"
 
     def avg2(c: str) -> str:
-        d = f"TRY_CAST({c} AS DECIMAL(20,4))"
-        return f"round(try_divide(CAST(sum({d}) AS DOUBLE), count({d})), 2)"
+        return f"round({EXACT_AVG.format(x=c)}, 2)"
 
     return events.agg(
         F.expr(f"{avg2('duration')} AS avg_trip_duration"),

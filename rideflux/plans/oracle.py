@@ -6,8 +6,8 @@ restate :mod:`rideflux.sources.adapter` in SQL; the gold CTEs restate
 
 * ``R(e, n)``: Spark rounds HALF_UP on the decimal text of a double; DuckDB
   does the same after ``double → varchar → decimal``.
-* Money sums run in ``decimal(18,2)`` in both engines; averages of
-  fixed-decimal inputs divide an exact decimal sum by the count (``AVGX``).
+* Sums run in ``decimal(28,10)`` in both engines, averages divide such a sum by
+  the count (``AVGX``); a test holds both to plain double ``sum`` / ``avg``.
 * Double literals are written ``1.0e0``: a bare ``1.0`` is DECIMAL in DuckDB.
 """
 
@@ -23,13 +23,16 @@ def R(e: str, n: int) -> str:
 
 
 def AVGX(e: str) -> str:
-    """Average from the exact decimal sum (as ``gold.EXACT_AVG``)."""
-    d = f"TRY_CAST(({e}) AS DECIMAL(20,4))"
-    return f"(CAST(sum({d}) AS DOUBLE) / nullif(count({d}), 0))"
+    """Average from the exact decimal sum, plain where a value does not fit."""
+    d = f"TRY_CAST(CAST(({e}) AS VARCHAR) AS DECIMAL(28,10))"
+    return (f"CASE WHEN count({d}) = count({e}) THEN CAST(sum({d}) AS DOUBLE) / nullif(count({e}), 0) "
+            f"ELSE avg(CAST(({e}) AS DOUBLE)) END")
 
 
 def MONEY(e: str) -> str:
-    return f"CAST(sum(TRY_CAST(({e}) AS DECIMAL(18,2))) AS DOUBLE)"
+    d = f"TRY_CAST(CAST(({e}) AS VARCHAR) AS DECIMAL(28,10))"
+    return (f"(CASE WHEN count({d}) = count({e}) THEN CAST(sum({d}) AS DOUBLE) "
+            f"ELSE sum(CAST(({e}) AS DOUBLE)) END)")
 
 
 def PCT(num: str, den: str) -> str:
