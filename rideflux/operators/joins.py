@@ -9,9 +9,8 @@ Scale notes
   repeated a million times collapses map-side), then joins on the unique key:
   both sides arrive hash-partitioned on ``ride_id`` and the join reuses it.
 * ``assign_zone`` uses the fixed zone table as a literal array: a projection,
-  no join, no shuffle.  ``assign_zone_join`` takes a zone DataFrame instead;
-  it broadcasts it only after checking its row count, and above the limit
-  switches to an exact grid-cell equi-join.
+  no join, no shuffle.  ``assign_zone_join`` takes a zone DataFrame instead:
+  an exact equi-join on grid cells of several levels.
 """
 
 from __future__ import annotations
@@ -21,8 +20,10 @@ from pyspark.sql import functions as F
 
 from rideflux import schemas as S
 from rideflux.functions.expressions import cancel_flag, zone_of_point
+from rideflux.operators.gold import EXACT_SUM
 
-MAX_BROADCAST_ZONES = 100_000
+#: Coarsest grid level: cells of 2 ** MAX_LEVEL base cells.
+MAX_LEVEL = 40
 
 
 def zone_performance(demand: DataFrame, revenue: DataFrame, cancels: DataFrame) -> DataFrame:
@@ -32,38 +33,32 @@ def zone_performance(demand: DataFrame, revenue: DataFrame, cancels: DataFrame)
     Same rows as a full outer join of three per-zone aggregates, planned as
     the three gold inputs unioned (each padded with nulls for the others'
     columns) and one ``groupBy(zone_id)``: one shuffle instead of three
-    aggregates and two joins.  Weighted sums are exact decimals.
+    aggregates and two joins.  A window without an average has no weight in
+    it; sums are exact (``gold.EXACT_SUM``).
     """
-    d = demand.selectExpr(
-        "zone_id", "total_requests AS _req",
-        "CAST(avg_estimated_fare AS DECIMAL(18,2)) * total_requests AS _fare_w",
-        "CAST(avg_surge AS DECIMAL(18,3)) * total_requests AS _surge_w",
-        "CAST(NULL AS DECIMAL(18,2)) AS _rev", "CAST(NULL AS BIGINT) AS _cancelled", "CAST(NULL AS BIGINT) AS _total",
-    )
-    r = revenue.selectExpr(
-        "zone_id", "CAST(NULL AS BIGINT) AS _req", "CAST(NULL AS DECIMAL(38,2)) AS _fare_w",
-        "CAST(NULL AS DECIMAL(38,3)) AS _surge_w", "CAST(total_revenue AS DECIMAL(18,2)) AS _rev",
-        "CAST(NULL AS BIGINT) AS _cancelled", "CAST(NULL AS BIGINT) AS _total",
-    )
-    c = cancels.selectExpr(
-        "zone_id", "CAST(NULL AS BIGINT) AS _req", "CAST(NULL AS DECIMAL(38,2)) AS _fare_w",
-        "CAST(NULL AS DECIMAL(38,3)) AS _surge_w", "CAST(NULL AS DECIMAL(18,2)) AS _rev",
-        "total AS _total", "cancelled AS _cancelled",
-    )
+    columns = {"_req": "BIGINT", "_fare_w": "DOUBLE", "_fare_n": "BIGINT", "_surge_w": "DOUBLE", "_surge_n": "BIGINT",
+               "_rev": "DOUBLE", "_total": "BIGINT", "_cancelled": "BIGINT"}
+
+    def padded(df: DataFrame, **given: str) -> DataFrame:
+        return df.selectExpr("zone_id", *[f"CAST({given.get(c, 'NULL')} AS {t}) AS {c}" for c, t in columns.items()])
+
+    d = padded(
+        demand, _req="total_requests", _fare_w="avg_estimated_fare * total_requests", _surge_w="avg_surge * total_requests",
+        _fare_n="IF(avg_estimated_fare IS NULL, NULL, total_requests)", _surge_n="IF(avg_surge IS NULL, NULL, total_requests)")
+    r = padded(revenue, _rev="total_revenue")
+    c = padded(cancels, _total="total", _cancelled="cancelled")
     per_zone = d.unionByName(r).unionByName(c).groupBy("zone_id").agg(
         F.expr("sum(_req) AS requests"),
-        F.expr("CAST(sum(_fare_w) AS DOUBLE) AS _fare_w"),
-        F.expr("CAST(sum(_surge_w) AS DOUBLE) AS _surge_w"),
-        F.expr("CAST(sum(_rev) AS DOUBLE) AS revenue"),
-        F.expr("sum(_cancelled) AS _cancelled"),
-        F.expr("sum(_total) AS _total"),
+        *[F.expr(f"{EXACT_SUM.format(x=x)} AS {name}")
+          for x, name in (("_fare_w", "_fare_w"), ("_surge_w", "_surge_w"), ("_rev", "revenue"))],
+        *[F.expr(f"sum({x}) AS {x}") for x in ("_fare_n", "_surge_n", "_cancelled", "_total")],
     )
     return per_zone.selectExpr(
         "zone_id", "requests",
-        "round(_fare_w / requests, 2) AS avg_fare",
-        "round(_surge_w / requests, 3) AS avg_surge",
+        "round(try_divide(_fare_w, _fare_n), 2) AS avg_fare",
+        "round(try_divide(_surge_w, _surge_n), 3) AS avg_surge",
         "revenue",
-        "round(_cancelled / _total, 4) AS cancel_rate",
+        "round(try_divide(_cancelled, _total), 4) AS cancel_rate",
     ).withColumn("cancel_flag", cancel_flag("cancel_rate")).withColumn(
         "high_surge", F.col("avg_surge") >= F.lit(S.SURGE_FLAG_THRESHOLD))
 
@@ -72,7 +67,7 @@ def _first_per_ride(df: DataFrame, cols: list[str], latest: bool) -> DataFrame:
     """One row per ride_id: earliest (or latest) by (event_ts, event_id)."""
     pick = "max" if latest else "min"
     packed = ", ".join(["event_ts", "event_id", *cols])
-    return df.groupBy("ride_id").agg(F.expr(f"{pick}(struct({packed})) AS _r")).selectExpr(
+    return df.where("ride_id IS NOT NULL").groupBy("ride_id").agg(F.expr(f"{pick}(struct({packed})) AS _r")).selectExpr(
         "ride_id", *[f"_r.{c} AS {c}" for c in ("event_ts", *cols)])
 
 
@@ -80,12 +75,15 @@ def ride_lifecycle(requests: DataFrame, completed: DataFrame) -> DataFrame:
     """Each requested ride with its outcome (left join on the unique ride id).
 
     Duplicate deliveries are removed first: the earliest request and the
-    latest completion of a ride are kept.
+    latest completion of a ride are kept.  Requests without a ride id are
+    rides of their own, with no outcome.
     """
-    r = _first_per_ride(requests, ["pickup_zone_id", "ride_type", "status", "estimated_fare"], latest=False)
+    cols = ["pickup_zone_id", "ride_type", "status", "estimated_fare"]
+    r = _first_per_ride(requests, cols, latest=False)
     c = _first_per_ride(completed, ["status", "actual_fare"], latest=True).selectExpr(
         "ride_id", "event_ts AS finished_at", "status AS _c_status", "actual_fare")
-    return r.join(c, "ride_id", "left").selectExpr(
+    alone = requests.where("ride_id IS NULL").select("ride_id", "event_ts", *cols)
+    return r.join(c, "ride_id", "left").unionByName(alone, allowMissingColumns=True).selectExpr(
         "ride_id", "pickup_zone_id", "ride_type", "event_ts AS requested_at", "finished_at",
         "coalesce(_c_status, status) AS status", "estimated_fare", "actual_fare",
         "round(actual_fare - estimated_fare, 2) AS fare_delta",
@@ -98,38 +96,38 @@ def assign_zone(points: DataFrame, lat: str = "latitude", lng: str = "longitude"
     return points.withColumn(out, zone_of_point(lat, lng))
 
 
-def assign_zone_join(points: DataFrame, zones: DataFrame, key: str = "event_id", lat: str = "latitude",
-                     lng: str = "longitude", out: str = "assigned_zone_id", cell_deg: float = 0.01,
-                     max_broadcast: int = MAX_BROADCAST_ZONES) -> DataFrame:
+def assign_zone_join(points: DataFrame, zones: DataFrame, lat: str = "latitude", lng: str = "longitude",
+                     out: str = "assigned_zone_id", cell_deg: float = 0.01) -> DataFrame:
     """Same result with a caller's zone table (zone_id, lat_lo, lat_hi, lng_lo, lng_hi).
 
-    Up to ``max_broadcast`` zones (row count checked first) the zone table is
-    broadcast and the range join streams the points without moving them.
-    Above that, an exact grid join: each box is listed under every grid cell
-    it touches, each point under its own cell, the two meet on an equi-join
-    of cell ids (AQE splits a hot cell), and the containment test removes
-    the false matches.  Either way the smallest matching zone per point is
-    picked by an aggregate on ``key``.
+    Boxes are listed by grid cell.  A box goes to the grid level whose cells
+    are at least as long as its longer side (each level doubles the cell), so
+    it lies in at most four cells, however large it is.  Per level (at most
+    ``MAX_LEVEL`` + 1, usually a few) the points are joined to their one cell:
+    an equi-join on a unique key, so every point comes back exactly once, a
+    small zone table is broadcast by Spark and a hot cell is split by AQE.
+    Points without coordinates, and boxes without all four sides, match nothing.
     """
-    z = zones.select(F.col("zone_id").alias("_zid"), "lat_lo", "lat_hi", "lng_lo", "lng_hi")
-    inside = (F.col(lat).between(F.col("lat_lo"), F.col("lat_hi"))
-              & F.col(lng).between(F.col("lng_lo"), F.col("lng_hi")))
-    if zones.count() <= max_broadcast:
-        matched = points.join(F.broadcast(z), inside, "left")
-    else:
-        cell = F.lit(cell_deg)
-        z_cells = z.select(
-            "*",
-            F.explode(F.sequence(F.floor(F.col("lat_lo") / cell), F.floor(F.col("lat_hi") / cell))).alias("_cx"),
-        ).select(
-            "*",
-            F.explode(F.sequence(F.floor(F.col("lng_lo") / cell), F.floor(F.col("lng_hi") / cell))).alias("_cy"),
-        )
-        p_cells = points.withColumns({"_cx": F.floor(F.col(lat) / cell), "_cy": F.floor(F.col(lng) / cell)})
-        # a candidate box that does not contain the point becomes a null
-        # match (not a dropped row), so every point keeps at least one row
-        matched = p_cells.join(z_cells, ["_cx", "_cy"], "left").withColumn("_zid", F.when(inside, F.col("_zid")))
-    other = [c for c in points.columns if c != key]
-    return matched.groupBy(key).agg(
-        *[F.first(c).alias(c) for c in other], F.min("_zid").alias(out)
-    ).select(*points.columns, out)
+    size = F.greatest(F.col("lat_hi") - F.col("lat_lo"), F.col("lng_hi") - F.col("lng_lo"))
+    level = F.greatest(F.lit(0), F.least(F.lit(MAX_LEVEL), F.ceil(F.log2(F.greatest(size, F.lit(cell_deg)) / cell_deg))))
+    boxes = zones.select("zone_id", *[F.col(c).cast("double").alias(c) for c in ("lat_lo", "lat_hi", "lng_lo", "lng_hi")])
+    boxes = boxes.where("zone_id IS NOT NULL AND lat_lo <= lat_hi AND lng_lo <= lng_hi").withColumn("_level", level.cast("int"))
+
+    def cell(c: str, n: int):
+        v = F.col(c).cast("double")
+        return F.when(F.abs(v) < 1e6, F.floor(v / (cell_deg * 2 ** n)))
+
+    result, found = points, []
+    for n in sorted(r[0] for r in boxes.select("_level").distinct().collect()):
+        cells = boxes.where(F.col("_level") == n)
+        for axis in ("lat", "lng"):
+            cells = cells.withColumn(f"_rf_{axis}{n}", F.explode(F.sequence(cell(f"{axis}_lo", n), cell(f"{axis}_hi", n))))
+        keys = [f"_rf_lat{n}", f"_rf_lng{n}"]
+        cells = cells.groupBy(*keys).agg(
+            F.collect_list(F.struct("zone_id", "lat_lo", "lat_hi", "lng_lo", "lng_hi")).alias(f"_rf_boxes{n}"))
+        result = result.withColumns({keys[0]: cell(lat, n), keys[1]: cell(lng, n)}).join(cells, keys, "left")
+        inside = F.filter(f"_rf_boxes{n}", lambda z: F.col(lat).between(z["lat_lo"], z["lat_hi"])
+                          & F.col(lng).between(z["lng_lo"], z["lng_hi"]))
+        found.append(F.array_min(F.transform(inside, lambda z: z["zone_id"])))
+    best = F.least(*found) if len(found) > 1 else (found or [F.lit(None).cast("string")])[0]
+    return result.select(*points.columns, best.alias(out))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from rideflux import schemas as S
@@ -65,9 +67,10 @@ def cancel_rate_vs_last_week(spark, sf_dir):
 
 
 @register("hourly_volume_surge", with_ctes("demand") + f"""
-SELECT hour, rides, {R('w / rides', 3)} AS avg_surge
+SELECT hour, rides, {R('w / nullif(n, 0)', 3)} AS avg_surge
 FROM (SELECT {HOUR} AS hour, CAST(sum(total_requests) AS BIGINT) AS rides,
-             CAST(sum(CAST(avg_surge AS DECIMAL(18,3)) * total_requests) AS DOUBLE) AS w
+             CAST(sum(CAST(avg_surge AS DECIMAL(18,3)) * total_requests) AS DOUBLE) AS w,
+             sum(total_requests) FILTER (avg_surge IS NOT NULL) AS n
       FROM demand GROUP BY 1)""")
 def hourly_volume_surge(spark, sf_dir):
     return DB.hourly_volume_surge(gold(spark, sf_dir, "ride_demand_by_zone"))
@@ -162,7 +165,8 @@ def payment_mode_share(spark, sf_dir):
 
 _PIVOT_COLS = ", ".join(
     f"coalesce({MONEY(f'CASE WHEN ride_type = {chr(39)}{t}{chr(39)} THEN total_revenue END')}, 0.0e0) AS \"{t}\""
-    for t in S.RIDE_TYPES)
+    for t in S.RIDE_TYPES) + f""", coalesce({MONEY(
+    "CASE WHEN coalesce(ride_type, '') NOT IN (" + ", ".join(f"'{t}'" for t in S.RIDE_TYPES) + ") THEN total_revenue END")}, 0.0e0) AS "Other\""""
 
 
 @register("revenue_hour_by_type", with_ctes("revenue") + f"SELECT {HOUR} AS hour, {_PIVOT_COLS} FROM revenue GROUP BY 1")
@@ -193,6 +197,16 @@ def wait_last_12h(spark, sf_dir):
     return DB.wait_last_12h(gold_days(spark, sf_dir, "revenue_analytics", AS_OF, 1), AS_OF)
 
 
+@register("wait_last_12h_at", with_ctes("revenue") + f"""
+SELECT window_start, {R(AVGX('avg_wait_time'), 2)} AS avg_wait_time FROM revenue
+WHERE window_start >= CAST({D} AS TIMESTAMP) - INTERVAL '4 hours' AND window_start < CAST({D} AS TIMESTAMP) + INTERVAL '8 hours'
+GROUP BY window_start""")
+def wait_last_12h_at(spark, sf_dir):
+    """Up to 08:00 of the day."""
+    at = dt.datetime.combine(dt.date.fromisoformat(AS_OF), dt.time(8))
+    return DB.wait_last_12h(gold_days(spark, sf_dir, "revenue_analytics", AS_OF, 2), at)
+
+
 @register("rating_histogram", with_ctes("cmp") + """
 SELECT b.stars, coalesce(c.rides, 0) AS rides
 FROM (SELECT CAST(i AS BIGINT) AS stars FROM range(1, 6) t(i)) b
@@ -236,23 +250,26 @@ def ops_stats(spark, sf_dir):
 
 # --- joins -------------------------------------------------------------------
 
-@register("zone_performance", with_ctes("demand", "revenue", "cancels") + f"""
+_ZONE_SQL = f"""
 SELECT coalesce(d.zone_id, r.zone_id, c.zone_id) AS zone_id, d.requests, d.avg_fare, d.avg_surge, r.revenue,
        c.cancel_rate,
        CASE WHEN c.cancel_rate > 0.18e0 THEN 'high' WHEN c.cancel_rate > 0.13e0 THEN 'elevated' ELSE 'normal' END
          AS cancel_flag,
        d.avg_surge >= 1.5e0 AS high_surge
 FROM (SELECT zone_id, CAST(sum(total_requests) AS BIGINT) AS requests,
-             {R('CAST(sum(CAST(avg_estimated_fare AS DECIMAL(18,2)) * total_requests) AS DOUBLE) / sum(total_requests)', 2)}
+             {R('CAST(sum(CAST(avg_estimated_fare AS DECIMAL(18,2)) * total_requests) AS DOUBLE) / nullif(sum(total_requests) FILTER (avg_estimated_fare IS NOT NULL), 0)', 2)}
                AS avg_fare,
-             {R('CAST(sum(CAST(avg_surge AS DECIMAL(18,3)) * total_requests) AS DOUBLE) / sum(total_requests)', 3)}
+             {R('CAST(sum(CAST(avg_surge AS DECIMAL(18,3)) * total_requests) AS DOUBLE) / nullif(sum(total_requests) FILTER (avg_surge IS NOT NULL), 0)', 3)}
                AS avg_surge
       FROM demand GROUP BY zone_id) d
 FULL OUTER JOIN (SELECT zone_id, {MONEY('total_revenue')} AS revenue FROM revenue GROUP BY zone_id) r
   ON d.zone_id = r.zone_id
 FULL OUTER JOIN (SELECT zone_id, {R('CAST(sum(cancelled) AS DOUBLE) / sum(total)', 4)} AS cancel_rate
                  FROM cancels GROUP BY zone_id) c
-  ON coalesce(d.zone_id, r.zone_id) = c.zone_id""")
+  ON coalesce(d.zone_id, r.zone_id) = c.zone_id"""
+
+
+@register("zone_performance", with_ctes("demand", "revenue", "cancels") + _ZONE_SQL)
 def zone_performance(spark, sf_dir):
     return J.zone_performance(gold(spark, sf_dir, "ride_demand_by_zone"), gold(spark, sf_dir, "revenue_analytics"),
                               gold(spark, sf_dir, "cancellation_analytics"))
@@ -273,6 +290,59 @@ def assign_zone(spark, sf_dir):
     return J.assign_zone(pings)
 
 
+# The same joins on inputs with duplicate, missing and one-sided keys.
+
+_DIRTY_REQ_SQL = """dreq0 AS (SELECT * REPLACE (CASE WHEN CAST(substr(event_id, 5) AS BIGINT) % 7 <> 0 THEN ride_id END AS ride_id)
+           FROM req),
+dreq AS (SELECT * FROM dreq0 UNION ALL SELECT * FROM dreq0 WHERE CAST(substr(event_id, 5) AS BIGINT) % 5 = 0)"""
+
+
+def _dirty_req(spark, sf_dir):
+    r = _req(spark, sf_dir).withColumn("ride_id", F.expr("IF(CAST(substr(event_id, 5) AS BIGINT) % 7 <> 0, ride_id, NULL)"))
+    return r.unionByName(r.where("CAST(substr(event_id, 5) AS BIGINT) % 5 = 0"))
+
+
+@register("ride_lifecycle_dirty", with_ctes("req", "cmp", extra=[_DIRTY_REQ_SQL, _LIFECYCLE_SQL.replace(
+    "FROM (SELECT * FROM req QUALIFY", "FROM (SELECT * FROM dreq WHERE ride_id IS NOT NULL QUALIFY")]) + """
+SELECT * FROM lifecycle
+UNION ALL
+SELECT ride_id, pickup_zone_id, ride_type, event_ts, NULL, status, estimated_fare, NULL, NULL FROM dreq WHERE ride_id IS NULL""")
+def ride_lifecycle_dirty(spark, sf_dir):
+    return J.ride_lifecycle(_dirty_req(spark, sf_dir), _cmp(spark, sf_dir))
+
+
+@register("assign_zone_by_table", with_ctes("png") + """
+SELECT event_id, latitude, longitude, zone_id,
+       (SELECT min(z.zone_id) FROM zones z WHERE p.latitude BETWEEN z.lat_lo AND z.lat_hi
+                                             AND p.longitude BETWEEN z.lng_lo AND z.lng_hi) AS assigned_zone_id
+FROM (SELECT CASE WHEN n % 4 <> 0 THEN event_id END AS event_id, CASE WHEN n % 9 <> 0 THEN latitude END AS latitude,
+             longitude + CASE WHEN n % 3 = 0 THEN 5.0e0 ELSE 0.0e0 END AS longitude, zone_id
+      FROM (SELECT *, CAST(substr(event_id, 5) AS BIGINT) AS n FROM png)) p""")
+def assign_zone_by_table(spark, sf_dir):
+    """Points with missing ids and coordinates, some outside all boxes, and a zone table."""
+    pings = _png(spark, sf_dir).withColumn("n", F.expr("CAST(substr(event_id, 5) AS BIGINT)")).selectExpr(
+        "IF(n % 4 <> 0, event_id, NULL) AS event_id", "IF(n % 9 <> 0, latitude, NULL) AS latitude",
+        "longitude + IF(n % 3 = 0, 5.0D, 0.0D) AS longitude", "zone_id")
+    zones = spark.createDataFrame([(z.zone_id, z.lat_lo, z.lat_hi, z.lng_lo, z.lng_hi) for z in S.ZONES],
+                                  "zone_id string, lat_lo double, lat_hi double, lng_lo double, lng_hi double")
+    return J.assign_zone_join(pings, zones)
+
+
+@register("zone_performance_dirty", with_ctes("demand", "revenue", "cancels", extra=[
+    """ddemand AS (SELECT * REPLACE (CASE WHEN minute(window_start) <> 0 THEN avg_estimated_fare END AS avg_estimated_fare,
+                         CASE WHEN minute(window_start) <> 5 THEN avg_surge END AS avg_surge)
+             FROM demand WHERE zone_id <> 'Z001')""",
+    "dcancels AS (SELECT * FROM cancels WHERE zone_id <> 'Z002')"]) + _ZONE_SQL.replace(
+        "FROM demand", "FROM ddemand").replace("FROM cancels", "FROM dcancels"))
+def zone_performance_dirty(spark, sf_dir):
+    """Windows without averages, zones that only some of the inputs have."""
+    demand = gold(spark, sf_dir, "ride_demand_by_zone").where("zone_id <> 'Z001'").withColumns({
+        "avg_estimated_fare": F.expr("IF(minute(window_start) <> 0, avg_estimated_fare, NULL)"),
+        "avg_surge": F.expr("IF(minute(window_start) <> 5, avg_surge, NULL)")})
+    return J.zone_performance(demand, gold(spark, sf_dir, "revenue_analytics"),
+                              gold(spark, sf_dir, "cancellation_analytics").where("zone_id <> 'Z002'"))
+
+
 # --- pricing rules -----------------------------------------------------------
 
 _RULE_SQL = (

@@ -7,12 +7,12 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rideflux import schemas as S
 from rideflux.operators import gold as G
 from rideflux.plans import oracle as O
 from rideflux.plans.catalog import register
 from rideflux.sources import adapter
 from rideflux.sources.json_events import PARSERS
-from rideflux.sources.readers import spread
 
 
 def silver(spark: SparkSession, sf_dir: str, stream: str) -> DataFrame:
@@ -64,10 +64,8 @@ def _flat_request() -> list:
 
 
 def decoded(spark: SparkSession, sf_dir: str, stream: str) -> DataFrame:
-    """Silver → JSON text (spread like a partitioned topic) → decoder (batch)."""
-    bronze = spread(adapter.to_bronze(silver(spark, sf_dir, stream), stream),
-                    spark.sparkContext.defaultParallelism)
-    return PARSERS[stream](bronze)
+    """Silver → JSON text → decoder (batch): projections of the scan only."""
+    return PARSERS[stream](adapter.to_bronze(silver(spark, sf_dir, stream), stream))
 
 
 def flat_view(df: DataFrame, stream: str) -> DataFrame:
@@ -89,3 +87,32 @@ def parse_ride_completed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("parse_driver_locations", O.with_ctes("png") + "SELECT * FROM png")
 def parse_driver_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_view(decoded(spark, sf_dir, "driver_locations"), "driver_locations")
+
+
+def _dirty_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ping records as a careless producer sends them, by event number modulo 6:
+    cut-off JSON, a text where a number belongs, a month only as time, a time
+    that is none, and no zone."""
+    pings = silver(spark, sf_dir, "driver_locations").withColumn("n", F.expr("CAST(substr(event_id, 5) AS BIGINT) % 6"))
+    pings = pings.withColumns({
+        "timestamp": F.expr("CASE n WHEN 2 THEN substr(timestamp, 1, 7) WHEN 3 THEN 'soon' ELSE timestamp END"),
+        "zone_id": F.expr("IF(n = 4, NULL, zone_id)")})
+    fields = [F.expr("IF(n = 1, 'fast', string(current_speed_kmh))").alias("current_speed_kmh") if f == "current_speed_kmh" else f
+              for f in S.STREAM_SCHEMAS["driver_locations"].fieldNames()]
+    text = F.to_json(F.struct(*fields))
+    text = F.when(F.col("n") == 1, text).otherwise(F.regexp_replace(text, '"current_speed_kmh":"([^"]*)"', '"current_speed_kmh":$1'))
+    return pings.select(F.when(F.col("n") == 0, F.substring(text, 1, 30)).otherwise(text).alias("value"))
+
+
+_DIRTY_NULLS = ", ".join(f"CASE WHEN n <> 0 THEN {c} END AS {c}" for c in (
+    "event_id", "event_type", "driver_id", "latitude", "longitude", "zone_name", "is_available"))
+
+
+@register("parse_driver_locations_dirty", O.with_ctes("png") + f"""
+SELECT {_DIRTY_NULLS}, CASE WHEN n NOT IN (0, 4) THEN zone_id END AS zone_id,
+       CASE WHEN n NOT IN (0, 1) THEN current_speed_kmh END AS current_speed_kmh,
+       CASE n WHEN 0 THEN NULL WHEN 2 THEN substr("timestamp", 1, 7) WHEN 3 THEN 'soon' ELSE "timestamp" END AS "timestamp",
+       CASE n WHEN 0 THEN NULL WHEN 2 THEN date_trunc('month', event_ts) WHEN 3 THEN NULL ELSE event_ts END AS event_ts
+FROM (SELECT *, CAST(substr(event_id, 5) AS BIGINT) % 6 AS n FROM png)""")
+def parse_driver_locations_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat_view(PARSERS["driver_locations"](_dirty_pings(spark, sf_dir)), "driver_locations")

@@ -71,10 +71,9 @@ def test_point_in_two_boxes_and_in_none(spark):
                                   "zone_id string, lat_lo double, lat_hi double, lng_lo double, lng_hi double")
     got2 = {r.event_id: r.assigned_zone_id for r in J.assign_zone_join(pts, zones).collect()}
     assert got2 == got
-    # above the broadcast limit: exact grid join gives the same answer
-    got3 = {r.event_id: r.assigned_zone_id
-            for r in J.assign_zone_join(pts, zones, max_broadcast=0, cell_deg=0.02).collect()}
-    assert got3 == got
+    for cell in (0.001, 0.02, 50.0):
+        got3 = {r.event_id: r.assigned_zone_id for r in J.assign_zone_join(pts, zones, cell_deg=cell).collect()}
+        assert got3 == got
 
 
 def test_grid_zone_join_matches_literal_zones_on_real_pings(spark):
@@ -84,7 +83,7 @@ def test_grid_zone_join_matches_literal_zones_on_real_pings(spark):
     zones = spark.createDataFrame([(z.zone_id, z.lat_lo, z.lat_hi, z.lng_lo, z.lng_hi) for z in S.ZONES],
                                   "zone_id string, lat_lo double, lat_hi double, lng_lo double, lng_hi double")
     a = J.assign_zone(pings).select("event_id", "assigned_zone_id")
-    b = J.assign_zone_join(pings, zones, max_broadcast=0, cell_deg=0.013).select("event_id", "assigned_zone_id")
+    b = J.assign_zone_join(pings, zones, cell_deg=0.013).select("event_id", "assigned_zone_id")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
