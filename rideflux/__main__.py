@@ -66,7 +66,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             jobs.await_any(spark, qs)
     elif args.cmd == "setup":
         for t in tables:
-            created = layout.create_table(spark, t, f"{base}/tables/{t}")
+            created = layout.create_table(spark, t, jobs.gold_path(base, t))
             print(f"{t}: {'created' if created else 'exists'}")
     elif args.cmd == "optimize":
         for t in tables:
@@ -79,13 +79,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         for t in tables:
             mark = f"{base}/compacted/_high_water/{t}"
             after = _read_mark(spark, mark)
-            top = layout.compact_new_batches(spark, jobs.gold_path(base, t), f"{base}/compacted/{t}", t, after)
+            top = layout.compact_new_batches(spark, jobs.gold_path(base, t), f"{base}/compacted/{t}", t,
+                                             jobs.committed_batch(spark, base, t), after)
             if top is not None:
                 spark.createDataFrame([(top,)], "batch_id long").write.mode("overwrite").parquet(mark)
             print(f"{t}: {'up to batch ' + str(top) if top is not None else 'nothing new'}")
     elif args.cmd == "history":
-        history.table_history(spark, base, limit=args.limit).orderBy("table_name", "batch_id").show(
-            1000, truncate=False)
+        rows = history.table_history(spark, base, limit=args.limit).orderBy("table_name", "batch_id")
+        for r in rows.toLocalIterator():
+            print("\t".join(str(v) for v in r))
     return 0
 
 

@@ -9,10 +9,8 @@ must therefore never be the source directory.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -122,12 +120,16 @@ def z_value(df: DataFrame, cols: list[str], bits: int = 8, rel_error: float = 0.
     })
     # one pass computes the cut points of every column
     all_cuts = tmp.approxQuantile(nums, probs, rel_error)
+    all_cuts = all_cuts or [[] for _ in nums]
     bucket_cols = []
     for i, (num, cuts) in enumerate(zip(nums, all_cuts)):
         inner = sorted({x for x in cuts if x not in (float("-inf"), float("inf"))})
-        b = Bucketizer(splits=[float("-inf"), *inner, float("inf")], inputCol=num, outputCol=f"_zb{i}",
-                       handleInvalid="keep")
-        tmp = b.transform(tmp).withColumn(f"_zb{i}", F.col(f"_zb{i}").cast("long"))
+        if inner:
+            b = Bucketizer(splits=[float("-inf"), *inner, float("inf")], inputCol=num, outputCol=f"_zb{i}",
+                           handleInvalid="keep")
+            tmp = b.transform(tmp).withColumn(f"_zb{i}", F.col(f"_zb{i}").cast("long"))
+        else:  # an empty table, a constant or an all-null column has no inner cut
+            tmp = tmp.withColumn(f"_zb{i}", F.lit(0).cast("long"))
         bucket_cols.append(f"_zb{i}")
     k = len(bucket_cols)
     terms = [
@@ -189,35 +191,36 @@ def compact(df: DataFrame, path: str, *, partition_cols=(), sort_cols=()) -> Non
 
 
 def compact_new_batches(spark: SparkSession, sink_path: str, out_path: str, table: str,
-                        after_batch: int = -1) -> int | None:
+                        committed: int | None, after_batch: int = -1) -> int | None:
     """Incremental compaction of a streaming sink table.
 
-    Reads only the sink's batches with ``batch_id > after_batch`` (partition
-    pruning on ``batch_id``), and writes them, rebalanced into few files, as
-    run ``run=<after_batch>`` of ``out_path`` (partitioned by run and the
-    table's own partition columns).  Dynamic partition overwrite makes a
-    retried run replace itself.  Returns the highest batch id compacted
-    (gathered with ``observe()`` during the write), or None when there was
-    nothing new; pass it as ``after_batch`` next time.  Readers of
-    ``out_path`` see a few files per run instead of a directory per batch.
+    Reads only the sink's batches with ``after_batch < batch_id <= committed``
+    (partition pruning on ``batch_id``), and writes them, rebalanced into few
+    files, as run ``run=<after_batch>`` of ``out_path`` (partitioned by run and
+    the table's own partition columns).  ``committed`` is the largest batch
+    with an audit row (``jobs.committed_batch``): a batch's folders appear one
+    by one while it is written, its audit row comes last, and batches of a
+    query commit in order, so nothing up to it is still to come.  Dynamic
+    partition overwrite makes a retried run replace itself.  Returns
+    ``committed``, the mark to pass as ``after_batch`` next time, or None when
+    there was nothing new.  Readers of ``out_path`` see a few files per run
+    instead of a directory per batch.
     """
+    if committed is None or committed <= after_batch:
+        return None
     schema = S.GOLD_SCHEMAS[table]
     full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    new = spark.read.schema(full).parquet(sink_path).where(F.col("batch_id") > F.lit(after_batch))
-    if new.isEmpty():  # LIMIT 1 over the pruned batch partitions
-        return None
-    obs = Observation(f"compact_{table}_{after_batch}_{uuid.uuid4().hex[:8]}")  # names are per session
+    new = spark.read.schema(full).parquet(sink_path).where(
+        (F.col("batch_id") > F.lit(after_batch)) & (F.col("batch_id") <= F.lit(committed)))
     part = S.GOLD_SPECS[table].partition_cols
     out = (
-        new.observe(obs, F.max("batch_id").alias("max_batch"))
-        .drop("batch_id")
+        new.drop("batch_id")
         .withColumn("run", F.lit(after_batch).cast("long"))
         .hint("rebalance", *part)
         .sortWithinPartitions(*S.GOLD_SPECS[table].cluster_cols)
     )
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", *part).parquet(out_path)
-    top = obs.get.get("max_batch")
-    return int(top) if top is not None else None
+    return committed
 
 
 def read_compacted(spark: SparkSession, out_path: str, table: str) -> DataFrame:

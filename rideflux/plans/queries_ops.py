@@ -28,7 +28,9 @@ from rideflux.streaming import jobs
 from rideflux.streaming.history import table_history
 
 
-GOLD_STATE_PARTITIONS = 64
+#: Time slices of a file topic; a trigger reads one, so every query runs in
+#: several micro-batches and its state holds the open windows only.
+SLICES = 5
 
 
 def ntz(df: DataFrame) -> DataFrame:
@@ -37,26 +39,34 @@ def ntz(df: DataFrame) -> DataFrame:
 
 
 def file_topic(spark: SparkSession, sf_dir: str, stream: str, base: str) -> str:
+    """The stream as JSON files, written one slice of event time after the
+    other, ``files_per_slice`` files each."""
     path = f"{base}/topics/{stream}"
-    write_topic_files(adapter.to_bronze(silver(spark, sf_dir, stream), stream), path,
-                      partitions=spark.sparkContext.defaultParallelism)
+    rows = silver(spark, sf_dir, stream).withColumn("_us", F.unix_micros(F.col("event_ts").cast("timestamp")))
+    lo, hi = rows.agg(F.min("_us"), F.max("_us")).first()
+    at = F.expr(f"least({SLICES - 1}, (_us - {lo or 0}L) * {SLICES} div greatest({(hi or 0) - (lo or 0)}L, 1L))")
+    for i in range(SLICES):
+        part = rows.where(F.coalesce(at, F.lit(0)) == i).drop("_us")
+        write_topic_files(adapter.to_bronze(part, stream), path, partitions=files_per_slice(spark))
     return path
 
 
+def files_per_slice(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
 def run_gold_stream(spark: SparkSession, sf_dir: str, table: str) -> str:
     """Run one gold query over a file topic to completion; returns its base folder.
 
-    State partitions: the cluster's default parallelism up to 64 (set while
-    the query starts and runs; the session's own setting is restored
-    afterwards).  Gold state is open windows x keys, a few thousand rows, so
-    more partitions would only add state stores and files per micro-batch.
+    State partitions: the cluster's default parallelism (set while the query
+    starts and runs; the session's own setting is restored afterwards).
     """
     ensure_utc(spark)
     base = run_dir(spark, f"stream-{table}")
     stream = G.GOLD[table][1]
     topic = file_topic(spark, sf_dir, stream, base)
-    parsed = PARSERS[stream](read_topic_stream(spark, stream, path=topic, max_per_trigger=None))
-    with shuffle_partitions(spark, min(spark.sparkContext.defaultParallelism, GOLD_STATE_PARTITIONS)):
+    parsed = PARSERS[stream](read_topic_stream(spark, stream, path=topic, max_per_trigger=files_per_slice(spark)))
+    with shuffle_partitions(spark, spark.sparkContext.defaultParallelism):
         jobs.run_available_now([jobs.start_gold_query(parsed, table, base, available_now=True)])
     return base
 
@@ -109,39 +119,50 @@ def replay_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(G.ride_demand_by_zone(jobs.read_raw(spark, base, "ride_requests")))
 
 
-_HISTORY_SQL = (
-    O.with_ctes("demand")
-    + "SELECT 'ride_demand_by_zone' AS table_name, CAST(1 AS BIGINT) AS batch_id, count(*) AS num_rows, "
-    "min(window_start) AS min_window_start, max(window_start) AS max_window_start FROM demand "
-    "WHERE window_end <= (SELECT max(event_ts) FROM req) - INTERVAL '2 minutes'"
-)
+# Batch k + 1 starts with the watermark that slices 0..k have set and emits the
+# windows that end by then.
+_HISTORY_SQL = O.with_ctes("demand", extra=[
+    "span AS (SELECT min(epoch_us(event_ts)) AS lo, max(epoch_us(event_ts)) AS hi FROM req)",
+    f"""marks AS (SELECT i + 1 AS batch_id, max(max(event_ts)) OVER (ORDER BY i) - INTERVAL '2 minutes' AS mark
+        FROM (SELECT least({SLICES - 1}, ((epoch_us(event_ts) - lo) * {SLICES}) // greatest(hi - lo, 1)) AS i, event_ts
+              FROM req, span) GROUP BY i)""",
+    "emitted AS (SELECT d.*, (SELECT min(m.batch_id) FROM marks m WHERE d.window_end <= m.mark) AS batch_id FROM demand d)"]) + """
+SELECT 'ride_demand_by_zone' AS table_name, CAST(batch_id AS BIGINT) AS batch_id, count(*) AS num_rows,
+       min(window_start) AS min_window_start, max(window_start) AS max_window_start
+FROM emitted WHERE batch_id IS NOT NULL GROUP BY batch_id
+QUALIFY row_number() OVER (ORDER BY batch_id DESC) <= 3"""
 
 
 @register("table_history", _HISTORY_SQL)
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Audit of the demand stream's commits: data arrives in batch 0, the
-    windows are emitted by the no-data batch 1 once the watermark moved."""
+    """The three newest of the demand stream's commits."""
     base = run_gold_stream(spark, sf_dir, "ride_demand_by_zone")
-    h = table_history(spark, base, "ride_demand_by_zone", limit=5)
+    h = table_history(spark, base, "ride_demand_by_zone", limit=3)
     return ntz(h.drop("written_at"))
 
 
 # --- table layout jobs ---------------------------------------------------------
 
 def _conform_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform(gold(spark, sf_dir, "ride_demand_by_zone"), S.GOLD_SCHEMAS["ride_demand_by_zone"])
+    """Demand with the zone missing in the windows that start on the hour."""
+    demand = gold(spark, sf_dir, "ride_demand_by_zone").withColumn(
+        "zone_id", F.expr("IF(minute(window_start) <> 0, zone_id, NULL)"))
+    return conform(demand, S.GOLD_SCHEMAS["ride_demand_by_zone"])
+
+
+_NO_ZONE = ["ddemand AS (SELECT * REPLACE (CASE WHEN minute(window_start) <> 0 THEN zone_id END AS zone_id) FROM demand)"]
 
 
-@register("conform_gold_accepted", O.with_ctes("demand") + (
-    "SELECT * FROM demand WHERE window_start IS NOT NULL AND zone_id IS NOT NULL"))
+@register("conform_gold_accepted", O.with_ctes("demand", extra=_NO_ZONE) + (
+    "SELECT * FROM ddemand WHERE window_start IS NOT NULL AND zone_id IS NOT NULL"))
 def conform_gold_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(accepted(_conform_demand(spark, sf_dir)))
 
 
-@register("conform_gold_rejected", O.with_ctes("demand") + """
+@register("conform_gold_rejected", O.with_ctes("demand", extra=_NO_ZONE) + """
 SELECT *, concat_ws(', ', CASE WHEN window_start IS NULL THEN 'null window_start' END,
                           CASE WHEN zone_id IS NULL THEN 'null zone_id' END) AS reject_reason
-FROM demand WHERE window_start IS NULL OR zone_id IS NULL""")
+FROM ddemand WHERE window_start IS NULL OR zone_id IS NULL""")
 def conform_gold_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz(rejected(_conform_demand(spark, sf_dir)))
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import contextlib
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -60,14 +59,15 @@ def shared_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and materialised intermediates.
 
     Read from ``spark.checkpoint.dir`` (the cluster names a shared,
-    fault-tolerant location there).  Only when nothing is configured, as in
-    local tests, a directory is created and registered as the checkpoint dir.
+    fault-tolerant location there).  Only when nothing is configured, a folder
+    under the SQL warehouse, which is shared as well, is registered as the
+    checkpoint dir; never a folder of one machine's own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="rideflux-ckpt-")
+        d = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_rideflux"
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
 

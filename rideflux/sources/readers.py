@@ -58,25 +58,13 @@ def read_topic_batch(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("value string").text(path)
 
 
-def spread(df: DataFrame, partitions: int) -> DataFrame:
-    """At least ``partitions`` partitions, like the partitions of a topic.
-
-    Only a narrow input (a single small file) is redistributed; an input that
-    already has enough splits is left alone, so on large data this adds no
-    shuffle.
-    """
-    if df.rdd.getNumPartitions() >= partitions:
-        return df
-    return df.repartition(partitions)
-
-
 def write_topic_files(bronze: DataFrame, path: str, mode: str = "append", partitions: int | None = None) -> None:
     """Write ``value`` records as JSON-lines files (a file-backed topic).
 
-    With ``partitions``, at least that many files are written, like the
+    With ``partitions``, exactly that many files are written, like the
     partitions of a topic; the stream then reads them in parallel.
     """
     df = bronze.select("value")
     if partitions:
-        df = spread(df, partitions)
+        df = df.repartition(partitions)
     df.write.mode(mode).text(path)

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rideflux.streaming.jobs import audit_path
+from rideflux.streaming.sinks import read_audit
 
 
 def table_history(spark: SparkSession, base: str, table: str | None = None, limit: int = 5) -> DataFrame:
     """Last ``limit`` batches per table, newest first (DESCRIBE HISTORY analogue)."""
-    # Partition values come back with inferred types: restore the declared ones.
-    audit = spark.read.parquet(audit_path(base)).withColumn("batch_id", F.col("batch_id").cast("long"))
+    audit = read_audit(spark, audit_path(base))
     if table is not None:
         audit = audit.where(F.col("table_name") == table)
     newest = Window.partitionBy("table_name").orderBy(F.col("batch_id").desc())
@@ -29,7 +29,7 @@ def pipeline_health(spark: SparkSession, base: str) -> DataFrame:
     ``max_lag_sec`` = largest gap between a batch's write time and the newest
     window it emitted (how far behind event time the table is published).
     """
-    audit = spark.read.parquet(audit_path(base))
+    audit = read_audit(spark, audit_path(base))
     span_h = (F.unix_timestamp(F.max("written_at")) - F.unix_timestamp(F.min("written_at"))) / F.lit(3600.0)
     lag = F.unix_timestamp("written_at") - F.unix_timestamp("max_window_start")
     return audit.groupBy("table_name").agg(

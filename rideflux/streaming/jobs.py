@@ -4,7 +4,8 @@ Layout under ``base``::
 
     gold/<table>/batch_id=N/<partition cols>/...
     raw/<stream>/batch_id=N/...
-    _audit/table_name=<t>/batch_id=N/...
+    _rejects/<table>/batch_id=N/...
+    _audit/table_name=<t>/day=<d>/...
     _checkpoints/<query>/...
 
 Each query has its own source, watermark and checkpoint.  State lives in the
@@ -18,13 +19,15 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.utils import AnalysisException
 
 from rideflux import schemas as S
 from rideflux.operators.gold import GOLD
 from rideflux.sources.json_events import PARSERS
 from rideflux.sources.readers import read_topic_stream
-from rideflux.streaming.sinks import read_sink, write_stream
+from rideflux.streaming.sinks import read_audit, read_sink, write_stream
 
 AGG_TRIGGER_SECS = 30
 RAW_TRIGGER_SECS = 60
@@ -38,6 +41,11 @@ def raw_path(base: str, stream: str) -> str:
     return f"{base}/raw/{stream}"
 
 
+def rejects_path(base: str, table: str) -> str:
+    """Windows that break the declared schema (a null zone), with the reason."""
+    return f"{base}/_rejects/{table}"
+
+
 def audit_path(base: str) -> str:
     return f"{base}/_audit"
 
@@ -53,7 +61,7 @@ def start_gold_query(silver: DataFrame, table: str, base: str, *, available_now:
         fn(silver), gold_path(base, table), checkpoint_path(base, table),
         table_name=table, partition_cols=S.GOLD_SPECS[table].partition_cols,
         audit_path=audit_path(base), trigger_secs=trigger_secs, available_now=available_now,
-        query_name=None, one_file_per_value=True,
+        query_name=None, one_file_per_value=True, schema=S.GOLD_SCHEMAS[table], rejects_path=rejects_path(base, table),
     )
 
 
@@ -180,6 +188,17 @@ def run_available_now(queries: list[StreamingQuery]) -> None:
             raise q.exception()
 
 
+def committed_batch(spark: SparkSession, base: str, table: str) -> int | None:
+    """Largest batch of ``table`` with an audit row, None before the first."""
+    try:
+        top = read_audit(spark, audit_path(base)).where(F.col("table_name") == table).agg(F.max("batch_id")).first()[0]
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    return None if top is None else int(top)
+
+
 def watermark_report(query: StreamingQuery) -> list[dict]:
     """Per recent micro-batch: input rows, the event-time watermark, and rows
     the stateful operator dropped as late.

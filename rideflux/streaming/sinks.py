@@ -20,8 +20,10 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.utils import AnalysisException
 
 from rideflux import schemas as S
+from rideflux.operators.layout import accepted, conform, rejected
 
 
 def _write_partitioned(df: DataFrame, path: str, partition_cols) -> None:
@@ -33,21 +35,56 @@ def _write_partitioned(df: DataFrame, path: str, partition_cols) -> None:
     )
 
 
+def _written(spark, path: str, metrics) -> dict:
+    """The metrics taken from a batch's files; none when it left no files."""
+    try:
+        return spark.read.parquet(path).agg(*metrics).first().asDict()
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return {}
+        raise
+
+
+def read_audit(spark, path: str) -> DataFrame:
+    """Audit rows, the latest one of each batch."""
+    newest = F.max_by(F.struct("num_rows", "min_window_start", "max_window_start", "written_at"), "written_at")
+    return (spark.read.parquet(path).groupBy("table_name", F.col("batch_id").cast("long").alias("batch_id"))
+            .agg(newest.alias("r")).select("table_name", "batch_id", "r.*"))
+
+
 def batch_writer(path: str, table_name: str, partition_cols=(), audit_path: str | None = None,
-                 one_file_per_value: bool = False):
+                 one_file_per_value: bool = False, schema: T.StructType | None = None, rejects_path: str | None = None):
     """foreachBatch function writing one micro-batch idempotently.
 
     ``one_file_per_value`` redistributes the batch by the partition columns
-    first, so each partition value gets one file per batch instead of one
-    per state partition.  Meant for aggregated (small) batches such as the
-    gold tables; a raw sink carrying full event volume leaves it off.
+    and the hour of the window first, so each partition value gets one file
+    per hour of windows instead of one per state partition; a batch that
+    carries much history spreads over its hours, not over a few zones.  Meant
+    for the gold tables; a raw sink carrying full event volume leaves it off.
+
+    With a ``schema`` only rows that conform to it reach the table; the others
+    go to ``rejects_path`` with the reason.
     """
     part = ("batch_id", *partition_cols)
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
+        if schema is None:
+            return write_rows(batch_df, batch_id)
+        # Aggregated rows, read twice: what conforms, and what does not.
+        shaped = conform(batch_df, schema).persist()
+        try:
+            if not rejected(shaped).isEmpty():
+                _write_partitioned(rejected(shaped).withColumn("batch_id", F.lit(batch_id).cast("long")),
+                                   rejects_path, ("batch_id",))
+            write_rows(accepted(shaped), batch_id)
+        finally:
+            shaped.unpersist()
+
+    def write_rows(batch_df: DataFrame, batch_id: int) -> None:
         out = batch_df.withColumn("batch_id", F.lit(batch_id).cast("long"))
         if one_file_per_value and partition_cols:
-            out = out.repartition(*partition_cols)
+            hour = [F.date_trunc("hour", "window_start")] if "window_start" in batch_df.columns else []
+            out = out.repartition(*partition_cols, *hour)
         metrics = [F.count(F.lit(1)).alias("num_rows")]
         has_ws = "window_start" in batch_df.columns
         if has_ws:
@@ -57,19 +94,22 @@ def batch_writer(path: str, table_name: str, partition_cols=(), audit_path: str
         _write_partitioned(out.observe(obs, *metrics), path, part)
         if audit_path is None:
             return
+        spark = batch_df.sparkSession
         try:
             m = obs.get
         except Py4JJavaError:
-            # an input optimised to an empty relation never runs the metrics
-            # node; the batch had no rows, and empty batches get no audit row
-            return
+            # No metrics came, as when an input optimised to an empty relation
+            # never runs their node: count what was written instead.
+            m = _written(spark, f"{path}/batch_id={batch_id}", metrics)
         if not m.get("num_rows"):
-            return
-        spark = batch_df.sparkSession
-        row = (table_name, int(batch_id), int(m["num_rows"]), m.get("min_ws"), m.get("max_ws"),
-               dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
-        audit = spark.createDataFrame([row], S.AUDIT_SCHEMA)
-        _write_partitioned(audit, audit_path, ("table_name", "batch_id"))
+            return  # empty batches get no audit row
+        now = dt.datetime.now(dt.timezone.utc)
+        row = (table_name, int(batch_id), int(m["num_rows"]), m.get("min_ws"), m.get("max_ws"), now)
+        audit = spark.createDataFrame([row], S.AUDIT_SCHEMA).withColumn("day", F.lit(now.date().isoformat()))
+        # Appended to the day's folder; a retried batch's earlier row is passed
+        # over by readers.  Each table has one writer and a folder of its own:
+        # jobs that append to one folder at once would clear each other's files.
+        audit.drop("table_name").write.mode("append").partitionBy("day").parquet(f"{audit_path}/table_name={table_name}")
 
     return write
 
@@ -86,12 +126,15 @@ def write_stream(
     available_now: bool = False,
     query_name: str | None = None,
     one_file_per_value: bool = False,
+    schema: T.StructType | None = None,
+    rejects_path: str | None = None,
 ) -> StreamingQuery:
     """Start an append-mode query into the batch-partitioned table at ``path``."""
     w = (
         df.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(batch_writer(path, table_name, partition_cols, audit_path, one_file_per_value))
+        .foreachBatch(batch_writer(path, table_name, partition_cols, audit_path, one_file_per_value, schema,
+                                   rejects_path))
     )
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=f"{trigger_secs} seconds")
     if query_name:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from rideflux.session import ensure_utc, run_dir, shared_dir, shuffle_partitions
-from rideflux.sources.readers import spread
 
 
 def test_shared_dir_uses_the_configured_checkpoint_folder(spark):
@@ -23,13 +22,25 @@ def test_shuffle_partitions_is_restored(spark):
         assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
-def test_spread_only_widens_narrow_input(spark):
-    narrow = spark.range(100).coalesce(1)
-    wide = spark.range(0, 100, numPartitions=8)
-    assert spread(narrow, 4).rdd.getNumPartitions() == 4
-    same = spread(wide, 4)
-    assert same.rdd.getNumPartitions() == 8
-    assert "Exchange" not in same._jdf.queryExecution().executedPlan().toString()
+def test_default_folder_is_under_the_warehouse():
+    class Conf:
+        def get(self, key, *default):
+            return "/shared/warehouse" if key == "spark.sql.warehouse.dir" else default[0]
+
+    class Context:
+        def __init__(self):
+            self.dir = None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, d):
+            self.dir = d
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    assert shared_dir(Session()) == "/shared/warehouse/_rideflux" == Session.sparkContext.dir
 
 
 def test_ensure_utc(spark):
