@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 
 from rideflux import schemas as S
 from rideflux.operators import gold as G
+from rideflux.plans import measures as M
 from rideflux.plans import oracle as O
 from rideflux.plans.catalog import register
 from rideflux.operators.layout import accepted, compact, conform, read_table, rejected
 from rideflux.operators.layout import zorder_cluster as cluster
+from rideflux.plans.queries_bi import HEATMAP_SQL
 from rideflux.plans.queries_gold import flat_view, gold, silver
 from rideflux.session import ensure_utc, run_dir, shuffle_partitions
 from rideflux.sources import adapter
@@ -189,3 +191,25 @@ def compact_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     compact(jobs.read_gold(spark, base, table), path, partition_cols=spec.partition_cols,
             sort_cols=spec.cluster_cols)
     return ntz(read_table(spark, path, table))
+
+
+# --- measures over a stored gold table -------------------------------------------
+
+def stored_gold(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """The gold table written once, partitioned as declared, and read back."""
+    spec = S.GOLD_SPECS[table]
+    path = f"{run_dir(spark, 'gold')}/{table}"
+    compact(gold(spark, sf_dir, table), path, partition_cols=spec.partition_cols, sort_cols=spec.cluster_cols)
+    return ntz(read_table(spark, path, table))
+
+
+@register("stored_total_revenue_today", O.with_ctes("revenue") + (
+    f"SELECT coalesce({O.MONEY('total_revenue')}, 0.0e0) AS total_revenue_today FROM revenue "
+    f"WHERE CAST(window_start AS DATE) = DATE '{O.AS_OF}'"))
+def stored_total_revenue_today(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.total_revenue_today(stored_gold(spark, sf_dir, "revenue_analytics"), O.AS_OF)
+
+
+@register("stored_demand_heatmap", O.with_ctes("demand") + HEATMAP_SQL)
+def stored_demand_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.demand_heatmap_score(stored_gold(spark, sf_dir, "ride_demand_by_zone"))
