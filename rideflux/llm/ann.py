@@ -7,7 +7,7 @@ M^2 + |q|^2 - 2 q.x, so the nearest are those of largest inner product.
 
 *Index*: a random rotation spreads each vector's energy evenly over the
 dimensions; centroids are fitted by k-means on a bounded sample
-(``SAMPLE`` vectors, those with the smallest hashes); every vector is indexed.
+(about ``SAMPLE`` vectors, those with the smallest hashes); every vector is indexed.
 The number of lists to probe is the smallest whose recall on that sample
 reaches ``SAMPLE_RECALL``; neighbours lie closer in the full table than in a
 sample, so its recall is a lower estimate.
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rideflux.llm.common import ship, stored
+from rideflux.llm.common import hashed_share, ship, stored
 
 SAMPLE = 16_384
 SAMPLE_QUERIES = 256
@@ -228,7 +228,8 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     total = classes.agg(F.count("*").alias("n"), F.max(norm).alias("top")).first()
     if not total.n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    sample = classes.orderBy(F.xxhash64("uid"), "uid").limit(SAMPLE).select("embedding").collect()
+    sample = classes.where(hashed_share(F.xxhash64("uid"), SAMPLE / total.n)).select("embedding").collect()
+    sample = sample or classes.limit(1).select("embedding").collect()
     index = Index(np.array([r.embedding for r in sample]), total.top, total.n, k)
 
     placed = stored(classes.select("uid", "ids", "embedding").mapInArrow(

@@ -52,6 +52,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hashed_share(column: F.Column, share: float) -> F.Column:
+    """Whether a 64-bit hash lies in the lowest ``share`` of its range: a
+    sample of that expected size, the same in every run, without sorting."""
+    return column <= F.lit(min((1 << 63) - 1, int(-(1 << 63) + share * (1 << 64)) - 1))
+
+
 def small_enough(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads no further)."""
     return df.limit(max_rows + 1).count() <= max_rows

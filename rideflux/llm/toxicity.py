@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rideflux.llm.common import ship, stored, with_broadcast
+from rideflux.llm.common import hashed_share, ship, stored, with_broadcast
 
 TOKEN = re.compile(r"[^\W\d_]+")
 PREFIXES = (3, 4, 5, 6)
@@ -215,17 +215,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if stems:
         below = _counted(train, below=stems).where(f"y + z >= {MIN_TOXIC}")
         model.counts.update(_strongest(below, F.col("y") + F.col("z")))
-    _calibrate(model, _calibration_rows(train, model), n)
+    _calibrate(model, _calibration_rows(train, model, n), n)
     return model
 
 
-def _calibration_rows(train: DataFrame, model: Model) -> list[tuple[int, int, list]]:
-    """(label, tokens, segments) of the texts with the smallest hashes, half of
-    ``MAX_CALIBRATION`` from each class; only hashes are sorted."""
+def _calibration_rows(train: DataFrame, model: Model, n: dict[int, int]) -> list[tuple[int, int, list]]:
+    """(label, tokens, segments) of the texts with the smallest hashes, about
+    half of ``MAX_CALIBRATION`` from each class."""
     order = F.xxhash64("text")
-    cuts = [train.where(F.col("label") == k).select(order.alias("o")).orderBy("o").limit(MAX_CALIBRATION // 2)
-            .agg(F.max("o")).first()[0] for k in (0, 1)]
-    sample = train.where(order <= F.when(F.col("label") == 1, cuts[1]).otherwise(cuts[0]))
+    chosen = [(F.col("label") == k) & hashed_share(order, MAX_CALIBRATION / 2 / n[k]) for k in (0, 1)]
+    sample = train.where(chosen[0] | chosen[1])
     sample = sample.withColumn("o", order).dropDuplicates(["o", "label"])  # a text may be repeated many times
     rows = sample.select("text", "label").mapInArrow(partial(_spans, model=model), "label int, n long, best array<double>").collect()
     return [(r.label, r.n, [(0, 0, s) for s in r.best]) for r in sorted(rows)]
