@@ -117,7 +117,7 @@ def silver_path(base: str, stream: str) -> str:
 def start_fan_out(spark: SparkSession, base: str, *, topic_paths: dict[str, str] | None = None,
                   bootstrap_servers: str | None = None, max_per_trigger: int | None = 1000,
                   available_now: bool = False, tables=None, state_partitions: int | None = None,
-                  trigger_secs: int = AGG_TRIGGER_SECS, start_timeout_secs: int = 600) -> list[StreamingQuery]:
+                  trigger_secs: int = AGG_TRIGGER_SECS, start_timeout_secs: int = 600, max_files_per_trigger: int | None = None) -> list[StreamingQuery]:
     """Read each topic once and fan out from a silver table.
 
     One query per topic decodes the records and appends them with Spark's
@@ -125,7 +125,9 @@ def start_fan_out(spark: SparkSession, base: str, *, topic_paths: dict[str, str]
     ``_spark_metadata`` log; the gold queries stream from that table, and the
     file source reads only files committed there.  The broker serves each
     topic once instead of once per query, at the cost of one extra trigger of
-    latency.  With ``available_now`` the silver queries drain first, then
+    latency.  ``max_per_trigger`` limits the topics' records, and
+    ``max_files_per_trigger`` the silver files that a gold query reads at once.
+    With ``available_now`` the silver queries drain first, then
     the gold queries run.
     """
     if state_partitions is not None:
@@ -146,14 +148,16 @@ def start_fan_out(spark: SparkSession, base: str, *, topic_paths: dict[str, str]
     else:
         # the gold sources need the silver folders to exist: wait for a first commit
         deadline = time.time() + start_timeout_secs
-        while any(q.lastProgress is None for q in silver_qs) and time.time() < deadline:
+        while any(q.lastProgress is None for q in silver_qs):
+            if time.time() > deadline:
+                raise TimeoutError(f"no silver commit within {start_timeout_secs} s")
             time.sleep(1)
     gold_qs = []
     for t in tables or GOLD:
         stream = GOLD[t][1]
         src = spark.readStream.schema(streams[stream].schema)
-        if max_per_trigger:
-            src = src.option("maxFilesPerTrigger", max_per_trigger)
+        if max_files_per_trigger:
+            src = src.option("maxFilesPerTrigger", max_files_per_trigger)
         gold_qs.append(start_gold_query(src.parquet(silver_path(base, stream)), t, base,
                                         available_now=available_now, trigger_secs=trigger_secs))
     return silver_qs + gold_qs
