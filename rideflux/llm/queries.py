@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rideflux.llm import ann, chat_quotes, decontam, html_extract, line_dedup, near_dup, secret_scan, sentencepiece_tok, toxicity, warc
+from rideflux.llm import (
+    ann, chat_quotes, decontam, html_extract, line_dedup, near_dup, oracle, secret_scan, sentencepiece_tok, toxicity,
+    warc)
 from rideflux.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -68,4 +70,9 @@ def queries() -> dict[str, QueryFn]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_decontaminate": oracle.OP2,
+        "op5_near_duplicates": oracle.OP5,
+        "op8_warc": oracle.OP8,
+        "op9_line_dedup": oracle.OP9,
+    }
