@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rideflux.llm.common import ship, with_broadcast
+from rideflux.llm.common import ship, stored, with_broadcast
 from rideflux.session import run_dir
 
 SEPARATOR = "\r\n\r\n"
@@ -249,8 +249,10 @@ def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     path = run_dir(pages.sparkSession, "warc")
     write_archives(pages, path, min_bytes)
     records = read_archives(pages.sparkSession, path)
-    # Payloads were digested while parsing; only metadata blocks go on.
-    light = records.withColumn("payload", F.when(F.col("type") == "metadata", F.col("payload")))
+    # Payloads were digested while parsing; only metadata blocks go on.  Stored,
+    # so that the archives are parsed once for the joins below.
+    light = stored(records.withColumn("payload", F.when(F.col("type") == "metadata", F.col("payload")))
+                   .drop("http_header"), "warc-records")
     kind = dict(pages.dtypes)["page_id"]
     page = F.regexp_extract(F.col("metadata.payload").cast("string"), r"page_id: ([^\r\n]*)", 1)
     found = assemble(light).select(
