@@ -21,7 +21,9 @@ exactly: inner product of the original vectors in double precision.
 
 Equal vectors are one candidate that carries its smallest k + 1 ids (more can
 never be among k nearest), so a vector repeated any number of times stays one
-row.  Lists are split into blocks and queries into chunks of bounded size.
+row.  Neighbouring lists share a block of bounded size (a list larger than that
+is split), and queries go in chunks: a task group compares a chunk with a block
+and returns one row per query.
 """
 
 from __future__ import annotations
@@ -42,9 +44,10 @@ SAMPLE_RECALL = 0.96
 #: Vectors a list should hold, and the most lists there are.
 LIST_SIZE = 1_024
 MAX_LISTS = 4_096
-#: Candidates and queries that one task group compares.
-BLOCK = 2_048
-CHUNK = 512
+#: Lists of one block, and the candidates and queries that a task group compares.
+BLOCK_LISTS = 16
+BLOCK = 16_384
+CHUNK = 256
 #: Columns added between two tests, and the strictness of the test.
 COLUMNS = 16
 EPSILON = 2.1
@@ -69,7 +72,8 @@ class Index:
             np.add.at(total, near, x)
             size = np.bincount(near, minlength=lists)
             c = np.where(size[:, None] > 0, total / np.maximum(size, 1)[:, None], c)
-        self.centroids = c
+        # Numbered along their widest direction: neighbours share blocks.
+        self.centroids = c[np.argsort(c @ np.linalg.svd(c - c.mean(axis=0))[2][0], kind="stable")]
         self.probes = self._enough(sample, x, rng, k)
 
     def place(self, x: np.ndarray, query: bool = False) -> np.ndarray:
@@ -109,27 +113,30 @@ class Index:
         return next((m for m, r in enumerate(recall, 1) if r >= SAMPLE_RECALL), lists)
 
 
-def scan(x: np.ndarray, q: np.ndarray, exact, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query: the k best candidates found and their exact scores.
+def scan(x: np.ndarray, q: np.ndarray, rows_of, exact, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each query: the candidates that survive, with their exact scores;
+    the k nearest are among them unless a test rejected one.
 
-    ``x`` and ``q`` are placed vectors; ``exact(j, rows)`` scores candidates.
+    ``x`` and ``q`` are placed vectors; ``rows_of(j)`` names a query's
+    candidates and ``exact(j, rows)`` scores them.
     """
     dim = x.shape[1]
     cuts = [*range(0, dim, COLUMNS), dim]
     if len(cuts) > 2 and cuts[-1] - cuts[-2] < COLUMNS // 2:
         del cuts[-2]
     blocks = list(zip(cuts, cuts[1:]))
-    norms = [(x[:, a:b] ** 2).sum(axis=1) for a, b in blocks]
     a, b = blocks[0]
-    first = norms[0] + (q[:, a:b] ** 2).sum(axis=1)[:, None] - 2 * q[:, a:b] @ x[:, a:b].T
-    keep = min(k, len(x))
+    first = (x[:, a:b] ** 2).sum(axis=1) + (q[:, a:b] ** 2).sum(axis=1)[:, None] - 2 * q[:, a:b] @ x[:, a:b].T
     for j in range(len(q)):
-        part = first[j]
+        alive = rows_of(j)
+        if not len(alive):
+            continue
+        part = first[j, alive]
+        keep = min(k, len(alive))
         # The first threshold: full distances of the candidates nearest so far.
-        lead = np.argpartition(part, min(4 * keep, len(x)) - 1)[:4 * keep]
+        lead = alive[np.argpartition(part, min(4 * keep, len(alive)) - 1)[:4 * keep]]
         full = ((x[lead] - q[j]) ** 2).sum(axis=1)
         r = np.partition(full, keep - 1)[keep - 1]
-        alive = np.arange(len(x))
         for i, (a, b) in enumerate(blocks):
             if i:
                 part = part + ((x[alive, a:b] - q[j, a:b]) ** 2).sum(axis=1)
@@ -171,22 +178,27 @@ def _ask(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.RecordB
             ["quid", "lists", "q_placed", "q_vector"])
 
 
+_NEAR = pa.list_(pa.struct([("s", pa.float64()), ("uid", pa.int64()), ("ids", pa.list_(pa.int64()))]))
+
+
 def _compare(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
-    out = {"quid": [], "uid": [], "ids": [], "score": []}
+    """One row per query: its k best candidates of the block, s = -score."""
+    quids, nears = [], []
     if left.num_rows and right.num_rows:
-        left = left.sort_by("uid")
-        uid, ids = left.column("uid").to_numpy(), left.column("ids").to_pylist()
+        uid, ids, of = left.column("uid").to_numpy(), left.column("ids").to_pylist(), left.column("list").to_numpy()
         v, qv = (_matrix(t.column(c).combine_chunks(), np.float64) for t, c in ((left, "vector"), (right, "q_vector")))
         x, q = _matrix(left.column("placed").combine_chunks()), _matrix(right.column("q_placed").combine_chunks())
-        quid = right.column("quid").to_pylist()
-        for j, rows, score in scan(x, q, lambda j, rows: (v[rows] * qv[j]).sum(axis=1), k):
-            for i in np.lexsort((uid[rows], -score))[:k]:
-                out["quid"].append(quid[j])
-                out["uid"].append(uid[rows[i]])
-                out["ids"].append(ids[rows[i]])
-                out["score"].append(score[i])
-    return pa.table({"quid": pa.array(out["quid"], pa.int64()), "uid": pa.array(out["uid"], pa.int64()),
-                     "ids": pa.array(out["ids"], pa.list_(pa.int64())), "score": pa.array(out["score"], pa.float64())})
+        quid, probed = right.column("quid").to_pylist(), right.column("lists").to_pylist()
+        rows = {n: np.flatnonzero(of == n) for n in np.unique(of).tolist()}
+        none = np.empty(0, np.int64)
+
+        def rows_of(j):
+            return np.concatenate([rows.get(n, none) for n in probed[j]])
+
+        for j, at, score in scan(x, q, rows_of, lambda j, at: (v[at] * qv[j]).sum(axis=1), k):
+            quids.append(quid[j])
+            nears.append([{"s": -score[i], "uid": uid[at[i]], "ids": ids[at[i]]} for i in np.lexsort((uid[at], -score))[:k]])
+    return pa.table({"quid": pa.array(quids, pa.int64()), "near": pa.array(nears, _NEAR)})
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -234,32 +246,34 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
 
     placed = stored(classes.select("uid", "ids", "embedding").mapInArrow(
         partial(_place, index=index), "uid long, ids array<long>, list int, placed binary, vector binary"), "ann-placed")
-    lists = F.broadcast(placed.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))  # <= MAX_LISTS rows
+    # Blocks of neighbouring lists; at most MAX_LISTS rows are broadcast.
+    block_of = F.floor(F.col("list") / BLOCK_LISTS).cast("int")
+    sizes = F.broadcast(placed.groupBy(block_of.alias("block")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("splits")))
     queries = classes.join(asked.select(F.col("quid").alias("uid")).distinct(), "uid", "left_semi")
     probes = stored(
         queries.select("uid", "embedding").mapInArrow(
             partial(_ask, index=index), "quid long, lists array<int>, q_placed binary, q_vector binary")
-        .withColumn("list", F.explode("lists")).drop("lists"), "ann-probes")
-    chunks = F.broadcast(probes.groupBy("list").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")))
-    left = (placed.join(lists, "list").join(chunks, "list")
-            .withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
+        .withColumn("block", F.explode(F.expr(f"array_distinct(transform(lists, x -> int(floor(x / {BLOCK_LISTS}))))")))
+        .withColumn("lists", F.expr(f"filter(lists, x -> int(floor(x / {BLOCK_LISTS})) = block)")), "ann-probes")
+    chunks = F.broadcast(probes.groupBy("block").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")))
+    left = (placed.withColumn("block", block_of).join(sizes, "block").join(chunks, "block")
+            .withColumn("split", F.pmod(F.xxhash64("uid"), F.col("splits")).cast("int"))
             .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-            .select("list", "block", "chunk", "uid", "ids", "placed", "vector"))
-    right = (probes.join(lists, "list").join(chunks, "list")
+            .select("block", "split", "chunk", "list", "uid", "ids", "placed", "vector"))
+    right = (probes.join(sizes, "block").join(chunks, "block")
              .withColumn("chunk", F.pmod(F.xxhash64("quid"), F.col("chunks")).cast("int"))
-             .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("list", "block", "chunk", "quid", "q_placed", "q_vector"))
-    key = ["list", "block", "chunk"]
+             .withColumn("split", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)))
+             .select("block", "split", "chunk", "quid", "lists", "q_placed", "q_vector"))
+    key = ["block", "split", "chunk"]
 
     def compare(left_part, right_part):
         return _compare(left_part, right_part, k + 1)
 
     found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(
-        compare, "quid long, uid long, ids array<long>, score double")
-    best = Window.partitionBy("quid").orderBy(F.desc("score"), "uid")
-    near = (found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1)
-            .groupBy("quid").agg(F.expr(f"""slice(array_sort(flatten(collect_list(
-                transform(ids, i -> struct(-score AS s, i AS vec_id))))), 1, {k + 1})""").alias("near")))
+        compare, "quid long, near array<struct<s: double, uid: long, ids: array<long>>>")
+    merged = found.groupBy("quid").agg(F.expr(f"slice(array_sort(flatten(collect_list(near))), 1, {k + 1})").alias("c"))
+    near = merged.select("quid", F.expr(f"""slice(array_sort(flatten(transform(c,
+        x -> transform(x.ids, i -> struct(x.s AS s, i AS vec_id))))), 1, {k + 1})""").alias("near"))
     return (asked.join(near, "quid")
             .select("query_id", F.posexplode(F.expr(f"slice(filter(near, x -> x.vec_id <> query_id), 1, {k})")).alias("p", "x"))
             .select("query_id", (F.col("p") + 1).cast("int").alias("rank"), "x.vec_id", (-F.col("x.s")).alias("score")))

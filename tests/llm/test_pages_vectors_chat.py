@@ -54,6 +54,7 @@ def test_many_lists_probe_few_and_keep_recall(spark, monkeypatch):
     monkeypatch.setattr(ann, "LIST_SIZE", 50)
     monkeypatch.setattr(ann, "BLOCK", 32)
     monkeypatch.setattr(ann, "CHUNK", 16)
+    monkeypatch.setattr(ann, "BLOCK_LISTS", 4)
     rng = np.random.default_rng(0)
     centres = rng.standard_normal((30, 24)) * 3
     x = centres[rng.integers(0, 30, 1500)] + rng.standard_normal((1500, 24))
@@ -75,7 +76,7 @@ def test_scan_abandons_and_finds_the_nearest():
         scored.append(len(rows))
         return -((x[rows] - q[j]) ** 2).sum(axis=1)
 
-    for j, rows, score in ann.scan(x, q, exact, 5):
+    for j, rows, score in ann.scan(x, q, lambda j: np.arange(len(x)), exact, 5):
         truth = np.argsort(((x - q[j]) ** 2).sum(axis=1))[:5]
         assert set(truth) <= set(rows)
     assert max(scored) < 1000
