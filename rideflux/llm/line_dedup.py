@@ -69,14 +69,18 @@ def repeated_runs(docs: DataFrame, min_words: int) -> DataFrame:
     document.  Places are ordered by id (null first), text hash and line.
     """
     windows = stored(_windows(_lines(docs), min_words), "ld-windows")
-    shared = (windows.groupBy("fp").agg(
+    # The aggregates are stored before they are joined back: the join then reads
+    # two plain shuffles, and Spark splits a fingerprint or passage that very
+    # many documents share over several tasks.
+    shared = stored(windows.groupBy("fp").agg(
         F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1"), F.min("th").alias("t0"), F.max("th").alias("t1"),
         F.min("at").alias("a0"), F.max("at").alias("a1"), F.count("doc_id").alias("ids"), F.count("*").alias("n"))
-        .where("d0 <> d1 OR t0 <> t1 OR a0 <> a1 OR (ids > 0 AND ids < n)").select("fp"))
+        .where("d0 <> d1 OR t0 <> t1 OR a0 <> a1 OR (ids > 0 AND ids < n)").select("fp"), "ld-shared")
     matched = stored(windows.join(shared, "fp", "left_semi").select("doc_id", "th", "lo", "hi", "k1", "k2"),
                      "ld-matched")
     place = F.struct("doc_id", "th", "lo")
-    firsts = matched.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    firsts = stored(matched.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1"),
+                    "ld-firsts")
     later = matched.join(firsts, ["k1", "k2"]).where(place > F.col("first")).select("doc_id", "th", "lo", "hi")
     doc = Window.partitionBy("doc_id", "th")
     upto = F.max("hi").over(doc.orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1))
