@@ -1,17 +1,23 @@
 """Main text of web pages: site template removal.
 
-1. Every page is parsed into an element tree and each subtree that is not part
-   of an article hashed (tag, attributes, text, children's hashes).
+1. Every page is parsed into an element tree and each subtree hashed (tag,
+   attributes, text, children's hashes); hashes inside and outside articles
+   are kept apart.
 2. Spark counts, per host, on how many different pages each subtree hash
    occurs; equal copies of a page count once.  Subtrees on ``MIN_PAGES`` pages
-   and ``MIN_SHARE`` of the host's pages or more are its template.
+   and ``MIN_SHARE`` of the host's pages or more are its template.  Inside
+   articles different articles are counted, and a block is template from
+   ``MIN_ARTICLES`` and ``ARTICLE_SHARE`` of the host's articles: a sentence
+   that many articles share is text, one that nearly all have is not.
 3. Pages are extracted without template subtrees and without what its markup
    declares to be a menu, header, footer, sidebar, notice, advert, form,
    script, style or comment section.  Where a page has an article, its text is
-   the article's, otherwise what is left of the body.
+   the article's, otherwise what is left of the body; the body also where the
+   articles hold less than ``MINOR`` of its words.
 
-Subtrees inside an article are never counted as template: a sentence that many
-articles share is text.
+Headings, list items and table parts go only with the block that holds them,
+and an article that would keep less than ``MINOR`` of its words keeps its
+blocks: it is one of a host's near copies.
 """
 
 from __future__ import annotations
@@ -29,6 +35,12 @@ from rideflux.llm.common import ship, stored
 
 MIN_PAGES = 3
 MIN_SHARE = 0.3
+MIN_ARTICLES = 5
+ARTICLE_SHARE = 0.8
+#: A smaller share of the words is a minor part.
+MINOR = 0.25
+#: So many words outside links that a body has besides its articles to stand for them.
+MIN_BODY = 50
 #: Most template hashes (and hosts) that are broadcast; beyond, pages are shuffled by host.
 MAX_BROADCAST = 1_000_000
 
@@ -46,6 +58,8 @@ CLOSED_BY = {
     "td": frozenset({"td", "th", "tr", "tbody", "tfoot"}), "th": frozenset({"td", "th", "tr", "tbody", "tfoot"}),
 }
 SCOPE = frozenset("article aside body div footer header html main nav section table td th ul ol dl".split())
+# Parts of a heading, list or table: alone they are no template inside an article.
+PARTS = frozenset("h1 h2 h3 h4 h5 h6 li dt dd tr td th thead tbody tfoot caption col colgroup summary legend".split())
 # Fixed values of the extraction: elements that are no article text, and words
 # in class, id or role that say so.
 DROPPED = frozenset(
@@ -165,34 +179,43 @@ def articles(root: Node) -> list[Node]:
     return []
 
 
-def subtree_hashes(root: Node) -> list[int]:
-    """Hash of every element's subtree outside articles, set as its ``mark``."""
-    for a in articles(root):
-        for node in in_order(a):
-            node.mark = 0
-    # An element that holds an article is no template either.
-    order, out = in_order(root), []
-    for node in reversed(order):
-        if node.mark == 0:
-            continue
-        if any(isinstance(x, Node) and x.mark in (0, None) and x.tag not in VOID for x in node.items):
+def subtree_hashes(root: Node, tops: list[Node]) -> tuple[list[int], list[int], int]:
+    """Hashes of the subtrees outside articles (even) and of the blocks inside
+    the articles ``tops`` (odd), set as each element's ``mark``, and one hash
+    of what the articles hold."""
+    inner = {id(node) for a in tops for node in in_order(a)}
+    own = {id(a) for a in tops}
+    outside, inside, held = [], [], {}
+    for node in reversed(in_order(root)):
+        within = id(node) in inner
+        # An element that holds an article is no template.
+        if not within and any(isinstance(x, Node) and x.mark == 0 for x in node.items):
             node.mark = 0
             continue
         parts = [node.tag, *(f"{k}={v}" for k, v in sorted((k, v or "") for k, v in node.attrs))]
         parts += [str(x.mark) if isinstance(x, Node) else " ".join(x.split()) for x in node.items]
-        h = xxhash.xxh64_intdigest("\x00".join(parts).encode("utf-8", "replace"), seed=11)
-        node.mark = h - (1 << 64) if h >= 1 << 63 else h
-        if node.tag not in ("#root", "html", "body") and node.tag not in VOID:
-            out.append(node.mark)
-    return out
+        h = xxhash.xxh64_intdigest("\x00".join(parts).encode("utf-8", "replace"), seed=11) & ~1 | within
+        h = h - (1 << 64) if h >= 1 << 63 else h
+        if id(node) in own:
+            held[id(node)] = h
+            node.mark = 0
+            continue
+        node.mark = h or 2
+        if node.tag in VOID:
+            continue
+        if not within:
+            if node.tag not in ("#root", "html", "body"):
+                outside.append(node.mark)
+        elif node.tag not in INLINE and node.tag not in PARTS:
+            inside.append(node.mark)
+    articles_hash = xxhash.xxh64_intdigest(",".join(str(held[id(a)]) for a in tops), seed=11) >> 1
+    return outside, inside, articles_hash
 
 
-def main_text(root: Node, template: frozenset[int] = frozenset()) -> str:
-    """Blocks of the page's text joined by a line break."""
-    if template:
-        subtree_hashes(root)
-    tops = articles(root) or [root]
-    blocks, run = [], []
+def _blocks(tops: list[Node], own: list[Node], template: frozenset[int]) -> tuple[list[str], int]:
+    """Blocks of text below ``tops`` and the number of words outside links;
+    ``own``: the articles, whose own header and title stay."""
+    blocks, run, links, n = [], [], 0, 0
 
     def flush():
         text = " ".join("".join(run).split())
@@ -200,27 +223,50 @@ def main_text(root: Node, template: frozenset[int] = frozenset()) -> str:
             blocks.append(text)
         run.clear()
 
-    inside = tops[0] is not root
-    todo: list = list(reversed(tops))
+    starts, tops_ids = {id(x) for x in own}, {id(x) for x in tops}
+    todo: list = [(x, False) for x in reversed(tops)]
     while todo:
-        x = todo.pop()
+        x, inside = todo.pop()
         if x is None:
             flush()
-        elif isinstance(x, str):
-            run.append(x)
+        elif x == "</a>":
+            links -= 1
+        elif isinstance(x, tuple):
+            run.append(x[0])
+            n += 0 if links else len(x[0].split())
         elif x.tag == "br":
             run.append(" ")
-        elif (x.mark and x.mark in template) or (x not in tops and boilerplate(x, inside)):
+        elif (x.mark and x.mark in template) or (id(x) not in tops_ids and boilerplate(x, inside)):
             if x.tag not in INLINE:
                 flush()
         else:
-            block = x.tag not in INLINE
-            if block:
+            inside = inside or id(x) in starts
+            if x.tag not in INLINE:
                 flush()
-                todo.append(None)
-            todo.extend(reversed(x.items))
+                todo.append((None, inside))
+            elif x.tag == "a":
+                links += 1
+                todo.append(("</a>", inside))
+            todo.extend((y if isinstance(y, Node) else (y,), inside) for y in reversed(x.items))
     flush()
-    return "\n".join(blocks)
+    return blocks, n
+
+
+def main_text(root: Node, template: frozenset[int] = frozenset()) -> str:
+    """Blocks of the page's text joined by a line break."""
+    own = articles(root)
+    if template:
+        subtree_hashes(root, own)
+    if not own:
+        return "\n".join(_blocks([root], [], template)[0])
+    blocks, n = _blocks(own, own, template)
+    if any(t & 1 for t in template):
+        whole, n_whole = _blocks(own, own, frozenset())
+        if n < MINOR * n_whole:
+            template = frozenset(t for t in template if not t & 1)
+            blocks, n = whole, n_whole
+    body, n_body = _blocks([root], own, template)
+    return "\n".join(body if n_body - n >= MIN_BODY and n < MINOR * n_body else blocks)
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,10 +274,14 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hosts, page, hashes = [], [], []
         for host, html in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             content = xxhash.xxh64_intdigest((html or "").encode()) >> 1
-            marks = set(subtree_hashes(parse(html or ""))) | {0}  # 0 counts the pages
-            hosts += [host] * len(marks)
-            page += [content] * len(marks)
-            hashes += marks
+            root = parse(html or "")
+            tops = articles(root)
+            outside, inside, held = subtree_hashes(root, tops)
+            # 0 counts the pages, 1 the articles
+            for of, marks in ((content, {0, *outside}), (held, {1, *inside} if tops else ())):
+                hosts += [host] * len(marks)
+                page += [of] * len(marks)
+                hashes += marks
         yield pa.RecordBatch.from_arrays(
             [pa.array(hosts, pa.string()), pa.array(page, pa.int64()), pa.array(hashes, pa.int64())],
             ["host", "page", "subtree"])
@@ -245,13 +295,16 @@ def host(url: str) -> F.Column:
 def site_templates(pages: DataFrame) -> DataFrame:
     """``host, template``: hashes of the subtrees that recur on the host.
 
-    A template hash is on ``MIN_SHARE`` of a host's pages, so a host has at
+    A template hash is on ``MIN_SHARE`` of a host's pages (the odd ones, from
+    inside articles, on ``ARTICLE_SHARE`` of its articles), so a host has at
     most 1 / ``MIN_SHARE`` times as many as a page has elements.
     """
     counts = stored(pages.mapInArrow(_subtrees, "host string, page long, subtree long")
                     .groupBy("host", "subtree").agg(F.count_distinct("page").alias("n")), "html-counts")
-    total = counts.where("subtree = 0").select("host", F.col("n").alias("total"))
-    often = counts.where(f"subtree <> 0 AND n >= {MIN_PAGES}").join(total, "host").where(f"n >= {MIN_SHARE} * total")
+    total = counts.where("subtree IN (0, 1)").groupBy("host").agg(
+        F.sum(F.expr("IF(subtree = 0, n, 0)")).alias("pages"), F.sum(F.expr("IF(subtree = 1, n, 0)")).alias("articles"))
+    often = counts.where(f"subtree NOT IN (0, 1) AND n >= {MIN_PAGES}").join(total, "host").where(
+        f"IF(subtree & 1 = 0, n >= {MIN_SHARE} * pages, n >= {MIN_ARTICLES} AND n >= {ARTICLE_SHARE} * articles)")
     return often.groupBy("host").agg(F.collect_list("subtree").alias("template"))
 
 

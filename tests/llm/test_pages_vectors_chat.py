@@ -263,3 +263,24 @@ def test_templates_are_removed_and_copies_count_once(spark):
     assert got == ({(i, f"text {i}\nshared by two {i // 2}") for i in range(10)} | {(100 + i, "a copy") for i in range(10)}
                    | {(200, ""), (201, "")})
     assert html_extract.extract(df.limit(0)).count() == 0
+
+
+def test_op10_template_inside_articles_and_bodies_with_a_teaser(spark):
+    def words(i, n):
+        return " ".join(f"w{i}x{k}" for k in range(n))
+
+    box = "<div><p>Read also</p><p>our letter</p></div>"
+    rows = [(i, "http://a.example/x", f"<article><h2>Facts</h2><p>{words(i, 20)}</p>{box}<p>shared {i // 2}</p></article>") for i in range(10)]
+    want = {(i, f"Facts\n{words(i, 20)}\nshared {i // 2}") for i in range(10)}
+    # A sentence that half of the articles share stays; so do hosts of near copies and of few articles.
+    rows += [(20 + i, "http://b.example/x", f"<article><p>{words(i, 9)}</p>{'<p>by many</p>' * (i % 2)}</article>") for i in range(10)]
+    want |= {(20 + i, words(i, 9) + "\nby many" * (i % 2)) for i in range(10)}
+    rows += [(40 + i, "http://c.example/x", f"<article><p>{words('', 30)}</p><p>copy {i}</p></article>") for i in range(10)]
+    want |= {(40 + i, f"{words('', 30)}\ncopy {i}") for i in range(10)}
+    rows += [(60 + i, "http://d.example/x", f"<article><p>{words(i, 20)}</p>{box}</article>") for i in range(3)]
+    want |= {(60 + i, f"{words(i, 20)}\nRead also\nour letter") for i in range(3)}
+    # The article is a teaser only: the text is in the body.
+    rows += [(80 + i, "http://e.example/x", f"<body>{box}<article><p>teaser {i}</p></article><div><p>{words(i, 80)}</p></div>") for i in range(5)]
+    want |= {(80 + i, f"teaser {i}\n{words(i, 80)}") for i in range(5)}
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {(r.page_id, r.text) for r in html_extract.extract(df).collect()} == want
