@@ -15,6 +15,11 @@ parameters are fitted on clean labelled documents, scored without their own
 counts.  The excess of each segment over that law is what counts: the best
 excess and the sum over all significant segments feed a two-parameter-per-input
 logistic curve, fitted on the same bounded sample.
+
+*Size*: features are counted, joined and filtered by their log-odds in Spark.
+The driver and the Python workers hold the ``MAX_FEATURES`` ones in most
+documents; where the model has more, the others stay a stored table that is
+joined to the features of the documents, so every feature counts.
 """
 
 from __future__ import annotations
@@ -31,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rideflux.llm.common import hashed_share, ship, stored, with_broadcast
+from rideflux.llm.common import hashed_share, ship, small_enough, stored, with_broadcast
 
 TOKEN = re.compile(r"[^\W\d_]+")
 PREFIXES = (3, 4, 5, 6)
@@ -42,12 +47,15 @@ DRIFT = 0.5
 #: A feature needs that many toxic documents and that log-odds to raise scores.
 MIN_TOXIC = 3
 MIN_ODDS = 1.0
-#: Bounds of what the driver holds: features of the model, labelled documents
-#: that calibrate it (those with the smallest hashes of their text).
+#: Bounds of what the driver holds: features of the model (the others are a
+#: stored table), labelled documents that calibrate it (those with the smallest
+#: hashes of their text).
 MAX_FEATURES = 200_000
 MAX_CALIBRATION = 6_000
 #: Most labels that are broadcast (12 bytes each); beyond, texts are shuffled to them.
 MAX_BROADCAST = 2_000_000
+#: Pairs of document and feature that a worker returns at once.
+MAX_PAIRS = 100_000
 #: Longest text slice tokenised at once; a token never spans two slices.
 SLICE = 1 << 20
 
@@ -104,14 +112,20 @@ class Model:
     lam: float = 1.0
     log_k: float = 0.0
     weights: tuple[float, float, float] = (0.0, 0.0, 0.0)
+    #: ``feature, y, z`` of what ``counts`` leaves out; None where it has all.
+    tail: DataFrame | None = field(default=None, repr=False)
     _scores: dict[str, float | None] = field(default_factory=dict, repr=False)
 
-    def odds(self, word: str, less: tuple[int, int] = (0, 0)) -> float | None:
-        """Score of a word; None for one that has no feature in the model."""
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"tail": None, "_scores": {}}
+
+    def odds(self, word: str, less: tuple[int, int] = (0, 0), extra: dict[str, tuple[int, int]] | None = None) -> float | None:
+        """Score of a word; None for one that has no feature in the model.
+        ``extra``: counts of features from the model's ``tail``."""
         share, seen = self.base, False
         for f in features(word):
-            c = self.counts.get(f)
-            if c is not None:
+            c = self.counts.get(f) or (extra and extra.get(f))
+            if c:
                 seen = True
                 y, z = max(0, c[0] - less[0]), max(0, c[1] - less[1])
                 share = (y + PRIOR * share) / (y + z + PRIOR)
@@ -119,10 +133,12 @@ class Model:
             return None
         return math.log(share / (1 - share)) - math.log(self.base / (1 - self.base)) - DRIFT
 
-    def spans(self, text: str, own: int | None = None) -> tuple[int, list[tuple[int, int, float]]]:
+    def spans(self, text: str, own: int | None = None, extra: dict[str, tuple[int, int]] | None = None,
+              ) -> tuple[int, list[tuple[int, int, float]]]:
         """Number of tokens and the maximal segments.  ``own``: the label of a
-        document that the counts include; its own part is taken out."""
-        scores = self._scores if own is None else {}
+        document that the counts include; its own part is taken out.
+        ``extra``: counts of its features that are in the model's ``tail``."""
+        scores = self._scores if own is None and not extra else {}
         if len(scores) > 500_000:
             scores.clear()
         less = (0, 0) if own is None else ((1, 0) if own else (0, 1))
@@ -131,7 +147,7 @@ class Model:
             try:
                 s = scores[w]
             except KeyError:
-                s = scores[w] = self.odds(w, less)
+                s = scores[w] = self.odds(w, less, extra)
             if s is not None:
                 found.append((n - 1, s))
         return n, segments(found, DRIFT)
@@ -181,9 +197,69 @@ def _counted(train: DataFrame, only: frozenset[str] | None = None, below: frozen
             .groupBy("feature").agg(F.sum("y").alias("y"), F.sum("z").alias("z")))
 
 
-def _strongest(counted: DataFrame, by: F.Column) -> dict[str, tuple[int, int]]:
-    rows = counted.orderBy(by.desc(), "feature").limit(MAX_FEATURES).collect()
-    return {r.feature: (r.y, r.z) for r in rows}
+def _names(table: DataFrame) -> frozenset[str] | None:
+    """Its features; None when they are more than the driver holds."""
+    return frozenset(r.feature for r in table.select("feature").collect()) if small_enough(table, MAX_FEATURES) else None
+
+
+def _below(train: DataFrame, stems: DataFrame) -> DataFrame:
+    """Counts of all features behind a stem of ``stems`` in their chain."""
+    names = _names(stems)
+    if names is not None:
+        return _counted(train, below=names).where(f"y + z >= {MIN_TOXIC}")
+    ks = ", ".join(map(str, PREFIXES))
+    above = F.expr(f"transform(filter(array({ks}), k -> k < length(rtrim('*', feature))), k -> concat(left(feature, k), '*'))")
+    counted = stored(_counted(train).where(f"y + z >= {MIN_TOXIC}"), "tox-all")
+    chained = counted.select("feature", F.explode(above).alias("stem")).join(
+        stems.select(F.col("feature").alias("stem")), "stem", "left_semi").select("feature").distinct()
+    return counted.join(chained, "feature", "left_semi")
+
+
+def _hold(model: Model, known: DataFrame) -> None:
+    """The features in most documents go into ``counts``, the others stay ``tail``."""
+    rows = known
+    if not small_enough(known, MAX_FEATURES):
+        n = F.col("y") + F.col("z")
+        rows = known.orderBy(n.desc(), "feature").limit(MAX_FEATURES)
+    held = rows.collect()
+    model.counts = {r.feature: (r.y, r.z) for r in held}
+    if rows is not known:
+        least = held[-1].y + held[-1].z
+        model.tail = known.where((n < least) | ((n == least) & (F.col("feature") > held[-1].feature)))
+
+
+def _pairs(batches: Iterator[pa.RecordBatch], held: frozenset[str]) -> Iterator[pa.RecordBatch]:
+    """Each document's features that are not ``held``."""
+    def batch():
+        return pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(names, pa.string())], ["row", "feature"])
+
+    for b in batches:
+        rows, names = [], []
+        for row, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            found = {f for w in set(tokens(text)) for f in features(w)} - held
+            rows += [row] * len(found)
+            names += found
+            if len(rows) >= MAX_PAIRS:
+                yield batch()
+                rows, names = [], []
+        yield batch()
+
+
+def _with_tail(rows: DataFrame, model: Model) -> DataFrame:
+    """``rows`` and, where the model has a tail, the counts ``extra`` of the
+    features of their ``text`` in it."""
+    if model.tail is None:
+        return rows
+    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "tox-rows")
+    pairs = rows.select("row", "text").mapInArrow(partial(_pairs, held=frozenset(model.counts)), "row long, feature string")
+    extra = pairs.join(model.tail, "feature").groupBy("row").agg(F.collect_list(F.struct("feature", "y", "z")).alias("extra"))
+    return rows.join(extra, "row", "left").drop("row")
+
+
+def _extras(batch: pa.RecordBatch) -> list[dict[str, tuple[int, int]] | None]:
+    if "extra" not in batch.schema.names:
+        return [None] * batch.num_rows
+    return [x and {e["feature"]: (e["y"], e["z"]) for e in x} for x in batch.column("extra").to_pylist()]
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -191,8 +267,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     Counts cover all labelled documents given, in three passes: features of
     toxic documents, how many clean ones have those, and the features below
-    prefixes that raise scores, which may say otherwise.  The driver receives
-    at most ``MAX_FEATURES`` features a pass (those in most documents).
+    prefixes that raise scores, which may say otherwise.  A pass is restricted
+    to the features (or stems) that matter where these are at most
+    ``MAX_FEATURES``, otherwise it counts all and joins.
     Without labels of both classes the model finds every text clean.
     """
     marked = labels.where("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(
@@ -203,18 +280,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if len(n) < 2:
         return Model(base=0.5, weights=(-2.0, 0.0, 0.0))
     base = n[1] / (n[0] + n[1])
-    toxic = _strongest(_counted(train.where("label = 1")).where(f"y >= {MIN_TOXIC}"), F.col("y"))
-    clean = _strongest(_counted(train.where("label = 0"), only=frozenset(toxic)), F.col("z"))
+    toxic = stored(_counted(train.where("label = 1")).where(f"y >= {MIN_TOXIC}").select("feature", "y"), "tox-features")
+    clean = _counted(train.where("label = 0"), only=_names(toxic)).select("feature", "z")
+    share = (F.col("y") + PRIOR * base) / (F.col("y") + F.col("z") + PRIOR)
+    risky = stored(toxic.join(clean, "feature", "left").select("feature", "y", F.coalesce("z", F.lit(0)).alias("z")).where(
+        F.log(share / (1 - share)) - math.log(base / (1 - base)) >= MIN_ODDS), "tox-risky")
+    below = _below(train, risky.where("feature LIKE '%*'"))
+    known = risky.unionByName(below).groupBy("feature").agg(F.max("y").alias("y"), F.max("z").alias("z"))
     model = Model(base=base)
-    for f, (y, _) in toxic.items():
-        z = clean.get(f, (0, 0))[1]
-        share = (y + PRIOR * base) / (y + z + PRIOR)
-        if math.log(share / (1 - share)) - math.log(base / (1 - base)) >= MIN_ODDS:
-            model.counts[f] = (y, z)
-    stems = frozenset(f for f in model.counts if f.endswith("*"))
-    if stems:
-        below = _counted(train, below=stems).where(f"y + z >= {MIN_TOXIC}")
-        model.counts.update(_strongest(below, F.col("y") + F.col("z")))
+    _hold(model, stored(known, "tox-model"))
     _calibrate(model, _calibration_rows(train, model, n), n)
     return model
 
@@ -226,14 +300,14 @@ def _calibration_rows(train: DataFrame, model: Model, n: dict[int, int]) -> list
     chosen = [(F.col("label") == k) & hashed_share(order, MAX_CALIBRATION / 2 / n[k]) for k in (0, 1)]
     sample = train.where(chosen[0] | chosen[1])
     sample = sample.withColumn("o", order).dropDuplicates(["o", "label"])  # a text may be repeated many times
-    rows = sample.select("text", "label").mapInArrow(partial(_spans, model=model), "label int, n long, best array<double>").collect()
+    rows = _with_tail(sample.select("text", "label"), model).mapInArrow(partial(_spans, model=model), "label int, n long, best array<double>").collect()
     return [(r.label, r.n, [(0, 0, s) for s in r.best]) for r in sorted(rows)]
 
 
 def _spans(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        labels = b.column(1).to_pylist()
-        found = [model.spans(t, own=y) for t, y in zip(b.column(0).to_pylist(), labels)]
+        labels = b.column("label").to_pylist()
+        found = [model.spans(t, own=y, extra=x) for t, y, x in zip(b.column("text").to_pylist(), labels, _extras(b))]
         yield pa.RecordBatch.from_arrays(
             [pa.array(labels, pa.int32()), pa.array([n for n, _ in found], pa.int64()),
              pa.array([sorted((s for *_, s in segs), reverse=True)[:100] for _, segs in found], pa.list_(pa.float64()))],
@@ -276,14 +350,14 @@ def _calibrate(model: Model, rows: list[tuple[int, int, list]], n_class: dict[in
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for b in batches:
         score, passages = [], []
-        for t in b.column(1).to_pylist():
-            n, segs = model.spans(t)
+        for t, x in zip(b.column("text").to_pylist(), _extras(b)):
+            n, segs = model.spans(t, extra=x)
             score.append(model.score(n, segs))
             passages.append([{"first_token": a, "end_token": e, "excess": x}
                              for (a, e, _), x in zip(segs, model.excesses(n, segs)) if x > 0])
         kind = pa.list_(pa.struct([("first_token", pa.int64()), ("end_token", pa.int64()), ("excess", pa.float64())]))
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(score, pa.float64()), pa.array(passages, kind)], ["doc_id", "score", "passages"])
+            [b.column("doc_id"), pa.array(score, pa.float64()), pa.array(passages, kind)], ["doc_id", "score", "passages"])
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -296,7 +370,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
-    out = rows.mapInArrow(partial(_score, model=model), f"doc_id {kind}, score double, "
+    out = _with_tail(rows, model).mapInArrow(partial(_score, model=model), f"doc_id {kind}, score double, "
                           "passages array<struct<first_token: long, end_token: long, excess: double>>")
     return out.select("doc_id", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "passages")
 

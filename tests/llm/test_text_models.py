@@ -70,6 +70,21 @@ def test_toxicity_edge_tables(spark):
     assert tx.toxicity(docs.limit(0), labels).count() == 0
 
 
+@pytest.mark.parametrize("held", [1, 40])
+def test_op4_scores_do_not_depend_on_what_the_driver_holds(spark, monkeypatch, held):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet").select("doc_id", "toxic")
+    docs = docs.unionByName(_docs(spark, [(None, "x y"), (None, None), (1, "twice")]))
+
+    def rows():
+        return sorted(map(repr, tx.toxicity(docs, labels).collect()))
+
+    want = rows()
+    assert len(set(r.split("score=")[1] for r in want)) > 1
+    monkeypatch.setattr(tx, "MAX_FEATURES", held)
+    assert rows() == want
+
+
 # --- sentencepiece --------------------------------------------------------
 
 def _library(data):
