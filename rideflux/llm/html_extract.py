@@ -5,7 +5,9 @@
    are kept apart.
 2. Spark counts, per host, on how many different pages each subtree hash
    occurs; equal copies of a page count once.  Subtrees on ``MIN_PAGES`` pages
-   and ``MIN_SHARE`` of the host's pages or more are its template.  Inside
+   and ``MIN_SHARE`` of the host's pages or more are its template; blocks also
+   on a large host's ``MANY_PAGES`` and ``SMALL_SHARE``, for its sections and
+   rotating notices.  Inside
    articles different articles are counted, and a block is template from
    ``MIN_ARTICLES`` and ``ARTICLE_SHARE`` of the host's articles: a sentence
    that many articles share is text, one that nearly all have is not.
@@ -35,6 +37,8 @@ from rideflux.llm.common import ship, stored
 
 MIN_PAGES = 3
 MIN_SHARE = 0.3
+MANY_PAGES = 100
+SMALL_SHARE = 0.01
 MIN_ARTICLES = 5
 ARTICLE_SHARE = 0.8
 #: A smaller share of the words is a minor part.
@@ -58,7 +62,7 @@ CLOSED_BY = {
     "td": frozenset({"td", "th", "tr", "tbody", "tfoot"}), "th": frozenset({"td", "th", "tr", "tbody", "tfoot"}),
 }
 SCOPE = frozenset("article aside body div footer header html main nav section table td th ul ol dl".split())
-# Parts of a heading, list or table: alone they are no template inside an article.
+# Parts of a heading, list or table: alone they are no template inside an article, and elsewhere only from MIN_SHARE.
 PARTS = frozenset("h1 h2 h3 h4 h5 h6 li dt dd tr td th thead tbody tfoot caption col colgroup summary legend".split())
 # Fixed values of the extraction: elements that are no article text, and words
 # in class, id or role that say so.
@@ -182,7 +186,7 @@ def articles(root: Node) -> list[Node]:
 def subtree_hashes(root: Node, tops: list[Node]) -> tuple[list[int], list[int], int]:
     """Hashes of the subtrees outside articles (even) and of the blocks inside
     the articles ``tops`` (odd), set as each element's ``mark``, and one hash
-    of what the articles hold."""
+    of what the articles hold.  Bit 1 is set for what is not a block of its own."""
     inner = {id(node) for a in tops for node in in_order(a)}
     own = {id(a) for a in tops}
     outside, inside, held = [], [], {}
@@ -194,19 +198,20 @@ def subtree_hashes(root: Node, tops: list[Node]) -> tuple[list[int], list[int],
             continue
         parts = [node.tag, *(f"{k}={v}" for k, v in sorted((k, v or "") for k, v in node.attrs))]
         parts += [str(x.mark) if isinstance(x, Node) else " ".join(x.split()) for x in node.items]
-        h = xxhash.xxh64_intdigest("\x00".join(parts).encode("utf-8", "replace"), seed=11) & ~1 | within
+        block = node.tag not in INLINE and node.tag not in PARTS
+        h = xxhash.xxh64_intdigest("\x00".join(parts).encode("utf-8", "replace"), seed=11) & ~3 | within | (not block) << 1
         h = h - (1 << 64) if h >= 1 << 63 else h
         if id(node) in own:
             held[id(node)] = h
             node.mark = 0
             continue
-        node.mark = h or 2
+        node.mark = h or 4
         if node.tag in VOID:
             continue
         if not within:
             if node.tag not in ("#root", "html", "body"):
                 outside.append(node.mark)
-        elif node.tag not in INLINE and node.tag not in PARTS:
+        elif block:
             inside.append(node.mark)
     articles_hash = xxhash.xxh64_intdigest(",".join(str(held[id(a)]) for a in tops), seed=11) >> 1
     return outside, inside, articles_hash
@@ -295,16 +300,16 @@ def host(url: str) -> F.Column:
 def site_templates(pages: DataFrame) -> DataFrame:
     """``host, template``: hashes of the subtrees that recur on the host.
 
-    A template hash is on ``MIN_SHARE`` of a host's pages (the odd ones, from
-    inside articles, on ``ARTICLE_SHARE`` of its articles), so a host has at
-    most 1 / ``MIN_SHARE`` times as many as a page has elements.
+    A template hash is on ``SMALL_SHARE`` of a host's pages at least (the odd
+    ones, from inside articles, on ``ARTICLE_SHARE`` of its articles), so a host
+    has at most 1 / ``SMALL_SHARE`` times as many as a page has elements.
     """
     counts = stored(pages.mapInArrow(_subtrees, "host string, page long, subtree long")
                     .groupBy("host", "subtree").agg(F.count_distinct("page").alias("n")), "html-counts")
     total = counts.where("subtree IN (0, 1)").groupBy("host").agg(
         F.sum(F.expr("IF(subtree = 0, n, 0)")).alias("pages"), F.sum(F.expr("IF(subtree = 1, n, 0)")).alias("articles"))
     often = counts.where(f"subtree NOT IN (0, 1) AND n >= {MIN_PAGES}").join(total, "host").where(
-        f"IF(subtree & 1 = 0, n >= {MIN_SHARE} * pages, n >= {MIN_ARTICLES} AND n >= {ARTICLE_SHARE} * articles)")
+        f"IF(subtree & 1 = 0, n >= {MIN_SHARE} * pages OR subtree & 2 = 0 AND n >= {MANY_PAGES} AND n >= {SMALL_SHARE} * pages, n >= {MIN_ARTICLES} AND n >= {ARTICLE_SHARE} * articles)")
     return often.groupBy("host").agg(F.collect_list("subtree").alias("template"))
 
 

@@ -284,3 +284,14 @@ def test_op10_template_inside_articles_and_bodies_with_a_teaser(spark):
     want |= {(80 + i, f"teaser {i}\n{words(i, 80)}") for i in range(5)}
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert {(r.page_id, r.text) for r in html_extract.extract(df).collect()} == want
+
+
+def test_op10_blocks_on_many_pages_of_a_large_host(spark):
+    def page(i):
+        box = "<div><p>Section</p><p>notice</p></div>" if i % 5 == 0 else ""
+        few = "<div><p>by a few</p></div>" if i % 40 == 1 else ""
+        return f"<body>{box}<div><p>text {i}</p><ul><li>kind {i % 6}</li><li>no {i}</li></ul></div>{few}</body>"
+
+    rows = [(i, "http://a.example/x", page(i)) for i in range(600)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"text {i}\nkind {i % 6}\nno {i}" + "\nby a few" * (i % 40 == 1) for i in range(600)}
