@@ -81,9 +81,10 @@ def segments(scores: Iterable[tuple[int, float]], gap: float) -> list[tuple[int,
 
     ``scores`` has (position, score) of tokens in order; tokens not listed
     score ``-gap``.  Linear time: each candidate joins earlier ones at most
-    once (Ruzzo and Tompa).
+    once (Ruzzo and Tompa), and each knows the last earlier one whose sum
+    before is smaller, so that none is passed twice.
     """
-    out: list[list[float]] = []  # start, end, sum before, sum through
+    out: list[list[float]] = []  # start, end, sum before, sum through, last earlier one with a smaller sum before
     total, last = 0.0, 0
     for pos, s in scores:
         total -= gap * (pos - last)
@@ -93,16 +94,15 @@ def segments(scores: Iterable[tuple[int, float]], gap: float) -> list[tuple[int,
             continue
         new = [pos, pos + 1, total, total + s]
         total += s
-        while True:
-            j = len(out) - 1
-            while j >= 0 and out[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or out[j][3] >= new[3]:
-                out.append(new)
-                break
+        j = len(out) - 1
+        while j >= 0 and out[j][2] >= new[2]:
+            j = out[j][4]
+        while j >= 0 and out[j][3] < new[3]:
             new = [out[j][0], new[1], out[j][2], new[3]]
-            del out[j:]
-    return [(int(a), int(b), hi - lo) for a, b, lo, hi in out]
+            at, j = j, out[j][4]
+            del out[at:]
+        out.append([*new, j])
+    return [(int(a), int(b), hi - lo) for a, b, lo, hi, _ in out]
 
 
 @dataclass
@@ -289,19 +289,22 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     known = risky.unionByName(below).groupBy("feature").agg(F.max("y").alias("y"), F.max("z").alias("z"))
     model = Model(base=base)
     _hold(model, stored(known, "tox-model"))
-    _calibrate(model, _calibration_rows(train, model, n), n)
+    found = _calibration_rows(train, model, n)
+    _chance(model, found.select("label", "n", F.coalesce(F.array_max("scores"), F.lit(0.0)).alias("best")).collect())
+    inputs = found.mapInArrow(partial(_inputs, model=model), "label int, best double, total double").collect()
+    _calibrate(model, sorted((r.label, r.best, r.total) for r in inputs), n)
     return model
 
 
-def _calibration_rows(train: DataFrame, model: Model, n: dict[int, int]) -> list[tuple[int, int, list]]:
-    """(label, tokens, segments) of the texts with the smallest hashes, about
-    half of ``MAX_CALIBRATION`` from each class."""
+def _calibration_rows(train: DataFrame, model: Model, n: dict[int, int]) -> DataFrame:
+    """``label, n, scores``: tokens and scores of all segments of the texts with
+    the smallest hashes, about half of ``MAX_CALIBRATION`` from each class."""
     order = F.xxhash64("text")
     chosen = [(F.col("label") == k) & hashed_share(order, MAX_CALIBRATION / 2 / n[k]) for k in (0, 1)]
     sample = train.where(chosen[0] | chosen[1])
     sample = sample.withColumn("o", order).dropDuplicates(["o", "label"])  # a text may be repeated many times
-    rows = _with_tail(sample.select("text", "label"), model).mapInArrow(partial(_spans, model=model), "label int, n long, best array<double>").collect()
-    return [(r.label, r.n, [(0, 0, s) for s in r.best]) for r in sorted(rows)]
+    return stored(_with_tail(sample.select("text", "label"), model).mapInArrow(
+        partial(_spans, model=model), "label int, n long, scores array<double>"), "tox-calibration")
 
 
 def _spans(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
@@ -310,26 +313,40 @@ def _spans(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Recor
         found = [model.spans(t, own=y, extra=x) for t, y, x in zip(b.column("text").to_pylist(), labels, _extras(b))]
         yield pa.RecordBatch.from_arrays(
             [pa.array(labels, pa.int32()), pa.array([n for n, _ in found], pa.int64()),
-             pa.array([sorted((s for *_, s in segs), reverse=True)[:100] for _, segs in found], pa.list_(pa.float64()))],
-            ["label", "n", "best"])
+             pa.array([[s for *_, s in segs] for _, segs in found], pa.list_(pa.float64()))],
+            ["label", "n", "scores"])
 
 
-def _calibrate(model: Model, rows: list[tuple[int, int, list]], n_class: dict[int, int]) -> None:
-    """Extreme-value law from the clean rows, then the logistic curve.
+def _inputs(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        found = [model.inputs(n, [(0, 0, s) for s in scores])
+                 for n, scores in zip(b.column("n").to_pylist(), b.column("scores").to_pylist())]
+        yield pa.RecordBatch.from_arrays(
+            [b.column("label"), pa.array([x for x, _ in found], pa.float64()), pa.array([x for _, x in found], pa.float64())],
+            ["label", "best", "total"])
+
+
+def _chance(model: Model, rows: list) -> None:
+    """Extreme-value law from the clean rows ``(label, n, best)``.
 
     For best scores S of clean documents of n tokens, P(S >= s) is
     1 - exp(-K n exp(-lambda s)).  lambda comes from the mean excess of the
     best scores over their median (exponential tail), K from the share of
     clean documents that reach it.
     """
-    best = np.array([max((s for *_, s in segs), default=0.0) for y, _, segs in rows if y == 0])
-    size = np.array([max(n, 1) for y, n, _ in rows if y == 0], float)
+    clean = sorted((r.best, r.n) for r in rows if r.label == 0)
+    best = np.array([s for s, _ in clean], float)
+    size = np.array([max(n, 1) for _, n in clean], float)
     if len(best) and (best > 0).any():
         cut = np.median(best[best > 0])
         over = best[best >= cut]
         model.lam = float(np.clip(1 / max((over - cut).mean(), 1e-3), 0.2, 3.0))
         model.log_k = float(math.log(len(over) / size.sum()) + model.lam * cut)
-    x = np.array([(1.0, *model.inputs(n, segs)) for _, n, segs in rows])
+
+
+def _calibrate(model: Model, rows: list[tuple[int, float, float]], n_class: dict[int, int]) -> None:
+    """The logistic curve from rows of label and inputs."""
+    x = np.array([(1.0, a, b) for _, a, b in rows])
     y = np.array([r[0] for r in rows], float)
     got = {k: max(1.0, float((y == k).sum())) for k in (0, 1)}
     weight = np.where(y == 1, n_class[1] / got[1], n_class[0] / got[0])

@@ -4,6 +4,7 @@ import os
 import random
 import re
 import struct
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -35,6 +36,22 @@ def test_segments_equal_their_definition():
         assert [s for *_, s in got] == pytest.approx([sum(dense[a:b]) for a, b, _ in got])
 
 
+def test_segments_take_linear_time():
+    for falling in (1.0, 0.5, 0.01):  # sums that fall, with and without an early minimum
+        scores = [(0, -50_000.0), (1, 1.0)] + [(2 + i, 0.4 if i % 2 else -0.4 - falling) for i in range(200_000)]
+        started = time.process_time()
+        assert len(tx.segments(scores, 0.5)) == 100_001
+        assert time.process_time() - started < 5
+
+
+def test_op4_calibration_uses_all_segments(spark):
+    model = tx.Model(base=0.5, counts={"bad": (50, 0)})
+    train = spark.createDataFrame([(" ".join(["bad"] + ["w"] * 20) + " " + " ".join(["bad " + "w " * 20] * 300), k) for k in (0, 1)],
+                                  "text string, label int")
+    rows = tx._calibration_rows(train, model, {0: 1, 1: 1}).collect()
+    assert sorted((r.label, len(r.scores)) for r in rows) == [(0, 301), (1, 301)]
+
+
 def test_op4_held_out_accuracy(spark):
     got = op4_toxicity(spark, SF_MID).join(
         spark.read.parquet(f"{SF_MID}/labels.parquet").select("doc_id", "toxic"), "doc_id", "left").collect()
