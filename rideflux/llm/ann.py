@@ -10,7 +10,8 @@ dimensions; centroids are fitted by k-means on a bounded sample
 (about ``SAMPLE`` vectors, those with the smallest hashes); every vector is indexed.
 The number of lists to probe is the smallest whose recall on that sample
 reaches ``SAMPLE_RECALL``; neighbours lie closer in the full table than in a
-sample, so its recall is a lower estimate.
+sample, so its recall is a lower estimate.  A query whose probed lists hold
+fewer ids than it needs probes further ones.
 
 *Scan*: within each probed list a query adds squared differences column block
 by column block.  After d of D columns, a candidate whose distance so far,
@@ -75,6 +76,8 @@ class Index:
         # Numbered along their widest direction: neighbours share blocks.
         self.centroids = c[np.argsort(c @ np.linalg.svd(c - c.mean(axis=0))[2][0], kind="stable")]
         self.probes = self._enough(sample, x, rng, k)
+        self.held = np.zeros(lists, np.int64)  # ids in each list, once they are counted
+        self.need = k + 2  # k + 1 besides the query's own
 
     def place(self, x: np.ndarray, query: bool = False) -> np.ndarray:
         """Rotated vectors with the extra component, float32."""
@@ -94,8 +97,15 @@ class Index:
     def assign(self, placed: np.ndarray) -> np.ndarray:
         return self._nearest(placed, self.centroids, 1)[:, 0]
 
-    def probed(self, placed: np.ndarray) -> np.ndarray:
-        return self._nearest(placed, self.centroids, self.probes)
+    def probed(self, placed: np.ndarray) -> list[np.ndarray]:
+        """Lists that each query probes: ``probes``, or more until they hold enough ids."""
+        near = self._nearest(placed, self.centroids, self.probes)
+        out = list(near.astype(np.int32))
+        for j in np.flatnonzero(self.held[near].sum(axis=1) < self.need).tolist():
+            order = self._nearest(placed[j:j + 1], self.centroids, len(self.centroids))[0]
+            enough = int(np.searchsorted(np.cumsum(self.held[order]), self.need)) + 1
+            out[j] = order[:max(enough, self.probes)].astype(np.int32)
+        return out
 
     def _enough(self, sample: np.ndarray, x: np.ndarray, rng, k: int) -> int:
         lists = len(self.centroids)
@@ -173,7 +183,7 @@ def _ask(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.RecordB
         placed = index.place(x, query=True)
         lists = index.probed(placed)
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(lists.astype(np.int32).tolist(), pa.list_(pa.int32())),
+            [b.column(0), pa.array(lists, pa.list_(pa.int32())),
              pa.array([r.tobytes() for r in placed], pa.binary()), pa.array([r.tobytes() for r in x], pa.binary())],
             ["quid", "lists", "q_placed", "q_vector"])
 
@@ -246,6 +256,8 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
 
     placed = stored(classes.select("uid", "ids", "embedding").mapInArrow(
         partial(_place, index=index), "uid long, ids array<long>, list int, placed binary, vector binary"), "ann-placed")
+    for r in placed.groupBy("list").agg(F.sum(F.size("ids")).alias("n")).collect():  # at most MAX_LISTS
+        index.held[r["list"]] = r.n
     # Blocks of neighbouring lists; at most MAX_LISTS rows are broadcast.
     block_of = F.floor(F.col("list") / BLOCK_LISTS).cast("int")
     sizes = F.broadcast(placed.groupBy(block_of.alias("block")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("splits")))

@@ -50,6 +50,15 @@ def test_op1_recall_and_scores(spark):
             assert s == pytest.approx(np.dot(np.float64(by_id[q]), np.float64(by_id[i])), rel=1e-12)
 
 
+def test_op1_small_lists_still_give_all_ranks(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LIST_SIZE", 8)
+    monkeypatch.setattr(ann.Index, "_enough", lambda *a: 1)  # what a mean recall may choose
+    rng = np.random.default_rng(1)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.standard_normal((400, 8)))], "vec_id long, embedding array<double>")
+    found = ann.nearest(df, 20, 10).groupBy("query_id").count().collect()
+    assert len(found) == 40 and {r["count"] for r in found} == {20}
+
+
 def test_many_lists_probe_few_and_keep_recall(spark, monkeypatch):
     monkeypatch.setattr(ann, "LIST_SIZE", 50)
     monkeypatch.setattr(ann, "BLOCK", 32)
