@@ -9,7 +9,8 @@ cross: before a marker that follows another character, around a line break, and
 before a full stop or comma that follows a letter, provided that no piece of
 the model holds such a pair of characters (checked when the model is built).
 Each distinct segment is encoded once, in multithreaded batches, checked
-against the sentencepiece library and kept in a bounded cache.
+against the sentencepiece library and kept in a bounded cache.  With a model
+that normalises or cannot be cut so, whole original texts are checked.
 """
 
 from __future__ import annotations
@@ -179,7 +180,9 @@ class Codec:
             self.cut = re.compile(f"{MARK}*{run}+|[.,]{run}*|{MARK}+|\n")
         if self.exact:
             self.raw.pre_tokenizer = Split("\n", "isolated")
-        self.verify = sentencepiece.SentencePieceProcessor(model_proto=data) if verify and self.exact else None
+        library = sentencepiece.SentencePieceProcessor(model_proto=data) if verify else None
+        # Segments show parity only where normalisation is the plain replacement of spaces.
+        self.verify, self.whole = (library, None) if self.exact and plain else (None, library)
         self.cache: dict[str, bytes] = {}
         self.broken: set[str] = set()  # segments that fail parity
         self.table = [b"" if t in (CONTROL, UNKNOWN) else bytes([int(p[3:5], 16)]) if t == BYTE
@@ -244,7 +247,7 @@ class Codec:
                                    if np.array(e[lead + 1:], np.int32).tobytes() != self.cache[s])
 
     def encode(self, texts: Iterable[str]) -> Iterator[tuple[np.ndarray, bool]]:
-        """Token ids of each text and whether all its segments have parity."""
+        """Token ids of each text and whether it (or all its segments) has parity."""
         for text in texts:
             parts, good = [], True
             for piece in self._slices(self.normalise(text)):
@@ -255,7 +258,12 @@ class Codec:
                 self._learn(distinct)
                 parts.append(b"".join(map(self.cache.__getitem__, segments)))
                 good = good and self.broken.isdisjoint(distinct)
-            yield np.frombuffer(b"".join(parts), np.int32), good
+            ids = np.frombuffer(b"".join(parts), np.int32)
+            yield ids, good and self._same(text, ids)
+
+    def _same(self, text: str, ids: np.ndarray) -> bool:
+        """Whether the library gives the whole text these ids, where it is asked."""
+        return self.whole is None or self.whole.encode(text) == ids.tolist()
 
     def encode_group(self, texts: list[str]) -> Iterator[tuple[np.ndarray, bool]]:
         """Like ``encode``; new segments of the whole group go in one batch."""
@@ -263,9 +271,10 @@ class Codec:
             split = [self.cut.findall(self.normalise(t)) for t in texts]
             self._learn(set().union(*split))
             get = self.cache.__getitem__
-            for segments in split:
+            for text, segments in zip(texts, split):
                 good = not self.broken or self.broken.isdisjoint(segments)
-                yield np.frombuffer(b"".join(map(get, segments)), np.int32), good
+                ids = np.frombuffer(b"".join(map(get, segments)), np.int32)
+                yield ids, good and self._same(text, ids)
         else:
             yield from self.encode(texts)
 

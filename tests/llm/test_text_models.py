@@ -202,6 +202,25 @@ def test_extra_spaces_are_normalised():
         assert next(codec.encode([text]))[0].tolist() == lib.encode(text)
 
 
+@pytest.mark.parametrize("fallback, squeeze", [(False, 0), (False, 1), (True, 1)])
+def test_op3_parity_compares_whole_texts_where_segments_do_not_show_it(fallback, squeeze):
+    control = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)]
+    bytes_ = [(f"<0x{b:02X}>", 0.0, 6) for b in range(256)] if fallback else []
+    plain = [("▁", -2.0, 1), ("a", -3.0, 1), ("▁a", -3.1, 1), ("aa", -3.2, 1)]
+    spec = _bytes_field(1, b"identity") + _varint(4 << 3) + _varint(squeeze)
+    texts = ["a  a", "", " aa a "]
+    codec = st.Codec(_model(control + bytes_ + plain, st.UNIGRAM, fallback, spec))
+    assert [good for _, good in codec.encode_group(texts)] == [True] * 3
+    codec.normalise = lambda text: "▁a" + text.replace(" ", "▁")  # a normaliser that the library does not have
+    assert [good for _, good in codec.encode_group(texts)] == [False] * 3
+    assert [good for _, good in codec.encode(texts)] == [False] * 3
+
+
+def test_op3_model_at_hand_is_checked_by_segments(bpe):
+    codec = st.Codec(bpe)
+    assert codec.verify and not codec.whole
+
+
 # --- secrets --------------------------------------------------------------
 
 ASSIGN = re.compile(r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]"""
