@@ -24,6 +24,8 @@ from rideflux.operators.gold import EXACT_SUM
 
 #: Coarsest grid level: cells of 2 ** MAX_LEVEL base cells.
 MAX_LEVEL = 40
+#: The grid reaches so far from zero on both axes.
+GRID = 1e6
 
 
 def zone_performance(demand: DataFrame, revenue: DataFrame, cancels: DataFrame) -> DataFrame:
@@ -106,16 +108,21 @@ def assign_zone_join(points: DataFrame, zones: DataFrame, lat: str = "latitude",
     ``MAX_LEVEL`` + 1, usually a few) the points are joined to their one cell:
     an equi-join on a unique key, so every point comes back exactly once, a
     small zone table is broadcast by Spark and a hot cell is split by AQE.
-    Points without coordinates, and boxes without all four sides, match nothing.
+    Sides and points beyond the grid (``GRID``, also infinite ones) belong to its
+    outermost cells; the containment test is on the true values.  Points without
+    coordinates, and boxes without all four sides, match nothing.
     """
-    size = F.greatest(F.col("lat_hi") - F.col("lat_lo"), F.col("lng_hi") - F.col("lng_lo"))
+    def held(c: str):
+        v = F.col(c).cast("double")
+        return F.when(v.isNotNull() & ~F.isnan(v), F.greatest(F.lit(-GRID), F.least(F.lit(GRID), v)))
+
+    size = F.greatest(held("lat_hi") - held("lat_lo"), held("lng_hi") - held("lng_lo"))
     level = F.greatest(F.lit(0), F.least(F.lit(MAX_LEVEL), F.ceil(F.log2(F.greatest(size, F.lit(cell_deg)) / cell_deg))))
     boxes = zones.select("zone_id", *[F.col(c).cast("double").alias(c) for c in ("lat_lo", "lat_hi", "lng_lo", "lng_hi")])
     boxes = boxes.where("zone_id IS NOT NULL AND lat_lo <= lat_hi AND lng_lo <= lng_hi").withColumn("_level", level.cast("int"))
 
     def cell(c: str, n: int):
-        v = F.col(c).cast("double")
-        return F.when(F.abs(v) < 1e6, F.floor(v / (cell_deg * 2 ** n)))
+        return F.floor(held(c) / (cell_deg * 2 ** n))
 
     result, found = points, []
     for n in sorted(r[0] for r in boxes.select("_level").distinct().collect()):

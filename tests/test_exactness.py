@@ -137,3 +137,15 @@ def test_retried_batches_have_one_audit_row_and_rejects_are_kept(spark, tmp_dir)
     assert [(r.batch_id, r.num_rows) for r in audit] == [(7, 1)]
     assert [r.zone_id for r in jobs.read_gold(spark, tmp_dir, table).collect()] == ["Z001"]
     assert [r.reject_reason for r in spark.read.parquet(jobs.rejects_path(tmp_dir, table)).collect()] == ["null zone_id"]
+
+
+def test_zone_table_join_takes_sides_beyond_the_grid(spark):
+    inf = float("inf")
+    points = spark.createDataFrame([("a", 5.0, 5.0), ("b", 3e6, 5.0), ("c", -inf, 1e300), ("d", 1e6, -2e6), ("e", float("nan"), 1.0),
+                                    ("f", None, 1.0), ("g", 9e6, 9e6)], "event_id string, latitude double, longitude double")
+    zones = spark.createDataFrame(
+        [("Z", -inf, inf, -inf, inf), ("Y", 2e6, 4e6, 0.0, 10.0), ("X", 0.0, 10.0, 0.0, inf), ("V", 1e6, 1e6, -inf, -2e6),
+         ("N", float("nan"), float("nan"), 0.0, 1.0), ("I", inf, inf, -90.0, 1e5), ("U", 5e6, 8e6, 5e6, 8e6)],
+        "zone_id string, lat_lo double, lat_hi double, lng_lo double, lng_hi double")
+    got = {r.event_id: r.assigned_zone_id for r in J.assign_zone_join(points, zones).collect()}
+    assert got == {"a": "X", "b": "Y", "c": "Z", "d": "V", "e": None, "f": None, "g": "Z"}
