@@ -77,10 +77,10 @@ class Sketches:
 
 
 def _probe(batches: Iterator[pa.RecordBatch], ids: list, sketches: Sketches, shingle: int,
-           schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+           also: tuple[int, ...], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows, items, shared = [], [], []
-        for h, own in th.group_shingles(b.column(1), shingle):
+        for h, own in th.group_shingles(b.column(1), shingle, also):
             for r, i in sketches.candidates(h, own):
                 lo, hi = np.searchsorted(own, [r, r + 1])
                 both = int(np.isin(sketches.sets[i], h[lo:hi]).sum())
@@ -94,13 +94,16 @@ def _probe(batches: Iterator[pa.RecordBatch], ids: list, sketches: Sketches, shi
              pa.array([len(sketches.sets[i]) for i in items], pa.int64())], schema=schema)
 
 
-def contained_items(docs: DataFrame, items: DataFrame, shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+def contained_items(docs: DataFrame, items: DataFrame, shingle: int = 5, num: int = 80, den: int = 100,
+                    within: bool = False) -> DataFrame:
     """``doc_id, item_id, n_shared, n_item, containment`` for every document
     (``doc_id, text``) that contains an item (``item_id, text``).
 
     Words are runs of bytes other than white space, A-Z lower-cased; sets hold
     the distinct ``shingle``-word shingles, or the whole sequence of a shorter
-    text (such an item is found only where a document is that sequence).
+    text.  Such an item is found only where a document is that sequence, as in
+    the SQL of op2; ``within``: also inside longer documents, which then give
+    windows of the lengths that occur among short items.
     Items and documents without words take no part.  Null ids are carried like
     any value; a pair repeated by repeated rows is returned once.  Other
     columns are not read; an empty side gives no rows.
@@ -121,10 +124,12 @@ def contained_items(docs: DataFrame, items: DataFrame, shingle: int = 5, num: in
     for k in range(blocks):
         block = bench.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).collect()  # one block, bounded
         texts = pa.array([r.text for r in block], pa.string())
+        sizes = th.word_counts(texts) if within else np.empty(0, np.int64)
+        also = tuple(np.unique(sizes[(sizes > 0) & (sizes < shingle)]).tolist())
         sets = {i: np.unique(h) for i, h in th.doc_shingles(texts, shingle)}
         sketches = Sketches(list(sets.values()), num, den)
         parts.append(rows.mapInArrow(
-            partial(_probe, ids=[block[i].item_id for i in sets], sketches=sketches, shingle=shingle, schema=arrow),
+            partial(_probe, ids=[block[i].item_id for i in sets], sketches=sketches, shingle=shingle, also=also, schema=arrow),
             out_schema))
     found = reduce(DataFrame.unionByName, parts)
     # A text repeated under one id would list its pairs twice.

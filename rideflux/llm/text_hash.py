@@ -113,17 +113,19 @@ def _piece(b: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return mix64(h + (e - s).astype(np.uint64) * np.uint64(0xA24BAED4963EE407)), s
 
 
-def shingle_hashes(words: np.ndarray, owners: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and document index of every ``n``-word shingle.
+def shingle_hashes(words: np.ndarray, owners: np.ndarray, n: int, also: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and document index of every ``n``-word shingle, and of the shorter
+    ones of ``also`` words.
 
     A document with 1 to n-1 words gives its whole word sequence as one.
     """
     out, own = [], []
-    if len(words) >= n:
-        ok = owners[n - 1:] == owners[:len(owners) - n + 1]
-        i = np.flatnonzero(ok)
-        out.append(_combine([words[i + k] for k in range(n)]))
-        own.append(owners[i])
+    for m in (n, *also):
+        if len(words) >= m:
+            ok = owners[m - 1:] == owners[:len(owners) - m + 1]
+            i = np.flatnonzero(ok)
+            out.append(_combine([words[i + k] for k in range(m)]))
+            own.append(owners[i])
     if len(words):
         first = np.flatnonzero(np.r_[True, owners[1:] != owners[:-1]])
         size = np.diff(np.r_[first, len(owners)])
@@ -161,17 +163,27 @@ def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return buf, off[:-1], off[1:]
 
 
-def group_shingles(col: pa.Array, n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def group_shingles(col: pa.Array, n: int, also: tuple[int, ...] = ()) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(shingle hashes, row of each), in text order, for groups of rows of
     together about ``PIECE_BYTES`` of text; a row is never split."""
     buf, starts, ends = text_buffer(col)
     for a, b in row_groups(starts, ends):
         w, o = word_hashes(buf, starts[a:b], ends[a:b])
-        h, own = shingle_hashes(w, o, n)
+        h, own = shingle_hashes(w, o, n, also)
         if len(h):
             yield h, own + a
 
 
+def word_counts(col: pa.Array) -> np.ndarray:
+    """Number of words of every row."""
+    out = np.zeros(len(col), np.int64)
+    buf, starts, ends = text_buffer(col)
+    for a, b in row_groups(starts, ends):
+        _, o = word_hashes(buf, starts[a:b], ends[a:b])
+        out[a:b] = np.bincount(o, minlength=b - a)
+    return out
+
+
 def doc_shingles(col: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray]]:
     """(row, shingle hashes in text order) for every row that has words."""
     for h, own in group_shingles(col, n):

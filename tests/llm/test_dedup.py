@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from rideflux.llm import decontam, graph, line_dedup, near_dup
 from rideflux.llm.queries import op2_decontaminate, op5_near_duplicates, op9_line_dedup
 from tests.conftest import SF_SMALL
@@ -186,6 +187,21 @@ def test_items_with_edits_inside_long_documents(spark, monkeypatch):
     assert len(want) > 40
 
 
+@pytest.mark.parametrize("words", [decontam.BLOCK_WORDS, 4])
+def test_short_items_inside_long_documents(spark, monkeypatch, words):
+    monkeypatch.setattr(decontam, "BLOCK_WORDS", words)
+    items = spark.createDataFrame([(1, "B"), (2, "a b c"), (3, "c d e f"), (4, "a b c d e f"), (5, "")], "item_id long, text string")
+    docs = _docs(spark, [(1, "x A b  c y z w"), (2, "c d e"), (3, "a b c d e f g"), (4, "b"), (5, None), (6, "ab cd")])
+    found = decontam.contained_items(docs, items, within=True).collect()
+    assert {tuple(r)[:4] for r in found} == {(1, 1, 1, 1), (1, 2, 1, 1), (3, 1, 1, 1), (3, 2, 1, 1), (3, 3, 1, 1), (3, 4, 2, 2), (4, 1, 1, 1)}
+
+
+def test_pipeline_drops_documents_with_a_short_item(spark, tmp_path):
+    spark.createDataFrame([(1, "b c")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = _docs(spark, [(1, "a b c d e f g h"), (2, "a c b d e f g h")])
+    assert [r.doc_id for r in dict(corpus_pipeline.STAGES)["decontamination"](spark, docs, str(tmp_path)).collect()] == [2]
+
+
 def test_containment_edge_rows(spark):
     items = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b"), (3, None), (4, ""), (None, "k l m n o")],
                                   "item_id long, text string").withColumn("doc_id", F.lit(9))
