@@ -74,3 +74,26 @@ component AS (SELECT doc_id, min(other) AS least FROM reach GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(c.least, d.doc_id)) AS component_id,
        d.doc_id <= coalesce(c.least, d.doc_id) AS kept
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN component c ON c.doc_id = d.doc_id"""
+
+_H = "CAST('0x' || substr(d, {}, 8) AS BIGINT)"
+
+OP13 = f"""WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS u,
+         sha256('7:' || CAST(doc_id AS VARCHAR)) AS d
+  FROM documents),
+drawn AS (
+  SELECT doc_id, t, u, len(u) AS n, {_H.format(1)} % (len(u) + 1) AS x, {_H.format(9)} % (len(u) + 1) AS y,
+         d IS NULL OR t = '' OR t LIKE '%<P>%' OR t LIKE '%<S>%' OR t LIKE '%<M>%' OR {_H.format(17)} % 100 >= 100 AS plain,
+         {_H.format(25)} % 100 < 50 AS spm
+  FROM units),
+cut AS (
+  SELECT *, array_to_string(u[1:least(x, y)], '') AS prefix, array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS middle,
+         array_to_string(u[greatest(x, y) + 1:], '') AS suffix
+  FROM drawn)
+SELECT doc_id, CAST(n AS BIGINT) AS n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+       CASE WHEN NOT plain THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN NOT plain THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE WHEN plain THEN t WHEN spm THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+                   ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM cut"""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rideflux.llm import (
-    ann, chat_quotes, decontam, html_extract, line_dedup, near_dup, oracle, secret_scan, sentencepiece_tok, toxicity,
-    warc)
+    ann, chat_quotes, decontam, fim, html_extract, line_dedup, lm, near_dup, oracle, runs, secret_scan, sentencepiece_tok,
+    toxicity, warc)
 from rideflux.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,18 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(runs.periodic_runs(runs.repeat_tail(table(spark, sf_dir, "documents")), least=12))
+
+
+def op12_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.interpolated_scores(table(spark, sf_dir, "documents"), order=2)
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digest(fim.fill_in_middle(table(spark, sf_dir, "documents"), seed=7, rate=100, spm=50))
+
+
 def queries() -> dict[str, QueryFn]:
     return {
         "op1_nearest_neighbours": op1_nearest_neighbours,
@@ -66,6 +78,9 @@ def queries() -> dict[str, QueryFn]:
         "op8_warc": op8_warc,
         "op9_line_dedup": op9_line_dedup,
         "op10_html_extract": op10_html_extract,
+        "op11_periodic_runs": op11_periodic_runs,
+        "op12_lm_scores": op12_lm_scores,
+        "op13_fill_in_middle": op13_fill_in_middle,
     }
 
 
@@ -75,4 +90,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_near_duplicates": oracle.OP5,
         "op8_warc": oracle.OP8,
         "op9_line_dedup": oracle.OP9,
+        "op13_fill_in_middle": oracle.OP13,
     }

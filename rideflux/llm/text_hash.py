@@ -1,21 +1,22 @@
 """Word and shingle hashes over whole Arrow string batches, vectorised.
 
-A batch's UTF-8 buffer is hashed with a handful of numpy passes: a word's hash
-is a polynomial in its (tabulated) bytes, read off as a difference of prefix
-sums, so there is no Python loop over words.  A-Z is lower-cased; a word is a
-maximal run of bytes other than space, tab, LF, VT, FF, CR.
+A batch's UTF-8 buffer is hashed with a handful of numpy passes over eight-byte
+chunks of its words; only words of more than ``LONG_WORD`` bytes are digested
+one by one.  A-Z is lower-cased; a word is a maximal run of bytes other than
+space, tab, LF, VT, FF, CR.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 PIECE_BYTES = 1 << 21
-_BASE = 0x9E3779B97F4A7C15 | 1
-_M64 = (1 << 64) - 1
+#: Longer words, in bytes, are digested one by one.
+LONG_WORD = 64
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -29,35 +30,10 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.empty(n, np.uint64)
-    out[0] = 1
-    done = 1
-    while done < n:
-        step = np.uint64(pow(base, done, 1 << 64))
-        more = min(done, n - done)
-        out[done:done + more] = out[:more] * step
-        done += more
-    return out
-
-
-def _byte_table() -> np.ndarray:
-    codes = np.arange(256, dtype=np.uint64)
-    codes[65:91] += np.uint64(32)  # A-Z as a-z
-    return mix64((codes + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
-
-
-_TABLE = _byte_table()
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32  # A-Z as a-z
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_POW: dict[str, np.ndarray] = {}
-
-
-def _pow_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if "up" not in _POW or len(_POW["up"]) < n:
-        _POW["up"] = _powers(_BASE, n)
-        _POW["down"] = _powers(pow(_BASE, -1, 1 << 64), n)
-    return _POW["up"], _POW["down"]
 
 
 def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,12 +81,34 @@ def _piece(b: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     before = inner - 1
     stops[before] = word[before]
     s, e = np.flatnonzero(begins), np.flatnonzero(stops) + 1
-    up, down = _pow_tables(len(b))
-    total = np.empty(len(b) + 1, np.uint64)
-    total[0] = 0
-    np.cumsum(_TABLE[b] * up[:len(b)], out=total[1:])
-    h = (total[e] - total[s]) * down[s]
-    return mix64(h + (e - s).astype(np.uint64) * np.uint64(0xA24BAED4963EE407)), s
+    return _hashed(b, s, e - s), s
+
+
+def _hashed(b: np.ndarray, s: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hash of every ``b[s:s + size]``, A-Z lower-cased.
+
+    Words are taken in eight-byte chunks, each mixed into the state before the
+    next one is added, one chunk of all words at a time.
+    """
+    low = np.zeros(len(b) + 8, np.uint8)
+    low[:len(b)] = _LOWER[b]
+    at = np.ndarray((len(b) + 1,), np.uint64, low.data, strides=(1,))  # the eight bytes from each offset on
+    h = mix64(size.astype(np.uint64) * np.uint64(0xA24BAED4963EE407) + np.uint64(1))
+    short = size <= LONG_WORD
+    live = np.flatnonzero(short)
+    done = 0
+    while len(live):
+        left = size[live] - done
+        chunk = at[s[live] + done]
+        part = left < 8
+        chunk[part] &= (np.uint64(1) << (left[part] * 8).astype(np.uint64)) - np.uint64(1)
+        h[live] = mix64(h[live] * np.uint64(0x9FB21C651E98DF25) + chunk)
+        done += 8
+        live = live[left > 8]
+    for k in np.flatnonzero(~short):
+        word = low[s[k]:s[k] + size[k]]
+        h[k] = int.from_bytes(hashlib.blake2b(word.data, digest_size=8).digest(), "little")
+    return h
 
 
 def shingle_hashes(words: np.ndarray, owners: np.ndarray, n: int, also: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
@@ -124,7 +122,7 @@ def shingle_hashes(words: np.ndarray, owners: np.ndarray, n: int, also: tuple[in
         if len(words) >= m:
             ok = owners[m - 1:] == owners[:len(owners) - m + 1]
             i = np.flatnonzero(ok)
-            out.append(_combine([words[i + k] for k in range(m)]))
+            out.append(combine([words[i + k] for k in range(m)]))
             own.append(owners[i])
     if len(words):
         first = np.flatnonzero(np.r_[True, owners[1:] != owners[:-1]])
@@ -132,7 +130,7 @@ def shingle_hashes(words: np.ndarray, owners: np.ndarray, n: int, also: tuple[in
         for k in range(1, n):
             f = first[size == k]
             if len(f):
-                out.append(_combine([words[f + j] for j in range(k)]))
+                out.append(combine([words[f + j] for j in range(k)]))
                 own.append(owners[f])
     if not out:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
@@ -143,7 +141,7 @@ def shingle_hashes(words: np.ndarray, owners: np.ndarray, n: int, also: tuple[in
     return h, o
 
 
-def _combine(parts: list[np.ndarray]) -> np.ndarray:
+def combine(parts: list[np.ndarray]) -> np.ndarray:
     acc = np.full(len(parts[0]), np.uint64(len(parts)), np.uint64)
     for p in parts:
         acc = mix64(acc * np.uint64(0x9FB21C651E98DF25) + p)
