@@ -12,7 +12,9 @@ Steps, all on Spark:
 4. Buckets chained together form a family.  Members of one family that the
    stars left in different components are compared in square blocks of bounded
    size, first by size and signature, then on full sets: no link is lost
-   because a bucket's smallest member was not the one that is similar.
+   because a bucket's smallest member was not the one that is similar.  Members
+   of a family's largest component are not compared with one another, so a
+   stray document costs a large family one more pass and no more.
 5. Connected components of the verified links.
 """
 
@@ -225,7 +227,7 @@ def verify(pairs: DataFrame, texts: DataFrame, shingle: int, num: int, den: int)
     ``texts`` has ``doc_id, text``.  Each pivot ``a`` is shipped once for
     every ``STAR`` of its members, so a large star spreads over many tasks.
     """
-    chunks = pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR).alias("n"))
+    chunks = stored(pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR).alias("n")), "nd-chunks")
     dealt = pairs.join(chunks, "a").select("a", F.pmod(F.xxhash64("b"), F.col("n")).alias("chunk"), "b")
     members = dealt.join(texts, dealt.b == texts.doc_id).select(
         "a", "chunk", F.lit(True).alias("member"), F.col("b").alias("id"), "text")
@@ -263,9 +265,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, num: int = 80, den: int =
         linked.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
         .select(F.col("doc_id").alias("rep"), "n_shingles", "sig"), "nd-reps")
 
-    bands = reps.select("rep", "sig").mapInArrow(
-        partial(_bands, rows=band_rows(share)), "key long, rep long")
-    heads = bands.groupBy("key").agg(F.min("rep").alias("a"), F.count("*").alias("n")).where("n > 1")
+    # Tables are stored before their aggregates are joined back to them: the join
+    # then reads plain shuffles, and Spark splits a bucket that very many share.
+    bands = stored(reps.select("rep", "sig").mapInArrow(
+        partial(_bands, rows=band_rows(share)), "key long, rep long"), "nd-bands")
+    heads = stored(bands.groupBy("key").agg(F.min("rep").alias("a"), F.count("*").alias("n")).where("n > 1")
+                   .select("key", "a"), "nd-heads")
     stars = stored(bands.join(heads, "key").where("rep <> a").select("a", F.col("rep").alias("b")).distinct(),
                    "nd-stars")
     # Only classes that meet another one are looked at further; up to
@@ -282,20 +287,29 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, num: int = 80, den: int =
     links = stored(verify(stored(close, "nd-close"), texts, shingle, num, den), "nd-links")
     first = components(links)
 
-    family = components(stars).withColumnRenamed("comp", "family")
-    placed = (family.join(first, "node", "left").select(
-        "family", F.col("node").alias("rep"), F.coalesce("comp", "node").alias("comp")))
-    sized = placed.join(known.select("rep", "n_shingles"), "rep")
-    open_families = (sized.groupBy("family")
-                     .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                          F.sum(F.col("n_shingles") + BLOCK_ELEMENTS // BLOCK).alias("n"))
-                     .where("lo <> hi").select("family", F.ceil(F.col("n") / BLOCK_ELEMENTS).cast("int").alias("n")))
+    # A member has an edge to its smallest head, its other heads one to that head.
+    nearest = stored(stars.groupBy("b").agg(F.min("a").alias("m")), "nd-nearest")
+    beside = stars.join(nearest, "b").where("a <> m").select("a", F.col("m").alias("b")).distinct()
+    family = components(nearest.toDF("a", "b").union(beside)).withColumnRenamed("comp", "family")
+    placed = stored(family.join(first, "node", "left").select(
+        "family", F.col("node").alias("rep"), F.coalesce("comp", "node").alias("comp")), "nd-placed")
+    weights = (placed.join(known.select("rep", "n_shingles"), "rep").groupBy("family", "comp")
+               .agg(F.sum(F.col("n_shingles") + BLOCK_ELEMENTS // BLOCK).alias("w")))
+    # Chunks 0 to major - 1 hold the largest component, the next ones the others.
+    open_families = stored(
+        weights.groupBy("family").agg(F.max(F.struct("w", "comp")).alias("top"), F.sum("w").alias("w"), F.count("*").alias("n"))
+        .where("n > 1").select("family", F.col("top.comp").alias("largest"),
+                               F.ceil(F.col("top.w") / BLOCK_ELEMENTS).cast("int").alias("major"),
+                               F.ceil((F.col("w") - F.col("top.w")) / BLOCK_ELEMENTS).cast("int").alias("minor")),
+        "nd-families")
     open_members = stored(placed.join(open_families, "family"), "nd-open")
     elements = (texts.join(open_members.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
                 .select("doc_id", "text").mapInArrow(partial(_set_bytes, shingle=shingle), "rep long, elements binary"))
-    split = (open_members.join(known.select("rep", "sig"), "rep").join(elements, "rep")
-             .withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    of = F.xxhash64("rep")
+    chunk = F.when(F.col("comp") == F.col("largest"), F.pmod(of, "major")).otherwise(F.col("major") + F.pmod(of, "minor"))
+    split = (open_members.withColumn("chunk", chunk.cast("int"))
+             .join(known.select("rep", "sig"), "rep").join(elements, "rep")
+             .withColumn("other", F.explode(F.expr("sequence(IF(chunk < major, major, 0), major + minor - 1)")))
              .select("family", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
                      "chunk", "rep", "comp", "sig", "elements"))
 
