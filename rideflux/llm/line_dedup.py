@@ -23,13 +23,14 @@ from pyspark.sql import functions as F
 from rideflux.llm.common import stored
 
 _BLANK = r"[ \\t\\n\\x0B\\f\\r]+"
+_BLANKS = " \t\n\x0b\f\r"
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     """One row per line with words: two independent hashes and its words."""
     lines = docs.where("text IS NOT NULL").select(
         "doc_id", F.xxhash64("text").alias("th"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    return (lines.select("doc_id", "th", "pos", F.expr(f"regexp_replace(line, '^{_BLANK}|{_BLANK}$', '')").alias("t"))
+    return (lines.select("doc_id", "th", "pos", F.btrim("line", F.lit(_BLANKS)).alias("t"))
             .where("t <> ''")
             .select("doc_id", "th", "pos", F.xxhash64("t").alias("h"), F.xxhash64(F.lit(1), "t").alias("g"),
                     F.expr(f"size(split(t, '{_BLANK}'))").alias("w"))
