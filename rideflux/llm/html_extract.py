@@ -45,6 +45,8 @@ ARTICLE_SHARE = 0.8
 MINOR = 0.25
 #: So many words outside links that a body has besides its articles to stand for them.
 MIN_BODY = 50
+#: Words outside links below which a block's name may decide inside an article.
+SHORT = 50
 #: Most template hashes (and hosts) that are broadcast; beyond, pages are shuffled by host.
 MAX_BROADCAST = 1_000_000
 
@@ -61,6 +63,10 @@ CLOSED_BY = {
     "option": frozenset({"option", "optgroup"}), "tr": frozenset({"tr", "tbody", "tfoot"}),
     "td": frozenset({"td", "th", "tr", "tbody", "tfoot"}), "th": frozenset({"td", "th", "tr", "tbody", "tfoot"}),
 }
+CLOSES: dict[str, list[str]] = {}
+for _name, _tags in CLOSED_BY.items():
+    for _tag in _tags:
+        CLOSES.setdefault(_tag, []).append(_name)
 SCOPE = frozenset("article aside body div footer header html main nav section table td th ul ol dl".split())
 # Parts of a heading, list or table: alone they are no template inside an article, and elsewhere only from MIN_SHARE.
 PARTS = frozenset("h1 h2 h3 h4 h5 h6 li dt dd tr td th thead tbody tfoot caption col colgroup summary legend".split())
@@ -78,40 +84,59 @@ SIGNALS = frozenset(
 #: These also where the element holds an article: that is a reader's or another page's.
 FOREIGN = frozenset(
     "comment comments commentlist disqus respond reply replies related recommended recommendations".split())
+#: Words that say nothing beside a signal.
+COMPANIONS = frozenset(
+    "area bar block box button buttons container group inner item items link links list section unit wrap wrapper".split())
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "items", "mark", "holds")
+    __slots__ = ("tag", "attrs", "items", "mark", "holds", "words")
 
     def __init__(self, tag: str, attrs: list):
         self.tag, self.attrs, self.items, self.mark = tag, attrs, [], None
         self.holds = False  # an article or main element below
+        self.words = -1  # outside links, once counted
 
 
 class Tree(HTMLParser):
-    """Element tree with HTML's optional end tags; stray end tags are ignored."""
+    """Element tree with HTML's optional end tags; stray end tags are ignored.
+
+    For every tag the positions of its open elements are kept, so a tag costs
+    no walk over the open elements, however many are never closed.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Node("#root", [])
         self.open = [self.root]
+        self.at: dict[str, list[int]] = {}
+        self.scopes = [0]
+
+    def _close(self, k: int) -> None:
+        """Close the open elements from position ``k`` on."""
+        for node in self.open[k:]:
+            self.at[node.tag].pop()
+            if node.tag in SCOPE:
+                self.scopes.pop()
+        del self.open[k:]
 
     def handle_starttag(self, tag, attrs):
-        for k in range(len(self.open) - 1, 0, -1):
-            name = self.open[k].tag
-            if tag in CLOSED_BY.get(name, ()):
-                del self.open[k:]
-                break
-            if name in SCOPE:
-                break
+        k = max((self.at[name][-1] for name in CLOSES.get(tag, ()) if self.at.get(name)), default=0)
+        if k and k >= self.scopes[-1]:
+            self._close(k)
         node = Node(tag, attrs)
         self.open[-1].items.append(node)
         if tag in ("article", "main"):
-            for above in self.open:
+            for above in reversed(self.open):
+                if above.holds:
+                    break
                 above.holds = True
         if tag not in VOID:
+            self.at.setdefault(tag, []).append(len(self.open))
+            if tag in SCOPE:
+                self.scopes.append(len(self.open))
             self.open.append(node)
 
     def handle_startendtag(self, tag, attrs):
@@ -120,12 +145,9 @@ class Tree(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k].tag == tag:
-                del self.open[k:]
-                return
-            if self.open[k].tag in SCOPE and tag in INLINE:
-                return
+        at = self.at.get(tag)
+        if at and not (tag in INLINE and self.scopes[-1] > at[-1]):
+            self._close(at[-1])
 
     def handle_data(self, data):
         self.open[-1].items.append(data)
@@ -148,9 +170,25 @@ def in_order(root: Node) -> list[Node]:
     return out
 
 
+def plain_words(node: Node) -> int:
+    """Words below an element that are not in links."""
+    if node.words < 0:
+        for x in reversed(in_order(node)):
+            if x.words < 0:
+                x.words = 0 if x.tag == "a" else sum(
+                    y.words if isinstance(y, Node) else len(y.split()) for y in x.items)
+    return node.words
+
+
 def boilerplate(node: Node, inside: bool) -> bool:
     """Whether markup declares an element to be no article text; ``inside``:
-    it is part of an article, whose own header and title stay."""
+    it is part of an article, whose own header and title stay.
+
+    Inside an article a name counts only if it says nothing else
+    (``ad-box``, not ``notice-period``), and it decides by itself only for
+    readers' comments and links to other pages; any other block goes only if
+    it has less than ``SHORT`` words outside links.
+    """
     if node.tag in DROPPED or (node.tag == "header" and not inside):
         return True
     for name, value in node.attrs:
@@ -159,10 +197,17 @@ def boilerplate(node: Node, inside: bool) -> bool:
         if name == "style" and value and HIDDEN.search(value):
             return True
         if name in ("class", "id", "role") and value and node.tag not in ("html", "body", "main"):
-            words = {w.lower() for w in WORDS.findall(value)}
             own = node.holds or node.tag == "article" or (inside and node.tag in ("h1", "h2", "h3", "header"))
-            if words & (FOREIGN if own else SIGNALS):
-                return True
+            if not inside:
+                words = {w.lower() for w in WORDS.findall(value)}
+                if words & (FOREIGN if own else SIGNALS):
+                    return True
+                continue
+            for token in value.split():
+                words = {w.lower() for w in WORDS.findall(token)}
+                if words & SIGNALS and words <= SIGNALS | COMPANIONS and (
+                        words & FOREIGN or (not own and plain_words(node) < SHORT)):
+                    return True
     return False
 
 
