@@ -66,8 +66,8 @@ def choose_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     ``of``.  Of equal payloads of at least ``min_bytes`` bytes the one with
     the largest page_id is the response; a null id counts as smallest."""
     keys = pages.select("page_id", "payload_digest", "payload_bytes")
-    heads = (keys.where(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest")
-             .agg(F.max("page_id").alias("of"), F.count("*").alias("n")).where("n > 1 AND of IS NOT NULL"))
+    heads = stored(keys.where(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest")
+                   .agg(F.max("page_id").alias("of"), F.count("*").alias("n")).where("n > 1 AND of IS NOT NULL"), "warc-heads")
     return (keys.where(F.col("payload_bytes") >= min_bytes).join(heads, "payload_digest")
             .where("NOT (page_id <=> of)").select("page_id", "payload_digest", "of").distinct())
 
@@ -243,8 +243,9 @@ def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Archive ``pages`` and return per page what the archives hold:
     ``page_id, payload_bytes, payload_digest, record_type, refers_to``.
 
-    Rows repeated with one id and payload are one capture.  An empty table
-    gives no rows.
+    A null html is an empty payload; a null id is the smallest one, its page_id
+    and what refers to it come back null.  Rows repeated with one id and payload
+    are one capture.  Other columns are not read; an empty table gives no rows.
     """
     path = run_dir(pages.sparkSession, "warc")
     write_archives(pages, path, min_bytes)
@@ -259,7 +260,11 @@ def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
         "capture_id", F.when(page != "", page).cast(kind).alias("page_id"),
         "response.payload_bytes", "response.payload_digest", F.col("response.type").alias("record_type"),
         F.col("response.refers_to").alias("of"))
+    found = stored(found, "warc-captures")
     origin = found.where("record_type = 'response'").select(F.col("capture_id").alias("of"),
                                                             F.col("page_id").alias("refers_to"))
-    return found.join(origin, "of", "left").select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    # Only revisits name another capture; all other rows would meet in the null key.
+    named, other = found.where("of IS NOT NULL"), found.where("of IS NULL")
+    return named.join(origin, "of", "left").select(*columns).unionByName(
+        other.withColumn("refers_to", F.lit(None).cast(kind)).select(*columns))
