@@ -40,7 +40,8 @@ def _avg(x: str) -> str:
 
 
 def _windowed(df: DataFrame, spec: S.GoldSpec, watermark: str | None) -> tuple[DataFrame, Column]:
-    if df.isStreaming:
+    # An input that an earlier operator has given a watermark keeps that one.
+    if df.isStreaming and "spark.watermarkDelayMs" not in df.schema["event_ts"].metadata:
         df = df.withWatermark("event_ts", watermark or spec.watermark)
     slide = f", '{spec.slide}'" if spec.slide else ""
     return df, F.expr(f"window(event_ts, '{spec.window}'{slide}) AS window")
@@ -176,6 +177,13 @@ def _minutes(text: str) -> int:
     return int(n) * {"minute": 1, "minutes": 1, "hour": 60, "hours": 60}[unit]
 
 
+def window_minutes(table: str) -> tuple[int, int]:
+    """Size and slide of a table's windows."""
+    spec = S.GOLD_SPECS[table]
+    size = _minutes(spec.window)
+    return size, _minutes(spec.slide) if spec.slide else size
+
+
 def events_for_windows(silver: DataFrame, table: str, start, end) -> DataFrame:
     """Only the events that can reach ``table``'s windows starting in [start, end).
 
@@ -187,9 +195,7 @@ def events_for_windows(silver: DataFrame, table: str, start, end) -> DataFrame:
     (sliding windows that start before ``start``) must still be removed by a
     window-start filter on the result, as the day-based measures do.
     """
-    spec = S.GOLD_SPECS[table]
-    size = _minutes(spec.window)
-    slide = _minutes(spec.slide) if spec.slide else size
+    size, slide = window_minutes(table)
     ts_type = dict(silver.dtypes).get("event_ts", "timestamp")
     lo = F.lit(start).cast(ts_type)
     hi = F.lit(end).cast(ts_type) + F.expr(f"INTERVAL {size - slide} MINUTES")

@@ -89,7 +89,7 @@ def parse_driver_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_view(decoded(spark, sf_dir, "driver_locations"), "driver_locations")
 
 
-def _dirty_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dirty_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ping records as a careless producer sends them, by event number modulo 6:
     cut-off JSON, a text where a number belongs, a month only as time, a time
     that is none, and no zone."""
@@ -115,4 +115,4 @@ SELECT {_DIRTY_NULLS}, CASE WHEN n NOT IN (0, 4) THEN zone_id END AS zone_id,
        CASE n WHEN 0 THEN NULL WHEN 2 THEN date_trunc('month', event_ts) WHEN 3 THEN NULL ELSE event_ts END AS event_ts
 FROM (SELECT *, CAST(substr(event_id, 5) AS BIGINT) % 6 AS n FROM png)""")
 def parse_driver_locations_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat_view(PARSERS["driver_locations"](_dirty_pings(spark, sf_dir)), "driver_locations")
+    return flat_view(PARSERS["driver_locations"](dirty_pings(spark, sf_dir)), "driver_locations")

@@ -40,16 +40,25 @@ def ntz(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c, t in df.dtypes if t == "timestamp"})
 
 
-def file_topic(spark: SparkSession, sf_dir: str, stream: str, base: str) -> str:
-    """The stream as JSON files, written one slice of event time after the
-    other, ``files_per_slice`` files each."""
-    path = f"{base}/topics/{stream}"
-    rows = silver(spark, sf_dir, stream).withColumn("_us", F.unix_micros(F.col("event_ts").cast("timestamp")))
+def file_topic(spark: SparkSession, sf_dir: str, stream: str, base: str, rows: DataFrame | None = None,
+               arrival: str = "event_ts") -> str:
+    """The stream as JSON files, written one slice of time after the other,
+    ``files_per_slice`` files each.
+
+    ``rows`` are the stream's silver rows unless given; ``arrival`` is the SQL
+    timestamp that places a record in a slice.  The records are made once,
+    into a staging folder by slice, and appended from there.
+    """
+    path, staging = f"{base}/topics/{stream}", f"{base}/staging/{stream}"
+    rows = silver(spark, sf_dir, stream) if rows is None else rows
+    rows = rows.withColumn("_us", F.expr(f"unix_micros(CAST({arrival} AS TIMESTAMP))"))
     lo, hi = rows.agg(F.min("_us"), F.max("_us")).first()
     at = F.expr(f"least({SLICES - 1}, (_us - {lo or 0}L) * {SLICES} div greatest({(hi or 0) - (lo or 0)}L, 1L))")
+    records = adapter.to_bronze(rows, stream, keep=[F.coalesce(at, F.lit(0)).cast("int").alias("slice")])
+    records.repartition(files_per_slice(spark)).write.partitionBy("slice").text(staging)
     for i in range(SLICES):
-        part = rows.where(F.coalesce(at, F.lit(0)) == i).drop("_us")
-        write_topic_files(adapter.to_bronze(part, stream), path, partitions=files_per_slice(spark))
+        part = spark.read.schema("value string, slice int").text(staging).where(F.col("slice") == i)
+        write_topic_files(part, path, partitions=files_per_slice(spark))
     return path
 
 

@@ -153,7 +153,8 @@ def silver(spark: SparkSession, sf_dir: str, stream: str) -> DataFrame:
     return STREAMS[stream](read_events(spark, sf_dir))
 
 
-def to_bronze(silver_df: DataFrame, stream: str) -> DataFrame:
-    """Serialise silver rows back to the JSON the producer sends (``value`` column)."""
+def to_bronze(silver_df: DataFrame, stream: str, keep=()) -> DataFrame:
+    """Serialise silver rows back to the JSON the producer sends (``value``
+    column, and the columns ``keep`` beside it)."""
     fields = S.STREAM_SCHEMAS[stream].fieldNames()
-    return silver_df.select(F.to_json(F.struct(*fields)).alias("value"))
+    return silver_df.select(F.to_json(F.struct(*fields)).alias("value"), *keep)

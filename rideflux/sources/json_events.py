@@ -29,14 +29,19 @@ def decode(raw: DataFrame, schema: StructType) -> DataFrame:
     )
 
 
-def parse_ride_requests(raw: DataFrame) -> DataFrame:
-    return decode(raw, S.RIDE_REQUEST_SCHEMA).withColumns({
+def with_pickup(decoded: DataFrame) -> DataFrame:
+    """A decoded request's zones as columns of their own."""
+    return decoded.withColumns({
         "pickup_zone_id": F.col("pickup.zone_id"),
         "pickup_zone_name": F.col("pickup.zone_name"),
         "dropoff_zone_id": F.col("dropoff.zone_id"),
     })
 
 
+def parse_ride_requests(raw: DataFrame) -> DataFrame:
+    return with_pickup(decode(raw, S.RIDE_REQUEST_SCHEMA))
+
+
 def parse_ride_completed(raw: DataFrame) -> DataFrame:
     return decode(raw, S.RIDE_COMPLETED_SCHEMA)
 

@@ -23,10 +23,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
 from rideflux import schemas as S
-from rideflux.operators.layout import accepted, conform, rejected
+from rideflux.operators.layout import REJECT_COL, accepted, conform, rejected
 
 
-def _write_partitioned(df: DataFrame, path: str, partition_cols) -> None:
+def write_partitioned(df: DataFrame, path: str, partition_cols) -> None:
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -52,6 +52,17 @@ def read_audit(spark, path: str) -> DataFrame:
             .agg(newest.alias("r")).select("table_name", "batch_id", "r.*"))
 
 
+def append_audit(spark, audit_path: str, table_name: str, batch_id: int, m: dict) -> None:
+    """One audit row: what batch ``batch_id`` has written to ``table_name``."""
+    now = dt.datetime.now(dt.timezone.utc)
+    row = (table_name, int(batch_id), int(m["num_rows"]), m.get("min_ws"), m.get("max_ws"), now)
+    audit = spark.createDataFrame([row], S.AUDIT_SCHEMA).withColumn("day", F.lit(now.date().isoformat()))
+    # Appended to the day's folder; a retried batch's earlier row is passed
+    # over by readers.  Each table has one writer and a folder of its own:
+    # jobs that append to one folder at once would clear each other's files.
+    audit.drop("table_name").write.mode("append").partitionBy("day").parquet(f"{audit_path}/table_name={table_name}")
+
+
 def batch_writer(path: str, table_name: str, partition_cols=(), audit_path: str | None = None,
                  one_file_per_value: bool = False, schema: T.StructType | None = None, rejects_path: str | None = None):
     """foreachBatch function writing one micro-batch idempotently.
@@ -70,46 +81,55 @@ def batch_writer(path: str, table_name: str, partition_cols=(), audit_path: str
     def write(batch_df: DataFrame, batch_id: int) -> None:
         if schema is None:
             return write_rows(batch_df, batch_id)
-        # Aggregated rows, read twice: what conforms, and what does not.
+        # Aggregated rows: one pass writes what conforms and counts what does not;
+        # a second one, over the cached rows, only where there is some.
         shaped = conform(batch_df, schema).persist()
         try:
-            if not rejected(shaped).isEmpty():
-                _write_partitioned(rejected(shaped).withColumn("batch_id", F.lit(batch_id).cast("long")),
-                                   rejects_path, ("batch_id",))
-            write_rows(accepted(shaped), batch_id)
+            write_rows(shaped, batch_id)
         finally:
             shaped.unpersist()
 
+    def write_rejects(shaped: DataFrame, batch_id: int) -> None:
+        write_partitioned(rejected(shaped).withColumn("batch_id", F.lit(batch_id).cast("long")),
+                           rejects_path, ("batch_id",))
+
     def write_rows(batch_df: DataFrame, batch_id: int) -> None:
-        out = batch_df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        checked = REJECT_COL in batch_df.columns
+        ok = F.col(REJECT_COL) == "" if checked else F.lit(True)
+        metrics = [F.count_if(ok).alias("num_rows")]
+        if "window_start" in batch_df.columns:
+            start = F.when(ok, F.col("window_start"))
+            metrics += [F.min(start).alias("min_ws"), F.max(start).alias("max_ws")]
+        seen = [*metrics, F.count_if(~ok).alias("num_rejected")] if checked else metrics
+        # observation names must be unique in the session, a retried batch included
+        obs = Observation(f"audit_{table_name}_{batch_id}_{uuid.uuid4().hex[:8]}")
+        out = batch_df.observe(obs, *seen)
+        if checked:
+            out = accepted(out)
+        out = out.withColumn("batch_id", F.lit(batch_id).cast("long"))
         if one_file_per_value and partition_cols:
             hour = [F.date_trunc("hour", "window_start")] if "window_start" in batch_df.columns else []
             out = out.repartition(*partition_cols, *hour)
-        metrics = [F.count(F.lit(1)).alias("num_rows")]
-        has_ws = "window_start" in batch_df.columns
-        if has_ws:
-            metrics += [F.min("window_start").alias("min_ws"), F.max("window_start").alias("max_ws")]
-        # observation names must be unique in the session, a retried batch included
-        obs = Observation(f"audit_{table_name}_{batch_id}_{uuid.uuid4().hex[:8]}")
-        _write_partitioned(out.observe(obs, *metrics), path, part)
-        if audit_path is None:
-            return
+        write_partitioned(out, path, part)
         spark = batch_df.sparkSession
         try:
             m = obs.get
         except Py4JJavaError:
             # No metrics came, as when an input optimised to an empty relation
             # never runs their node: count what was written instead.
-            m = _written(spark, f"{path}/batch_id={batch_id}", metrics)
+            m = None
+        if checked and (m is None and not rejected(batch_df).isEmpty() or m and m["num_rejected"]):
+            write_rejects(batch_df, batch_id)
+        if audit_path is None:
+            return
+        if m is None:
+            written = [F.count(F.lit(1)).alias("num_rows")]
+            if "window_start" in batch_df.columns:
+                written += [F.min("window_start").alias("min_ws"), F.max("window_start").alias("max_ws")]
+            m = _written(spark, f"{path}/batch_id={batch_id}", written)
         if not m.get("num_rows"):
             return  # empty batches get no audit row
-        now = dt.datetime.now(dt.timezone.utc)
-        row = (table_name, int(batch_id), int(m["num_rows"]), m.get("min_ws"), m.get("max_ws"), now)
-        audit = spark.createDataFrame([row], S.AUDIT_SCHEMA).withColumn("day", F.lit(now.date().isoformat()))
-        # Appended to the day's folder; a retried batch's earlier row is passed
-        # over by readers.  Each table has one writer and a folder of its own:
-        # jobs that append to one folder at once would clear each other's files.
-        audit.drop("table_name").write.mode("append").partitionBy("day").parquet(f"{audit_path}/table_name={table_name}")
+        append_audit(spark, audit_path, table_name, batch_id, m)
 
     return write
 
