@@ -42,7 +42,7 @@ def register(name: str, oracle: str | None = None):
 
 def _load() -> None:
     # Importing the modules registers their queries.
-    from rideflux.plans import queries_gold, queries_bi, queries_dashboard, queries_ops, queries_streaming  # noqa: F401
+    from rideflux.plans import queries_gold, queries_bi, queries_dashboard, queries_ops, queries_streaming, queries_analytics  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:
