@@ -152,13 +152,13 @@ def quarantine_driver_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- backfill -----------------------------------------------------------------------
 
 def late_requests_run(spark: SparkSession, sf_dir: str) -> str:
-    """Gold and raw streams over a topic where one request in fifty comes a
-    slice of time late; returns the base folder."""
+    """Gold and raw streams over a topic where one request in fifty comes two
+    slices of time late, so that its window is closed; returns the base folder."""
     ensure_utc(spark)
     base = run_dir(spark, "backfill")
     rows = silver(spark, sf_dir, "ride_requests")
     lo, hi = rows.agg(F.min("event_ts"), F.max("event_ts")).first()
-    wait = int((hi - lo).total_seconds()) // SLICES if lo else 0
+    wait = 2 * int((hi - lo).total_seconds()) // SLICES if lo else 0
     late = f"IF({_number('REQ')} % 50 = 7, least(event_ts + INTERVAL {wait} SECONDS, CAST('{hi}' AS TIMESTAMP_NTZ)), event_ts)"
     topic = file_topic(spark, sf_dir, "ride_requests", base, arrival=late)
     parsed = _decoded(spark, "ride_requests", topic)

@@ -123,8 +123,8 @@ def overdue_rides(requests: DataFrame, completed: DataFrame, minutes: int = 120,
 
 
 def driver_shifts(pings: DataFrame, gap: str = "30 minutes", delay: str = "10 minutes") -> DataFrame:
-    """A driver's pings merged into shifts: a new one begins after ``gap``
-    or more without a ping.  The same for a batch and, with the watermark
+    """A driver's pings merged into shifts: a new one begins after more than
+    ``gap`` without a ping.  The same for a batch and, with the watermark
     ``delay``, for a stream, where a shift is emitted once no ping can extend it.
     """
     if pings.isStreaming:
