@@ -16,6 +16,7 @@ import argparse
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from rideflux import schemas as S
 from rideflux.operators import layout
@@ -78,11 +79,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif args.cmd == "compact":
         for t in tables:
             mark = f"{base}/compacted/_high_water/{t}"
-            after = _read_mark(spark, mark)
             top = layout.compact_new_batches(spark, jobs.gold_path(base, t), f"{base}/compacted/{t}", t,
-                                             jobs.committed_batch(spark, base, t), after)
-            if top is not None:
-                spark.createDataFrame([(top,)], "batch_id long").write.mode("overwrite").parquet(mark)
+                                             jobs.committed_batch(spark, base, t), _read_mark(spark, mark))
+            if top is not None:  # marks are appended and the largest counts: none is ever replaced
+                spark.createDataFrame([(top,)], "batch_id long").write.mode("append").parquet(mark)
             print(f"{t}: {'up to batch ' + str(top) if top is not None else 'nothing new'}")
     elif args.cmd == "history":
         rows = history.table_history(spark, base, limit=args.limit).orderBy("table_name", "batch_id")
@@ -92,11 +92,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
 
 
 def _read_mark(spark: SparkSession, path: str) -> int:
-    """High-water batch id of the last compaction run (-1 before the first)."""
+    """High-water batch id of the compaction runs so far (-1 before the first)."""
     if not layout.table_exists(spark, path):
         return -1
-    rows = spark.read.parquet(path).collect()  # one row
-    return int(rows[0].batch_id) if rows else -1
+    top = spark.read.schema("batch_id long").parquet(path).agg(F.max("batch_id")).first()[0]
+    return -1 if top is None else int(top)
 
 
 if __name__ == "__main__":

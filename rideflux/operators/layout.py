@@ -197,14 +197,16 @@ def compact_new_batches(spark: SparkSession, sink_path: str, out_path: str, tabl
     Reads only the sink's batches with ``after_batch < batch_id <= committed``
     (partition pruning on ``batch_id``), and writes them, rebalanced into few
     files, as run ``run=<after_batch>`` of ``out_path`` (partitioned by run and
-    the table's own partition columns).  ``committed`` is the largest batch
-    with an audit row (``jobs.committed_batch``): a batch's folders appear one
-    by one while it is written, its audit row comes last, and batches of a
-    query commit in order, so nothing up to it is still to come.  Dynamic
-    partition overwrite makes a retried run replace itself.  Returns
-    ``committed``, the mark to pass as ``after_batch`` next time, or None when
-    there was nothing new.  Readers of ``out_path`` see a few files per run
-    instead of a directory per batch.
+    the table's own partition columns), each row with the batch that its run
+    reaches up to.  ``committed`` is the largest batch with an audit row
+    (``jobs.committed_batch``): a batch's folders appear one by one while it is
+    written, its audit row comes last, and batches of a query commit in order,
+    so nothing up to it is still to come.  Dynamic partition overwrite makes a
+    retried run replace itself.  Returns ``committed``, the mark to pass as
+    ``after_batch`` next time, or None when there was nothing new.  Readers of
+    ``out_path`` see a few files per run instead of a directory per batch, and
+    follow the runs from the first one on: a run that a longer one has replaced
+    is not read, so starting over without a mark doubles nothing.
     """
     if committed is None or committed <= after_batch:
         return None
@@ -215,6 +217,7 @@ def compact_new_batches(spark: SparkSession, sink_path: str, out_path: str, tabl
     part = S.GOLD_SPECS[table].partition_cols
     out = (
         new.drop("batch_id")
+        .withColumn("up_to", F.lit(committed).cast("long"))
         .withColumn("run", F.lit(after_batch).cast("long"))
         .hint("rebalance", *part)
         .sortWithinPartitions(*S.GOLD_SPECS[table].cluster_cols)
@@ -223,8 +226,24 @@ def compact_new_batches(spark: SparkSession, sink_path: str, out_path: str, tabl
     return committed
 
 
+def compacted_runs(spark: SparkSession, out_path: str, table: str) -> list[tuple[int, int]]:
+    """``(run, up to batch)`` of the runs that follow one another from the first on.
+
+    A run without rows leaves nothing behind; the next one is then the first
+    that begins at or after the batch reached.
+    """
+    full = T.StructType([*S.GOLD_SCHEMAS[table].fields, T.StructField("up_to", T.LongType()), T.StructField("run", T.LongType())])
+    found = spark.read.schema(full).parquet(out_path).groupBy("run").agg(F.coalesce(F.max("up_to"), F.col("run")).alias("up_to")).collect()
+    chain: list[tuple[int, int]] = []
+    for run, up_to in sorted((r.run, r.up_to) for r in found):
+        if not chain or run >= chain[-1][1]:
+            chain.append((run, up_to))
+    return chain
+
+
 def read_compacted(spark: SparkSession, out_path: str, table: str) -> DataFrame:
-    """All runs of an incrementally compacted table, in declared column order."""
+    """The valid runs of an incrementally compacted table, in declared column order."""
     schema = S.GOLD_SCHEMAS[table]
     full = T.StructType([*schema.fields, T.StructField("run", T.LongType())])
-    return spark.read.schema(full).parquet(out_path).select(*schema.fieldNames())
+    runs = [run for run, _ in compacted_runs(spark, out_path, table)]
+    return spark.read.schema(full).parquet(out_path).where(F.col("run").isin(runs)).select(*schema.fieldNames())

@@ -149,3 +149,28 @@ def test_zone_table_join_takes_sides_beyond_the_grid(spark):
         "zone_id string, lat_lo double, lat_hi double, lng_lo double, lng_hi double")
     got = {r.event_id: r.assigned_zone_id for r in J.assign_zone_join(points, zones).collect()}
     assert got == {"a": "X", "b": "Y", "c": "Z", "d": "V", "e": None, "f": None, "g": "Z"}
+
+
+def test_a_lost_mark_loses_and_doubles_no_row(spark, tmp_dir):
+    table, sink, out = "ride_demand_by_zone", f"{tmp_dir}/sink", f"{tmp_dir}/c"
+    from rideflux import schemas as S
+    from rideflux.__main__ import _read_mark
+
+    def row(batch):
+        return (dt.datetime(2024, 1, 1, batch), dt.datetime(2024, 1, 1, batch, 5), "Z001", "City Center", batch, 1.0, 1.0, 1.0)
+
+    for batch in range(4):
+        spark.createDataFrame([row(batch)], S.GOLD_SCHEMAS[table]).withColumn("batch_id", F.lit(batch).cast("long")).write.mode(
+            "append").partitionBy("batch_id", "zone_id").parquet(sink)
+    assert layout.compact_new_batches(spark, sink, out, table, 1, -1) == 1
+    assert layout.compact_new_batches(spark, sink, out, table, 2, 1) == 2
+    assert layout.read_compacted(spark, out, table).count() == 3
+    # Without a mark the next run starts over; the runs it covers are not read any more.
+    assert _read_mark(spark, f"{tmp_dir}/mark") == -1
+    assert layout.compact_new_batches(spark, sink, out, table, 2, -1) == 2
+    assert sorted(r.total_requests for r in layout.read_compacted(spark, out, table).collect()) == [0, 1, 2]
+    assert layout.compact_new_batches(spark, sink, out, table, 3, 2) == 3
+    assert sorted(r.total_requests for r in layout.read_compacted(spark, out, table).collect()) == [0, 1, 2, 3]
+    for top in (1, 3, 2):  # marks are appended, the largest counts
+        spark.createDataFrame([(top,)], "batch_id long").write.mode("append").parquet(f"{tmp_dir}/mark")
+    assert _read_mark(spark, f"{tmp_dir}/mark") == 3
