@@ -60,6 +60,12 @@ def test_op4_held_out_accuracy(spark):
     assert all(r.held_out == (__import__("zlib").crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
     assert sum(r.predicted == r.toxic for r in held) / len(held) > 0.9
+    # Most held-out rows are clean, so the toxic ones are asked for by themselves.
+    bad, good = ([r for r in held if r.toxic == t] for t in (1, 0))
+    wins = sum((b.score > g.score) + 0.5 * (b.score == g.score) for b in bad for g in good)
+    assert bad and wins / (len(bad) * len(good)) > 0.95
+    assert sum(r.predicted for r in bad) / len(bad) >= 0.6
+    assert sum(r.predicted for r in good) == 0
 
 
 def test_stems_carry_over_to_unseen_words(spark):
