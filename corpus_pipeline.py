@@ -3,6 +3,13 @@
 ``run`` applies the stages in order; each result is written to the shared
 folder as Parquet and read again as the next stage's input.  All but the last
 stage return the columns of ``documents``; the last one returns token ids.
+
+Every stage takes null ids and texts, empty texts, repeated rows and an empty
+table.  A row with a null id is never dropped by a decision on ids; null and
+empty texts have no toxic passage, line, shingle or token and stay.  Line dedup
+drops a row only where the deletion of its runs leaves no word.  Rows repeated
+with one id share the other stages' decisions on that id.  Columns besides
+``doc_id``, ``text`` and ``n_chars`` are carried unchanged up to the last stage.
 """
 
 from __future__ import annotations

@@ -377,7 +377,9 @@ def extract(pages: DataFrame) -> DataFrame:
     White space inside a block becomes one space, blocks are joined by a line
     break, character references are decoded.  Null and empty html give an
     empty text; pages without a host form one site.  Ids and urls are only
-    carried: null and repeated rows are fine.  Other columns are not read.
+    carried: null and repeated rows are fine.  Other columns are not read; an
+    empty table gives no rows.  Work and memory of a very long page grow with it,
+    also where its tags are never closed.
     """
     ship(pages.sparkSession)
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))

@@ -370,7 +370,9 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str =
 
     Per rule matches are leftmost, longest and do not overlap; matches of
     different rules may.  Null and empty texts have none.  Ids are only
-    carried: null and repeated ones are fine; other columns are not read.
+    carried: null and repeated ones are fine; other columns are not read.  An
+    empty table gives no rows; a very long text is scanned whole, in time and
+    memory that grow with it.
     """
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -336,7 +336,9 @@ def encode(docs: DataFrame, model: str = DEFAULT_MODEL, id_col: str = "doc_id",
     they decode to exactly the text (a model that normalises texts loses
     some).  Null and empty texts have no token.  Ids of rows are only carried.
     ``model`` is read on the driver and sent to the workers (vocabularies are
-    a few megabytes); other columns are not read.
+    a few megabytes); other columns are not read.  Repeated rows each get their
+    own result, an empty table gives no rows; a very long text is encoded in
+    segments that no piece crosses, work and memory grow with it.
     """
     ship(docs.sparkSession)
     with open(model, "rb") as f:
