@@ -21,11 +21,14 @@ from pyspark.sql import functions as F
 from rideflux import schemas as S
 from rideflux.functions.expressions import cancel_flag, zone_of_point
 from rideflux.operators.gold import EXACT_SUM
+from rideflux.session import run_dir
 
 #: Coarsest grid level: cells of 2 ** MAX_LEVEL base cells.
 MAX_LEVEL = 40
 #: The grid reaches so far from zero on both axes.
 GRID = 1e6
+#: Boxes of one grid cell that are tested from one array.
+CELL_BOXES = 256
 
 
 def zone_performance(demand: DataFrame, revenue: DataFrame, cancels: DataFrame) -> DataFrame:
@@ -98,6 +101,32 @@ def assign_zone(points: DataFrame, lat: str = "latitude", lng: str = "longitude"
     return points.withColumn(out, zone_of_point(lat, lng))
 
 
+def _smallest_zone(boxes: str, lat: str, lng: str):
+    """Smallest zone id among the boxes of an array column that hold the point."""
+    inside = F.filter(boxes, lambda z: F.col(lat).between(z["lat_lo"], z["lat_hi"])
+                      & F.col(lng).between(z["lng_lo"], z["lng_hi"]))
+    return F.array_min(F.transform(inside, lambda z: z["zone_id"]))
+
+
+def _crowded_cells(counts: DataFrame) -> DataFrame:
+    """``_lat, _lng, _chunks`` of crowded cells, stored: as a table of its own
+    it leaves Spark free to split a hot cell of what it is joined to."""
+    path = run_dir(counts.sparkSession, "crowded-cells")
+    counts.select("_lat", "_lng", F.ceil(F.col("_n") / CELL_BOXES).cast("int").alias("_chunks")).write.parquet(path)
+    return counts.sparkSession.read.schema("_lat long, _lng long, _chunks int").parquet(path)
+
+
+def _zones_of_coordinates(places: DataFrame, boxes: DataFrame, crowded: DataFrame) -> DataFrame:
+    """``_y, _x``, smallest zone: the distinct coordinates in crowded cells that some box holds."""
+    chunk = F.pmod(F.xxhash64("zone_id", "lat_lo", "lat_hi", "lng_lo", "lng_hi"), F.col("_chunks")).cast("int")
+    chunks = boxes.withColumn("_chunk", chunk).groupBy("_lat", "_lng", "_chunk").agg(
+        F.collect_list(F.struct("zone_id", "lat_lo", "lat_hi", "lng_lo", "lng_hi")).alias("_boxes"))
+    asked = places.distinct().join(crowded, ["_lat", "_lng"]).withColumn(
+        "_chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
+    return (asked.join(chunks, ["_lat", "_lng", "_chunk"]).withColumn("_zone", _smallest_zone("_boxes", "_y", "_x"))
+            .where("_zone IS NOT NULL").groupBy("_y", "_x").agg(F.min("_zone").alias("_zone")))
+
+
 def assign_zone_join(points: DataFrame, zones: DataFrame, lat: str = "latitude", lng: str = "longitude",
                      out: str = "assigned_zone_id", cell_deg: float = 0.01) -> DataFrame:
     """Same result with a caller's zone table (zone_id, lat_lo, lat_hi, lng_lo, lng_hi).
@@ -108,9 +137,13 @@ def assign_zone_join(points: DataFrame, zones: DataFrame, lat: str = "latitude",
     ``MAX_LEVEL`` + 1, usually a few) the points are joined to their one cell:
     an equi-join on a unique key, so every point comes back exactly once, a
     small zone table is broadcast by Spark and a hot cell is split by AQE.
-    Sides and points beyond the grid (``GRID``, also infinite ones) belong to its
-    outermost cells; the containment test is on the true values.  Points without
-    coordinates, and boxes without all four sides, match nothing.
+    A cell with more than ``CELL_BOXES`` boxes is dealt into chunks of about
+    that many: its distinct coordinates meet each chunk in a row of their own,
+    and the smallest zone per coordinate is joined back to the points.
+    Equal boxes count once, with their smallest zone.  Sides and points beyond
+    the grid (``GRID``, also infinite ones) belong to its outermost cells; the
+    containment test is on the true values.  Points without coordinates, and
+    boxes without all four sides, match nothing.
     """
     def held(c: str):
         v = F.col(c).cast("double")
@@ -118,23 +151,36 @@ def assign_zone_join(points: DataFrame, zones: DataFrame, lat: str = "latitude",
 
     size = F.greatest(held("lat_hi") - held("lat_lo"), held("lng_hi") - held("lng_lo"))
     level = F.greatest(F.lit(0), F.least(F.lit(MAX_LEVEL), F.ceil(F.log2(F.greatest(size, F.lit(cell_deg)) / cell_deg))))
-    boxes = zones.select("zone_id", *[F.col(c).cast("double").alias(c) for c in ("lat_lo", "lat_hi", "lng_lo", "lng_hi")])
-    boxes = boxes.where("zone_id IS NOT NULL AND lat_lo <= lat_hi AND lng_lo <= lng_hi").withColumn("_level", level.cast("int"))
-
-    def cell(c: str, n: int):
-        return F.floor(held(c) / (cell_deg * 2 ** n))
-
+    sides = ["lat_lo", "lat_hi", "lng_lo", "lng_hi"]
+    boxes = zones.select("zone_id", *[F.col(c).cast("double").alias(c) for c in sides])
+    boxes = (boxes.where("zone_id IS NOT NULL AND lat_lo <= lat_hi AND lng_lo <= lng_hi")
+             .groupBy(*sides).agg(F.min("zone_id").alias("zone_id")).withColumn("_level", level.cast("int")))
+
+    def cell(c: str, n):
+        return F.floor(held(c) / (cell_deg * F.pow(F.lit(2.0), n)))
+
+    for axis in ("lat", "lng"):
+        lo, hi = (cell(f"{axis}_{end}", F.col("_level")) for end in ("lo", "hi"))
+        boxes = boxes.withColumn(f"_{axis}", F.explode(F.sequence(lo, hi)))
+    grid = ["_level", "_lat", "_lng"]
+    counts = boxes.groupBy(*grid).agg(F.count("*").alias("_n"))
     result, found = points, []
-    for n in sorted(r[0] for r in boxes.select("_level").distinct().collect()):
-        cells = boxes.where(F.col("_level") == n)
-        for axis in ("lat", "lng"):
-            cells = cells.withColumn(f"_rf_{axis}{n}", F.explode(F.sequence(cell(f"{axis}_lo", n), cell(f"{axis}_hi", n))))
+    for n, most in sorted(counts.groupBy("_level").agg(F.max("_n")).collect()):
         keys = [f"_rf_lat{n}", f"_rf_lng{n}"]
-        cells = cells.groupBy(*keys).agg(
-            F.collect_list(F.struct("zone_id", "lat_lo", "lat_hi", "lng_lo", "lng_hi")).alias(f"_rf_boxes{n}"))
-        result = result.withColumns({keys[0]: cell(lat, n), keys[1]: cell(lng, n)}).join(cells, keys, "left")
-        inside = F.filter(f"_rf_boxes{n}", lambda z: F.col(lat).between(z["lat_lo"], z["lat_hi"])
-                          & F.col(lng).between(z["lng_lo"], z["lng_hi"]))
-        found.append(F.array_min(F.transform(inside, lambda z: z["zone_id"])))
+        result = result.withColumns({keys[0]: cell(lat, F.lit(n)), keys[1]: cell(lng, F.lit(n))})
+        few = boxes.where(F.col("_level") == n)
+        if most > CELL_BOXES:
+            crowded = _crowded_cells(counts.where((F.col("_level") == n) & (F.col("_n") > CELL_BOXES)))
+            zone_at = _zones_of_coordinates(result.select(*[F.col(k).alias(c) for k, c in zip(keys, grid[1:])],
+                                                          F.col(lat).alias("_y"), F.col(lng).alias("_x")),
+                                            few.join(crowded, grid[1:]), crowded)
+            few = few.join(crowded, grid[1:], "left_anti")
+            at = zone_at.toDF(f"_rf_y{n}", f"_rf_x{n}", f"_rf_zone{n}")
+            result = result.join(at, (F.col(lat) == F.col(f"_rf_y{n}")) & (F.col(lng) == F.col(f"_rf_x{n}")), "left")
+            found.append(F.col(f"_rf_zone{n}"))
+        cells = few.groupBy(F.col("_lat").alias(keys[0]), F.col("_lng").alias(keys[1])).agg(
+            F.collect_list(F.struct("zone_id", *sides)).alias(f"_rf_boxes{n}"))
+        result = result.join(cells, keys, "left")
+        found.append(_smallest_zone(f"_rf_boxes{n}", lat, lng))
     best = F.least(*found) if len(found) > 1 else (found or [F.lit(None).cast("string")])[0]
     return result.select(*points.columns, best.alias(out))

@@ -87,6 +87,29 @@ def test_grid_zone_join_matches_literal_zones_on_real_pings(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_crowded_cells_equal_brute_force(spark, monkeypatch):
+    """Many small, nested and equal boxes in one cell, hot and missing coordinates, a clashing column."""
+    import random
+    monkeypatch.setattr(J, "CELL_BOXES", 4)
+    rng = random.Random(3)
+    boxes = []
+    for i in range(150):
+        y, x, h, w = rng.random() / 20, rng.random() / 20, rng.random() / rng.choice((5, 50, 500)), rng.random() / 100
+        boxes.append((f"Z{rng.randrange(90):03}", y, y + h, x, x + w))
+    boxes += [("Y001", 0.01, 0.02, 0.01, 0.02)] * 20 + [("A", None, 1.0, 0.0, 1.0), (None, 0.0, 1.0, 0.0, 1.0), ("A", 1.0, 0.0, 0.0, 1.0)]
+    rows = [(i, rng.random() / 15, rng.random() / 15, "kept") for i in range(300)]
+    rows += [(1000 + i, 0.015, 0.015, "hot") for i in range(200)] + [(2000, None, 0.0, "x"), (2001, float("nan"), 0.0, "x"), (2002, -0.0, 0.0, "x")]
+    points = spark.createDataFrame(rows, "event_id long, latitude double, longitude double, zone_id string")
+    zones = spark.createDataFrame(boxes, "zone_id string, lat_lo double, lat_hi double, lng_lo double, lng_hi double")
+    got = J.assign_zone_join(points, zones).collect()
+
+    def zone(y, x):
+        held = [z for z, a, b, c, d in boxes if None not in (z, a, y) and a <= y <= b and c <= x <= d]
+        return min(held, default=None)
+
+    assert sorted((r.event_id, r.assigned_zone_id, r.zone_id) for r in got) == [(i, zone(y, x), z) for i, y, x, z in sorted(rows, key=lambda r: r[0])]
+
+
 def test_ride_lifecycle_dedups_and_keeps_unmatched(spark):
     req = spark.createDataFrame(
         [("r1", "REQ-1", dt.datetime(2024, 1, 1, 10), "Z001", "Auto", "REQUESTED", 100.0),
