@@ -7,17 +7,28 @@ joined to the messages that first said them:
 
 * in the same conversation, the first earlier message with that unit;
 * otherwise, for units of ``MIN_WORDS`` words or more, the first such message
-  of a conversation with a smaller id.
+  of the other conversation with the smallest id (ids are no clock: it may be
+  larger than that of the reply).
 
 A message replies to the original that its quotes share most characters with.
-Conversations linked that way form a thread.  Within a thread messages are
-ordered by conversation, then turn, so every original precedes its replies;
-texts come without quotes and attribution lines.  Threads are emitted in
+Conversations linked that way form a thread.  Its messages form a reply tree:
+one with a known original stands below that, any other below the message
+before it in its conversation.  Threads list the tree in preorder: a message,
+then what continues it, then the later replies to it by conversation and turn,
+each with all that hangs from it.  So originals precede their replies and
+branches are not interleaved; of messages that quote each other in a circle
+the first by conversation and turn starts the thread as if it quoted nothing.
+Texts come without quotes and attribution lines.  Threads are emitted in
 segments of ``SEGMENT`` messages, so no thread is held whole.
+
+Messages that continue one another form a run, and only runs are ordered: an
+Euler tour of the tree of runs is ranked by pointer jumping, in as many rounds
+as the logarithm of its length.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -31,7 +42,7 @@ from rideflux.llm.graph import components
 
 MIN_WORDS = 5
 SEGMENT = 256
-#: Turns counted together for positions.
+#: Turns, and conversation ids, ordered together.
 BUCKET = 1_000
 MARKS = re.compile(r"^[ \t]*(?:>[ \t]*)+")
 ATTRIBUTION = re.compile(r"^.{0,200}\b(?:wrote|writes|said|schrieb|a écrit|escribió)\s*:\s*$", re.I)
@@ -115,18 +126,83 @@ def reply_links(messages: DataFrame) -> DataFrame:
             .join(wanted, "h", "left_semi"))
     # First places only, combined before the shuffle: a line said anywhere any number of times is one row.
     here = stored(said.groupBy("h", "conv_id").agg(F.min("turn").alias("first_turn")), "chat-here")
-    there = here.groupBy("h").agg(F.min(F.struct("conv_id", "first_turn")).alias("first"))
+    least = F.min(F.struct("conv_id", "first_turn"))
+    there = stored(here.groupBy("h").agg(least.alias("first")), "chat-first")
+    # The first conversation's own messages look at the one after it.
+    after = (here.join(there, "h").where("conv_id <> first.conv_id").groupBy("h").agg(least.alias("next")))
+    there = stored(there.join(after, "h", "left"), "chat-there")
     same = (asked.join(here, ["h", "conv_id"]).where("first_turn < turn")
             .select("conv_id", "turn", "h", "n", F.col("conv_id").alias("reply_conv"), F.col("first_turn").alias("reply_turn")))
-    other = (asked.where("n > 0").join(there, "h").where("first.conv_id < conv_id")
-             .select("conv_id", "turn", "h", "n", F.col("first.conv_id").alias("reply_conv"),
-                     F.col("first.first_turn").alias("reply_turn")))
+    other = (asked.where("n > 0").join(there, "h")
+             .withColumn("o", F.when(F.col("first.conv_id") == F.col("conv_id"), F.col("next")).otherwise(F.col("first")))
+             .where("o IS NOT NULL")
+             .select("conv_id", "turn", "h", "n", F.col("o.conv_id").alias("reply_conv"), F.col("o.first_turn").alias("reply_turn")))
     found = same.withColumn("near", F.lit(1)).unionByName(other.withColumn("near", F.lit(0)))
     score = found.groupBy("conv_id", "turn", "near", "reply_conv", "reply_turn").agg(F.sum(F.abs("n")).alias("shared"))
     best = F.max(F.struct("near", "shared", -F.col("reply_conv"), -F.col("reply_turn"), "reply_conv", "reply_turn"))
     return score.groupBy("conv_id", "turn").agg(best.alias("b")).select("conv_id", "turn", "b.reply_conv", "b.reply_turn")
 
 
+def _jump(steps: DataFrame, combine, length: int, label: str) -> DataFrame:
+    """``node, next, v``: ``v`` combined along the whole path from each node.
+
+    ``next`` is null at ends; after the rounds that a path of ``length`` nodes
+    takes, only nodes that lead into a circle still have one.
+    """
+    for _ in range(max(1, math.ceil(math.log2(max(length, 2))) + 1)):
+        far = steps.toDF("next", "far", "more")
+        moved = (steps.where("next IS NOT NULL").join(far, "next")
+                 .select("node", F.col("far").alias("next"), combine(F.col("v"), F.col("more")).alias("v")))
+        steps = stored(steps.where("next IS NULL").select("node", "next", "v").unionByName(moved), label)
+        if not steps.where("next IS NOT NULL").limit(1).count():
+            break
+    return steps
+
+
+def _without_circles(runs: DataFrame, n: int) -> DataFrame:
+    """``runs`` where the first run of each circle of parents has no parent."""
+    own = F.struct(F.col("conv_id").alias("c"), F.col("turn").alias("t"), F.col("run").alias("run"))
+    ends = _jump(runs.select(F.col("run").alias("node"), F.col("parent").alias("next"), own.alias("v")), F.least, n, "chat-circles")
+    on = ends.where("next IS NOT NULL").select(F.col("next").alias("node")).distinct()
+    cut = stored(ends.join(on, "node").select(F.col("v.run").alias("run")).distinct().withColumn("cut", F.lit(True)), "chat-cut")
+    return (runs.join(cut, "run", "left").withColumn("parent", F.when(F.col("cut").isNull(), F.col("parent")))
+            .withColumn("below", F.when(F.col("cut").isNull(), F.col("below")).otherwise(0)).drop("cut"))
+
+
+def _run_offsets(runs: DataFrame) -> DataFrame:
+    """``run, offset``: the messages of its thread before each run, in preorder.
+
+    ``runs``: ``run, thread_id, conv_id, turn`` (null: it opens its
+    conversation), ``parent`` (run, or null), ``below`` (the larger, the
+    earlier the parent's message), ``n`` messages.  A run's children start with
+    those of its last message, so that a branch follows what it hangs from.
+    """
+    n = runs.count()
+    runs = stored(_without_circles(runs, n), "chat-runs").withColumn(
+        "family", F.coalesce(F.concat(F.lit("run "), "parent"), F.concat(F.lit("thread "), F.col("thread_id").cast("string"))))
+    # Siblings in buckets of conversation ids, so that no task orders all replies to one message.
+    key = ["family", "below", "group"]
+    runs = runs.withColumn("group", F.floor(F.col("conv_id") / BUCKET))
+    first = F.min(F.struct(F.col("conv_id").alias("c"), F.col("turn").alias("t"), F.col("run").alias("run")))
+    groups = runs.groupBy(*key).agg(first.alias("f"))
+    groups = stored(groups.select(*key, F.lead("f.run").over(Window.partitionBy("family").orderBy("below", "group")).alias("later")),
+                    "chat-siblings")
+    beside = F.lead("run").over(Window.partitionBy(*key).orderBy("conv_id", "turn"))
+    placed = stored(runs.withColumn("beside", beside).join(groups, key)
+                    .select("run", "thread_id", "parent", "n", F.coalesce("beside", "later").alias("sibling"),
+                            "below", "conv_id", "turn"), "chat-placed")
+    child = (placed.where("parent IS NOT NULL").groupBy(F.col("parent").alias("run"))
+             .agg(F.min(F.struct("below", "conv_id", "turn", "run")).getField("run").alias("child")))
+    down, up = (lambda c, d=d: F.concat(F.lit(d), F.col(c)) for d in ("down ", "up "))
+    tour = placed.join(child, "run", "left").select(
+        down("run").alias("node"), F.coalesce(down("child"), up("run")).alias("next"), F.col("n").alias("v")
+    ).unionByName(placed.select(up("run").alias("node"), F.coalesce(down("sibling"), up("parent")).alias("next"), F.lit(0).cast("long").alias("v")))
+    ranked = _jump(stored(tour, "chat-tour"), lambda a, b: a + b, 2 * n, "chat-ranks")
+    total = stored(placed.groupBy("thread_id").agg(F.sum("n").alias("total")), "chat-totals")
+    return (placed.select("run", "thread_id", down("run").alias("node")).join(ranked, "node").join(total, "thread_id")
+            .select("run", (F.col("total") - F.col("v")).alias("offset")))
+
+
 def ordered_messages(conversations: DataFrame) -> DataFrame:
     """``thread_id, position, conv_id, turn, role, text, reply_conv,
     reply_turn, n_quotes`` for every row.
@@ -142,21 +218,42 @@ def ordered_messages(conversations: DataFrame) -> DataFrame:
     messages = stored(_messages(conversations), "chat-messages")
     links = stored(reply_links(messages), "chat-links")
     joined = components(links.where("reply_conv <> conv_id").select(F.col("conv_id").alias("a"), F.col("reply_conv").alias("b")))
-    rows = (messages.drop("said", "quoted").join(links, ["conv_id", "turn"], "left")
-            .join(joined.withColumnRenamed("node", "conv_id"), "conv_id", "left")
-            .withColumn("thread_id", F.coalesce("comp", "conv_id")).drop("comp")
-            .withColumn("bucket", F.coalesce(F.floor(F.col("turn") / BUCKET), F.lit(2**53))))
-    # Positions from counts of buckets, so that no task ranks a whole thread.
-    key = ["thread_id", "conv_id", "bucket"]
-    counts = rows.groupBy(*key).agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("thread_id").orderBy(F.asc_nulls_last("conv_id"), "bucket")
-                             .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(*[F.col(k).alias("o_" + k) for k in key], F.coalesce(before, F.lit(0)).alias("offset"))
-    within = F.row_number().over(Window.partitionBy(*key).orderBy("turn", "role", "text"))
-    match = [rows_k.eqNullSafe(off_k) for rows_k, off_k in ((F.col(k), F.col("o_" + k)) for k in key)]
-    return (rows.withColumn("within", within).join(offsets, match[0] & match[1] & match[2])
-            .select("thread_id", (F.col("offset") + F.col("within") - 1).alias("position"), "conv_id", "turn", "role",
-                    "text", "reply_conv", "reply_turn", "n_quotes"))
+    follows = "reply_conv = conv_id AND reply_turn = try_subtract(turn, 1)"
+    rows = stored(
+        messages.drop("said", "quoted").join(links.withColumn("head", F.expr(f"IF({follows}, NULL, turn)")), ["conv_id", "turn"], "left")
+        .join(joined.withColumnRenamed("node", "conv_id"), "conv_id", "left")
+        .withColumn("thread_id", F.coalesce("comp", "conv_id")).drop("comp")
+        .withColumn("bucket", F.coalesce(F.floor(F.col("turn") / BUCKET), F.lit(2**53))), "chat-rows")
+    # The run of a row starts at the last head up to it: in its bucket of turns, or carried from those before.
+    marks = rows.groupBy("conv_id", "bucket").agg(F.max("head").alias("last"))
+    carried = F.max("last").over(Window.partitionBy("conv_id").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+    marks = stored(marks.select(F.col("conv_id").alias("m_conv"), F.col("bucket").alias("m_bucket"), carried.alias("carried")), "chat-marks")
+    here = F.max("head").over(Window.partitionBy("conv_id", "bucket").orderBy(F.asc_nulls_last("turn")))
+    rows = stored(
+        rows.withColumn("here", here)
+        .join(marks, F.col("conv_id").eqNullSafe(F.col("m_conv")) & (F.col("bucket") == F.col("m_bucket")))
+        .withColumn("start", F.coalesce("here", "carried"))
+        .withColumn("run", F.concat_ws(" ", F.col("conv_id").cast("string"), F.col("start").cast("string")))
+        .drop("here", "carried", "m_conv", "m_bucket"), "chat-in-runs")
+    # Positions in a run from counts of buckets, so that no task ranks a whole conversation.
+    counts = stored(rows.groupBy("thread_id", "conv_id", "run", "start", "bucket").agg(F.count("*").alias("n")), "chat-counts")
+    before = F.sum("n").over(Window.partitionBy("run").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(F.col("run").alias("o_run"), F.col("bucket").alias("o_bucket"), F.coalesce(before, F.lit(0)).alias("offset"))
+    # Only threads with heads have more than one run.
+    heads = rows.where("head IS NOT NULL").select("thread_id", "conv_id", "turn", "run", "reply_conv", "reply_turn").distinct()
+    asked = heads.select(F.col("reply_conv").alias("conv_id"), F.col("reply_turn").alias("turn")).distinct()
+    said = stored(rows.select("conv_id", "turn", "run").join(asked, ["conv_id", "turn"], "left_semi").distinct()
+                  .toDF("reply_conv", "reply_turn", "parent"), "chat-originals")
+    parents = heads.join(said, ["reply_conv", "reply_turn"]).select("run", "parent", F.bitwise_not("reply_turn").alias("below"))
+    runs = (counts.join(heads.select("thread_id").distinct(), "thread_id", "left_semi")
+            .groupBy("thread_id", "conv_id", "run", F.col("start").alias("turn")).agg(F.sum("n").alias("n"))
+            .join(parents, "run", "left").withColumn("below", F.coalesce("below", F.lit(0).cast("long"))))
+    starts = stored(_run_offsets(stored(runs, "chat-forest")), "chat-offsets").toDF("run", "thread_offset")
+    within = F.row_number().over(Window.partitionBy("conv_id", "run", "bucket").orderBy(F.asc_nulls_last("turn"), "role", "text"))
+    position = F.coalesce("thread_offset", F.lit(0)) + F.col("offset") + F.col("within") - 1
+    return (rows.withColumn("within", within)
+            .join(offsets, (F.col("run") == F.col("o_run")) & (F.col("bucket") == F.col("o_bucket"))).join(starts, "run", "left")
+            .select("thread_id", position.alias("position"), "conv_id", "turn", "role", "text", "reply_conv", "reply_turn", "n_quotes"))
 
 
 def threads(conversations: DataFrame) -> DataFrame:

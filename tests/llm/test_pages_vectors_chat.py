@@ -143,6 +143,83 @@ def test_repeated_sentences_link_to_the_first(spark):
     assert [tuple(r) for r in links] == [(90, 0, 0, 0)]
 
 
+def test_originals_with_larger_ids_are_linked(spark):
+    a, b = "this sentence is said by somebody else", "and this one is said by two others"
+    rows = [(1, 0, "user", f"> {a}\nyes"), (2, 0, "user", b), (4, 0, "user", f"{b}\n> {a}"), (9, 3, "user", a), (7, 1, "user", f"> {b}"),
+            (2, 1, "user", f"> {b}\nmine")]
+    links = chat_quotes.reply_links(chat_quotes._messages(_chat(spark, rows))).collect()
+    assert {tuple(r) for r in links} == {(1, 0, 9, 3), (4, 0, 9, 3), (7, 1, 2, 0), (2, 1, 2, 0)}
+    only = [(2, 0, "user", f"> {b}\n{b}"), (5, 0, "user", b)]
+    assert [tuple(r) for r in chat_quotes.reply_links(chat_quotes._messages(_chat(spark, only))).collect()] == [(2, 0, 5, 0)]
+
+
+def _preorder(rows, links):
+    """{thread: [(conv, turn)]}: the reply tree walked message by message."""
+    turns = {}
+    for c, t, _, _ in rows:
+        turns.setdefault(c, set()).add(t)
+    links = dict(links)
+    thread = {c: c for c in turns}
+    while True:
+        low = [(max(thread[c], thread[o]), min(thread[c], thread[o])) for (c, _), (o, _) in links.items() if thread[c] != thread[o]]
+        if not low:
+            break
+        thread = {c: low[0][1] if k == low[0][0] else k for c, k in thread.items()}
+    before = {(c, t): (c, max((s for s in turns[c] if s < t), default=None)) for c in turns for t in turns[c]}
+    parent = {m: links.get(m, before[m] if before[m][1] is not None else None) for m in before}
+    opened = {m for m in parent if parent[m] is None}
+    for m in sorted(parent):  # a circle starts at its first message that quotes
+        seen, at = [], m
+        while at is not None and at not in seen:
+            seen.append(at)
+            at = parent[at]
+        if at is not None:
+            parent[min(x for x in seen[seen.index(at):] if x in links and links[x] != before[x])] = None
+    children = {}
+    for m, p in parent.items():
+        if p is not None:
+            children.setdefault(p, []).append(m)
+    out = {}
+    # A conversation's opening messages sort before a head of it that lost its original.
+    for root in sorted((m for m in parent if parent[m] is None), key=lambda m: (m[0], m not in opened, m[1])):
+        stack = [root]
+        while stack:
+            m = stack.pop()
+            out.setdefault(thread[m[0]], []).append(m)
+            kids = children.get(m, [])
+            # What continues the message first, then the other replies.
+            stack += sorted(kids, key=lambda k: (before[k] != m, k), reverse=True)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_threads_are_reply_trees_in_preorder(spark, monkeypatch, seed):
+    import random
+    monkeypatch.setattr(chat_quotes, "BUCKET", 3)
+    rng = random.Random(seed)
+    convs = 12
+    said = {(c, t): f"unique sentence number {c} point {t} here" for c in range(convs) for t in range(rng.randrange(1, 9))}
+    links, rows = {}, []
+    for c, t in said:
+        text = said[c, t]
+        if rng.random() < 0.5:
+            of = rng.choice([m for m in said if m[0] // 4 == c // 4])
+            if of[0] != c or of[1] < t:
+                links[c, t] = of
+                text = f"> {said[of]}\n{text}"
+        rows.append((c, t, "user", text))
+    rows.append((0, 0, "user", dict(((c, t), x) for c, t, _, x in rows)[0, 0]))
+    found = chat_quotes.reply_links(chat_quotes._messages(_chat(spark, rows))).collect()
+    assert {((r.conv_id, r.turn), (r.reply_conv, r.reply_turn)) for r in found} == set(links.items())
+    got, places = {}, {}
+    for r in chat_quotes.ordered_messages(_chat(spark, rows)).orderBy("thread_id", "position").collect():
+        got.setdefault(r.thread_id, []).append((r.conv_id, r.turn))
+        places.setdefault(r.thread_id, []).append(r.position)
+    assert all(p == list(range(len(p))) for p in places.values())
+    assert {k: list(dict.fromkeys(v)) for k, v in got.items()} == _preorder(rows, links)
+    assert sum(map(len, got.values())) == len(rows)
+
+
 def test_positions_and_segments_of_a_long_thread(spark, monkeypatch):
     monkeypatch.setattr(chat_quotes, "BUCKET", 7)
     monkeypatch.setattr(chat_quotes, "SEGMENT", 10)
