@@ -219,41 +219,52 @@ def ordered_messages(conversations: DataFrame) -> DataFrame:
     links = stored(reply_links(messages), "chat-links")
     joined = components(links.where("reply_conv <> conv_id").select(F.col("conv_id").alias("a"), F.col("reply_conv").alias("b")))
     follows = "reply_conv = conv_id AND reply_turn = try_subtract(turn, 1)"
-    rows = stored(
-        messages.drop("said", "quoted").join(links.withColumn("head", F.expr(f"IF({follows}, NULL, turn)")), ["conv_id", "turn"], "left")
+    # Order is a matter of ids, turns and numbers of rows; texts are moved once, at the end.
+    turns = stored(
+        messages.groupBy("conv_id", "turn").agg(F.count("*").alias("n"))
+        .join(links.withColumn("head", F.expr(f"IF({follows}, NULL, turn)")), ["conv_id", "turn"], "left")
         .join(joined.withColumnRenamed("node", "conv_id"), "conv_id", "left")
         .withColumn("thread_id", F.coalesce("comp", "conv_id")).drop("comp")
-        .withColumn("bucket", F.coalesce(F.floor(F.col("turn") / BUCKET), F.lit(2**53))), "chat-rows")
-    # The run of a row starts at the last head up to it: in its bucket of turns, or carried from those before.
-    marks = rows.groupBy("conv_id", "bucket").agg(F.max("head").alias("last"))
+        .withColumn("bucket", F.coalesce(F.floor(F.col("turn") / BUCKET), F.lit(2**53))), "chat-turns")
+    # The run of a turn starts at the last head up to it: in its bucket of turns, or carried from those before.
+    marks = turns.groupBy("conv_id", "bucket").agg(F.max("head").alias("last"))
     carried = F.max("last").over(Window.partitionBy("conv_id").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     marks = stored(marks.select(F.col("conv_id").alias("m_conv"), F.col("bucket").alias("m_bucket"), carried.alias("carried")), "chat-marks")
     here = F.max("head").over(Window.partitionBy("conv_id", "bucket").orderBy(F.asc_nulls_last("turn")))
-    rows = stored(
-        rows.withColumn("here", here)
+    turns = stored(
+        turns.withColumn("here", here)
         .join(marks, F.col("conv_id").eqNullSafe(F.col("m_conv")) & (F.col("bucket") == F.col("m_bucket")))
         .withColumn("start", F.coalesce("here", "carried"))
         .withColumn("run", F.concat_ws(" ", F.col("conv_id").cast("string"), F.col("start").cast("string")))
         .drop("here", "carried", "m_conv", "m_bucket"), "chat-in-runs")
     # Positions in a run from counts of buckets, so that no task ranks a whole conversation.
-    counts = stored(rows.groupBy("thread_id", "conv_id", "run", "start", "bucket").agg(F.count("*").alias("n")), "chat-counts")
-    before = F.sum("n").over(Window.partitionBy("run").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+    counts = stored(turns.groupBy("thread_id", "conv_id", "run", "start", "bucket").agg(F.sum("n").alias("n")), "chat-counts")
+    earlier = (Window.unboundedPreceding, -1)
+    before = F.sum("n").over(Window.partitionBy("run").orderBy("bucket").rowsBetween(*earlier))
     offsets = counts.select(F.col("run").alias("o_run"), F.col("bucket").alias("o_bucket"), F.coalesce(before, F.lit(0)).alias("offset"))
     # Only threads with heads have more than one run.
-    heads = rows.where("head IS NOT NULL").select("thread_id", "conv_id", "turn", "run", "reply_conv", "reply_turn").distinct()
+    heads = turns.where("head IS NOT NULL").select("thread_id", "conv_id", "turn", "run", "reply_conv", "reply_turn")
     asked = heads.select(F.col("reply_conv").alias("conv_id"), F.col("reply_turn").alias("turn")).distinct()
-    said = stored(rows.select("conv_id", "turn", "run").join(asked, ["conv_id", "turn"], "left_semi").distinct()
+    said = stored(turns.select("conv_id", "turn", "run").join(asked, ["conv_id", "turn"], "left_semi")
                   .toDF("reply_conv", "reply_turn", "parent"), "chat-originals")
     parents = heads.join(said, ["reply_conv", "reply_turn"]).select("run", "parent", F.bitwise_not("reply_turn").alias("below"))
     runs = (counts.join(heads.select("thread_id").distinct(), "thread_id", "left_semi")
             .groupBy("thread_id", "conv_id", "run", F.col("start").alias("turn")).agg(F.sum("n").alias("n"))
             .join(parents, "run", "left").withColumn("below", F.coalesce("below", F.lit(0).cast("long"))))
     starts = stored(_run_offsets(stored(runs, "chat-forest")), "chat-offsets").toDF("run", "thread_offset")
-    within = F.row_number().over(Window.partitionBy("conv_id", "run", "bucket").orderBy(F.asc_nulls_last("turn"), "role", "text"))
-    position = F.coalesce("thread_offset", F.lit(0)) + F.col("offset") + F.col("within") - 1
-    return (rows.withColumn("within", within)
-            .join(offsets, (F.col("run") == F.col("o_run")) & (F.col("bucket") == F.col("o_bucket"))).join(starts, "run", "left")
-            .select("thread_id", position.alias("position"), "conv_id", "turn", "role", "text", "reply_conv", "reply_turn", "n_quotes"))
+    within = F.sum("n").over(Window.partitionBy("conv_id", "run", "bucket").orderBy(F.asc_nulls_last("turn")).rowsBetween(*earlier))
+    base = F.coalesce("thread_offset", F.lit(0)) + F.col("offset") + F.coalesce("within", F.lit(0))
+    # One key without nulls, so that the join and the numbering of repeated turns share a shuffle.
+    place = F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in ("conv_id", "turn")])
+    places = stored(
+        turns.withColumn("within", within)
+        .join(offsets, (F.col("run") == F.col("o_run")) & (F.col("bucket") == F.col("o_bucket"))).join(starts, "run", "left")
+        .select(place.alias("place"), "thread_id", base.alias("base"), "reply_conv", "reply_turn"), "chat-places")
+    nth = F.row_number().over(Window.partitionBy("place").orderBy("role", "text"))
+    return (messages.select(place.alias("place"), "conv_id", "turn", "role", "text", "n_quotes").join(places, "place")
+            .withColumn("nth", nth)
+            .select("thread_id", (F.col("base") + F.col("nth") - 1).alias("position"), "conv_id", "turn", "role", "text",
+                    "reply_conv", "reply_turn", "n_quotes"))
 
 
 def threads(conversations: DataFrame) -> DataFrame:
