@@ -30,7 +30,7 @@ and returns one row per query.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -213,29 +213,35 @@ def _compare(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
 
 def usable(vectors: DataFrame) -> DataFrame:
     """``vec_id, embedding`` of the rows that take part: an id, no null or
-    non-finite component, not all zero, and the most frequent length (the
-    shorter on ties)."""
+    non-finite component, not all zero."""
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"),
                        F.col("embedding").cast("array<double>").alias("embedding"))
-    v = v.where("""vec_id IS NOT NULL AND embedding IS NOT NULL AND size(embedding) > 0
+    return v.where("""vec_id IS NOT NULL AND embedding IS NOT NULL AND size(embedding) > 0
         AND forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity'))
         AND exists(embedding, x -> x <> 0)""")
-    size = v.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    return v.where(F.size("embedding") == (size[0].n if size else -1))
 
 
 def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row whose id is divisible
     by ``every`` its ``k`` nearest other rows found, by inner product.
 
-    Ranks start at 1, ties go to the smaller id.  Rows that ``usable`` leaves
+    An inner product exists between vectors of one length: each length is
+    searched within itself, with an index of its own.  Ranks start at 1, ties
+    go to the smaller id.  Rows that ``usable`` leaves
     out take no part; rows repeated with one id and vector count once, and a
     query never lists its own id.  With fewer than ``k`` others all are
     listed; an empty table gives no rows.  Other columns are not read.
     """
-    spark = vectors.sparkSession
-    ship(spark)
+    ship(vectors.sparkSession)
     rows = usable(vectors)
+    lengths = sorted(r.n for r in rows.select(F.size("embedding").alias("n")).distinct().collect())
+    found = [_nearest_of_one_length(rows.where(F.size("embedding") == n), k, every) for n in lengths]
+    if not found:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.unionByName, found)
+
+
+def _nearest_of_one_length(rows: DataFrame, k: int, every: int) -> DataFrame:
     same = Window.partitionBy("embedding").orderBy("vec_id")
     classes = stored(
         rows.withColumn("r", F.dense_rank().over(same)).where(F.col("r") <= k + 1)
@@ -248,8 +254,6 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
 
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
     total = classes.agg(F.count("*").alias("n"), F.max(norm).alias("top")).first()
-    if not total.n:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sample = classes.where(hashed_share(F.xxhash64("uid"), SAMPLE / total.n)).select("embedding").collect()
     sample = sample or classes.limit(1).select("embedding").collect()
     index = Index(np.array([r.embedding for r in sample]), total.top, total.n, k)

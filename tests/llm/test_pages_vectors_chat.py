@@ -108,6 +108,16 @@ def test_vectors_that_take_no_part_ties_and_copies(spark):
     assert ann.nearest(df.where("vec_id = 0")).count() == 0
 
 
+def test_vectors_of_several_lengths_are_searched_apart(spark):
+    rng = np.random.default_rng(4)
+    groups = [[(i, rng.standard_normal(3).tolist()) for i in range(0, 90, 3)], [(i, rng.standard_normal(5).tolist()) for i in range(1, 90, 3)],
+              [(140, [2.0])]]
+    df = spark.createDataFrame([r for g in groups for r in g], "vec_id long, embedding array<double>")
+    got = _found(ann.nearest(df, 20, 20))
+    want = {q: f for g in groups[:2] for q, f in _exact(g, 20, 20).items()}
+    assert {q: [i for _, i in f] for q, f in got.items()} == {q: [i for _, i in f] for q, f in want.items()}
+
+
 # --- chat -----------------------------------------------------------------
 
 def _chat(spark, rows):
