@@ -59,8 +59,13 @@ def test_op1_small_lists_still_give_all_ranks(spark, monkeypatch):
     assert len(found) == 40 and {r["count"] for r in found} == {20}
 
 
-def test_many_lists_probe_few_and_keep_recall(spark, monkeypatch):
+@pytest.mark.parametrize("coarse", [1024, 6])
+def test_many_lists_probe_few_and_keep_recall(spark, monkeypatch, coarse):
+    monkeypatch.setattr(ann, "COARSE", coarse)  # 6: lists are pairs of a coarse and a fine centroid
     monkeypatch.setattr(ann, "LIST_SIZE", 50)
+    seen = []
+    fit = ann.Index.fit_probes
+    monkeypatch.setattr(ann.Index, "fit_probes", lambda self, *a: (fit(self, *a), seen.append(self)))
     monkeypatch.setattr(ann, "BLOCK", 32)
     monkeypatch.setattr(ann, "CHUNK", 16)
     monkeypatch.setattr(ann, "BLOCK_LISTS", 4)
@@ -73,6 +78,8 @@ def test_many_lists_probe_few_and_keep_recall(spark, monkeypatch):
     want, got = _exact(rows, 10, 10), _found(ann.nearest(df, 10, 10))
     hits = sum(len({i for _, i in got[q]} & {i for _, i in want[q]}) for q in want)
     assert hits >= 0.9 * sum(map(len, want.values()))
+    index, = seen
+    assert (len(index.fine) > 1) == (coarse == 6) and index.lists == 30 and index.probes < 30
 
 
 def test_scan_abandons_and_finds_the_nearest():
@@ -85,10 +92,14 @@ def test_scan_abandons_and_finds_the_nearest():
         scored.append(len(rows))
         return -((x[rows] - q[j]) ** 2).sum(axis=1)
 
-    for j, rows, score in ann.scan(x, q, lambda j: np.arange(len(x)), exact, 5):
+    for j, rows, score, _ in ann.scan(x, q, lambda j: np.arange(len(x)), exact, 5):
         truth = np.argsort(((x - q[j]) ** 2).sum(axis=1))[:5]
         assert set(truth) <= set(rows)
     assert max(scored) < 1000
+    # A distance known from elsewhere: nothing beyond it is scored, nothing within it lost.
+    r = np.sort(((x - q[:, None]) ** 2).sum(axis=2), axis=1)[:, 4]
+    for j, rows, score, _ in ann.scan(x, q, lambda j: np.arange(len(x)), exact, 5, r):
+        assert set(rows) == set(np.argsort(((x - q[j]) ** 2).sum(axis=1))[:5])
 
 
 def test_vectors_that_take_no_part_ties_and_copies(spark):
