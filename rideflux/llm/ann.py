@@ -163,22 +163,36 @@ class Index:
         return min(most, int(np.sort(at)[int(np.ceil(share * len(at))) - 1]) + 1)
 
 
-def scan(x: np.ndarray, q: np.ndarray, rows_of, exact, k: int,
+def columns(x: np.ndarray) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Column blocks ``(from, to, values, squared lengths)`` of placed vectors."""
+    dim = x.shape[1]
+    cuts = [*range(0, dim, COLUMNS), dim]
+    if len(cuts) > 2 and cuts[-1] - cuts[-2] < COLUMNS // 2:
+        del cuts[-2]
+    parts = [(a, b, np.ascontiguousarray(x[:, a:b])) for a, b in zip(cuts, cuts[1:])]
+    return [(a, b, v, (v * v).sum(axis=1)) for a, b, v in parts]
+
+
+def scan(parts: list, q: np.ndarray, rows_of, exact, k: int,
          within: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, float]]:
     """For each query: the candidates that survive, their exact scores, and the
     k-th distance known; the k nearest are among them unless a test rejected one.
 
-    ``x`` and ``q`` are placed vectors; ``rows_of(j)`` names a query's
-    candidates and ``exact(j, rows)`` scores them.  ``within`` holds distances
-    that k candidates seen elsewhere keep to (infinite: none).
+    ``parts`` are the ``columns`` of the placed vectors, ``q`` placed queries;
+    ``rows_of(j)`` names a query's candidates and ``exact(j, rows)`` scores
+    them.  ``within`` holds distances that k candidates seen elsewhere keep to
+    (infinite or NaN: none).  Distances come from products; ``slack`` covers their
+    rounding, so that it abandons no candidate.
     """
-    dim = x.shape[1]
-    cuts = [*range(0, dim, COLUMNS), dim]
-    if len(cuts) > 2 and cuts[-1] - cuts[-2] < COLUMNS // 2:
-        del cuts[-2]
-    blocks = list(zip(cuts, cuts[1:]))
-    a, b = blocks[0]
-    first = (x[:, a:b] ** 2).sum(axis=1) + (q[:, a:b] ** 2).sum(axis=1)[:, None] - 2 * q[:, a:b] @ x[:, a:b].T
+    dim = parts[-1][1]
+    square = (q * q).sum(axis=1)
+    slack = 1e-5 * (square + max(float(sum(n for *_, n in parts).max(initial=0)), 0))
+    a, b, v, n = parts[0]
+    first = n + (q[:, a:b] ** 2).sum(axis=1)[:, None] - 2 * q[:, a:b] @ v.T
+
+    def distances(j, rows):
+        return sum(((v[rows] - q[j, a:b]) ** 2).sum(axis=1) for a, b, v, _ in parts)
+
     for j in range(len(q)):
         alive = rows_of(j)
         if not len(alive):
@@ -189,21 +203,18 @@ def scan(x: np.ndarray, q: np.ndarray, rows_of, exact, k: int,
             # The first threshold: full distances of the candidates nearest so far.
             keep = min(k, len(alive))
             lead = alive[np.argpartition(part, min(4 * keep, len(alive)) - 1)[:4 * keep]]
-            full = ((x[lead] - q[j]) ** 2).sum(axis=1)
-            r = np.partition(full, keep - 1)[keep - 1]
-        for i, (a, b) in enumerate(blocks):
+            r = np.partition(distances(j, lead), keep - 1)[keep - 1]
+        for i, (a, b, v, n) in enumerate(parts):
             if i:
-                part = part + ((x[alive, a:b] - q[j, a:b]) ** 2).sum(axis=1)
-            if b == dim:
-                ok = part <= r * (1 + 1e-4) + 1e-6
-            else:
-                ok = part * (dim / b) <= r * (1 + EPSILON / np.sqrt(b)) ** 2
+                part = part + (n[alive] + (q[j, a:b] ** 2).sum() - 2 * (v[alive] @ q[j, a:b]))
+            strict = (1 + EPSILON / np.sqrt(b)) ** 2 * b / dim if b < dim else 1 + 1e-4
+            ok = part <= r * strict + slack[j]
             alive, part = alive[ok], part[ok]
             if not len(alive):
                 break
         alive = np.union1d(alive, lead)
         if len(alive):
-            full = ((x[alive] - q[j]) ** 2).sum(axis=1)
+            full = distances(j, alive)
             yield j, alive, exact(j, alive), float(np.partition(full, k - 1)[k - 1]) if len(full) >= k else np.inf
 
 
@@ -277,7 +288,7 @@ class _Held:
     def _close(self) -> None:
         t = pa.Table.from_batches(self.parts).combine_chunks()
         self.uid, self.ids = t.column("id").to_numpy(), t.column("ids").combine_chunks()
-        self.x = _matrix(t.column("placed").combine_chunks())
+        self.columns = columns(_matrix(t.column("placed").combine_chunks()))
         self.v = _matrix(t.column("vector").combine_chunks(), np.float64)
         of = t.column("lists").combine_chunks().flatten().to_numpy()
         order = np.argsort(of, kind="stable")
@@ -296,7 +307,7 @@ class _Held:
             some = queries.slice(a, STEP)
             lists, quid = some.column("lists").to_pylist(), some.column("id").to_pylist()
             q, qv = _matrix(some.column("placed")), _matrix(some.column("vector"), np.float64)
-            found = scan(self.x, q, lambda j: np.concatenate([self.rows.get(n, none) for n in lists[j]]),
+            found = scan(self.columns, q, lambda j: np.concatenate([self.rows.get(n, none) for n in lists[j]]),
                          lambda j, at: (self.v[at] * qv[j]).sum(axis=1), k, some.column("r").to_numpy(zero_copy_only=False))
             quids, nears, rs = [], [], []
             for j, at, score, r in found:

