@@ -305,12 +305,19 @@ def _blocks(tops: list[Node], own: list[Node], template: frozenset[int]) -> tupl
 def main_text(root: Node, template: frozenset[int] = frozenset()) -> str:
     """Blocks of the page's text joined by a line break."""
     own = articles(root)
+    inside = any(t & 1 for t in template)
+    if own and not inside:
+        # No template inside articles.  Where even all the page's words outside links
+        # leave the articles a major part, the rest needs no look.
+        blocks, n = _blocks(own, own, frozenset())
+        if n >= MINOR * plain_words(root):
+            return "\n".join(blocks)
     if template:
         subtree_hashes(root, own)
     if not own:
         return "\n".join(_blocks([root], [], template)[0])
-    blocks, n = _blocks(own, own, template)
-    if any(t & 1 for t in template):
+    if inside:
+        blocks, n = _blocks(own, own, template)
         whole, n_whole = _blocks(own, own, frozenset())
         if n < MINOR * n_whole:
             template = frozenset(t for t in template if not t & 1)
