@@ -103,6 +103,26 @@ def test_overdue_rides_by_timer(spark, tmp_dir):
     assert report[-1]["state_rows"] == 2  # Y and Z
 
 
+def test_overdue_state_is_kept_by_bucket_of_rides(spark, tmp_dir):
+    # 3,000 rides in two batches, a third each without outcome, with one at the limit and with one a minute late;
+    # every second request comes again, earlier and from another zone, in the batch behind.
+    n, at = 3000, lambda minute: f"{10 + minute // 60:02d}:{minute % 60:02d}"
+    first = [_req(at(20 + k % 30), ride=f"R{k}", event=f"e{k}") for k in range(n)]
+    again = [_req(at(10 + k % 30), ride=f"R{k}", event=f"a{k}", zone="Z002") for k in range(0, n, 2)]
+    asked = lambda k: 20 + k % 30 - 10 * (k % 2 == 0)
+    done = [_done(at(asked(k) + 120 + k % 3 - 1), f"R{k}") for k in range(n) if k % 3]
+    _topic(f"{tmp_dir}/req", [first, again, [_req("23:00", ride="Z")]])
+    _topic(f"{tmp_dir}/cmp", [[_done("10:00", "X")], done, [_done("23:00", "Y")]])
+    report = []
+    rides = stateful.overdue_rides(_stream(spark, "ride_requests", f"{tmp_dir}/req"),
+                                   _stream(spark, "ride_completed", f"{tmp_dir}/cmp"), minutes=120)
+    got = {(r.ride_id, r.pickup_zone_id, r.requested_at.strftime("%H:%M"), r.overdue_at.strftime("%H:%M"))
+           for r in _run(spark, rides, tmp_dir, report)}
+    assert got == {(f"R{k}", "Z001" if k % 2 else "Z002", at(asked(k)), at(asked(k) + 120))
+                   for k in range(n) if k % 3 != 1}
+    assert max(r["state_rows"] for r in report) <= 256  # buckets, not rides
+
+
 def test_shifts_merge_and_split_at_the_gap(spark):
     base = dt.datetime(2024, 1, 1, 10)
     minutes = {"a": [0, 29, 58, 90], "b": [0, 30], "c": [0, 31]}
