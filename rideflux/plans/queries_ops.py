@@ -46,19 +46,22 @@ def file_topic(spark: SparkSession, sf_dir: str, stream: str, base: str, rows: D
     ``files_per_slice`` files each.
 
     ``rows`` are the stream's silver rows unless given; ``arrival`` is the SQL
-    timestamp that places a record in a slice.  The records are made once,
-    into a staging folder by slice, and appended from there.
+    timestamp that places a record in a slice.  Each slice reads the rows anew
+    and makes its own records only, so every record is made and written once;
+    what is dealt to the files are the events, not the records made of them.
     """
-    path, staging = f"{base}/topics/{stream}", f"{base}/staging/{stream}"
-    rows = silver(spark, sf_dir, stream) if rows is None else rows
-    rows = rows.withColumn("_us", F.expr(f"unix_micros(CAST({arrival} AS TIMESTAMP))"))
-    lo, hi = rows.agg(F.min("_us"), F.max("_us")).first()
+    path, n = f"{base}/topics/{stream}", files_per_slice(spark)
+    place = F.expr(f"unix_micros(CAST({arrival} AS TIMESTAMP))")
+    if rows is None:
+        events = adapter.read_events(spark, sf_dir)
+        rows, dealt = adapter.STREAMS[stream](events), adapter.STREAMS[stream](events.repartition(n))
+    else:
+        dealt = rows.repartition(n)
+    lo, hi = rows.select(place.alias("_us")).agg(F.min("_us"), F.max("_us")).first()
     at = F.expr(f"least({SLICES - 1}, (_us - {lo or 0}L) * {SLICES} div greatest({(hi or 0) - (lo or 0)}L, 1L))")
-    records = adapter.to_bronze(rows, stream, keep=[F.coalesce(at, F.lit(0)).cast("int").alias("slice")])
-    records.repartition(files_per_slice(spark)).write.partitionBy("slice").text(staging)
-    for i in range(SLICES):
-        part = spark.read.schema("value string, slice int").text(staging).where(F.col("slice") == i)
-        write_topic_files(part, path, partitions=files_per_slice(spark))
+    dealt = dealt.withColumn("_us", place)
+    for i in range(SLICES):  # the filter moves in front of the exchange
+        write_topic_files(adapter.to_bronze(dealt.where(F.coalesce(at, F.lit(0)) == i), stream), path)
     return path
 
 

@@ -119,6 +119,25 @@ def test_start_all_queries_and_history(spark, tmp_dir):
     assert os.path.isdir(f"{base}/_checkpoints/ride_demand_by_zone")
 
 
+def test_topic_records_are_written_once_and_by_slice(spark, tmp_dir):
+    from rideflux.plans.queries_ops import SLICES, file_topic, files_per_slice
+    n = 4000
+    spark.range(n).selectExpr(
+        "id AS event_id", "timestamp_seconds(1704067200 + id * 60)::timestamp_ntz AS ts", "id % 9 AS user_id",
+        "IF(id % 4 = 0, 'view', 'click') AS event_type", "id / 4.0D AS value", "concat('{\"k\": ', id % 100, '}') AS props",
+    ).write.parquet(f"{tmp_dir}/sf/events.parquet")
+    topic = file_topic(spark, f"{tmp_dir}/sf", "ride_completed", f"{tmp_dir}/base")
+    written = spark.read.option("recursiveFileLookup", "true").text(f"{tmp_dir}/base")
+    assert written.count() == n * 3 // 4
+    files = sorted((f for f in os.listdir(topic) if f.startswith("part-")), key=lambda f: os.path.getmtime(f"{topic}/{f}"))
+    per = files_per_slice(spark)
+    assert len(files) == SLICES * per
+    for i in range(SLICES):
+        ids = [int(r[0]) for r in spark.read.text([f"{topic}/{f}" for f in files[i * per:(i + 1) * per]]).select(
+            F.regexp_extract("value", '"event_id":"CMP-([0-9]+)"', 1)).collect()]
+        assert sorted(ids) == [k for k in range(1, n) if k % 4 and min((k - 1) * SLICES // (n - 2), SLICES - 1) == i]
+
+
 def test_await_any_returns_when_one_query_ends(spark, tmp_dir):
     topic = f"{tmp_dir}/topic"
     _files(topic, [[_req("10:01")], [_req("10:09")]])
