@@ -122,16 +122,18 @@ class Model:
     def odds(self, word: str, less: tuple[int, int] = (0, 0), extra: dict[str, tuple[int, int]] | None = None) -> float | None:
         """Score of a word; None for one that has no feature in the model.
         ``extra``: counts of features from the model's ``tail``."""
-        share, seen = self.base, False
+        # Both shares are carried: behind a few stems of toxic documents only,
+        # the clean one is too small to be told from one less the other.
+        toxic, clean, seen = self.base, 1 - self.base, False
         for f in features(word):
             c = self.counts.get(f) or (extra and extra.get(f))
             if c:
                 seen = True
                 y, z = max(0, c[0] - less[0]), max(0, c[1] - less[1])
-                share = (y + PRIOR * share) / (y + z + PRIOR)
+                toxic, clean = (y + PRIOR * toxic) / (y + z + PRIOR), (z + PRIOR * clean) / (y + z + PRIOR)
         if not seen:
             return None
-        return math.log(share / (1 - share)) - math.log(self.base / (1 - self.base)) - DRIFT
+        return math.log(toxic / clean) - math.log(self.base / (1 - self.base)) - DRIFT
 
     def spans(self, text: str, own: int | None = None, extra: dict[str, tuple[int, int]] | None = None,
               ) -> tuple[int, list[tuple[int, int, float]]]:

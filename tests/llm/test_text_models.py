@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import math
 import os
 import random
 import re
 import struct
 import time
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -108,6 +110,21 @@ def test_op4_scores_do_not_depend_on_what_the_driver_holds(spark, monkeypatch, h
     assert rows() == want
 
 
+def test_op4_words_of_many_toxic_documents_only_have_a_score(spark):
+    """The clean share behind five such stems is about 1e-18."""
+    chain = tx.features("zorgublat")
+    for y in (20_000, 10**9):
+        model = tx.Model(base=0.1, counts={f: (y, 0) for f in chain}, weights=(-2.0, 1.0, 1.0))
+        toxic, clean = Fraction(1, 10), Fraction(9, 10)
+        for _ in chain:
+            toxic, clean = (y + 4 * toxic) / (y + 4), 4 * clean / (y + 4)
+        want = math.log(toxic) - math.log(clean) - math.log(1 / 9) - tx.DRIFT
+        assert model.odds("zorgublat") == pytest.approx(want)
+        assert model.odds("zorgublat", (1, 0)) == pytest.approx(want, rel=1e-3)
+    got = {r.doc_id: r for r in tx.score(_docs(spark, [(1, "aa zorgublat bb"), (2, "aa bb")]), model).collect()}
+    assert [(p.first_token, p.end_token) for p in got[1].passages] == [(1, 2)] and got[1].predicted == 1 and got[2].predicted == 0
+
+
 # --- sentencepiece --------------------------------------------------------
 
 def _library(data):
