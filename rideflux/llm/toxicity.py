@@ -17,15 +17,17 @@ excess and the sum over all significant segments feed a two-parameter-per-input
 logistic curve, fitted on the same bounded sample.
 
 *Size*: features are counted, joined and filtered by their log-odds in Spark.
-The driver and the Python workers hold the ``MAX_FEATURES`` ones in most
-documents; where the model has more, the others stay a stored table that is
-joined to the features of the documents, so every feature counts.
+The driver and the Python workers hold up to ``MAX_FEATURES`` of the model by
+name, up to ``MAX_PACKED`` in flat arrays.  Where the model has more, those in
+most documents are held and the others stay a stored table that is joined to
+the features of the documents, so every feature counts.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -47,10 +49,11 @@ DRIFT = 0.5
 #: A feature needs that many toxic documents and that log-odds to raise scores.
 MIN_TOXIC = 3
 MIN_ODDS = 1.0
-#: Bounds of what the driver holds: features of the model (the others are a
-#: stored table), labelled documents that calibrate it (those with the smallest
-#: hashes of their text).
+#: Bounds of what the driver holds: features by name, features of the model in
+#: flat arrays (about 40 bytes each; the others are a stored table), labelled
+#: documents that calibrate it (those with the smallest hashes of their text).
 MAX_FEATURES = 200_000
+MAX_PACKED = 2_000_000
 MAX_CALIBRATION = 6_000
 #: Most labels that are broadcast (12 bytes each); beyond, texts are shuffled to them.
 MAX_BROADCAST = 2_000_000
@@ -105,10 +108,47 @@ def segments(scores: Iterable[tuple[int, float]], gap: float) -> list[tuple[int,
     return [(int(a), int(b), hi - lo) for a, b, lo, hi, _ in out]
 
 
+class Packed:
+    """Counts by feature in flat arrays; ``get`` as of a dict.
+
+    Features are ordered by their CRC; ``starts`` has where each range of CRCs
+    begins, and what is found there is compared with the whole name.
+    """
+
+    def __init__(self, names: pa.Array, y: np.ndarray, z: np.ndarray, crc: np.ndarray):
+        bits = max(len(names), 1).bit_length()
+        order = np.argsort(crc, kind="stable")
+        names = names.cast(pa.large_binary()).take(pa.array(order))
+        ends = np.frombuffer(names.buffers()[1], np.int64)[names.offset:names.offset + len(names) + 1]
+        starts = np.searchsorted(crc[order] >> (32 - bits), np.arange((1 << bits) + 1)).astype(np.int32)
+        data = names.buffers()[2]
+        self.__setstate__((bits, starts, ends.copy(), b"" if data is None else data.to_pybytes(), y[order], z[order]))
+
+    def __getstate__(self) -> tuple:
+        return self.arrays
+
+    def __setstate__(self, arrays: tuple) -> None:
+        self.arrays = arrays
+        bits, starts, ends, self.data, y, z = arrays
+        self.shift = 32 - bits
+        self.starts, self.ends, self.y, self.z = map(memoryview, (starts, ends, y, z))
+
+    def __len__(self) -> int:
+        return len(self.y)
+
+    def get(self, feature: str) -> tuple[int, int] | None:
+        name = feature.encode()
+        at = zlib.crc32(name) >> self.shift
+        for i in range(self.starts[at], self.starts[at + 1]):
+            if self.data[self.ends[i]:self.ends[i + 1]] == name:
+                return self.y[i], self.z[i]
+        return None
+
+
 @dataclass
 class Model:
     base: float = 0.5
-    counts: dict[str, tuple[int, int]] = field(default_factory=dict)
+    counts: dict[str, tuple[int, int]] | Packed = field(default_factory=dict)
     lam: float = 1.0
     log_k: float = 0.0
     weights: tuple[float, float, float] = (0.0, 0.0, 0.0)
@@ -171,22 +211,29 @@ class Model:
 
 
 def _count(batches: Iterator[pa.RecordBatch], only: frozenset[str] | None, below: frozenset[str] | None) -> Iterator[pa.RecordBatch]:
-    """Documents of each class that have a feature, combined per batch: all
-    features, those in ``only``, or those of words with a prefix in ``below``."""
+    """Documents of each class that have a feature, combined for up to about
+    ``MAX_FEATURES`` of them: all features, those in ``only``, or those of words
+    with a prefix in ``below``."""
     for batch in batches:
-        toxic: Counter[str] = Counter()
-        clean: Counter[str] = Counter()
-        for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = set(tokens(text))
+        counts: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
+        for text, label in zip(batch.column(0), batch.column(1)):
+            words = set(tokens(text.as_py()))
             if below is None:
                 found = {f for w in words for f in features(w)}
             else:
                 found = {f for w in words for f in _under(features(w), below)}
-            (toxic if label else clean).update(found if only is None else found & only)
-        names = list(toxic.keys() | clean.keys())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array([toxic[k] for k in names], pa.int64()),
-             pa.array([clean[k] for k in names], pa.int64())], ["feature", "y", "z"])
+            counts[1 if label.as_py() else 0].update(found if only is None else found & only)
+            if sum(map(len, counts)) >= MAX_FEATURES:
+                yield _counts(*counts)
+                counts = (Counter(), Counter())
+        yield _counts(*counts)
+
+
+def _counts(clean: Counter[str], toxic: Counter[str]) -> pa.RecordBatch:
+    names = list(toxic.keys() | clean.keys())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(names, pa.string()), pa.array([toxic[k] for k in names], pa.int64()),
+         pa.array([clean[k] for k in names], pa.int64())], ["feature", "y", "z"])
 
 
 def _under(chain: list[str], below: frozenset[str]) -> list[str]:
@@ -219,26 +266,31 @@ def _below(train: DataFrame, stems: DataFrame) -> DataFrame:
 
 def _hold(model: Model, known: DataFrame) -> None:
     """The features in most documents go into ``counts``, the others stay ``tail``."""
-    rows = known
-    if not small_enough(known, MAX_FEATURES):
-        n = F.col("y") + F.col("z")
-        rows = known.orderBy(n.desc(), "feature").limit(MAX_FEATURES)
-    held = rows.collect()
-    model.counts = {r.feature: (r.y, r.z) for r in held}
-    if rows is not known:
-        least = held[-1].y + held[-1].z
-        model.tail = known.where((n < least) | ((n == least) & (F.col("feature") > held[-1].feature)))
-
-
-def _pairs(batches: Iterator[pa.RecordBatch], held: frozenset[str]) -> Iterator[pa.RecordBatch]:
+    if small_enough(known, MAX_FEATURES):
+        model.counts = {r.feature: (r.y, r.z) for r in known.collect()}
+        return
+    held, n = known, F.col("y") + F.col("z")
+    if not small_enough(known, MAX_PACKED):
+        total, most = 0, 0
+        for r in sorted(known.groupBy(n.alias("n")).agg(F.count("*").alias("rows")).collect(), reverse=True):
+            most, total = r.n, total + r.rows
+            if total > MAX_PACKED:
+                break
+        held, model.tail = known.where(n > most), known.where(n <= most)
+    rows = held.select("feature", "y", "z", F.crc32("feature").alias("crc")).toArrow()
+    names = rows["feature"].cast(pa.large_binary()).combine_chunks()
+    model.counts = Packed(names, *(rows[c].to_numpy() for c in ("y", "z", "crc")))
+
+
+def _pairs(batches: Iterator[pa.RecordBatch], held: dict[str, tuple[int, int]] | Packed) -> Iterator[pa.RecordBatch]:
     """Each document's features that are not ``held``."""
     def batch():
         return pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(names, pa.string())], ["row", "feature"])
 
     for b in batches:
         rows, names = [], []
-        for row, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            found = {f for w in set(tokens(text)) for f in features(w)} - held
+        for row, text in zip(b.column(0).to_pylist(), b.column(1)):
+            found = [f for f in {f for w in set(tokens(text.as_py())) for f in features(w)} if held.get(f) is None]
             rows += [row] * len(found)
             names += found
             if len(rows) >= MAX_PAIRS:
@@ -253,15 +305,17 @@ def _with_tail(rows: DataFrame, model: Model) -> DataFrame:
     if model.tail is None:
         return rows
     rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "tox-rows")
-    pairs = rows.select("row", "text").mapInArrow(partial(_pairs, held=frozenset(model.counts)), "row long, feature string")
+    pairs = rows.select("row", "text").mapInArrow(partial(_pairs, held=model.counts), "row long, feature string")
     extra = pairs.join(model.tail, "feature").groupBy("row").agg(F.collect_list(F.struct("feature", "y", "z")).alias("extra"))
     return rows.join(extra, "row", "left").drop("row")
 
 
-def _extras(batch: pa.RecordBatch) -> list[dict[str, tuple[int, int]] | None]:
-    if "extra" not in batch.schema.names:
-        return [None] * batch.num_rows
-    return [x and {e["feature"]: (e["y"], e["z"]) for e in x} for x in batch.column("extra").to_pylist()]
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[str | None, dict[str, tuple[int, int]] | None]]:
+    """Each row's text and ``extra``, one row at a time."""
+    extras = batch.column("extra") if "extra" in batch.schema.names else [None] * batch.num_rows
+    for text, extra in zip(batch.column("text"), extras):
+        found = None if extra is None else extra.as_py()
+        yield text.as_py(), found and {e["feature"]: (e["y"], e["z"]) for e in found}
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -312,7 +366,7 @@ def _calibration_rows(train: DataFrame, model: Model, n: dict[int, int]) -> Data
 def _spans(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for b in batches:
         labels = b.column("label").to_pylist()
-        found = [model.spans(t, own=y, extra=x) for t, y, x in zip(b.column("text").to_pylist(), labels, _extras(b))]
+        found = [model.spans(t, own=y, extra=x) for (t, x), y in zip(_texts(b), labels)]
         yield pa.RecordBatch.from_arrays(
             [pa.array(labels, pa.int32()), pa.array([n for n, _ in found], pa.int64()),
              pa.array([[s for *_, s in segs] for _, segs in found], pa.list_(pa.float64()))],
@@ -369,7 +423,7 @@ def _calibrate(model: Model, rows: list[tuple[int, float, float]], n_class: dict
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for b in batches:
         score, passages = [], []
-        for t, x in zip(b.column("text").to_pylist(), _extras(b)):
+        for t, x in _texts(b):
             n, segs = model.spans(t, extra=x)
             score.append(model.score(n, segs))
             passages.append([{"first_token": a, "end_token": e, "excess": x}

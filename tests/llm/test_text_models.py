@@ -2,12 +2,16 @@ from __future__ import annotations
 
 import math
 import os
+import pickle
 import random
 import re
 import struct
 import time
+import zlib
 from fractions import Fraction
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,6 +114,43 @@ def test_op4_scores_do_not_depend_on_what_the_driver_holds(spark, monkeypatch, h
     assert rows() == want
 
 
+def test_op4_tail_and_packed_features_give_the_same_scores(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet").select("doc_id", "toxic")
+
+    def fitted():
+        return tx.fit(docs, labels.select("doc_id", F.col("toxic").alias("label")))
+
+    def rows(model):
+        return sorted(map(repr, tx.score(docs, model).collect()))
+
+    whole = fitted()
+    want, n = rows(whole), len(whole.counts)
+    monkeypatch.setattr(tx, "MAX_FEATURES", 1)
+    packed = fitted()
+    assert isinstance(packed.counts, tx.Packed) and len(packed.counts) == n and packed.tail is None
+    assert all(packed.counts.get(f) == c for f, c in whole.counts.items())
+    assert rows(packed) == want
+    for most in (1, n // 2):
+        monkeypatch.setattr(tx, "MAX_PACKED", most)
+        model = fitted()
+        assert len(model.counts) <= most and len(model.counts) + model.tail.count() == n
+        assert rows(model) == want
+
+
+def test_packed_counts_are_found_by_whole_names():
+    rng = random.Random(5)
+    names = sorted({"".join(rng.choice("aébç😀z*") for _ in range(rng.randrange(1, 9))) for _ in range(3000)} | {"plumless", "buckeroo"})
+    assert zlib.crc32(b"plumless") == zlib.crc32(b"buckeroo")
+    counts = {f: (i, 10**12 - i) for i, f in enumerate(names)}
+    y, z = (np.array([c[k] for c in counts.values()]) for k in (0, 1))
+    crc = np.array([zlib.crc32(f.encode()) for f in names])
+    packed = pickle.loads(pickle.dumps(tx.Packed(pa.array(names), y, z, crc)))
+    assert {f: packed.get(f) for f in names} == counts
+    assert all(packed.get(f + "q") is None for f in names) and packed.get("") is None
+    assert tx.Packed(pa.array([], pa.string()), *[np.array([], np.int64)] * 3).get("a") is None
+
+
 def test_op4_words_of_many_toxic_documents_only_have_a_score(spark):
     """The clean share behind five such stems is about 1e-18."""
     chain = tx.features("zorgublat")
